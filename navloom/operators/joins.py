@@ -14,19 +14,28 @@ from navloom.session import broadcast_checked
 OPEN_END = "2099-12-31"  # fixed value: exit date of an interval that is still open
 
 
-def densify(panel: DataFrame, trading_days: DataFrame, key: str, date: str, value: str, fill: bool = True) -> DataFrame:
-    """Entity x trading day from the entity's first to the last day of the panel, value carried forward.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash by ``key`` over twice the session's partitions, ahead of a step that multiplies rows.
 
-    ``trading_days`` has ``TRADE_DT``.  Days come from ``sequence`` per entity and meet the calendar in an equi-join, so
-    there is no cross join.
+    Adaptive execution sizes partitions by the bytes it sees before the rows multiply and would merge them into a few
+    tasks; an explicit count is left alone.  Windows and aggregates that group by ``key`` and more reuse this layout.
+    """
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def densify(panel: DataFrame, trading_days: DataFrame, key: str, date: str, value: str) -> DataFrame:
+    """Entity x trading day from the entity's first observation to the last calendar day, value carried forward.
+
+    Every observation is repeated for the trading days up to the next one (``sequence``), so the dense panel needs one
+    shuffle of the sparse rows and neither a cross join nor a join of the dense grid.  ``trading_days`` has ``TRADE_DT``.
     """
     days = trading_days.select(F.col("TRADE_DT").alias(date))
-    kept = panel.join(days, date, "left_semi").select(key, date, value)
-    last = days.agg(F.max(date).alias("_LAST"))
-    spans = kept.groupBy(key).agg(F.min(date).alias("_FIRST")).join(F.broadcast(last))  # one-row aggregate
-    grid = spans.select(key, F.explode(F.sequence("_FIRST", "_LAST", F.expr("INTERVAL 1 DAY"))).alias(date)).join(days, date, "left_semi")
-    dense = grid.join(kept, [key, date], "left")
-    return dense.withColumn(value, forward_fill(F.col(value), by([key], date))) if fill else dense
+    last = F.broadcast(days.agg(F.max(date).alias("_LAST")))  # one row
+    kept = spread(panel.where(F.col(value).isNotNull()).join(days, date, "left_semi").select(key, date, value), key)
+    until = F.coalesce(F.date_sub(F.lead(date).over(by([key], date)), 1), F.col("_LAST"))
+    spans = kept.join(last).withColumn("_UNTIL", until)
+    filled = spans.select(key, F.explode(F.sequence(date, "_UNTIL", F.expr("INTERVAL 1 DAY"))).alias(date), value)
+    return filled.join(days, date, "left_semi").select(key, date, value)
 
 
 def as_of(left: DataFrame, right: DataFrame, key: str, left_date: str, right_date: str, values: Sequence[str]) -> DataFrame:
@@ -82,9 +91,7 @@ def fan_out(panel: DataFrame, windows: DataFrame, key: str = "TICKER_SYMBOL", da
     spans = windows.select(F.col("START_DATE").alias("WIN_START"), F.col("END_DATE").alias("WIN_END")).distinct()
     small = broadcast_checked(spans, 20_000)
     if small is not None:
-        # a fixed count keeps the parallelism: the rows are few before the fan-out and many after it
-        parts = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return panel.repartition(parts, key).join(small, F.col(date).between(F.col("WIN_START"), F.col("WIN_END")))
+        return spread(panel, key).join(small, F.col(date).between(F.col("WIN_START"), F.col("WIN_END")))
     months = spans.withColumn("_MONTH", F.explode(F.sequence(F.trunc("WIN_START", "month"), F.trunc("WIN_END", "month"), F.expr("INTERVAL 1 MONTH"))))
     return (
         panel.withColumn("_MONTH", F.trunc(date, "month"))
