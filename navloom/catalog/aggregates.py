@@ -222,9 +222,10 @@ def h02_unpivot_calendar(spark, sf):
     return to_date_windows(fx.calendar(spark, sf)).where("START_DATE IS NOT NULL").select("END_DATE", "DATE_NAME", "START_DATE")
 
 
-@register("h03_pivot_mean", "SELECT FUND_ID, " + ", ".join(f"round(avg(MARKET_VALUE) FILTER (WHERE SECTOR = '{s}'), 4) AS {s}" for s in SECTORS) + " FROM fx_holdings GROUP BY 1")
+@register("h03_pivot_mean", "SELECT FUND_ID, " + ", ".join(f"round(avg(round(MARKET_VALUE * 100)) FILTER (WHERE SECTOR = '{s}'), 4) AS {s}" for s in SECTORS) + " FROM fx_holdings GROUP BY 1")
 def h03_pivot_mean(spark, sf):
-    return rounded(agg.mean_pivot(fx.view(spark, sf, "fx_holdings"), ["FUND_ID"], "SECTOR", "MARKET_VALUE", SECTORS), 4)
+    held = fx.view(spark, sf, "fx_holdings").withColumn("MARKET_VALUE", F.round(F.col("MARKET_VALUE") * 100))
+    return rounded(agg.mean_pivot(held, ["FUND_ID"], "SECTOR", "MARKET_VALUE", SECTORS), 4)
 
 
 _H04 = [f"{i}_{p}" for i in ("IR", "VOL") for p in ("3M", "6M", "1Y")]
@@ -247,11 +248,11 @@ def h05_unstack_sums(spark, sf):
 
 @register(
     "h06_constraint_reshape",
-    "SELECT MKT, 'BOND' AS ASSET, round(min(c_acctbal), 2) AS MIN, round(max(c_acctbal), 2) AS MAX FROM (SELECT *, c_mktsegment AS MKT FROM customer) t GROUP BY 1 UNION ALL SELECT c_mktsegment, 'EQUITY', round(min(c_acctbal) / 2, 2), round(max(c_acctbal) / 2, 2) FROM customer GROUP BY 1",
+    "SELECT MKT, 'BOND' AS ASSET, round(min(c_acctbal), 2) AS MIN, round(max(c_acctbal), 2) AS MAX FROM (SELECT *, c_mktsegment AS MKT FROM customer) t GROUP BY 1 UNION ALL SELECT c_mktsegment, 'EQUITY', round(min(c_acctbal) / 2, 3), round(max(c_acctbal) / 2, 3) FROM customer GROUP BY 1",
 )
 def h06_constraint_reshape(spark, sf):
     c = fx.table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("MKT")).agg(F.min("c_acctbal").alias("LO"), F.max("c_acctbal").alias("HI"))
-    wide = c.select("MKT", F.round("LO", 2).alias("BOND_MIN"), F.round("HI", 2).alias("BOND_MAX"), F.round(F.col("LO") / 2, 2).alias("EQUITY_MIN"), F.round(F.col("HI") / 2, 2).alias("EQUITY_MAX"))
+    wide = c.select("MKT", F.round("LO", 2).alias("BOND_MIN"), F.round("HI", 2).alias("BOND_MAX"), F.round(F.col("LO") / 2, 3).alias("EQUITY_MIN"), F.round(F.col("HI") / 2, 3).alias("EQUITY_MAX"))
     long = agg.split_name(wide.unpivot(["MKT"], ["BOND_MIN", "BOND_MAX", "EQUITY_MIN", "EQUITY_MAX"], "NAME", "V"), "NAME", "ASSET", "SIDE")
     return agg.mean_pivot(long, ["MKT", "ASSET"], "SIDE", "V", ["MIN", "MAX"], how="max")
 

@@ -153,9 +153,9 @@ def b17_table_reader(spark, sf):
     return read_table(fx.view(spark, sf, "fx_snapshot"), columns=["REPORT_DATE", "FUND_ID", "NET_ASSET"], keys={"FUND_ID": ["F1", "F2"]}, date="REPORT_DATE", start="1996-01-01", end="1998-12-31", order=["REPORT_DATE", "FUND_ID"])
 
 
-@register("b18_number_format", "SELECT l_orderkey, l_linenumber, CASE WHEN l_discount = 0 THEN '' ELSE printf('%.4f', l_discount / l_quantity) END AS RATIO, concat(printf('%.2f', round(l_tax * 100, 2)), '%') AS TAX FROM lineitem")
+@register("b18_number_format", "SELECT l_orderkey, l_linenumber, CASE WHEN l_discount = 0 THEN '' ELSE printf('%.4f', l_extendedprice / 3) END AS RATIO, concat(printf('%.2f', round(l_tax * 100, 2)), '%') AS TAX FROM lineitem")
 def b18_number_format(spark, sf):
-    ratio = F.when(F.col("l_discount") != 0, F.col("l_discount") / F.col("l_quantity"))
+    ratio = F.when(F.col("l_discount") != 0, F.col("l_extendedprice") / 3)
     return fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", e.fixed_text(ratio).alias("RATIO"), e.percent_text(F.col("l_tax") * 100).alias("TAX"))
 
 
