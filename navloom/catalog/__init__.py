@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from navloom.catalog import aggregates, joins, performance, projections, windows  # noqa: F401
+from navloom.catalog import aggregates, funds, joins, performance, projections, windows  # noqa: F401
 from navloom.catalog.base import ORACLES, QUERIES
 
 

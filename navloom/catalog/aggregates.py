@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from navloom.catalog.base import register, rounded
-from navloom.functions.exprs import safe_div
 from navloom.functions.series import by, daily_log_return, daily_return
 from navloom.operators import aggregates as agg
 from navloom.operators import ranks
@@ -269,7 +268,3 @@ def l36_index_description(spark, sf):
     return t.groupBy(F.col("code").alias("CODE"), F.substring_index(F.concat("code", F.lit(".IDX")), ".", -1).alias("SUFFIX")).agg(
         F.min(F.to_date("trade_time")).alias("BASE_DATE"), F.max(F.to_date("trade_time")).alias("LAST_DATE")
     )
-
-
-def ratio(x, y):
-    return safe_div(x, y)

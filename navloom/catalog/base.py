@@ -39,3 +39,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def nav_panel(df: DataFrame) -> DataFrame:
     return df.select("TICKER_SYMBOL", "END_DATE", F.col("ADJ_NAV").alias("NAV"))
+
+
+def half_up(expr: str, digits: int) -> str:
+    """Oracle text that rounds the shortest decimal form of a double half away from zero, as Spark's ``round`` does."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(30, 14)), {digits}) AS DOUBLE)"

@@ -71,10 +71,10 @@ def c09_interval_validity_join(spark, sf):
     return out.select("REPORT_DATE", "FUND_ID", F.col("TICKER_SYMBOL").alias("HOLDING_TICKER_SYMBOL"), "INDUSTRY")
 
 
-@register("c10_as_of_join", "SELECT n.TICKER_SYMBOL, n.END_DATE, a.EX_DATE, round(n.ADJ_NAV * a.FACTOR, 6) AS ADJUSTED FROM fx_nav_long n ASOF LEFT JOIN fx_adjust a ON n.TICKER_SYMBOL = a.TICKER_SYMBOL AND n.END_DATE >= a.EX_DATE")
+@register("c10_as_of_join", "SELECT n.TICKER_SYMBOL, n.END_DATE, a.EX_DATE, a.FACTOR FROM fx_nav_long n ASOF LEFT JOIN fx_adjust a ON n.TICKER_SYMBOL = a.TICKER_SYMBOL AND n.END_DATE >= a.EX_DATE")
 def c10_as_of_join(spark, sf):
     out = j.as_of(fx.view(spark, sf, "fx_nav_long"), fx.view(spark, sf, "fx_adjust"), "TICKER_SYMBOL", "END_DATE", "EX_DATE", ["FACTOR"])
-    return out.select("TICKER_SYMBOL", "END_DATE", "EX_DATE", F.round(F.col("ADJ_NAV") * F.col("FACTOR"), 6).alias("ADJUSTED"))
+    return out.select("TICKER_SYMBOL", "END_DATE", "EX_DATE", "FACTOR")
 
 
 @register("c11_previous_period_self_join", "SELECT a.TICKER_SYMBOL, a.END_DATE, round((a.ADJ_NAV / c.ADJ_NAV - 1) * 100, 6) + 0.0 AS RETURN_RATE FROM fx_nav_long a JOIN fx_cal b ON b.TRADE_DT = a.END_DATE JOIN fx_nav_long c ON c.END_DATE = b.PREV_TRADE_DATE AND c.TICKER_SYMBOL = a.TICKER_SYMBOL")
@@ -232,7 +232,7 @@ def j11_to_date_and_lookbacks(spark, sf):
     return dates.unionByName(cal_ops.lookback_table(cal))
 
 
-@register("j13_last_report_dates", "SELECT TRADE_DT, list_transform([1, 2, 3, 4], i -> strftime(CAST(date_trunc('quarter', TRADE_DT) - to_months(3 * (i - 1)) - INTERVAL 1 DAY AS DATE), '%Y%m%d'))[1] AS R1, strftime(CAST(CAST(date_trunc('quarter', TRADE_DT) AS DATE) - to_months(9) - INTERVAL 1 DAY AS DATE), '%Y%m%d') AS R4 FROM fx_calendar")
+@register("j13_last_report_dates", "SELECT TRADE_DT, strftime(CAST(CAST(date_trunc('quarter', TRADE_DT) AS DATE) - INTERVAL 1 DAY AS DATE), '%Y%m%d') AS R1, strftime(CAST(CAST(date_trunc('quarter', TRADE_DT) AS DATE) - to_months(9) - INTERVAL 1 DAY AS DATE), '%Y%m%d') AS R4 FROM fx_calendar")
 def j13_last_report_dates(spark, sf):
     dates = cal_ops.report_dates_before(F.col("TRADE_DT"), 4)
     return fx.view(spark, sf, "fx_calendar").select("TRADE_DT", F.date_format(dates[0], "yyyyMMdd").alias("R1"), F.date_format(dates[3], "yyyyMMdd").alias("R4"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navloom.catalog.base import register, rounded
@@ -229,7 +228,3 @@ def i07_predicates(spark, sf):
 def i08_list_functions(spark, sf):
     words = F.split("p_name", " ")
     return fx.table(spark, sf, "part").select("p_partkey", words[0].alias("A"), F.element_at(words, -1).alias("B"), F.size(words).alias("N"))
-
-
-def all_of(conditions) -> DataFrame:
-    return reduce(lambda a, b: a & b, conditions)

@@ -117,21 +117,16 @@ def trading_index(cal: DataFrame) -> DataFrame:
     return cal.where("IF_TRADING_DAY = 1").select("TRADE_DT", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("TRADE_DT")).alias("IDX"))
 
 
-def offset_trading_days(cal: DataFrame, n: int, include_today: bool = True) -> DataFrame:
-    """``TRADE_DT, OFFSET_DT`` for every natural day: the n-th trading day back (negative n: forward).
+def offset_trading_days(cal: DataFrame, n: int, count_today: bool = False) -> DataFrame:
+    """``TRADE_DT, OFFSET_DT`` for every natural day: ``n`` trading days back (negative n: forward).
 
-    Counting starts at the day itself when it trades and ``include_today``; otherwise at the nearest trading day beyond it.
+    Step 0 is the day itself when it trades, else the nearest trading day in the direction of travel; ``count_today`` makes
+    that day the first step.
     """
-    ordered = Window.partitionBy(F.lit(0)).orderBy("TRADE_DT")
-    trading = F.col("IF_TRADING_DAY") == 1
-    upto = F.sum(F.when(trading, 1).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    today = F.when(trading, 1).otherwise(0)
-    if n >= 0:
-        base = upto if include_today else upto - today
-        wanted = base - n
-    else:
-        base = upto - today + 1 if include_today else upto + 1
-        wanted = base - n
+    ordered = Window.partitionBy(F.lit(0)).orderBy("TRADE_DT").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.sum("IF_TRADING_DAY").over(ordered)
+    steps = abs(n) - (1 if count_today else 0)
+    wanted = upto - steps if n >= 0 else upto - F.col("IF_TRADING_DAY") + 1 + steps
     idx = trading_index(cal).select(F.col("IDX").alias("_IDX"), F.col("TRADE_DT").alias("OFFSET_DT"))
     return cal.select("TRADE_DT", wanted.alias("_IDX")).join(idx, "_IDX", "left").select("TRADE_DT", "OFFSET_DT")
 

@@ -32,6 +32,11 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("N")).agg(F.max("N")).first()[0] or 0
 
 
+def fits(df: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS) -> bool:
+    """One size check that several ranks over the same groups can share (pass it on as ``bounded``)."""
+    return largest_group(df, keys) <= block_rows
+
+
 def position_counts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per distinct order value of each group: ``_ORD, N_BEFORE, N_EQUAL, N_TOTAL``.
 
