@@ -43,4 +43,4 @@ def nav_panel(df: DataFrame) -> DataFrame:
 
 def half_up(expr: str, digits: int) -> str:
     """Oracle text that rounds the shortest decimal form of a double half away from zero, as Spark's ``round`` does."""
-    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(30, 14)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"

@@ -53,9 +53,9 @@ FROM {fx_holdings} GROUP BY 1, 2, 3""",
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 GROUP BY c_mktsegment, date_trunc('year', o_orderdate), c_nationkey % 10""",
     "fx_ticks": "SELECT event_type AS code, ts AS trade_time, event_id AS seq, value AS price, value AS amount FROM {events}",
-    "fx_ledger": """SELECT event_id AS seq, CAST(ts AS DATE) AS date, CASE WHEN event_type = 'purchase' THEN 'Buy' ELSE 'Sell' END AS type,
-       CAST(user_id AS VARCHAR(20)) AS ticker, CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) AS quantity, value AS price
-FROM {events} WHERE event_type IN ('purchase', 'click')""",
+    "fx_ledger": """SELECT event_id AS seq, CAST(ts AS DATE) AS date, CASE WHEN event_type = 'click' THEN 'Sell' ELSE 'Buy' END AS type, CAST(user_id AS VARCHAR(20)) AS ticker,
+       CASE WHEN event_type = 'click' THEN CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) / 10 ELSE 1 + CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) END AS quantity, value AS price
+FROM {events} WHERE event_type <> 'error'""",
     "fx_valuation": """SELECT END_DATE AS TRADE_DT, TICKER_SYMBOL, 5 + ADJ_NAV / 1000 AS PE_TTM, 1 + ADJ_NAV / 5000 AS PB_LF, 1 + 100 / (50 + ADJ_NAV) AS DIVIDEND_YIELD
 FROM {fx_nav_long}""",
     "fx_yield": """SELECT TRADE_DT AS END_DATE, 'GOV' AS CURVE, 2 + CAST(extract(day FROM TRADE_DT) AS DOUBLE) / 100 AS YIELD FROM {fx_days}
@@ -85,6 +85,8 @@ ORACLE_VIEWS = {
     )
     + " FROM {fx_calendar}",
     "fx_trading": "SELECT TRADE_DT, row_number() OVER (ORDER BY TRADE_DT) AS IDX FROM {fx_calendar} WHERE IF_TRADING_DAY = 1",
+    "fx_targets": "SELECT w.PORTFOLIO_NAME, d.T AS TRADE_DT, w.TICKER_SYMBOL, w.WEIGHT FROM {fx_weights} w JOIN (SELECT a.TRADE_DT, min(b.TRADE_DT) AS T FROM (SELECT DISTINCT TRADE_DT FROM {fx_weights}) a JOIN {fx_trading} b ON b.TRADE_DT >= a.TRADE_DT GROUP BY 1) d ON d.TRADE_DT = w.TRADE_DT",
+    "fx_ret": "SELECT TICKER_SYMBOL, END_DATE AS TRADE_DT, (NAV / lag(NAV) OVER (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE) - 1) * 100 AS RETURN_RATE FROM (SELECT n.TICKER_SYMBOL, n.END_DATE, 100 + 20 * n.ADJ_NAV / (n.ADJ_NAV + 200) AS NAV FROM {fx_nav_long} n JOIN {fx_trading} d ON d.TRADE_DT = n.END_DATE) t",
     "fx_nav_obs": "SELECT n.* FROM {fx_nav_sparse} n JOIN {fx_trading} d ON n.END_DATE = d.TRADE_DT",
     "fx_fund_nav": """SELECT s.TICKER_SYMBOL, d.TRADE_DT AS END_DATE,
        last_value(n.NAV IGNORE NULLS) OVER (PARTITION BY s.TICKER_SYMBOL ORDER BY d.TRADE_DT ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS NAV
