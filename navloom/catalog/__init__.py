@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from navloom.catalog import aggregates, funds, joins, performance, portfolios, projections, windows  # noqa: F401
+from navloom.catalog import aggregates, duediligence, funds, joins, market, performance, portfolios, projections, sources, windows  # noqa: F401
 from navloom.catalog.base import ORACLES, QUERIES
 
 
