@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,19 +86,38 @@ def class_averages(df: DataFrame, levels: Sequence[str], keys: Sequence[str], va
     return quantiles(long, group, value, {"MEDIAN": 0.5}).join(means, group)
 
 
-def annualised_covariance(panel: DataFrame, key: str, date: str, value: str, members: int | None = None, scale: int = 252) -> DataFrame:
+MAX_MEMBERS = 2_000  # entities of one covariance matrix
+
+
+def annualised_covariance(panel: DataFrame, key: str, date: str, value: str, scale: int = 252) -> DataFrame:
     """Covariance of every pair of entities over complete dates: ``A, B, COV`` (both triangles).
 
-    The entities of one portfolio are few, so a date meets itself on at most members^2 rows.  A date counts only when every
-    entity has a value on it.
+    A date counts only when every entity has a value on it.  Each complete date becomes one vector, every task adds up the outer
+    products of its dates, and only these sums are shuffled; no pair of rows is ever formed.  The entities of one matrix are
+    checked to be few.
     """
-    rows = panel.where(F.col(value).isNotNull()).select(key, date, value)
-    wanted = rows.select(key).distinct().count() if members is None else members
-    complete = rows.groupBy(date).agg(F.count(F.lit(1)).alias("_N")).where(F.col("_N") == wanted).select(date)
-    kept = rows.join(complete, date, "left_semi")
-    a = kept.select(date, F.col(key).alias("A"), F.col(value).alias("_X"))
-    b = kept.select(date, F.col(key).alias("B"), F.col(value).alias("_Y"))
-    return a.join(b, date).groupBy("A", "B").agg((F.covar_samp("_X", "_Y") * scale).alias("COV"))
+    rows = panel.where(F.col(value).isNotNull()).select(F.col(key).alias("K"), F.col(date).alias("D"), F.col(value).alias("V"))
+    names = [r[0] for r in rows.select("K").distinct().limit(MAX_MEMBERS + 1).collect()]
+    if len(names) > MAX_MEMBERS:
+        raise ValueError(f"a covariance matrix takes at most {MAX_MEMBERS} entities")
+    names.sort()
+    vectors = rows.groupBy("D").agg(F.sort_array(F.collect_list(F.struct("K", "V"))).alias("S")).where(F.size("S") == len(names))
+    vectors = vectors.select(F.transform("S", lambda s: s["V"]).alias("X"))
+
+    def outer_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, total, cross = 0, np.zeros(len(names)), np.zeros((len(names), len(names)))
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack(pdf["X"].to_numpy())
+                n, total, cross = n + len(x), total + x.sum(axis=0), cross + x.T @ x
+        if n:
+            a, b = (i.ravel() for i in np.indices(cross.shape))
+            yield pd.DataFrame({"I": a, "J": b, "N": n, "SX": total[a], "SY": total[b], "SXY": cross.ravel()})
+
+    sums = vectors.mapInPandas(outer_sums, "I bigint, J bigint, N bigint, SX double, SY double, SXY double").groupBy("I", "J").agg(*[F.sum(c).alias(c) for c in ("N", "SX", "SY", "SXY")])
+    label = F.array(*[F.lit(n) for n in names])
+    cov = safe_div(F.col("SXY") - F.col("SX") * F.col("SY") / F.col("N"), F.col("N") - 1) * scale
+    return sums.select(F.get(label, F.col("I").cast("int")).alias("A"), F.get(label, F.col("J").cast("int")).alias("B"), cov.alias("COV"))
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, out: str = "RANK_NO") -> DataFrame:

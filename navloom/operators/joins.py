@@ -9,18 +9,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navloom.functions.series import by, forward_fill
-from navloom.session import broadcast_checked
+from navloom.session import broadcast_checked, pin_small
 
+MAX_NESTED_WINDOWS = 1_000  # windows that every row may be tested against
 OPEN_END = "2099-12-31"  # fixed value: exit date of an interval that is still open
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash by ``key`` over twice the session's partitions, ahead of a step that multiplies rows.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash by ``keys`` over twice the session's partitions, ahead of a step that multiplies rows.
 
     Adaptive execution sizes partitions by the bytes it sees before the rows multiply and would merge them into a few
     tasks; an explicit count is left alone.  Windows and aggregates that group by ``key`` and more reuse this layout.
     """
-    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def densify(panel: DataFrame, trading_days: DataFrame, key: str, date: str, value: str) -> DataFrame:
@@ -89,16 +90,15 @@ def fan_out(panel: DataFrame, windows: DataFrame, key: str = "TICKER_SYMBOL", da
     aggregates over (entity, WIN_START, WIN_END) reuse that partitioning, so the multiplied rows never travel.
     """
     spans = windows.select(F.col("START_DATE").alias("WIN_START"), F.col("END_DATE").alias("WIN_END")).distinct()
-    small = broadcast_checked(spans, 20_000)
-    if small is not None:
-        return spread(panel, key).join(small, F.col(date).between(F.col("WIN_START"), F.col("WIN_END")))
-    months = spans.withColumn("_MONTH", F.explode(F.sequence(F.trunc("WIN_START", "month"), F.trunc("WIN_END", "month"), F.expr("INTERVAL 1 MONTH"))))
-    return (
-        panel.withColumn("_MONTH", F.trunc(date, "month"))
-        .join(months, "_MONTH")
-        .where(F.col(date).between(F.col("WIN_START"), F.col("WIN_END")))
-        .drop("_MONTH")
-    )
+    small = pin_small(spans)
+    laid_out = spread(panel, key)
+    inside = F.col(date).between(F.col("WIN_START"), F.col("WIN_END"))
+    if small is not None and small.count() <= MAX_NESTED_WINDOWS:
+        return laid_out.join(F.broadcast(small), inside)
+    # many windows: meet on the calendar month instead of testing every window for every row
+    each = F.sequence(F.trunc("WIN_START", "month"), F.trunc("WIN_END", "month"), F.expr("INTERVAL 1 MONTH"))
+    months = (spans if small is None else small).withColumn("_MONTH", F.explode(each))
+    return laid_out.withColumn("_MONTH", F.trunc(date, "month")).join(months, "_MONTH").where(inside).drop("_MONTH")
 
 
 def full_outer_fill(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: Mapping[str, float]) -> DataFrame:

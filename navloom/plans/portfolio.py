@@ -46,7 +46,7 @@ def drifted_weights(targets: DataFrame, returns: DataFrame, trading_days: DataFr
     last = F.broadcast(days.agg(F.max(DAY).alias("_LAST")))  # one row
     held = targets.withColumnRenamed(DAY, "PERIOD_START").join(rebalance_periods(targets, keys), [*keys, "PERIOD_START"]).join(last)
     until = F.coalesce(F.date_sub("NEXT_START", 1), F.col("_LAST"))
-    daily = spread(held.where(F.col("PERIOD_START") <= F.col("_LAST")), T).select(
+    daily = spread(held.where(F.col("PERIOD_START") <= F.col("_LAST")), *keys, T).select(
         *keys, T, "PERIOD_START", "WEIGHT", F.explode(F.sequence("PERIOD_START", until, F.expr("INTERVAL 1 DAY"))).alias(DAY)
     )
     daily = daily.join(days, DAY, "left_semi").join(returns.select(T, DAY, "RETURN_RATE"), [T, DAY], "left").fillna({"RETURN_RATE": 0.0})

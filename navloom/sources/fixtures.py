@@ -115,11 +115,17 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
 
 
+_CALENDARS: dict[tuple[str, str], DataFrame] = {}
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar with the previous-flag dates; a dimension of a few thousand days, held as a local relation."""
-    cal = add_previous_flag_dates(view(spark, sf_dir, "fx_calendar"))
-    pinned = pin_small(cal)
-    return cal if pinned is None else pinned
+    """Calendar with the previous-flag dates: a dimension of a few thousand days, held as a local relation per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CALENDARS:
+        cal = add_previous_flag_dates(view(spark, sf_dir, "fx_calendar"))
+        pinned = pin_small(cal)
+        _CALENDARS[key] = cal if pinned is None else pinned
+    return _CALENDARS[key]
 
 
 def trading_days(cal: DataFrame) -> DataFrame:
