@@ -15,6 +15,7 @@ from navloom.plans import ledger as lg
 from navloom.plans import performance as perf
 from navloom.plans import portfolio as pf
 from navloom.plans import risk as rk
+from navloom.session import cut_lineage
 from navloom.sources import fixtures as fx
 
 P, T, DAY, D = "PORTFOLIO_NAME", "TICKER_SYMBOL", "TRADE_DT", "END_DATE"
@@ -46,10 +47,15 @@ def targets(spark, sf):
     return weights.join(moved, DAY).select(P, F.col("_T").alias(DAY), T, "WEIGHT")
 
 
-def drifted(spark, sf):
+def drift_plan(spark, sf):
     return pf.drifted_weights(targets(spark, sf), index_rates(spark, sf), fx.trading_days(fx.calendar(spark, sf)))
 
 
+def drifted(spark, sf):
+    """The weights table that the jobs after the roll-forward read, several of them more than once."""
+    return cut_lineage(drift_plan(spark, sf))
+
+
 def pinfo(spark, sf):
     return targets(spark, sf).groupBy(P).agg(F.min(DAY).alias("LISTED_DATE")).withColumns({"INCLUDE_QDII": F.length(P) % 2, "ORDER_ID": F.length(P)})
 
@@ -64,7 +70,7 @@ _W6 = "PORTFOLIO_NAME, TRADE_DT, TICKER_SYMBOL, round(SW, 6) AS START_WEIGHT, ro
 
 @register("m01_weight_drift", f"SELECT {_W6} FROM fx_dw", DRIFT)
 def m01_weight_drift(spark, sf):
-    return rounded(drifted(spark, sf).drop("PERIOD_START"))
+    return rounded(drift_plan(spark, sf).drop("PERIOD_START"))
 
 
 @register("a13_insert_select_upsert", "SELECT PORTFOLIO_NAME, TRADE_DT, round(RR, 6) + 0.0 AS RETURN_RATE, round(ln(1 + RR / 100) * 100, 6) + 0.0 AS LOG_RETURN_RATE FROM fx_pret", DRIFT)

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from navloom.session import broadcast_checked
+
 # fixed values: look-back horizons, their labels and the names of the previous-flag columns
 LOOKBACKS = {"WEEK": [1], "MONTH": [1, 2, 3, 6, 9], "YEAR": [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]}
 UNIT_LABEL = {"DAY": "日", "WEEK": "周", "MONTH": "月", "YEAR": "年"}
@@ -107,7 +109,8 @@ def window_table(
         parts.append(cal.where("IF_TRADING_DAY = 1").select(F.col("TRADE_DT").alias("END_DATE"), F.inline(F.array(*fixed))))
     common = reduce(DataFrame.unionByName, parts).join(end_dates, "END_DATE", "left_semi").withColumn("PORTFOLIO_NAME", F.lit("ALL"))
     if portfolios is not None:
-        own = portfolios.join(end_dates, F.col("START_DATE") < F.col("END_DATE"))
+        small = broadcast_checked(end_dates)  # the trailing days of a run
+        own = portfolios.join(end_dates if small is None else small, F.col("START_DATE") < F.col("END_DATE"))
         common = common.unionByName(own.select("PORTFOLIO_NAME", "DATE_NAME", "START_DATE", "END_DATE"))
     return common.where(F.col("END_DATE") > F.col("START_DATE")).select("PORTFOLIO_NAME", "DATE_NAME", "START_DATE", "END_DATE")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navloom.functions.exprs import map_values, safe_div
@@ -12,6 +12,7 @@ from navloom.functions.series import by, moving_mean, upto
 from navloom.operators import ranks
 from navloom.operators.aggregates import conditional_sums, listed, union_all
 from navloom.operators.joins import full_outer_fill, spread
+from navloom.session import broadcast_checked
 
 P, T, DAY = "PORTFOLIO_NAME", "TICKER_SYMBOL", "TRADE_DT"
 
@@ -54,8 +55,8 @@ def drifted_weights(targets: DataFrame, returns: DataFrame, trading_days: DataFr
     grown = F.col("WEIGHT") * F.product(1 + F.col("RETURN_RATE") / 100).over(upto(w))
     daily = daily.withColumn("_G1", grown)
     daily = daily.withColumn("_G0", F.coalesce(F.lag("_G1").over(w), F.col("WEIGHT")))
-    sums = daily.groupBy(*keys, DAY).agg(F.sum("_G0").alias("_S0"), F.sum("_G1").alias("_S1"))
-    out = daily.join(sums, [*keys, DAY])
+    book = Window.partitionBy(*keys, DAY)  # the holdings of one portfolio on one day
+    out = daily.withColumns({"_S0": F.sum("_G0").over(book), "_S1": F.sum("_G1").over(book)})
     first = F.col(DAY) == F.col("PERIOD_START")
     start = F.when(first, F.col("WEIGHT")).otherwise(F.col("_G0") / F.col("_S0") * 100)
     return out.select(
@@ -355,7 +356,9 @@ def money_flow(markets: Sequence[DataFrame], latest: int = 5) -> DataFrame:
 def valid_windows(windows: DataFrame, info: DataFrame) -> DataFrame:
     """Window names each portfolio can show: its own or general ones that start on or after its listing; not the one-day window."""
     own = windows.where("DATE_NAME <> '近1日'").withColumnRenamed(P, "_OWNER")
-    general = own.where("_OWNER = 'ALL'").drop("_OWNER").join(info.select(P, "LISTED_DATE"), F.col("START_DATE") >= F.col("LISTED_DATE"))
+    shared = own.where("_OWNER = 'ALL'").drop("_OWNER")
+    small = broadcast_checked(shared)  # horizons x end dates
+    general = info.select(P, "LISTED_DATE").join(shared if small is None else small, F.col("START_DATE") >= F.col("LISTED_DATE"))
     special = own.where("_OWNER <> 'ALL'").join(info.select(F.col(P).alias("_OWNER"), "LISTED_DATE"), "_OWNER").where("START_DATE >= LISTED_DATE")
     cols = [P, "DATE_NAME", "START_DATE", "END_DATE"]
     return general.select(*cols).unionByName(special.withColumnRenamed("_OWNER", P).select(*cols))
