@@ -78,12 +78,11 @@ def last_periods_mean(df: DataFrame, key: Sequence[str], date: str, n: int, valu
     return df.join(F.broadcast(dates), date, "left_semi").groupBy(*key).agg(*[F.avg(v).alias(v) for v in values])
 
 
-def class_averages(df: DataFrame, levels: Sequence[str], keys: Sequence[str], value: str) -> DataFrame:
-    """Median and mean of a value per class, all class levels in one pass: ``keys, LEVEL, CLASS``."""
+def class_averages(df: DataFrame, levels: Sequence[str], keys: Sequence[str], value: str, bounded: bool = False) -> DataFrame:
+    """Median and mean of a value per class, all class levels in one pass: ``keys, LEVEL, CLASS, MEDIAN, MEAN, N``."""
     long = df.unpivot([*keys, value], list(levels), "LEVEL", "CLASS").where(F.col("CLASS").isNotNull())
-    group = [*keys, "LEVEL", "CLASS"]
-    means = long.groupBy(*group).agg(F.avg(value).alias("MEAN"), F.count(value).alias("N"))
-    return quantiles(long, group, value, {"MEDIAN": 0.5}).join(means, group)
+    extra = [F.avg(value).alias("MEAN"), F.count(value).alias("N")]
+    return quantiles(long, [*keys, "LEVEL", "CLASS"], value, {"MEDIAN": 0.5}, extra, bounded=bounded)
 
 
 MAX_MEMBERS = 2_000  # entities of one covariance matrix

@@ -209,15 +209,17 @@ def quantile_group(df: DataFrame, q: int, keys: Sequence[str], order: Sequence[C
     return _drop_counts(ranked.withColumn(out, F.when(F.col("N_TOTAL") < q, 1).otherwise(F.lit(q + 1) - bin_no).cast("int")))
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: dict[str, float], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``qs``.
+def quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, qs: dict[str, float], extra: Sequence[Column] = (), block_rows: int = BLOCK_ROWS, bounded: bool = False
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one column per entry of ``qs``, next to ``extra`` aggregates of the group.
 
     Groups that fit one task use the built-in aggregate; larger ones are read off the running counts.
     """
     keys = list(keys)
     present = df.where(F.col(value).isNotNull())
-    if fits(present, keys, block_rows):
-        return present.groupBy(*keys).agg(*[F.percentile(value, q).alias(name) for name, q in qs.items()])
+    if bounded or fits(present, keys, block_rows):
+        return present.groupBy(*keys).agg(*[F.percentile(value, q).alias(name) for name, q in qs.items()], *extra)
     counts = position_counts(present, keys, [F.col(value).alias("V")], block_rows)
     aggs, outs = [], []
     for name, q in qs.items():
@@ -228,4 +230,5 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: dict[str, floa
         aggs.append(F.max(at - F.floor(at)).alias(f"_{name}_FR"))
         lo, hi, fr = (F.col(f"_{name}_{s}") for s in ("LO", "HI", "FR"))
         outs.append((lo + (hi - lo) * fr).alias(name))
-    return counts.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    out = counts.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    return out.join(present.groupBy(*keys).agg(*extra), keys) if extra else out

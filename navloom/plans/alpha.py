@@ -11,6 +11,7 @@ from navloom.functions.exprs import safe_div
 from navloom.functions.series import by, running_product, running_sum, upto
 from navloom.operators.aggregates import class_averages, union_all
 from navloom.operators.joins import interval_join, previous_period
+from navloom.operators.ranks import fits
 
 T, D = "TICKER_SYMBOL", "END_DATE"
 
@@ -22,8 +23,12 @@ def return_to_previous_day(nav: DataFrame, cal: DataFrame, value: str = "NAV") -
 
 
 def class_returns(ret: DataFrame, types: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """Median and mean return of each class and day, all levels at once."""
-    return class_averages(ret.join(types.select(T, *levels), T), levels, [D], "RETURN_RATE")
+    """Median and mean return of each class and day, all levels at once.
+
+    A fund has one return per day, so the members of the largest class bound the groups; only the class table is measured.
+    """
+    small = fits(types.unpivot([T], list(levels), "LEVEL", "CLASS"), ["LEVEL", "CLASS"])
+    return class_averages(ret.join(types.select(T, *levels), T), levels, [D], "RETURN_RATE", bounded=small)
 
 
 def log_alpha(ret: DataFrame, types: DataFrame, levels: Sequence[str], average: str = "MEDIAN") -> DataFrame:

@@ -34,13 +34,15 @@ def by_each_level(df: DataFrame, levels: Sequence[str]) -> DataFrame:
 def performance_ranks(long: DataFrame, types: DataFrame, levels: Sequence[str], low_is_good: Sequence[str], as_text: bool = False) -> DataFrame:
     """Rank of every indicator inside the class at each depth: ``RANK`` as percent, or ``r/n`` text.
 
-    ``long`` has ``TICKER_SYMBOL, END_DATE, INDICATOR, PERIOD, VALUE``.  All indicators and levels are ranked in one pass;
-    a metric where low is good is negated first.
+    ``long`` has ``TICKER_SYMBOL, END_DATE, INDICATOR, PERIOD, VALUE`` with one value per key, so the members of the largest
+    class bound the groups and only the class table is measured.  All indicators and levels are ranked in one pass; a metric
+    where low is good is negated first.
     """
+    small = ranks.fits(by_each_level(types.select(T, *levels), levels), ["LEVEL", "PATH"])
     signed = F.when(F.col("INDICATOR").isin(list(low_is_good)), -F.col("VALUE")).otherwise(F.col("VALUE"))
     rows = by_each_level(long.join(types.select(T, *levels), T), levels).withColumn("_V", signed)
     group = [D, "INDICATOR", "PERIOD", "LEVEL", "PATH"]
-    ranked = ranks.peer_rank(rows, "_V", group, **({"text": "RANK"} if as_text else {"pct": "RANK"}))
+    ranked = ranks.peer_rank(rows, "_V", group, bounded=small, **({"text": "RANK"} if as_text else {"pct": "RANK"}))
     return ranked.select(T, D, "LEVEL", "INDICATOR", "PERIOD", "RANK")
 
 
