@@ -278,10 +278,10 @@ def l06_crowding_score(spark, sf):
     return rounded(_crowding(spark, sf), 4)
 
 
-@register("l14_crowd_label", f"SELECT REPORT_DATE, FUND_ID AS TICKER_SYMBOL, TOTAL_VALUE_SCORE AS CROWD_SCORE, i.IS_MAIN FROM ({_CROWD}) c JOIN fx_fund_info i ON i.TICKER_SYMBOL = c.FUND_ID WHERE REPORT_DATE >= DATE '2000-01-01'", {**HOLD, **POP})
+@register("l14_crowd_label", f"SELECT REPORT_DATE, FUND_ID AS TICKER_SYMBOL, TOTAL_VALUE_SCORE AS CROWD_SCORE, i.IS_MAIN FROM ({_CROWD}) c JOIN fx_fund_info i ON i.TICKER_SYMBOL = c.FUND_ID", {**HOLD, **POP})
 def l14_crowd_label(spark, sf):
     info = fx.view(spark, sf, "fx_fund_info").select(F.col(T).alias("FUND_ID"), "IS_MAIN")
-    out = rounded(_crowding(spark, sf), 4).where("REPORT_DATE >= DATE '2000-01-01'").join(info, "FUND_ID")
+    out = rounded(_crowding(spark, sf), 4).join(info, "FUND_ID")
     return out.select("REPORT_DATE", F.col("FUND_ID").alias(T), F.col("TOTAL_VALUE_SCORE").alias("CROWD_SCORE"), "IS_MAIN")
 
 

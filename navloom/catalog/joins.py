@@ -244,11 +244,15 @@ def j14_publish_estimate(spark, sf):
     return fx.view(spark, sf, "fx_snapshot").select("REPORT_DATE", cal_ops.publish_estimate(r, F.month(r).isin(1, 7)).alias("PUBLISH_DATE")).distinct()
 
 
-@register("j15_delayed_valuation", "SELECT f.TICKER_SYMBOL, c.TRADE_DT, n.END_DATE, round(n.NAV, 6) AS NAV FROM fx_fund_type f, fx_cal c JOIN fx_fund_nav n ON n.TICKER_SYMBOL = f.TICKER_SYMBOL AND n.END_DATE = CASE WHEN f.LEVEL_1 = 'ASIA' THEN c.PREV_TRADE_DATE ELSE c.TRADE_DT END WHERE c.IF_TRADING_DAY = 1 AND c.TRADE_DT >= DATE '2001-06-01'")
+@register(
+    "j15_delayed_valuation",
+    "SELECT n.TICKER_SYMBOL, c.TRADE_DT, n.END_DATE, round(n.NAV, 6) AS NAV FROM fx_fund_nav n JOIN fx_fund_type f USING (TICKER_SYMBOL) JOIN fx_cal c ON c.TRADE_DT = n.END_DATE WHERE f.LEVEL_1 <> 'ASIA' AND c.IF_TRADING_DAY = 1 "
+    "UNION ALL SELECT n.TICKER_SYMBOL, c.TRADE_DT, n.END_DATE, round(n.NAV, 6) FROM fx_fund_nav n JOIN fx_fund_type f USING (TICKER_SYMBOL) JOIN fx_cal c ON c.PREV_TRADE_DATE = n.END_DATE WHERE f.LEVEL_1 = 'ASIA' AND c.IF_TRADING_DAY = 1",
+)
 def j15_delayed_valuation(spark, sf):
     from navloom.plans.portfolio import delayed_valuation
 
-    cal = fx.calendar(spark, sf).where("IF_TRADING_DAY = 1 AND TRADE_DT >= DATE '2001-06-01'")
+    cal = fx.calendar(spark, sf).where("IF_TRADING_DAY = 1")
     funds = fx.view(spark, sf, "fx_fund_type").select("TICKER_SYMBOL", (F.col("LEVEL_1") == "ASIA").alias("DELAYED"))
     out = delayed_valuation(fx.view(spark, sf, "fx_fund_nav"), funds, cal)
     return rounded(out.select("TICKER_SYMBOL", "TRADE_DT", "END_DATE", "NAV"))

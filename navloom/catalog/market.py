@@ -80,7 +80,7 @@ REG = {
     "fx_ir": "SELECT TICKER_SYMBOL, END_DATE, X / lag(X) OVER (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE) - 1 AS R FROM (SELECT n.TICKER_SYMBOL, n.END_DATE, 100 + 20 * ADJ_NAV / (ADJ_NAV + 200) AS X FROM fx_nav_long n JOIN fx_trading d ON d.TRADE_DT = n.END_DATE) t",
     "fx_xs": "SELECT END_DATE, " + ", ".join(f"max(R) FILTER (WHERE TICKER_SYMBOL = '{s}') AS {f}" for f, s in _IDX.items()) + " FROM fx_ir GROUP BY 1",
     "fx_regp": "SELECT f.TICKER_SYMBOL, f.END_DATE, f.RETURN_RATE / 100 AS RET, " + ", ".join(FACTORS) + " FROM fx_fund_ret f JOIN fx_xs x USING (END_DATE) WHERE RETURN_RATE IS NOT NULL AND " + " AND ".join(f"{f} IS NOT NULL" for f in FACTORS),
-    "fx_regw": "SELECT c.TRADE_DT AS WIN_END, s.TRADE_DT AS WIN_START FROM fx_calendar c JOIN fx_trading e ON e.TRADE_DT = c.TRADE_DT JOIN fx_trading s ON s.IDX = e.IDX - 120 WHERE c.IF_QUARTER_END = 1 AND c.TRADE_DT >= DATE '1999-01-01'",
+    "fx_regw": "SELECT c.TRADE_DT AS WIN_END, s.TRADE_DT AS WIN_START FROM fx_calendar c JOIN fx_trading e ON e.TRADE_DT = c.TRADE_DT JOIN fx_trading s ON s.IDX = e.IDX - 120 WHERE c.IF_QUARTER_END = 1",
 }
 
 
@@ -92,8 +92,8 @@ def _reg_inputs(spark, sf):
     index = fx.view(spark, sf, "fx_nav_long").join(fx.trading_days(cal).withColumnRenamed("TRADE_DT", D), D, "left_semi")
     x = index.select(T, D, daily_return(100 + 20 * F.col("ADJ_NAV") / (F.col("ADJ_NAV") + 200), by([T], D)).alias("R"))
     wide = x.groupBy(D).agg(*[F.max(F.when(F.col(T) == s, F.col("R"))).alias(f) for f, s in _IDX.items()])
-    ends = period_ends(cal, "q").where("TRADE_DT >= DATE '1999-01-01'")
-    windows = offset_trading_days(cal, 120).join(ends, "TRADE_DT", "left_semi").select(F.col("OFFSET_DT").alias("START_DATE"), F.col("TRADE_DT").alias("END_DATE"))
+    ends = period_ends(cal, "q")
+    windows = offset_trading_days(cal, 120).join(ends, "TRADE_DT", "left_semi").select(F.col("OFFSET_DT").alias("START_DATE"), F.col("TRADE_DT").alias("END_DATE")).dropna()
     return y.join(wide, D), windows
 
 
@@ -131,10 +131,6 @@ def o04_dominant_style(spark, sf):
     return _fit(spark, sf).select(T, "WIN_END", F.lower(arg_max(FACTORS[:-1])).alias("STYLE"))
 
 
-def _one(f: str) -> str:
-    return f"regr_slope(RET, {f})"
-
-
 @register(
     "o05_unconstrained_ols",
     f"SELECT TICKER_SYMBOL, WIN_END, round(regr_slope(RET, LARGE_GROWTH), 5) + 0.0 AS BETA, round(regr_intercept(RET, LARGE_GROWTH), 6) + 0.0 AS ALPHA, round(pow(corr(RET, LARGE_GROWTH), 2), 5) + 0.0 AS R_SQUARED FROM fx_regp p JOIN fx_regw w ON p.END_DATE BETWEEN w.WIN_START AND w.WIN_END GROUP BY 1, 2 HAVING count(*) >= 60",

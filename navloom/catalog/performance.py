@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from navloom.catalog.base import nav_panel, register, rounded
 from navloom.operators.calendars import period_table, window_table
 from navloom.operators.joins import fan_out
-from navloom.operators.ranks import peer_rank
+from navloom.operators.ranks import fits, peer_rank
 from navloom.plans import performance as perf
 from navloom.session import cut_lineage
 from navloom.sources import fixtures as fx
@@ -118,7 +118,9 @@ def performance_peer_rank(spark, sf):
     classes = fx.view(spark, sf, "fx_fund_type").select("TICKER_SYMBOL", "LEVEL_1")
     named = rounded(perf.named_stats(stats, windows).join(classes, "TICKER_SYMBOL"), 4)
     group = ["END_DATE", "DATE_NAME", "LEVEL_1"]
-    ranked = peer_rank(cut_lineage(named), "CUM_RETURN", group, pct="RANK_PCT", text="RANK_TEXT")
+    # a fund has one row per window, so the largest class bounds the groups; only the class table is measured
+    small = fits(classes, ["LEVEL_1"])
+    ranked = peer_rank(named if small else cut_lineage(named), "CUM_RETURN", group, pct="RANK_PCT", text="RANK_TEXT", bounded=small)
     return ranked.select("TICKER_SYMBOL", "LEVEL_1", "DATE_NAME", "START_DATE", "END_DATE", *STAT_COLS, "MAXDD_RECOVER", "MAXDD_DATE", F.round("RANK_PCT", 6).alias("RANK_PCT"), "RANK_TEXT")
 
 
