@@ -90,12 +90,13 @@ def fan_out(panel: DataFrame, windows: DataFrame, key: str = "TICKER_SYMBOL", da
     aggregates over (entity, WIN_START, WIN_END) reuse that partitioning, so the multiplied rows never travel.
     """
     spans = windows.select(F.col("START_DATE").alias("WIN_START"), F.col("END_DATE").alias("WIN_END")).distinct()
-    small = pin_small(spans)
     laid_out = spread(panel, key)
     inside = F.col(date).between(F.col("WIN_START"), F.col("WIN_END"))
-    if small is not None and small.count() <= MAX_NESTED_WINDOWS:
-        return laid_out.join(F.broadcast(small), inside)
+    few = broadcast_checked(spans, MAX_NESTED_WINDOWS)
+    if few is not None:
+        return laid_out.join(few, inside)
     # many windows: meet on the calendar month instead of testing every window for every row
+    small = pin_small(spans)
     each = F.sequence(F.trunc("WIN_START", "month"), F.trunc("WIN_END", "month"), F.expr("INTERVAL 1 MONTH"))
     months = (spans if small is None else small).withColumn("_MONTH", F.explode(each))
     return laid_out.withColumn("_MONTH", F.trunc(date, "month")).join(months, "_MONTH").where(inside).drop("_MONTH")
