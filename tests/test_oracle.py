@@ -11,8 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry
 from check import TABLES, compare
+from navloom import catalog
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
