@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 
 from navloom.llm.common import table
 from navloom.llm.exact_dedup import exact_dedup
+from navloom.llm.html_extract import extract_text
+from navloom.llm.jaccard import jaccard_components
+from navloom.llm.maxent import maxent_scores
 from navloom.llm.mixing import mix_sources
+from navloom.llm.neighbours import nearest
 from navloom.llm.packing import pack
+from navloom.llm.toxicity import learn, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its group."""
     found = exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -38,6 +48,31 @@ def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_tokens", "bucket", "bucket_length", "batch", "place", "padding")
 
 
+def op6_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its add-one unigram score and its score by the model, learnt outside fold 2 of 7."""
+    found = maxent_scores(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2)).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def in_fold(name: str, folds: int, fold: int):
+    """Whether the CRC of an id's digits falls into the fold; no id: the CRC of no text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == fold
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = extract_text(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the calibrated score of its toxic passages, learnt from the labels outside fold 0 of 5."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn(docs, table(spark, sf_dir, "labels").where(~in_fold("doc_id", 5, 0)))
+    found = score_toxicity(docs, model).select("row.doc_id", "score", "predicted", F.size("passages").alias("n_passages"))
+    return found.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", "predicted", "n_passages")
+
+
 def op9_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All copies of all documents, shares by the square root of a source's size, in shuffled order."""
     return mix_sources(table(spark, sf_dir, "documents")).select("row.*", "copy_no", "shuffle_key")
@@ -66,8 +101,35 @@ SELECT documents.*, copy_no::INT AS copy_no, md5(concat_ws(':', 'shuffle 17', co
 FROM documents JOIN counts USING (doc_id), unnest(range(1, n + 1)) AS c(copy_no)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_exact_dedup, op5_length_buckets, op9_poisson_mixing)}
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op9_poisson_mixing": OP9_SQL}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component under links of 3-word shingle sets at 90 percent."""
+    found = jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+OP10_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+    END AS grams FROM words
+), posts AS (
+    SELECT doc_id, len(grams) AS size, unnest(grams) AS gram FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM posts a JOIN posts b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.size, b.size HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sets UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT sets.doc_id, len(grams) AS n_shingles, min(other) AS component_id FROM sets JOIN reach USING (doc_id) GROUP BY sets.doc_id, grams
+"""
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_graph_neighbours, op4_exact_dedup, op5_length_buckets, op6_maxent_scores, op7_main_text, op8_toxicity, op9_poisson_mixing, op10_jaccard_join)}
+ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op9_poisson_mixing": OP9_SQL, "op10_jaccard_join": OP10_SQL}
 
 
 def queries() -> dict[str, Query]:
