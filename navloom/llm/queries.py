@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from navloom.llm import pii, secret_scan
 from navloom.llm.common import table
 from navloom.llm.exact_dedup import exact_dedup
 from navloom.llm.html_extract import extract_text
@@ -20,11 +21,23 @@ from navloom.llm.toxicity import learn, score_toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", *secret_scan.summary())
+
+
 def op2_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found of every vector whose id is divisible by 20."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", *pii.summary())
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its group."""
     found = exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -128,7 +141,7 @@ WITH RECURSIVE words AS (
 SELECT sets.doc_id, len(grams) AS n_shingles, min(other) AS component_id FROM sets JOIN reach USING (doc_id) GROUP BY sets.doc_id, grams
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_graph_neighbours, op4_exact_dedup, op5_length_buckets, op6_maxent_scores, op7_main_text, op8_toxicity, op9_poisson_mixing, op10_jaccard_join)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_graph_neighbours, op3_personal_data, op4_exact_dedup, op5_length_buckets, op6_maxent_scores, op7_main_text, op8_toxicity, op9_poisson_mixing, op10_jaccard_join)}
 ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op9_poisson_mixing": OP9_SQL, "op10_jaccard_join": OP10_SQL}
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from navloom.llm.common import quoted, text_of, whole_row
 
 PUNCTUATION = string.punctuation.encode()
-#: Letters of the stem that a word shares with its inflected forms.
-STEM = 4
+#: Bytes of the stems that a word shares with its inflected forms.
+STEMS = (4, 5, 6, 7)
 
 
 @dataclass(frozen=True)
@@ -37,8 +37,8 @@ def words_of(text: str) -> list[bytes]:
     return [w.strip(PUNCTUATION) for w in text.encode("utf-8", "surrogatepass").lower().split()]
 
 
-def stem_of(word: bytes) -> bytes | None:
-    return word[:STEM] + b"*" if len(word) > STEM else None
+def stems_of(word: bytes) -> list[bytes]:
+    return [word[:n] + b"*" for n in STEMS if len(word) > n]
 
 
 def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
@@ -85,8 +85,7 @@ def passages(model: ToxicityModel, words: list[bytes], cache: dict[bytes, float]
     for at, word in enumerate(words):
         score = cache.get(word)
         if score is None:
-            stem = stem_of(word)
-            score = max(model.odds.get(word, 0.0), model.odds.get(stem, 0.0) if stem else 0.0)
+            score = max(model.odds.get(f, 0.0) for f in (word, *stems_of(word)))
             if len(cache) >= 500_000:
                 cache.clear()
             cache[word] = score
@@ -96,20 +95,28 @@ def passages(model: ToxicityModel, words: list[bytes], cache: dict[bytes, float]
 
 
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Occurrences of words and stems in toxic and clean texts, summed over a task."""
+    """Occurrences of words and stems in toxic and clean texts, summed in a task as far as its memory allows; all tokens as b""."""
     tokens, rows = [Counter(), Counter()], Counter()
+
+    def summed() -> Iterator[pd.DataFrame]:
+        keys = list(tokens[0].keys() | tokens[1].keys())
+        for start in range(0, len(keys), 50_000):
+            part = keys[start : start + 50_000]
+            yield pd.DataFrame({"feature": part, "toxic": [tokens[1][k] for k in part], "clean": [tokens[0][k] for k in part], "toxic_rows": [rows[k] for k in part]})
+        for counter in (*tokens, rows):
+            counter.clear()
+
     for frame in frames:
         for text, toxic in zip(frame["text"], frame["toxic"]):
-            words = words_of(text)
-            features = words + [s for s in map(stem_of, words) if s]
+            words = [w for w in words_of(text) if w]
+            features = words + [s for w in words for s in stems_of(w)]
             tokens[toxic].update(features)
-            tokens[toxic][b""] += len(words) - features.count(b"")
+            tokens[toxic][b""] += len(words)
             if toxic:
-                rows.update(set(features))
-    keys = list(tokens[0].keys() | tokens[1].keys())
-    for start in range(0, len(keys), 50_000):
-        part = keys[start : start + 50_000]
-        yield pd.DataFrame({"feature": part, "toxic": [tokens[1][k] for k in part], "clean": [tokens[0][k] for k in part], "toxic_rows": [rows[k] for k in part]})
+                rows.update({b"", *features})
+            if len(tokens[0]) + len(tokens[1]) > 400_000:
+                yield from summed()
+    yield from summed()
 
 
 def labelled(docs: DataFrame, labels: DataFrame, per_class: int, seed: int) -> DataFrame:
@@ -128,11 +135,12 @@ def labelled(docs: DataFrame, labels: DataFrame, per_class: int, seed: int) -> D
     return texts.groupBy(F.sha2("text", 256).alias("sha")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior: float = 10_000.0, least_ratio: float = 20.0, least_rows: int = 3, lexicon: int = 50_000, drift: float = 0.2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior_share: float = 0.01, least_ratio: float = 10.0, least_rows: int = 3, lexicon: int = 50_000, drift: float = 0.2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Fit on the labelled rows: log-odds under an informative Dirichlet prior, then the calibration.
 
-    A word or stem is a toxic one if the lower end of its 95 % interval says that it is ``least_ratio`` times as frequent
-    in toxic texts; the ``lexicon`` strongest are kept.  Without toxic or without clean rows the model finds nothing.
+    The prior spreads ``prior_share`` of all tokens like the words of both classes together.  A word or stem is a toxic one if
+    it is ``least_ratio`` times as frequent in toxic texts even at the near ends of both counts' 95 % intervals; the
+    ``lexicon`` strongest are kept.  Without toxic or without clean rows the model finds nothing.
     """
     texts = labelled(docs.select(F.col(quoted(id_col)).alias("doc_id"), text_of(text_col).alias("text")), labels, per_class, seed)
     counts = texts.mapInPandas(_count, "feature binary, toxic long, clean long, toxic_rows long").groupBy("feature")
@@ -143,12 +151,13 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior: fl
     if not totals or not totals[0].toxic or not totals[0].clean:
         return empty
     n1, n0 = float(totals[0].toxic), float(totals[0].clean)
-    alpha = F.lit(prior) * (F.col("toxic") + F.col("clean")) / (n1 + n0)
+    prior = prior_share * (n1 + n0)
+    alpha = F.lit(prior_share) * (F.col("toxic") + F.col("clean"))
     p1, p0 = (F.col("toxic") + alpha) / (n1 + prior), (F.col("clean") + alpha) / (n0 + prior)
     odds = F.log(p1 / (1 - p1)) - F.log(p0 / (1 - p0))
-    error = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
-    strong = counts.where(F.length("feature") > 0).select("feature", odds.alias("odds"), (odds - 1.645 * error).alias("low"), p0.alias("p0"))
-    strong = strong.where(F.col("low") >= math.log(least_ratio)).orderBy(F.desc("low"), "feature").limit(lexicon).collect()
+    least, most = F.col("toxic") - 1.645 * F.sqrt("toxic"), F.col("clean") + 1.0 + 1.645 * F.sqrt(F.col("clean") + 1.0)
+    strong = counts.where(F.length("feature") > 0).select("feature", odds.alias("odds"), (least / n1 / (most / n0)).alias("ratio"), p0.alias("p0"))
+    strong = strong.where((F.col("ratio") >= least_ratio) & (F.col("odds") > 0)).orderBy(F.desc("ratio"), "feature").limit(lexicon).collect()
     if not strong:
         return empty
     table = {bytes(r.feature): float(r.odds) for r in strong}
