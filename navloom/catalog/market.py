@@ -11,9 +11,11 @@ from navloom.functions.exprs import arg_max
 from navloom.functions.series import by, daily_return
 from navloom.operators import bars
 from navloom.operators import regression as reg
-from navloom.operators.calendars import offset_trading_days, period_ends
+from navloom.operators.calendars import trading_index
+from navloom.operators.joins import densify
 from navloom.session import shared_dir
 from navloom.sources import fixtures as fx
+from navloom.sources.ingest import read_dataset
 from navloom.streaming import jobs
 
 T, D = "TICKER_SYMBOL", "END_DATE"
@@ -77,34 +79,42 @@ def p04_complete_sessions(spark, sf):
 FACTORS = ["LARGE_GROWTH", "LARGE_VALUE", "MID_GROWTH", "MID_VALUE", "SMALL_GROWTH", "SMALL_VALUE", "CASH"]
 _IDX = {f: f"S{i}" for i, f in enumerate(FACTORS)}
 REG = {
-    "fx_ir": "SELECT TICKER_SYMBOL, END_DATE, X / lag(X) OVER (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE) - 1 AS R FROM (SELECT n.TICKER_SYMBOL, n.END_DATE, 100 + 20 * ADJ_NAV / (ADJ_NAV + 200) AS X FROM fx_nav_long n JOIN fx_trading d ON d.TRADE_DT = n.END_DATE) t",
+    "fx_id": "SELECT s.TICKER_SYMBOL, d.TRADE_DT AS END_DATE, n.ADJ_NAV FROM (SELECT DISTINCT TICKER_SYMBOL FROM fx_nav_long) s CROSS JOIN fx_trading d ASOF JOIN (SELECT n.* FROM fx_nav_long n JOIN fx_trading t ON t.TRADE_DT = n.END_DATE) n ON n.TICKER_SYMBOL = s.TICKER_SYMBOL AND n.END_DATE <= d.TRADE_DT",
+    "fx_ir": "SELECT TICKER_SYMBOL, END_DATE, X / lag(X) OVER (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE) - 1 AS R FROM (SELECT TICKER_SYMBOL, END_DATE, 100 + 20 * ADJ_NAV / (ADJ_NAV + 200) AS X FROM fx_id) t",
     "fx_xs": "SELECT END_DATE, " + ", ".join(f"max(R) FILTER (WHERE TICKER_SYMBOL = '{s}') AS {f}" for f, s in _IDX.items()) + " FROM fx_ir GROUP BY 1",
     "fx_regp": "SELECT f.TICKER_SYMBOL, f.END_DATE, f.RETURN_RATE / 100 AS RET, " + ", ".join(FACTORS) + " FROM fx_fund_ret f JOIN fx_xs x USING (END_DATE) WHERE RETURN_RATE IS NOT NULL AND " + " AND ".join(f"{f} IS NOT NULL" for f in FACTORS),
-    "fx_regw": "SELECT c.TRADE_DT AS WIN_END, s.TRADE_DT AS WIN_START FROM fx_calendar c JOIN fx_trading e ON e.TRADE_DT = c.TRADE_DT JOIN fx_trading s ON s.IDX = e.IDX - 120 WHERE c.IF_QUARTER_END = 1",
+"fx_rm": "SELECT *, IDX - lag(IDX, 59) OVER w AS GAP, lag(END_DATE, 59) OVER w AS WIN_START FROM fx_regp JOIN fx_trading ON TRADE_DT = END_DATE WINDOW w AS (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE)",
+    # three assets with weights that sum to one are two free ones, U and V, in a triangle: the optimum lies inside or on an edge
+    "fx_qp": "SELECT * FROM (SELECT TICKER_SYMBOL, END_DATE AS WIN_END, WIN_START, GAP, var_pop(LARGE_GROWTH - CASH) OVER f AS A11, covar_pop(LARGE_GROWTH - CASH, SMALL_VALUE - CASH) OVER f AS A12, var_pop(SMALL_VALUE - CASH) OVER f AS A22, covar_pop(LARGE_GROWTH - CASH, RET - CASH) OVER f AS B1, covar_pop(SMALL_VALUE - CASH, RET - CASH) OVER f AS B2, avg(RET) OVER f AS MY, avg(LARGE_GROWTH) OVER f AS M1, avg(SMALL_VALUE) OVER f AS M2, avg(CASH) OVER f AS M3, var_pop(RET) OVER f AS YY, covar_pop(RET, LARGE_GROWTH) OVER f AS Y1, covar_pop(RET, SMALL_VALUE) OVER f AS Y2, covar_pop(RET, CASH) OVER f AS Y3, var_pop(LARGE_GROWTH) OVER f AS G11, var_pop(SMALL_VALUE) OVER f AS G22, var_pop(CASH) OVER f AS G33, covar_pop(LARGE_GROWTH, SMALL_VALUE) OVER f AS G12, covar_pop(LARGE_GROWTH, CASH) OVER f AS G13, covar_pop(SMALL_VALUE, CASH) OVER f AS G23 FROM fx_rm WINDOW f AS (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE ROWS 59 PRECEDING)) m WHERE GAP = 59",
+    "fx_edges": "SELECT m.*, greatest(0, least(0.95, B1 / A11)) AS E1, greatest(0, least(0.95, B2 / A22)) AS E2, greatest(0, least(0.95, (B1 - B2 + 0.95 * (A22 - A12)) / (A11 - 2 * A12 + A22))) AS E3, (B1 * A22 - B2 * A12) / (A11 * A22 - A12 * A12) AS I1, (A11 * B2 - A12 * B1) / (A11 * A22 - A12 * A12) AS I2 FROM fx_qp m",
+    "fx_points": "SELECT e.*, unnest([{'U': E1, 'V': 0.0::DOUBLE}, {'U': 0.0::DOUBLE, 'V': E2}, {'U': E3, 'V': 0.95 - E3}, {'U': I1, 'V': I2}]) AS P FROM fx_edges e",
+    "fx_best": "SELECT TICKER_SYMBOL, WIN_START, WIN_END, arg_min(P.U, J) AS U, arg_min(P.V, J) AS V, any_value(MY) AS MY, any_value(M1) AS M1, any_value(M2) AS M2, any_value(M3) AS M3, any_value(YY) AS YY, any_value(Y1) AS Y1, any_value(Y2) AS Y2, any_value(Y3) AS Y3, any_value(G11) AS G11, any_value(G22) AS G22, any_value(G33) AS G33, any_value(G12) AS G12, any_value(G13) AS G13, any_value(G23) AS G23 FROM (SELECT *, (A11 * P.U * P.U + 2 * A12 * P.U * P.V + A22 * P.V * P.V) / 2 - B1 * P.U - B2 * P.V AS J FROM fx_points WHERE P.U >= 0 AND P.V >= 0 AND P.U + P.V <= 0.95 + 1e-12) q GROUP BY 1, 2, 3",
+    "fx_fit": "SELECT *, 1 - U - V AS W, U * U * G11 + V * V * G22 + (1 - U - V) * (1 - U - V) * G33 + 2 * (U * V * G12 + U * (1 - U - V) * G13 + V * (1 - U - V) * G23) AS FITTED, U * Y1 + V * Y2 + (1 - U - V) * Y3 AS XY FROM fx_best",
 }
 
 
 def _reg_inputs(spark, sf):
-    """Fund and factor returns side by side, and a 120-day window for each quarter end."""
+    """Fund and factor returns side by side, and the numbered trading days."""
     cal = fx.calendar(spark, sf)
     nav = fx.view(spark, sf, "fx_fund_nav")
     y = nav.select(T, D, daily_return(F.col("NAV"), by([T], D)).alias("RET")).where("RET IS NOT NULL")
-    index = fx.view(spark, sf, "fx_nav_long").join(fx.trading_days(cal).withColumnRenamed("TRADE_DT", D), D, "left_semi")
+    days = fx.trading_days(cal)
+    index = fx.view(spark, sf, "fx_nav_long").join(days.withColumnRenamed("TRADE_DT", D), D, "left_semi")
+    index = densify(index, days, T, D, "ADJ_NAV")  # an index has a level on every trading day
     x = index.select(T, D, daily_return(100 + 20 * F.col("ADJ_NAV") / (F.col("ADJ_NAV") + 200), by([T], D)).alias("R"))
     wide = x.groupBy(D).agg(*[F.max(F.when(F.col(T) == s, F.col("R"))).alias(f) for f, s in _IDX.items()])
-    ends = period_ends(cal, "q")
-    windows = offset_trading_days(cal, 120).join(ends, "TRADE_DT", "left_semi").select(F.col("OFFSET_DT").alias("START_DATE"), F.col("TRADE_DT").alias("END_DATE")).dropna()
-    return y.join(wide, D), windows
+    return y.join(wide, D).dropna(), trading_index(cal)
 
 
-def _moments(spark, sf):
-    panel, windows = _reg_inputs(spark, sf)
-    return reg.window_moments(panel, windows, FACTORS, "RET")
+def _moments(spark, sf, factors=FACTORS):
+    """Every end date: the last 60 trading days of every fund."""
+    panel, days = _reg_inputs(spark, sf)
+    return reg.rolling_moments(panel, days, factors, "RET")
 
 
 @register(
     "o02_rolling_window_moments",
-    "SELECT TICKER_SYMBOL, WIN_START, WIN_END, count(*) AS N, round(sum(RET), 6) + 0.0 AS S_RET, round(sum(RET * LARGE_GROWTH), 6) + 0.0 AS S_XY, round(sum(CASH * MID_VALUE), 6) + 0.0 AS S_XX FROM fx_regp p JOIN fx_regw w ON p.END_DATE BETWEEN w.WIN_START AND w.WIN_END GROUP BY 1, 2, 3 HAVING count(*) >= 60",
+    "SELECT TICKER_SYMBOL, WIN_START, WIN_END, N, round(SR, 6) + 0.0 AS S_RET, round(SXY, 6) + 0.0 AS S_XY, round(SXX, 6) + 0.0 AS S_XX FROM (SELECT TICKER_SYMBOL, WIN_START, END_DATE AS WIN_END, GAP, count(*) OVER f AS N, sum(RET) OVER f AS SR, sum(RET * LARGE_GROWTH) OVER f AS SXY, sum(CASH * MID_VALUE) OVER f AS SXX FROM fx_rm WINDOW f AS (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE ROWS 59 PRECEDING)) t WHERE GAP = 59",
     REG,
 )
 def o02_rolling_window_moments(spark, sf):
@@ -112,36 +122,75 @@ def o02_rolling_window_moments(spark, sf):
     return rounded(m.select(T, "WIN_START", "WIN_END", "N", "S_RET", F.col("S_LARGE_GROWTH_RET").alias("S_XY"), F.col("S_MID_VALUE_CASH").alias("S_XX")))
 
 
-def _fit(spark, sf):
-    return reg.constrained_fit(_moments(spark, sf), FACTORS, "RET", reg.style_problem(len(FACTORS), FACTORS.index("CASH"), 0.05))
+def _problem(factors):
+    return reg.style_problem(len(factors), factors.index("CASH"), 0.05)
 
 
-@register("o01_constrained_style_regression")
+@register("o01_constrained_style_regression", "SELECT TICKER_SYMBOL, WIN_START, END_DATE AS WIN_END, CAST(60 AS BIGINT) AS N, true AS FEASIBLE, true AS OPTIMAL FROM fx_rm WHERE GAP = 59", REG)
 def o01_constrained_style_regression(spark, sf):
-    return rounded(_fit(spark, sf))
+    """Seven styles; the returned weights are held against the optimality conditions, stated in the moments alone.
 
+    Where a weight can fall, its slope must not exceed the slope of any weight that can rise.
+    """
+    moments = _moments(spark, sf)
+    fit = reg.constrained_fit(moments, FACTORS, "RET", _problem(FACTORS)).select(T, "WIN_END", *[F.col(f).alias(f"W_{f}") for f in FACTORS])
+    both = moments.join(fit, [T, "WIN_END"])
+    mean = lambda *n: F.col("S_" + "_".join(sorted(n, key=[*FACTORS, "RET"].index))) / F.col("N")
+    pairs = [(f, g) for i, f in enumerate(FACTORS) for g in (*FACTORS[i:], "RET")]
+    both = both.withColumns({f"C_{f}_{g}": mean(f, g) - mean(f) * mean(g) for f, g in pairs})
+    cov = lambda f, g: F.col("C_" + "_".join(sorted((f, g), key=[*FACTORS, "RET"].index)))
+    both = both.withColumns({f"SLOPE_{f}": sum((cov(f, g) * F.col(f"W_{g}") for g in FACTORS), -cov(f, "RET")) for f in FACTORS})
+    low = {f: 0.05 if f == "CASH" else 0.0 for f in FACTORS}
+    falls = F.greatest(*[F.when(F.col(f"W_{f}") > low[f] + 1e-7, F.col(f"SLOPE_{f}")).otherwise(float("-inf")) for f in FACTORS])
+    rises = F.least(*[F.when(F.col(f"W_{f}") < 1 - 1e-7, F.col(f"SLOPE_{f}")).otherwise(float("inf")) for f in FACTORS])
+    room = 1e-6 * sum((cov(f, f) for f in FACTORS), F.lit(0.0))
+    inside = [(F.col(f"W_{f}") >= low[f] - 1e-9) & (F.col(f"W_{f}") <= 1 + 1e-9) for f in FACTORS]
+    total = F.abs(sum((F.col(f"W_{f}") for f in FACTORS), F.lit(0.0)) - 1) < 1e-9
+    feasible = inside[0]
+    for c in (*inside[1:], total):
+        feasible = feasible & c
+    return both.select(T, "WIN_START", "WIN_END", "N", F.coalesce(feasible, F.lit(False)).alias("FEASIBLE"), F.coalesce(falls <= rises + room, F.lit(False)).alias("OPTIMAL"))
 
-@register("o03_fit_diagnostics")
+
+THREE = ["LARGE_GROWTH", "SMALL_VALUE", "CASH"]
+
+
+def _three(spark, sf):
+    return reg.constrained_fit(_moments(spark, sf, THREE), THREE, "RET", _problem(THREE))
+
+
+@register("o06_three_asset_weights", "SELECT TICKER_SYMBOL, WIN_START, WIN_END, round(U, 4) + 0.0 AS LARGE_GROWTH, round(V, 4) + 0.0 AS SMALL_VALUE, round(W, 4) + 0.0 AS CASH FROM fx_fit", REG)
+def o06_three_asset_weights(spark, sf):
+    return rounded(_three(spark, sf).select(T, "WIN_START", "WIN_END", *THREE), 4)
+
+
+@register(
+    "o03_fit_diagnostics",
+    "SELECT TICKER_SYMBOL, WIN_START, WIN_END, round(XY * XY / (FITTED * YY), 4) + 0.0 AS R_SQUARED, round(sqrt(greatest(YY - 2 * XY + FITTED, 0)) * sqrt(252) * 100, 3) + 0.0 AS RESIDUAL_VOL, round(MY - U * M1 - V * M2 - W * M3, 5) + 0.0 AS ALPHA FROM fx_fit",
+    REG,
+)
 def o03_fit_diagnostics(spark, sf):
-    return rounded(_fit(spark, sf).select(T, "WIN_START", "WIN_END", "R_SQUARED", "RESIDUAL_VOL", "ALPHA"))
+    f = _three(spark, sf)
+    return f.select(T, "WIN_START", "WIN_END", *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in (("R_SQUARED", 4), ("RESIDUAL_VOL", 3), ("ALPHA", 5))])
 
 
-@register("o04_dominant_style")
+@register("o04_dominant_style", "SELECT TICKER_SYMBOL, WIN_END, CASE WHEN round(V, 6) > round(U, 6) THEN 'small_value' ELSE 'large_growth' END AS STYLE FROM fx_fit", REG)
 def o04_dominant_style(spark, sf):
-    return _fit(spark, sf).select(T, "WIN_END", F.lower(arg_max(FACTORS[:-1])).alias("STYLE"))
+    f = _three(spark, sf).withColumns({c: F.round(c, 6) for c in THREE})
+    return f.select(T, "WIN_END", F.lower(arg_max(THREE[:-1])).alias("STYLE"))
 
 
 @register(
     "o05_unconstrained_ols",
-    f"SELECT TICKER_SYMBOL, WIN_END, round(regr_slope(RET, LARGE_GROWTH), 5) + 0.0 AS BETA, round(regr_intercept(RET, LARGE_GROWTH), 6) + 0.0 AS ALPHA, round(pow(corr(RET, LARGE_GROWTH), 2), 5) + 0.0 AS R_SQUARED FROM fx_regp p JOIN fx_regw w ON p.END_DATE BETWEEN w.WIN_START AND w.WIN_END GROUP BY 1, 2 HAVING count(*) >= 60",
+    "SELECT TICKER_SYMBOL, WIN_END, round(B, 5) + 0.0 AS BETA, round(A, 6) + 0.0 AS ALPHA, round(C * C, 5) + 0.0 AS R_SQUARED FROM (SELECT TICKER_SYMBOL, END_DATE AS WIN_END, GAP, regr_slope(RET, LARGE_GROWTH) OVER f AS B, regr_intercept(RET, LARGE_GROWTH) OVER f AS A, corr(RET, LARGE_GROWTH) OVER f AS C FROM fx_rm WINDOW f AS (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE ROWS 59 PRECEDING)) t WHERE GAP = 59",
     REG,
 )
 def o05_unconstrained_ols(spark, sf):
-    m = _moments(spark, sf)
+    m = _moments(spark, sf, ["LARGE_GROWTH"])
     n, sx, sy = F.col("N"), F.col("S_LARGE_GROWTH"), F.col("S_RET")
     xx, xy, yy = F.col("S_LARGE_GROWTH_LARGE_GROWTH") - sx * sx / n, F.col("S_LARGE_GROWTH_RET") - sx * sy / n, F.col("S_RET_RET") - sy * sy / n
-    beta = xy / xx
-    return m.select(T, "WIN_END", (F.round(beta, 5) + 0.0).alias("BETA"), (F.round(sy / n - beta * sx / n, 6) + 0.0).alias("ALPHA"), (F.round(xy * xy / (xx * yy), 5) + 0.0).alias("R_SQUARED"))
+    beta = F.try_divide(xy, xx)
+    return m.select(T, "WIN_END", (F.round(beta, 5) + 0.0).alias("BETA"), (F.round(sy / n - beta * sx / n, 6) + 0.0).alias("ALPHA"), (F.round(F.try_divide(xy * xy, xx * yy), 5) + 0.0).alias("R_SQUARED"))
 
 
 # --- streaming ---
@@ -161,7 +210,7 @@ def s01_incremental_upsert(spark, sf):
     path, checkpoint = _fresh(spark, "s01")
     stream = _events(spark, sf, "user_id", "event_id", "ts", "value")
     jobs.run(stream, checkpoint, jobs.upsert_latest(path, ["user_id"], ["ts", "event_id"]), "append")
-    return spark.read.parquet(path).select("user_id", "event_id", "value")
+    return read_dataset(spark, path).select("user_id", "event_id", "value")
 
 
 @register("s02_tumbling_bars", f"SELECT code, trade_time, open, high, low, close, round(amount, 4) AS amount FROM ({bar_view(30, 'fx_min')}) b", BARS)
@@ -169,7 +218,7 @@ def s02_tumbling_bars(spark, sf):
     path, checkpoint = _fresh(spark, "s02")
     ticks = _events(spark, sf).select(F.col("event_type").alias("code"), F.col("ts").alias("trade_time"), F.col("event_id").alias("seq"), F.col("value").alias("price"), F.col("value").alias("amount"))
     jobs.run(jobs.tumbling_bars(ticks, 30), checkpoint, jobs.upsert_rows(path, ["code", "trade_time"]))
-    out = spark.read.parquet(path)
+    out = read_dataset(spark, path)
     return out.withColumn("trade_time", F.col("trade_time").cast("timestamp_ntz")).withColumn("amount", F.round("amount", 4))
 
 
@@ -181,7 +230,7 @@ def s03_sliding_window_mean(spark, sf):
     path, checkpoint = _fresh(spark, "s03")
     out = jobs.sliding_mean(_events(spark, sf, "event_type", "ts", "value"), "ts", "value", "3 days", "1 day", ["event_type"])
     jobs.run(out, checkpoint, jobs.upsert_rows(path, ["event_type", "WINDOW_START"]))
-    return spark.read.parquet(path).select("event_type", F.to_date("WINDOW_START").alias("WINDOW_START"), F.round("MEAN", 6).alias("MEAN"), "N")
+    return read_dataset(spark, path).select("event_type", F.to_date("WINDOW_START").alias("WINDOW_START"), F.round("MEAN", 6).alias("MEAN"), "N")
 
 
 @register("s04_stateful_drawdown", "SELECT user_id, event_id, max(value) OVER w AS HIGH, round(1 - value / max(value) OVER w, 6) + 0.0 AS DRAWDOWN FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")

@@ -79,7 +79,7 @@ def a13_insert_select_upsert(spark, sf):
 
     computed = pf.daily_returns(drifted(spark, sf))
     stored = computed.where("TRADE_DT < DATE '1999-01-01'").withColumn("RETURN_RATE", F.lit(0.0))
-    return rounded(merge_rows(stored, computed, [P, DAY]))
+    return rounded(merge_rows(stored, computed, [P, DAY], [DAY]))
 
 
 @register("m02_portfolio_daily_return", "SELECT PORTFOLIO_NAME, TRADE_DT, round(RR, 6) + 0.0 AS RETURN_RATE, round(ln(1 + RR / 100) * 100, 6) + 0.0 AS LOG_RETURN_RATE FROM fx_pret", DRIFT)
@@ -198,16 +198,16 @@ def m08_turnover_over_range(spark, sf):
 
 
 PROPOSED = {
-    "fx_prop": "SELECT PORTFOLIO_NAME, TICKER_SYMBOL, WEIGHT FROM fx_weights WHERE TRADE_DT = DATE '1999-01-01' AND WEIGHT > 9 AND PORTFOLIO_NAME < 'H'",
-    "fx_curr": "SELECT PORTFOLIO_NAME, TICKER_SYMBOL, WEIGHT FROM fx_weights WHERE TRADE_DT = DATE '1998-01-01' AND WEIGHT > 8.5",
+    "fx_prop": "SELECT PORTFOLIO_NAME, TICKER_SYMBOL, WEIGHT FROM fx_weights WHERE TRADE_DT = DATE '1999-01-01'",
+    "fx_curr": "SELECT PORTFOLIO_NAME, TICKER_SYMBOL, WEIGHT FROM fx_weights WHERE TRADE_DT = DATE '1998-01-01'",
     "fx_pt": "SELECT PORTFOLIO_NAME, sum(abs(coalesce(n.WEIGHT, 0) - coalesce(o.WEIGHT, 0))) / 2 AS TURNOVER FROM fx_prop n FULL JOIN (SELECT * FROM fx_curr WHERE PORTFOLIO_NAME IN (SELECT PORTFOLIO_NAME FROM fx_prop)) o USING (PORTFOLIO_NAME, TICKER_SYMBOL) GROUP BY 1",
 }
 
 
 def proposal(spark, sf):
     w = fx.view(spark, sf, "fx_weights")
-    prop = w.where("TRADE_DT = DATE '1999-01-01' AND WEIGHT > 9 AND PORTFOLIO_NAME < 'H'").drop(DAY)
-    return prop, w.where("TRADE_DT = DATE '1998-01-01' AND WEIGHT > 8.5").drop(DAY)
+    prop = w.where("TRADE_DT = DATE '1999-01-01'").drop(DAY)
+    return prop, w.where("TRADE_DT = DATE '1998-01-01'").drop(DAY)
 
 
 @register("m09_proposed_turnover", "SELECT PORTFOLIO_NAME, round(TURNOVER, 6) AS TURNOVER FROM fx_pt", PROPOSED)
@@ -369,9 +369,9 @@ def m16_daily_sheet(spark, sf):
     return rounded(pf.daily_sheet(accumulated(spark, sf), named, info, _CYCLES, day, prev), 4)
 
 
-@register("m17_holding_returns", "SELECT r.TICKER_SYMBOL, r.TRADE_DT, round(RETURN_RATE, 6) + 0.0 AS RETURN_RATE, h.PORTFOLIOS FROM fx_ret r JOIN (SELECT TICKER_SYMBOL, string_agg(DISTINCT PORTFOLIO_NAME, ',' ORDER BY PORTFOLIO_NAME) AS PORTFOLIOS FROM fx_weights WHERE TRADE_DT = DATE '1999-01-01' AND WEIGHT > 9.5 GROUP BY 1) h USING (TICKER_SYMBOL) WHERE RETURN_RATE IS NOT NULL")
+@register("m17_holding_returns", "SELECT r.TICKER_SYMBOL, r.TRADE_DT, round(RETURN_RATE, 6) + 0.0 AS RETURN_RATE, h.PORTFOLIOS FROM fx_ret r JOIN (SELECT TICKER_SYMBOL, string_agg(DISTINCT PORTFOLIO_NAME, ',' ORDER BY PORTFOLIO_NAME) AS PORTFOLIOS FROM fx_weights WHERE TRADE_DT = DATE '1999-01-01' GROUP BY 1) h USING (TICKER_SYMBOL) WHERE RETURN_RATE IS NOT NULL")
 def m17_holding_returns(spark, sf):
-    held = fx.view(spark, sf, "fx_weights").where("TRADE_DT = DATE '1999-01-01' AND WEIGHT > 9.5")
+    held = fx.view(spark, sf, "fx_weights").where("TRADE_DT = DATE '1999-01-01'")
     return rounded(pf.holding_returns(held, index_rates(spark, sf)))
 
 
@@ -575,10 +575,10 @@ def m25_product_sheet(spark, sf):
     return out.withColumn("NAV", F.round("NAV", 6)).select(T, D, "NAV", "NET_ASSET", *SHEET_CYCLES, *[f"{c}_排名" for c in SHEET_CYCLES])
 
 
-@register("m26_event_monitor", "SELECT concat('S', user_id % 10) AS TICKER_SYMBOL, CAST(ts AS DATE) AS EVENT_DATE, event_id, event_type, h.PORTFOLIOS FROM events JOIN (SELECT TICKER_SYMBOL, string_agg(DISTINCT PORTFOLIO_NAME, ',' ORDER BY PORTFOLIO_NAME) AS PORTFOLIOS FROM fx_weights WHERE TRADE_DT = DATE '1999-01-01' AND WEIGHT > 9.5 GROUP BY 1) h ON h.TICKER_SYMBOL = concat('S', user_id % 10) WHERE CAST(ts AS DATE) >= DATE '2024-01-25'")
+@register("m26_event_monitor", "SELECT concat('S', user_id % 10) AS TICKER_SYMBOL, CAST(ts AS DATE) AS EVENT_DATE, event_id, event_type, h.PORTFOLIOS FROM events JOIN (SELECT TICKER_SYMBOL, string_agg(DISTINCT PORTFOLIO_NAME, ',' ORDER BY PORTFOLIO_NAME) AS PORTFOLIOS FROM fx_weights WHERE TRADE_DT = DATE '1999-01-01' GROUP BY 1) h ON h.TICKER_SYMBOL = concat('S', user_id % 10) WHERE CAST(ts AS DATE) >= DATE '2024-01-25'")
 def m26_event_monitor(spark, sf):
     ev = fx.table(spark, sf, "events").select(F.concat(F.lit("S"), (F.col("user_id") % 10).cast("string")).alias(T), F.to_date("ts").alias("EVENT_DATE"), "event_id", "event_type")
-    held = fx.view(spark, sf, "fx_weights").where("TRADE_DT = DATE '1999-01-01' AND WEIGHT > 9.5")
+    held = fx.view(spark, sf, "fx_weights").where("TRADE_DT = DATE '1999-01-01'")
     return pf.event_monitor(ev, held, F.to_date(F.lit("2024-01-25")))
 
 

@@ -46,19 +46,27 @@ def _batches(spark, sf):
     return first, second
 
 
-@register("a06_upsert_by_key", f"SELECT TICKER_SYMBOL, END_DATE, round(ADJ_NAV, 6) AS ADJ_NAV FROM ({OVERLAP}) t")
+def _twice(batch):
+    """Every key of the batch twice; the row with ``SEQ`` 2 is the later one."""
+    return batch.withColumn("SEQ", F.lit(2)).unionByName(batch.select(T, D, F.col("ADJ_NAV") * 3, F.lit(1).alias("SEQ")).toDF(T, D, "ADJ_NAV", "SEQ"))
+
+
+SEQUENCE = "SELECT TICKER_SYMBOL, END_DATE, ADJ_NAV, 0 AS SEQ FROM fx_nav WHERE length(TICKER_SYMBOL) <= 2 UNION ALL SELECT TICKER_SYMBOL, END_DATE, (ADJ_NAV + 1) * 3, 1 FROM fx_nav WHERE length(TICKER_SYMBOL) <> 1 UNION ALL SELECT TICKER_SYMBOL, END_DATE, ADJ_NAV + 1, 2 FROM fx_nav WHERE length(TICKER_SYMBOL) <> 1"
+
+
+@register("a06_upsert_by_key", f"SELECT TICKER_SYMBOL, END_DATE, round(arg_max(ADJ_NAV, SEQ), 6) AS ADJ_NAV FROM ({SEQUENCE}) t GROUP BY 1, 2")
 def a06_upsert_by_key(spark, sf):
     first, second = _batches(spark, sf)
     path = _fresh(spark, "a06")
-    ingest.write_dataset(first, path, action="overwrite")
-    ingest.write_dataset(second, path, action="update", keys=[T, D])
-    return rounded(spark.read.parquet(path))
+    ingest.write_dataset(ingest.bucketed(first, [T, D]), path, [ingest.BUCKET], "overwrite")
+    ingest.write_dataset(ingest.bucketed(_twice(second), [T, D]), path, [ingest.BUCKET], "update", keys=[T, D], excluded=["SEQ"], order=["SEQ"])
+    return rounded(ingest.read_dataset(spark, path))
 
 
-@register("a07_insert_ignore", "SELECT TICKER_SYMBOL, END_DATE, round(CASE WHEN length(TICKER_SYMBOL) > 2 THEN ADJ_NAV + 1 ELSE ADJ_NAV END, 6) AS ADJ_NAV FROM fx_nav")
+@register("a07_insert_ignore", f"SELECT TICKER_SYMBOL, END_DATE, round(arg_min(ADJ_NAV, SEQ), 6) AS ADJ_NAV FROM ({SEQUENCE}) t GROUP BY 1, 2")
 def a07_insert_ignore(spark, sf):
     first, second = _batches(spark, sf)
-    return rounded(ingest.insert_missing(first, second, [T, D]))
+    return rounded(ingest.insert_missing(first, _twice(second), [T, D], ["SEQ"]))
 
 
 @register("a08_partitioned_write_update", f"SELECT TICKER_SYMBOL, END_DATE, round(ADJ_NAV, 6) AS ADJ_NAV FROM ({OVERLAP}) t")
@@ -66,7 +74,7 @@ def a08_partitioned_write_update(spark, sf):
     first, second = _batches(spark, sf)
     path = _fresh(spark, "a08")
     ingest.write_dataset(first.withColumn("NOTE", F.lit("x")), path, [D], "overwrite", excluded=["NOTE"])
-    ingest.write_dataset(second, path, [D], "update", keys=[T, D])
+    ingest.write_dataset(_twice(second), path, [D], "update", keys=[T, D], excluded=["SEQ"], order=["SEQ"])
     ingest.write_dataset(second.limit(0), path, [D], "skip")
     return rounded(spark.read.schema("TICKER_SYMBOL string, ADJ_NAV double, END_DATE date").parquet(path).select(T, D, "ADJ_NAV"))
 
@@ -130,9 +138,9 @@ def a18_coverage_statistics(spark, sf):
 @register("a19_table_copy", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def a19_table_copy(spark, sf):
     path = _fresh(spark, "a19")
-    ingest.copy_table(fx.table(spark, sf, "supplier"), path, ["s_suppkey"])
-    ingest.copy_table(fx.table(spark, sf, "supplier"), path, ["s_suppkey"])
-    return spark.read.parquet(path)
+    ingest.copy_table(fx.table(spark, sf, "supplier"), path, ["s_suppkey"], ["s_suppkey"])
+    ingest.copy_table(fx.table(spark, sf, "supplier"), path, ["s_suppkey"], ["s_suppkey"])
+    return ingest.read_dataset(spark, path)
 
 
 @register("a20_delimited_ledgers", "SELECT date, type, ticker, quantity, price, CAST(0.0 AS DOUBLE) AS fees FROM fx_ledger WHERE type = 'Buy' UNION ALL SELECT date, type, ticker, quantity, price, CAST(1.5 AS DOUBLE) FROM fx_ledger WHERE type = 'Sell'")

@@ -85,38 +85,50 @@ def class_averages(df: DataFrame, levels: Sequence[str], keys: Sequence[str], va
     return quantiles(long, [*keys, "LEVEL", "CLASS"], value, {"MEDIAN": 0.5}, extra, bounded=bounded)
 
 
-MAX_MEMBERS = 2_000  # entities of one covariance matrix
+BLOCK_MEMBERS = 256  # entities of one block of a covariance matrix
 
 
-def annualised_covariance(panel: DataFrame, key: str, date: str, value: str, scale: int = 252) -> DataFrame:
+def annualised_covariance(panel: DataFrame, key: str, date: str, value: str, scale: int = 252, members: int = BLOCK_MEMBERS) -> DataFrame:
     """Covariance of every pair of entities over complete dates: ``A, B, COV`` (both triangles).
 
-    A date counts only when every entity has a value on it.  Each complete date becomes one vector, every task adds up the outer
-    products of its dates, and only these sums are shuffled; no pair of rows is ever formed.  The entities of one matrix are
-    checked to be few.
+    A date counts only when every entity has a value on it.  Entities are dealt to blocks by a hash; the values of a block on a
+    date are one vector, and a task adds up the outer products of two blocks over the dates.  No pair of rows is ever formed,
+    and a task holds ``members`` squared numbers a pair of blocks, however many entities there are.
     """
-    rows = panel.where(F.col(value).isNotNull()).select(F.col(key).alias("K"), F.col(date).alias("D"), F.col(value).alias("V"))
-    names = [r[0] for r in rows.select("K").distinct().limit(MAX_MEMBERS + 1).collect()]
-    if len(names) > MAX_MEMBERS:
-        raise ValueError(f"a covariance matrix takes at most {MAX_MEMBERS} entities")
-    names.sort()
-    vectors = rows.groupBy("D").agg(F.sort_array(F.collect_list(F.struct("K", "V"))).alias("S")).where(F.size("S") == len(names))
-    vectors = vectors.select(F.transform("S", lambda s: s["V"]).alias("X"))
+    rows = panel.where(F.col(value).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("K"), F.col(date).alias("D"), F.col(value).cast("double").alias("V"))
+    entities = rows.agg(F.count_distinct("K")).first()[0]
+    blocks = max(1, -(-entities // members))
+    complete = rows.groupBy("D").agg(F.count(F.lit(1)).alias("N")).where(F.col("N") == entities).select("D")
+    placed = rows.join(complete, "D", "left_semi").groupBy("D", F.pmod(F.xxhash64("K"), F.lit(blocks)).cast("int").alias("I"))
+    vectors = placed.agg(F.sort_array(F.collect_list(F.struct("K", "V"))).alias("S"))
+    vectors = vectors.select("D", "I", F.transform("S", lambda s: s["K"]).alias("A"), F.transform("S", lambda s: s["V"]).alias("X"))
+    other = vectors.select("D", F.col("I").alias("J"), F.col("A").alias("B"), F.col("X").alias("Y"))
+    pairs = vectors.join(other, "D").where("I <= J").repartition("I", "J")
 
     def outer_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, total, cross = 0, np.zeros(len(names)), np.zeros((len(names), len(names)))
+        sums: dict[tuple[int, int], list] = {}
+
+        def table() -> Iterator[pd.DataFrame]:
+            for a, b, n, sx, sy, sxy in sums.values():
+                yield pd.DataFrame({"A": np.repeat(a, len(b)), "B": np.tile(b, len(a)), "N": n, "SX": np.repeat(sx, len(b)), "SY": np.tile(sy, len(a)), "SXY": sxy.ravel()})
+            sums.clear()
+
         for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["X"].to_numpy())
-                n, total, cross = n + len(x), total + x.sum(axis=0), cross + x.T @ x
-        if n:
-            a, b = (i.ravel() for i in np.indices(cross.shape))
-            yield pd.DataFrame({"I": a, "J": b, "N": n, "SX": total[a], "SY": total[b], "SXY": cross.ravel()})
-
-    sums = vectors.mapInPandas(outer_sums, "I bigint, J bigint, N bigint, SX double, SY double, SXY double").groupBy("I", "J").agg(*[F.sum(c).alias(c) for c in ("N", "SX", "SY", "SXY")])
-    label = F.array(*[F.lit(n) for n in names])
+            for at, part in pdf.groupby(["I", "J"]):
+                x, y = np.stack(part["X"].to_numpy()), np.stack(part["Y"].to_numpy())
+                if at not in sums and len(sums) >= 16:
+                    yield from table()
+                own = sums.setdefault(at, [list(part["A"].iloc[0]), list(part["B"].iloc[0]), 0, 0.0, 0.0, 0.0])
+                own[2:] = [own[2] + len(x), own[3] + x.sum(axis=0), own[4] + y.sum(axis=0), own[5] + x.T @ y]
+        yield from table()
+
+    kind = dict(rows.dtypes)["K"]
+    sums = pairs.select("I", "J", "A", "B", "X", "Y").mapInPandas(outer_sums, f"A {kind}, B {kind}, N bigint, SX double, SY double, SXY double")
+    sums = sums.groupBy("A", "B").agg(*[F.sum(c).alias(c) for c in ("N", "SX", "SY", "SXY")])
     cov = safe_div(F.col("SXY") - F.col("SX") * F.col("SY") / F.col("N"), F.col("N") - 1) * scale
-    return sums.select(F.get(label, F.col("I").cast("int")).alias("A"), F.get(label, F.col("J").cast("int")).alias("B"), cov.alias("COV"))
+    half = sums.select("A", "B", cov.alias("COV"))
+    spread_over = F.pmod(F.xxhash64("A"), F.lit(blocks)) != F.pmod(F.xxhash64("B"), F.lit(blocks))  # inside a block both triangles are there
+    return half.unionByName(half.where(spread_over).select(F.col("B").alias("A"), F.col("A").alias("B"), "COV"))
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, out: str = "RANK_NO") -> DataFrame:

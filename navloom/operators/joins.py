@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navloom.functions.series import by, forward_fill
-from navloom.session import broadcast_checked, pin_small
+from navloom.session import pin_small
 
-MAX_NESTED_WINDOWS = 1_000  # windows that every row may be tested against
 OPEN_END = "2099-12-31"  # fixed value: exit date of an interval that is still open
 
 
@@ -70,36 +69,40 @@ def interval_join(facts: DataFrame, dim: DataFrame, key: str, date: str, entry:
     return facts.alias("f").join(d, cond, how).select("f.*", *[F.col(f"d.{c}") for c in dim.columns if c not in facts.columns])
 
 
+MAX_BAND_CELLS = 1_024  # cells of the value axis
+
+
 def band_join(df: DataFrame, bands: DataFrame, value: str, low: str = "MIN", high: str = "MAX") -> DataFrame:
-    """Attach the band whose closed range holds ``value``; bands are few and checked before they are broadcast.
+    """Attach the bands whose closed range holds ``value``; a row without one keeps nulls, a null or NaN end holds nothing.
 
-    A band table beyond the bound is met through whole-number cells of the value axis instead.
+    Values and bands meet in cells of the value axis whose edges are quantiles of the bands' lower ends, so a cell holds about as
+    many band starts as any other, and a wide or open band lies in at most ``MAX_BAND_CELLS`` cells, whatever its length.
     """
-    small = broadcast_checked(bands, 10_000)
-    inside = (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high))
-    if small is not None:
-        return df.join(small, inside, "left")
-    cells = bands.withColumn("_CELL", F.explode(F.sequence(F.floor(low), F.floor(high))))
-    return df.withColumn("_CELL", F.floor(value)).join(cells, [df[value] >= cells[low], df[value] <= cells[high], F.floor(df[value]) == cells["_CELL"]], "left").drop("_CELL")
+    ends = bands.where(~F.isnan(F.col(low).cast("double")) & ~F.isnan(F.col(high).cast("double")))
+    shares = [k / MAX_BAND_CELLS for k in range(1, MAX_BAND_CELLS)]
+    edges = sorted(set(ends.agg(F.percentile_approx(F.col(low).cast("double"), shares, 10_000)).first()[0] or []))
+    axis = F.array(*[F.lit(float(e)) for e in edges]).cast("array<double>")
+    cell = lambda c: F.size(F.filter(axis, lambda e: e <= c.cast("double")))
+    placed = ends.where(F.col(low) <= F.col(high)).withColumn("_CELL", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high)))))
+    asked = df.withColumn("_AT", cell(F.col(value)))
+    inside = (F.col("_AT") == F.col("_CELL")) & (asked[value] >= placed[low]) & (asked[value] <= placed[high])
+    return asked.join(placed, inside, "left").drop("_CELL", "_AT")
 
 
 def fan_out(panel: DataFrame, windows: DataFrame, key: str = "TICKER_SYMBOL", date: str = "END_DATE") -> DataFrame:
     """Every panel row once per window that holds its date; adds ``WIN_START, WIN_END``.
 
-    The panel is shuffled by entity *before* it is multiplied: the windows are joined in place, and later windows and
-    aggregates over (entity, WIN_START, WIN_END) reuse that partitioning, so the multiplied rows never travel.
+    The panel is shuffled by entity *before* it is multiplied: rows and windows meet on the calendar month, in place while the
+    windows are few enough to be broadcast, and later windows and aggregates over (entity, WIN_START, WIN_END) reuse that
+    partitioning, so the multiplied rows never travel.
     """
     spans = windows.select(F.col("START_DATE").alias("WIN_START"), F.col("END_DATE").alias("WIN_END")).distinct()
-    laid_out = spread(panel, key)
-    inside = F.col(date).between(F.col("WIN_START"), F.col("WIN_END"))
-    few = broadcast_checked(spans, MAX_NESTED_WINDOWS)
-    if few is not None:
-        return laid_out.join(few, inside)
-    # many windows: meet on the calendar month instead of testing every window for every row
     small = pin_small(spans)
     each = F.sequence(F.trunc("WIN_START", "month"), F.trunc("WIN_END", "month"), F.expr("INTERVAL 1 MONTH"))
-    months = (spans if small is None else small).withColumn("_MONTH", F.explode(each))
-    return laid_out.withColumn("_MONTH", F.trunc(date, "month")).join(months, "_MONTH").where(inside).drop("_MONTH")
+    months = (spans if small is None else small).where("WIN_START <= WIN_END").withColumn("_MONTH", F.explode(each))
+    inside = F.col(date).between(F.col("WIN_START"), F.col("WIN_END"))
+    laid_out = spread(panel, key).withColumn("_MONTH", F.trunc(date, "month"))
+    return laid_out.join(months if small is None else F.broadcast(months), "_MONTH").where(inside).drop("_MONTH")
 
 
 def full_outer_fill(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: Mapping[str, float]) -> DataFrame:

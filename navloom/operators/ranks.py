@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from navloom.session import cut_lineage
 
 BLOCK_ROWS = 1_000_000  # rows one task orders; larger groups are cut into blocks
-MAX_CUTS = 1_024
 
 
 def _same(left: str, right: str, names: Sequence[str]) -> Column:
@@ -59,10 +58,7 @@ def position_counts(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def _blocked_counts(distinct: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
     sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_DISTINCT"), F.sum("N_EQUAL").alias("N_TOTAL"))
-    wanted = F.least(F.lit(MAX_CUTS), F.ceil(F.col("_DISTINCT") / F.lit(block_rows)))
-    hot = sizes.where(F.col("_DISTINCT") > block_rows).select(
-        *keys, F.greatest(F.lit(1), F.floor(F.col("_DISTINCT") / wanted)).cast("long").alias("_RATE")
-    )
+    hot = sizes.where(F.col("_DISTINCT") > block_rows).select(*keys, F.lit(max(1, block_rows)).cast("long").alias("_RATE"))
     cuts = (
         distinct.alias("d")
         .join(hot.alias("h"), _same("d", "h", keys))
@@ -76,7 +72,17 @@ def _blocked_counts(distinct: DataFrame, keys: list[str], block_rows: int) -> Da
         .join(cuts.alias("c"), _same("s", "c", keys), "left")
         .select(*[F.col(f"s.{k}") for k in keys], "N_TOTAL", "_CUTS")
     )
-    block = F.coalesce(F.size(F.filter("_CUTS", lambda cut: cut < F.col("_ORD"))), F.lit(0))
+    # halving the sorted cuts finds the number of cuts below a value in as many steps as their number has bits
+    half = lambda acc: F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+    block = F.aggregate(
+        F.sequence(F.lit(1), F.lit(32)),
+        F.struct(F.lit(0).alias("lo"), F.size("_CUTS").alias("hi")),
+        lambda acc, _: F.when(
+            acc["lo"] < acc["hi"],
+            F.when(F.get("_CUTS", half(acc)) < F.col("_ORD"), F.struct((half(acc) + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), half(acc).alias("hi"))),
+        ).otherwise(acc),
+        lambda acc: acc["lo"],
+    )
     placed = (
         distinct.alias("d")
         .join(groups.alias("g"), _same("d", "g", keys))
@@ -227,8 +233,12 @@ def quantiles(
         for side, pos in (("LO", F.floor(at)), ("HI", F.ceil(at))):
             hit = (F.col("N_BEFORE") <= pos) & (pos < F.col("N_BEFORE") + F.col("N_EQUAL"))
             aggs.append(F.max(F.when(hit, F.col("_ORD.V"))).alias(f"_{name}_{side}"))
-        aggs.append(F.max(at - F.floor(at)).alias(f"_{name}_FR"))
-        lo, hi, fr = (F.col(f"_{name}_{s}") for s in ("LO", "HI", "FR"))
-        outs.append((lo + (hi - lo) * fr).alias(name))
+        aggs += [F.max(F.ceil(at) - at).alias(f"_{name}_DN"), F.max(at - F.floor(at)).alias(f"_{name}_UP")]
+        lo, hi, down, up = (F.col(f"_{name}_{s}") for s in ("LO", "HI", "DN", "UP"))
+        outs.append(F.when(lo == hi, lo.cast("double")).otherwise(down * lo + up * hi).alias(name))  # as the built-in aggregate weighs them
     out = counts.groupBy(*keys).agg(*aggs).select(*keys, *outs)
-    return out.join(present.groupBy(*keys).agg(*extra), keys) if extra else out
+    if not extra:
+        return out
+    others = present.groupBy(*keys).agg(*extra)
+    named = [c for c in others.columns if c not in keys]
+    return out.alias("q").join(others.alias("e"), _same("q", "e", keys)).select("q.*", *[F.col(f"e.{c}") for c in named])

@@ -6,13 +6,12 @@ chained, and the block's starting value is added back.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navloom.operators.ranks import row_numbers
+from navloom.operators.ranks import _same, row_numbers
 
 BLOCK = 100_000  # rows of one block
 
@@ -29,53 +28,46 @@ def running_total(rows: DataFrame, keys: Sequence[str], value: str, out: str) ->
     before = Window.partitionBy(*keys).orderBy("BLOCK").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy(*keys, "BLOCK").agg(F.sum(value).alias("_SUM"))
     starts = starts.withColumn("_START", F.coalesce(F.sum("_SUM").over(before), F.lit(0.0))).drop("_SUM")
-    return rows.withColumn(out, F.sum(value).over(inside)).join(starts, [*keys, "BLOCK"]).withColumn(out, F.col(out) + F.col("_START")).drop("_START")
+    local = rows.withColumn(out, F.sum(value).over(inside))
+    joined = local.alias("l").join(starts.alias("s"), _same("l", "s", [*keys, "BLOCK"]))
+    return joined.select("l.*", "s._START").withColumn(out, F.col(out) + F.col("_START")).drop("_START")
 
 
-def _fold(batches: Iterator[pd.DataFrame], group: Sequence[str], per_row: bool) -> Iterator[pd.DataFrame]:
-    """x <- a * x + b along each run of equal ``group``; rows arrive sorted, state is carried across batches.
+STEPS = 2_048  # steps that one array holds
 
-    ``per_row`` gives the value after every row; otherwise one row per run with the composed (a, b).
-    """
-    current, a_all, b_all, x = None, 1.0, 0.0, 0.0
-    for pdf in batches:
-        tags = list(zip(*[pdf[c] for c in group]))
-        values, before, done = [], [], []
-        for tag, a, b, start in zip(tags, pdf["A"].tolist(), pdf["B"].tolist(), pdf["START"].tolist()):
-            if tag != current:
-                if current is not None:
-                    done.append((*current, a_all, b_all))
-                current, a_all, b_all, x = tag, 1.0, 0.0, start
-            before.append(x)
-            x = a * x + b
-            a_all, b_all = a * a_all, a * b_all + b
-            values.append(x)
-        yield pdf.assign(X=values, X_BEFORE=before) if per_row else pd.DataFrame(done, columns=[*group, "A", "B"])
-    if not per_row and current is not None:
-        yield pd.DataFrame([(*current, a_all, b_all)], columns=[*group, "A", "B"])
-
-
-def linear_recurrence(rows: DataFrame, keys: Sequence[str], a: Column, b: Column, out: str, block: int = BLOCK) -> DataFrame:
-    """x_t = a_t * x_(t-1) + b_t from x = 0 in the order of ``RN`` (rows from ``numbered``): columns ``out`` and ``{out}_before``.
-
-    Linear steps compose, so a block is summarised by one pair (a, b); only groups longer than one block need the summaries.
+
+def _solved(steps: DataFrame, keys: Sequence[str], steps_a_block: int, levels: int) -> DataFrame:
+    """``keys, POS, BEFORE, AFTER, ROW`` of x <- A * x + B from x = 0 along ``POS`` (from 0 on, without gaps).
+
+    Linear steps compose, so a block of steps is one step of the next level; a level has one array of bounded length per block.
+    ``levels`` levels reach ``steps_a_block ** levels`` rows of one key.
     """
-    keys = list(keys)
-    types = dict(rows.dtypes)
-    key_schema = ", ".join(f"{k} {types[k]}" for k in keys)
-    base = rows.withColumns({"A": a.cast("double"), "B": b.cast("double")})
-
-    def arranged(df: DataFrame, group: list[str], order: str) -> DataFrame:
-        return df.repartition(*group).sortWithinPartitions(*group, order)
-
-    group = [*keys, "BLOCK"]
-    long = base.where(F.col("N") > block).select(*group, "RN", "A", "B").withColumn("START", F.lit(0.0))
-    folded = arranged(long, group, "RN").mapInPandas(lambda it: _fold(it, group, False), f"{key_schema}, BLOCK bigint, A double, B double")
-    chained = arranged(folded.withColumn("START", F.lit(0.0)), keys, "BLOCK").mapInPandas(
-        lambda it: _fold(it, keys, True), f"{key_schema}, BLOCK bigint, A double, B double, START double, X double, X_BEFORE double"
+    packed = steps.withColumn("_BLOCK", F.floor(F.col("POS") / steps_a_block)).groupBy(*keys, "_BLOCK").agg(F.array_sort(F.collect_list(F.struct("POS", "A", "B", "ROW"))).alias("S"))
+    if levels > 1:
+        both = F.aggregate("S", F.struct(F.lit(1.0).alias("A"), F.lit(0.0).alias("B")), lambda acc, s: F.struct((s["A"] * acc["A"]).alias("A"), (s["A"] * acc["B"] + s["B"]).alias("B")))
+        above = packed.select(*keys, F.col("_BLOCK").alias("POS"), both.alias("P")).select(*keys, "POS", "P.A", "P.B", F.lit(None).cast("int").alias("ROW"))
+        starts = _solved(above, keys, steps_a_block, levels - 1).select(*keys, F.col("POS").alias("_BLOCK"), F.col("BEFORE").alias("START"))
+        packed = packed.alias("p").join(starts.alias("s"), _same("p", "s", [*keys, "_BLOCK"])).select("p.*", "s.START")
+    else:
+        packed = packed.withColumn("START", F.lit(0.0))
+    kind = dict(steps.dtypes)["ROW"]
+    empty = F.array().cast(f"array<struct<POS:bigint,BEFORE:double,AFTER:double,ROW:{kind}>>")
+
+    def step(acc, s):
+        after = s["A"] * acc["x"] + s["B"]
+        done = F.struct(s["POS"].alias("POS"), acc["x"].alias("BEFORE"), after.alias("AFTER"), s["ROW"].alias("ROW"))
+        return F.struct(after.alias("x"), F.concat(acc["done"], F.array(done)).alias("done"))
+
+    done = F.aggregate("S", F.struct(F.col("START").alias("x"), empty.alias("done")), step, lambda acc: acc["done"])
+    return packed.select(*keys, F.explode(done).alias("D")).select(*keys, "D.*")
+
+
+def linear_recurrence(rows: DataFrame, keys: Sequence[str], a: Column, b: Column, out: str, block: int = STEPS) -> DataFrame:
+    """x_t = a_t * x_(t-1) + b_t from x = 0 in the order of ``RN`` (rows from ``numbered``): columns ``out`` and ``{out}_before``."""
+    names = [f"_K{k}" for k in range(len(keys))]
+    size = min(block, STEPS)
+    levels = 3 if size == STEPS else 8
+    steps = rows.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], (F.col("RN") - 1).cast("long").alias("POS"), a.cast("double").alias("A"), b.cast("double").alias("B"), F.struct(*rows.columns).alias("ROW")
     )
-    starts = chained.select(*keys, (F.col("BLOCK") + 1).alias("BLOCK"), F.col("X").alias("START"))
-    ready = base.join(starts, group, "left").fillna({"START": 0.0})
-    schema = ", ".join(f"{n} {t}" for n, t in ready.dtypes) + ", X double, X_BEFORE double"
-    done = arranged(ready, group, "RN").mapInPandas(lambda it: _fold(it, group, True), schema)
-    return done.withColumnsRenamed({"X": out, "X_BEFORE": f"{out}_before"}).drop("A", "B", "START")
+    return _solved(steps, names, size, levels).select("ROW.*", F.col("AFTER").alias(out), F.col("BEFORE").alias(f"{out}_before"))

@@ -6,8 +6,12 @@ feeds the stored tables; ``classic`` (fractions, first drawdown date, recovery s
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,20 +83,6 @@ def _recovery(dd: str, prefix: str, classic: bool) -> Column:
     return F.min(F.when(later & (F.col(dd) == 0), F.col(DATE)))
 
 
-def _core_aggregates(classic: bool) -> list[Column]:
-    return [
-        F.min(DATE).alias("START_DATE"),
-        F.max(DATE).alias("LAST_DATE"),
-        F.min(F.when(F.col("PREV_DATE").isNotNull(), F.col(DATE))).alias("SECOND_DATE"),
-        F.min_by(NAV, DATE).alias("FIRST_NAV"),
-        F.max_by(NAV, DATE).alias("LAST_NAV"),
-        F.stddev_samp("RET").alias("VOL"),
-        F.first("MDD").alias("MDD"),
-        F.first("MDD_DATE").alias("MDD_DATE"),
-        _recovery("DD", "", classic).alias("RECOVERY_DATE"),
-    ]
-
-
 def _covered(strict: bool) -> Column:
     return (F.col("START_DATE") == F.col("WIN_START")) & (F.col("LAST_DATE") == F.col("WIN_END")) if strict else F.lit(True)
 
@@ -105,14 +95,87 @@ def _recover_days() -> Column:
     return F.coalesce(F.datediff("RECOVERY_DATE", "MDD_DATE"), F.lit(NEVER_RECOVERED))
 
 
-def window_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = True) -> DataFrame:
-    """Panel statistics row per (entity, window).  ``windows`` has ``START_DATE, END_DATE``; None = whole history.
-
-    One shuffle by entity, the fan-out after it, one sort for the running maximum, aggregation in place.
+SPAN_BLOCK = 50_000  # windows that travel to the tasks together
+ROW_SCHEMA = (
+    f"{KEY} string, WIN_START date, WIN_END date, START_DATE date, LAST_DATE date, SECOND_DATE date, FIRST_NAV double, LAST_NAV double, VOL double, "
+    "MDD double, MDD_DATE date, RECOVERY_DATE date, WIN_RATE double, VALUE_AT_RISK double, N_RET bigint"
+)
+
+
+def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a / b, not a number where b is 0 or missing."""
+    return np.divide(a, b, out=np.full(len(a), np.nan), where=(b != 0) & ~np.isnan(b))
+
+
+def _rows_of_windows(days: np.ndarray, nav: np.ndarray, spans: np.ndarray, strict: bool, classic: bool) -> dict[str, list]:
+    """Statistics of every window over one entity's sorted days; no day is copied into a window."""
+    out: dict[str, list] = {c.split()[0]: [] for c in ROW_SCHEMA.split(", ")[1:]}
+    ret = np.concatenate(([np.nan], _quotient(nav[1:], nav[:-1]) - 1))
+    first, last = np.searchsorted(days, spans[:, 0]), np.searchsorted(days, spans[:, 1], side="right") - 1
+    for (start, end), i, j in zip(spans.tolist(), first.tolist(), last.tolist()):
+        if i > j or (strict and (days[i] != start or days[j] != end)):
+            continue
+        part, r = nav[i : j + 1], ret[i + 1 : j + 1]
+        r = r[~np.isnan(r)]
+        fall = 1 - _quotient(part, np.fmax.accumulate(part))
+        known = ~np.isnan(fall)
+        mdd = float(fall[known].max()) if known.any() else None
+        hits = np.flatnonzero(fall == mdd) if mdd is not None and (classic or mdd != 0) else np.zeros(0, dtype=int)
+        deepest = None if not len(hits) else int(hits[0] if classic else hits[-1])
+        back = None
+        if deepest is not None:
+            from_here = deepest + 1 if classic else deepest
+            zero = np.flatnonzero(fall[from_here:] == 0)
+            back = from_here + int(zero[0]) if len(zero) else None
+        at = days[i : j + 1]
+        number = lambda x: None if np.isnan(x) else float(x)
+        values = (
+            start, end, at[0], at[-1], at[1] if j > i else None, number(part[0]), number(part[-1]), float(r.std(ddof=1)) if len(r) > 1 else None,
+            mdd, None if deepest is None else at[deepest], None if back is None else at[back],
+            float((r > 0).mean()) if len(r) else None, float(np.percentile(r, 5)) if classic and len(r) else None, len(r),
+        )
+        for name, value in zip(out, values):
+            out[name].append(value)
+    return out
+
+
+def window_rows(panel: DataFrame, windows: DataFrame | None, strict: bool, classic: bool) -> DataFrame:
+    """What the statistics of a (entity, window) are made of, one row each (``ROW_SCHEMA``).
+
+    One shuffle by entity, one pass over its sorted days in numpy; a window is a slice of that pass.  An entity has at most one
+    row a day, which bounds a task's memory by the calendar.  Windows come to the tasks in blocks.
     """
-    fanned = whole_span(panel) if windows is None else fan_out(panel, windows)
-    points = with_drawdown_dates(daily_points(fanned))
-    rows = points.groupBy(*GROUP).agg(*_core_aggregates(False)).where(_covered(strict))
+    epoch = F.lit("1970-01-01").cast("date")
+    days = panel.select(F.col(KEY).cast("string").alias(KEY), F.datediff(DATE, epoch).alias("DAY"), F.col(NAV).cast("double").alias("NAV")).where("DAY IS NOT NULL")
+    spans = None
+    if windows is not None:
+        rows = windows.select(F.datediff("START_DATE", epoch).alias("A"), F.datediff("END_DATE", epoch).alias("B")).where("A IS NOT NULL AND B IS NOT NULL").distinct().orderBy("B", "A").collect()
+        spans = np.array([(r.A, r.B) for r in rows], dtype=np.int64).reshape(-1, 2)
+    blocks = [None] if spans is None else [spans[k : k + SPAN_BLOCK] for k in range(0, max(len(spans), 1), SPAN_BLOCK)]
+    dates = [c.split()[0] for c in ROW_SCHEMA.split(", ") if c.endswith(" date")]
+
+    def of(block: np.ndarray | None) -> DataFrame:
+        def entity(tag: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            frame = frame.sort_values("DAY")
+            at, nav = frame["DAY"].to_numpy(dtype=np.int64), frame["NAV"].to_numpy(dtype=np.float64)
+            own = np.array([[at[0], at[-1]]]) if block is None else block
+            out = pd.DataFrame(_rows_of_windows(at, nav, own, strict, classic))
+            for c in dates:
+                out[c] = [None if d is None or d != d else EPOCH + dt.timedelta(days=int(d)) for d in out[c]]
+            out.insert(0, KEY, tag[0])
+            return out
+
+        return days.groupBy(KEY).applyInPandas(entity, ROW_SCHEMA)
+
+    return reduce(DataFrame.unionByName, [of(b) for b in blocks])
+
+
+EPOCH = dt.date(1970, 1, 1)
+
+
+def window_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = True) -> DataFrame:
+    """Panel statistics row per (entity, window).  ``windows`` has ``START_DATE, END_DATE``; None = whole history."""
+    rows = window_rows(panel, windows, strict, classic=False)
     cum = safe_div(F.col("LAST_NAV"), F.col("FIRST_NAV")) - 1
     out = rows.select(
         KEY,
@@ -165,17 +228,10 @@ def _nz(x: Column) -> Column:
 
 def classic_stats(panel: DataFrame, windows: DataFrame | None = None, risk_free: float = 0.0, strict: bool = False) -> DataFrame:
     """Classic statistics without a benchmark; fractions, missing ratios count as 0."""
-    fanned = whole_span(panel) if windows is None else fan_out(panel, windows)
-    points = with_drawdown_dates(daily_points(fanned), classic=True)
-    rows = points.groupBy(*GROUP).agg(
-        *_core_aggregates(True),
-        F.avg(F.when(F.col("RET") > 0, 1.0).when(F.col("RET").isNotNull(), 0.0)).alias("WIN_RATE"),
-        F.percentile("RET", 0.05).alias("VALUE_AT_RISK"),
-        F.count("RET").alias("N_RET"),
-    )
+    rows = window_rows(panel, windows, strict, classic=True)
     cum = _nz(safe_div(F.col("LAST_NAV"), F.col("FIRST_NAV")) - 1)
     return (
-        rows.where((F.col("N_RET") > 0) & _covered(strict))
+        rows.where(F.col("N_RET") > 0)
         .select(
             *GROUP,
             "START_DATE",

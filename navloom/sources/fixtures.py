@@ -55,7 +55,7 @@ GROUP BY c_mktsegment, date_trunc('year', o_orderdate), c_nationkey % 10""",
     "fx_ticks": "SELECT event_type AS code, ts AS trade_time, event_id AS seq, value AS price, value AS amount FROM {events}",
     "fx_ledger": """SELECT event_id AS seq, CAST(ts AS DATE) AS date, CASE WHEN event_type = 'click' THEN 'Sell' ELSE 'Buy' END AS type, CAST(user_id AS VARCHAR(20)) AS ticker,
        CASE WHEN event_type = 'click' THEN CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) / 10 ELSE 1 + CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) END AS quantity, value AS price
-FROM {events} WHERE event_type <> 'error'""",
+FROM {events}""",
     "fx_valuation": """SELECT END_DATE AS TRADE_DT, TICKER_SYMBOL, 5 + ADJ_NAV / 1000 AS PE_TTM, 1 + ADJ_NAV / 5000 AS PB_LF, 1 + 100 / (50 + ADJ_NAV) AS DIVIDEND_YIELD
 FROM {fx_nav_long}""",
     "fx_yield": """SELECT TRADE_DT AS END_DATE, 'GOV' AS CURVE, 2 + CAST(extract(day FROM TRADE_DT) AS DOUBLE) / 100 AS YIELD FROM {fx_days}

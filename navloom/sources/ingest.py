@@ -1,14 +1,17 @@
 """Loading and keeping tables: upsert, watermark loads, tombstones, partitioned writes.
 
 A table is a parquet dataset.  Parquet has no row-level merge, so a change rewrites the touched partitions: the merged rows are
-first written next to the table and then replace the partitions, one by one.  The change is not atomic across partitions;
-running it again with the same batch gives the same table.
+first written to the shared folder, a note beside the table names them, and then they replace the partitions.  A job that dies
+while it replaces leaves the note; the next change of the table first finishes what the note says.  The change is not atomic
+across partitions for readers; running it again with the same batch gives the same table.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,16 +39,28 @@ def normalise(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def merge_rows(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Upsert: rows of the batch replace stored rows with the same key; within the batch the last by ``order`` wins."""
-    latest = keep_last(batch, list(keys), order) if order else batch.dropDuplicates(list(keys))
-    kept = stored.join(latest.select(*keys), list(keys), "left_anti")
-    return relaxed_union(kept, latest)
+def merge_rows(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], newest: bool = False) -> DataFrame:
+    """Upsert: rows of the batch replace stored rows with the same key; within the batch the last by ``order`` wins.
+
+    ``newest`` compares with the stored row too, so that a late batch does not undo a newer one.
+    """
+    if not order:
+        raise ValueError("an upsert needs the order that makes one row of a key the last")
+    latest = keep_last(batch, list(keys), order)
+    if newest:
+        return keep_last(relaxed_union(stored, latest), list(keys), order)
+    return _replaced(stored, latest, keys)
+
+
+def _replaced(stored: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return relaxed_union(stored.join(latest.select(*keys), list(keys), "left_anti"), latest)
 
 
-def insert_missing(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert-ignore: only rows whose key is not stored yet."""
-    fresh = batch.dropDuplicates(list(keys)).join(stored.select(*keys), list(keys), "left_anti")
+def insert_missing(stored: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Insert-ignore: only rows whose key is not stored yet, of a key in the batch the first by ``order``."""
+    rest = [c for c in batch.columns if c not in keys]
+    first = batch.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*")
+    fresh = first.select(*[c for c in batch.columns if c in stored.columns]).join(stored.select(*keys), list(keys), "left_anti")
     return relaxed_union(stored, fresh)
 
 
@@ -98,45 +113,115 @@ def mirror(source: DataFrame, target: DataFrame, job: Mirror, codes: DataFrame |
 # --- datasets on the file system ---
 
 
+BUCKET = "_BUCKET"  # partition column of tables that have none of their own
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read back, so that a dataset can be replaced while the plan reads it."""
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def _note(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows written to the shared folder and read back; the files go when the block ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staging-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(spark, path)
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int = 8) -> DataFrame:
+    """Adds the partition column ``BUCKET``, a hash of the key, so that a change touches a part of a table."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
 
+def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+    finish_pending(spark, path)
+    return spark.read.parquet(path).drop(BUCKET)
 
-def write_dataset(df: DataFrame, path: str, partition: Sequence[str] = (), action: str = "update", keys: Sequence[str] = (), excluded: Sequence[str] = ()) -> None:
+
+def _replace(rows: DataFrame, path: str, partition: Sequence[str]) -> None:
+    writer = rows.write.mode("overwrite")
+    if partition:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
+    writer.parquet(path)
+
+
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Do what the note of an interrupted change says; without a note nothing."""
+    if not _exists(spark, _note(path)):
+        return
+    lines = spark.read.text(_note(path)).collect()
+    try:
+        note = json.loads("".join(r[0] for r in lines))
+    except ValueError:  # the job died while it wrote the note, the table is untouched
+        _remove(spark, _note(path))
+        return
+    if _exists(spark, note["rows"]):
+        _replace(spark.read.schema(T.StructType.fromJson(note["schema"])).parquet(note["rows"]), path, note["partition"])
+    _remove(spark, _note(path))
+    _remove(spark, note["rows"])
+
+
+def _publish(rows: DataFrame, path: str, partition: Sequence[str]) -> None:
+    """Rows that a plan makes from the dataset itself: written aside, noted, then put in place."""
+    spark = rows.sparkSession
+    aside = f"{shared_dir(spark)}/staging-{uuid.uuid4().hex}"
+    rows.write.parquet(aside)
+    fs, note = _file_system(spark, _note(path))
+    out = fs.create(note, True)
+    out.write(bytearray(json.dumps({"rows": aside, "partition": list(partition), "schema": rows.schema.jsonValue()}).encode()))
+    out.close()
+    finish_pending(spark, path)
+
+
+def write_dataset(
+    df: DataFrame, path: str, partition: Sequence[str] = (), action: str = "update", keys: Sequence[str] = (), excluded: Sequence[str] = (), order: Sequence[str] = (), newest: bool = False
+) -> None:
     """Write rows to a parquet dataset.
 
-    ``update`` merges by key into the touched partitions only, ``overwrite`` replaces those partitions (the whole dataset when it
-    has none), ``skip`` leaves an existing dataset alone.
+    ``update`` merges by key into the touched partitions only, the last row of a key by ``order`` first (``newest``: compared
+    with the stored row too); ``overwrite`` replaces those partitions (the whole dataset when it has none); ``skip`` leaves an
+    existing dataset alone.
     """
     if action not in ("update", "overwrite", "skip"):
         raise ValueError(f"unknown action {action}")
     spark = df.sparkSession
-    rows = df.drop(*excluded)
+    finish_pending(spark, path)
     present = _exists(spark, path)
     if present and action == "skip":
         return
-    if present and action == "update":
-        if not keys:
-            raise ValueError("update needs the unique key")
+    rows = df
+    if action == "update":
+        if not keys or not order:
+            raise ValueError("update needs the unique key, and the order that makes one row of a key the last")
+        rows = keep_last(rows, list(keys), order)
+    rows = rows.drop(*excluded)
+    if not (present and action == "update"):
+        _replace(rows, path, partition)
+        return
+    with staged(rows) as batch:
         stored = spark.read.parquet(path)
         if partition:
-            touched = rows.select(*partition).distinct()
-            stored = stored.join(touched, list(partition), "left_semi")
-        rows = staged(merge_rows(stored, rows, keys))
-    writer = rows.write.mode("overwrite")
-    if partition:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
-    writer.parquet(path)
+            stored = stored.join(batch.select(*partition).distinct(), list(partition), "left_semi")
+        _publish(merge_rows(stored, batch, keys, order, newest=True) if newest else _replaced(stored, batch, keys), path, partition)
 
 
 def export_snapshot(df: DataFrame, path: str, date: str, day: str) -> None:
@@ -145,16 +230,17 @@ def export_snapshot(df: DataFrame, path: str, date: str, day: str) -> None:
 
 
 def load_incremental(source: DataFrame, path: str, job: Mirror, codes: DataFrame | None = None) -> None:
-    """Mirror job against a stored dataset."""
+    """Mirror job against a stored dataset, which is kept in buckets of the key; a load rewrites the buckets that it touches."""
     spark = source.sparkSession
     renamed = harmonise(source, job.rename, job.drop)
+    finish_pending(spark, path)
     target = spark.read.parquet(path) if _exists(spark, path) else renamed.limit(0)
-    write_dataset(mirror(source, target, job, codes), path, action="update", keys=job.keys)
+    write_dataset(bucketed(mirror(source, target, job, codes), job.keys), path, [BUCKET], "update", job.keys, order=[job.watermark])
 
 
-def copy_table(source: DataFrame, path: str, keys: Sequence[str]) -> None:
+def copy_table(source: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
     """Whole table into another store, merged by key."""
-    write_dataset(source, path, action="update", keys=keys)
+    write_dataset(bucketed(source, keys), path, [BUCKET], "update", keys, order=order)
 
 
 def write_query(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None) -> None:

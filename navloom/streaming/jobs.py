@@ -13,16 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from navloom.operators.aggregates import keep_last
-from navloom.sources.ingest import _exists, staged, write_dataset
+from navloom.sources.ingest import BUCKET, bucketed, staged, write_dataset
 
 WATERMARK = "5 days"  # fixed value: how late a correction may be (trailing days of the daily re-run)
 
 
-def file_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    """Stream over the parquet files of a folder or glob pattern, with the schema of the files already there."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Stream over the parquet files of a folder or glob pattern, with the schema of the files already there.
+
+    A batch takes all files that are there, or at most ``files_per_batch``.
+    """
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
 
 def with_event_time(df: DataFrame, column: str) -> DataFrame:
@@ -46,20 +48,17 @@ def upsert_latest(path: str, keys: Sequence[str], order: Sequence[str]) -> Calla
     """Keep the newest row per key over all batches; running a batch twice changes nothing."""
 
     def each(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        rows = keep_last(batch, list(keys), list(order))
-        if _exists(spark, path):
-            rows = staged(keep_last(spark.read.parquet(path).unionByName(rows), list(keys), list(order)))
-        rows.write.mode("overwrite").parquet(path)
+        write_dataset(bucketed(batch, keys), path, [BUCKET], "update", keys, order=order, newest=True)
 
     return each
 
 
 def upsert_rows(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Rows of the batch replace stored rows with the same key (results of an aggregation in update mode)."""
+    """Rows of the batch replace stored rows with the same key: results of an aggregation by that key in update mode, so the
+    key is unique in a batch and any order will do."""
 
     def each(batch: DataFrame, _: int) -> None:
-        write_dataset(batch, path, action="update", keys=keys)
+        write_dataset(bucketed(batch, keys), path, [BUCKET], "update", keys, order=list(keys))
 
     return each
 
@@ -109,16 +108,21 @@ def without_duplicates(df: DataFrame, keys: Sequence[str], time: str, delay: str
     return with_event_time(df, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def late_corrections(raw: str, daily: str, date: str, key: Sequence[str], group: Sequence[str], aggregates: Sequence[Column]) -> Callable[[DataFrame, int], None]:
-    """Merge a batch into the raw rows and compute again only the dates it touches."""
+def late_corrections(
+    raw: str, daily: str, date: str, key: Sequence[str], group: Sequence[str], aggregates: Sequence[Column], order: Sequence[str] = ()
+) -> Callable[[DataFrame, int], None]:
+    """Merge a batch into the raw rows and compute again only the dates it touches.
+
+    ``order`` says which of several rows of a key in one batch is the last; without it the key must be unique in a batch.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        kept = staged(batch)
-        write_dataset(kept, raw, [date], "update", [*key, date])
-        touched = kept.select(date).distinct()
-        rows = spark.read.schema(batch.schema).parquet(raw).join(touched, date, "left_semi")
-        write_dataset(rows.groupBy(date, *group).agg(*aggregates), daily, [date], "overwrite")
+        with staged(batch) as kept:
+            write_dataset(kept, raw, [date], "update", [*key, date], order=list(order) or list(key))
+            touched = kept.select(date).distinct()
+            rows = spark.read.schema(batch.schema).parquet(raw).join(touched, date, "left_semi")
+            write_dataset(rows.groupBy(date, *group).agg(*aggregates), daily, [date], "overwrite")
 
     return each
 

@@ -63,30 +63,50 @@ def test_weight_sum_check_fails_with_note(spark):
     assert out["P"][0] == "失败" and out["P"][1] and out["Q"] == ("通过", None)
 
 
-def test_band_join_beyond_the_broadcast_bound(spark, monkeypatch):
-    import navloom.operators.joins as j
-
-    df = spark.createDataFrame([(float(i) / 2,) for i in range(40)], "x double")
-    bands = spark.createDataFrame([(0.0, 4.5, "low"), (5.0, 12.0, "mid")], "MIN double, MAX double, LEVEL string")
-    plain = sorted((r["x"], r["LEVEL"] or "") for r in band_join(df, bands, "x").collect())
-    monkeypatch.setattr(j, "broadcast_checked", lambda *_: None)
-    cells = sorted((r["x"], r["LEVEL"] or "") for r in band_join(df, bands, "x").collect())
-    assert plain == cells and len(plain) == 40
+def test_band_join_takes_wide_open_and_odd_bands(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [k / 2 for k in range(-8, 60)] + [1e12, -1e12, None, nan]
+    rows = [(0.0, 4.5, "low"), (5.0, 12.0, "mid"), (11.0, 12.0, "both"), (20.0, inf, "open"), (-inf, -3.0, "below"), (-1e15, 1e15, "wide"), (None, 3.0, "none"), (nan, 3.0, "nan"), (9.0, 8.0, "empty")]
+    rows += [(30 + k / 100, 30 + k / 100, f"p{k}") for k in range(3000)]
+    found = band_join(spark.createDataFrame([(v,) for v in values], "x double"), spark.createDataFrame(rows, "MIN double, MAX double, LEVEL string"), "x").collect()
+    want = []
+    for v in values:
+        hits = [n for a, b, n in rows if v is not None and v == v and a is not None and a == a and a <= v <= b]
+        want += [(v, n) for n in hits] or [(v, None)]
+    assert sorted(map(str, ((r["x"], r["LEVEL"]) for r in found))) == sorted(map(str, want))
 
 
-def test_fan_out_by_month_equals_nested_windows(spark, monkeypatch):
+def test_fan_out_takes_many_windows(spark, monkeypatch):
     import navloom.operators.joins as j
 
     days = pd.date_range("2024-01-01", "2024-04-30")
     panel = spark.createDataFrame(pd.DataFrame({"TICKER_SYMBOL": "t", "END_DATE": days.date, "NAV": 1.0}))
-    spans = pd.DataFrame({"START_DATE": pd.to_datetime(["2024-01-10", "2024-02-29"]).date, "END_DATE": pd.to_datetime(["2024-03-05", "2024-03-01"]).date})
+    spans = pd.DataFrame({"START_DATE": pd.to_datetime(["2024-01-10", "2024-02-29", "2024-03-05"]).date, "END_DATE": pd.to_datetime(["2024-03-05", "2024-03-01", "2024-01-01"]).date})
     windows = spark.createDataFrame(spans)
-    a = fan_out(panel, windows).groupBy("WIN_START", "WIN_END").count().orderBy("WIN_START").collect()
-    monkeypatch.setattr(j, "MAX_NESTED_WINDOWS", 0)
+    out = fan_out(panel, windows)
+    assert "NestedLoop" not in out._jdf.queryExecution().toString()
+    a = out.groupBy("WIN_START", "WIN_END").count().orderBy("WIN_START").collect()
+    monkeypatch.setattr(j, "pin_small", lambda *_: None)
     b = fan_out(panel, windows).groupBy("WIN_START", "WIN_END").count().orderBy("WIN_START").collect()
     assert a == b and [r["count"] for r in a] == [56, 2]
 
 
+def test_covariance_of_many_entities(spark):
+    import numpy as np
+
+    from navloom.operators.aggregates import annualised_covariance
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(6, 700))
+    rows = [(f"e{k}", d, float(x[d, k])) for d in range(6) for k in range(700)] + [("e1", 9, 1.0), (None, 1, 2.0)]
+    out = annualised_covariance(spark.createDataFrame(rows, "k string, d int, v double"), "k", "d", "v", 1).toPandas()
+    assert len(out) == 700 * 700
+    full = np.cov(x.T)
+    got = np.empty((700, 700))
+    got[out["A"].str[1:].astype(int), out["B"].str[1:].astype(int)] = out["COV"]
+    np.testing.assert_allclose(got, full, atol=1e-10)
+
+
 def test_densify_carries_values_to_the_last_day(spark):
     days = spark.createDataFrame(pd.DataFrame({"TRADE_DT": pd.bdate_range("2024-01-01", "2024-01-10").date}))
     panel = spark.createDataFrame(pd.DataFrame({"k": ["a", "a", "b", "a"], "d": pd.to_datetime(["2024-01-02", "2024-01-05", "2024-01-09", "2024-01-06"]).date, "v": [1.0, 2.0, 3.0, 9.0]}))

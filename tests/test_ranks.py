@@ -83,3 +83,12 @@ def test_quantile_groups_are_equal_sized_and_small_groups_are_one(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(20)] + [("b", 1.0), ("b", 2.0)], "g string, v double")
     out = ranks.quantile_group(df, 5, ["g"], [F.col("v")], "q").groupBy("g", "q").count().collect()
     assert {(r["g"], r["q"]): r["count"] for r in out} == {("a", 1): 4, ("a", 2): 4, ("a", 3): 4, ("a", 4): 4, ("a", 5): 4, ("b", 1): 2}
+
+
+@pytest.mark.parametrize("block_rows", [1_000_000, 5])
+def test_quantiles_keep_null_groups_and_weigh_alike(spark, block_rows):
+    rows = [(None, float(k * k % 37) / 7) for k in range(41)] + [("a", float(k)) for k in range(10)] + [("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = ranks.quantiles(df, ["g"], "v", {"q1": 0.25, "q2": 0.37, "q3": 0.9}, [F.count("v").alias("n")], block_rows=block_rows).collect()
+    want = df.where("v IS NOT NULL").groupBy("g").agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.37).alias("q2"), F.percentile("v", 0.9).alias("q3"), F.count("v").alias("n")).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 2

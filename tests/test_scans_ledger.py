@@ -28,6 +28,13 @@ def test_recurrence_and_total(spark, block):
     np.testing.assert_allclose(got["total"], totals, rtol=1e-9, atol=1e-9)
 
 
+def test_null_keys_stay(spark):
+    df = spark.createDataFrame([(None, k, 1.0) for k in range(40)] + [("a", k, 2.0) for k in range(40)], "k string, t int, c double")
+    rows = running_total(numbered(df, ["k"], [F.col("t")], 7), ["k"], "c", "total")
+    got = linear_recurrence(rows, ["k"], F.lit(1.0), F.col("c"), "x", 7).orderBy("k", "t").collect()
+    assert [(r.k, r.total, r.x) for r in got] == [(None, k + 1.0, k + 1.0) for k in range(40)] + [("a", 2.0 * k + 2, 2.0 * k + 2) for k in range(40)]
+
+
 def fold(pdf):
     out = []
     for _, g in pdf.sort_values(["date", "seq"]).groupby("ticker"):

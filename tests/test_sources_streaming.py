@@ -34,13 +34,55 @@ def test_update_touches_only_its_partitions(spark, fresh):
     path = fresh()
     base = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 1.0), ("b", 1, 1.0)], "k string, d int, v double")
     ingest.write_dataset(base, path, ["d"], "overwrite")
-    ingest.write_dataset(spark.createDataFrame([("a", 1, 5.0), ("c", 1, 6.0)], "k string, d int, v double"), path, ["d"], "update", ["k", "d"])
+    ingest.write_dataset(spark.createDataFrame([("a", 1, 5.0), ("c", 1, 6.0)], "k string, d int, v double"), path, ["d"], "update", ["k", "d"], order=["v"])
     got = sorted((r["k"], r["d"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [("a", 1, 5.0), ("a", 2, 1.0), ("b", 1, 1.0), ("c", 1, 6.0)]
     ingest.write_dataset(base.limit(0), path, ["d"], "skip")
     assert spark.read.parquet(path).count() == 4
 
 
+def test_the_last_row_of_a_key_wins(spark, fresh):
+    batch = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 1), (1, "mid", 1)], "k int, v string, at int")
+    stored = spark.createDataFrame([(1, "stored"), (3, "stored")], "k int, v string")
+    merged = ingest.merge_rows(stored, batch, ["k"], ["at"]).select("k", "v")
+    assert sorted(map(tuple, merged.collect())) == [(1, "new"), (2, "x"), (3, "stored")]
+    kept = ingest.insert_missing(stored.limit(0), batch, ["k"], ["at", "v"])
+    assert sorted(map(tuple, kept.collect())) == [(1, "mid"), (2, "x")]
+    with pytest.raises(ValueError):
+        ingest.merge_rows(stored, batch, ["k"], [])
+    with pytest.raises(ValueError):
+        ingest.write_dataset(batch, fresh(), action="update", keys=["k"])
+
+
+def test_an_update_leaves_other_buckets_alone(spark, fresh):
+    path = fresh()
+    rows = spark.range(200).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    files = lambda: {r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()}
+    ingest.copy_table(rows, path, ["k"], ["v"])
+    before = files()
+    ingest.copy_table(spark.createDataFrame([(5, 9)], "k long, v int"), path, ["k"], ["v"])
+    gone = before - files()
+    assert gone and len({f.split("/")[-2] for f in gone}) == 1 and {f.split("/")[-2] for f in before} == {f"{ingest.BUCKET}={k}" for k in range(8)}
+    assert ingest.read_dataset(spark, path).agg(F.sum("v")).first()[0] == 208
+
+
+def test_an_interrupted_change_is_finished(spark, fresh, monkeypatch):
+    path = fresh()
+    ingest.copy_table(spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("v")), path, ["k"], ["v"])
+    real = ingest._replace
+
+    def dies(rows, target, partition):
+        ingest._remove(spark, target)  # as if the partitions were deleted and the job lost before the new ones came
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "_replace", dies)
+    with pytest.raises(RuntimeError):
+        ingest.copy_table(spark.range(50).select(F.col("id").alias("k"), F.lit(2).alias("v")), path, ["k"], ["v"])
+    monkeypatch.setattr(ingest, "_replace", real)
+    assert ingest.read_dataset(spark, path).agg(F.sum("v")).first()[0] == 100
+    assert not ingest._exists(spark, ingest._note(path))
+
+
 def test_watermark_on_an_empty_target_takes_everything(spark):
     src = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     assert ingest.after_watermark(src, "id", src.limit(0)).count() == 2
@@ -62,7 +104,7 @@ def test_upsert_stream_over_files_is_idempotent(spark, fresh):
     _parts(spark, src, [pd.DataFrame({"k": [1, 2], "n": [1, 5], "v": ["a", "b"]}), pd.DataFrame({"k": [1, 2], "n": [2, 4], "v": ["c", "d"]})])
     for checkpoint in (cp, fresh()):  # a second run from scratch reads everything again
         jobs.run(jobs.file_stream(spark, src), checkpoint, jobs.upsert_latest(out, ["k"], ["n"]), "append")
-        assert sorted((r["k"], r["v"]) for r in spark.read.parquet(out).collect()) == [(1, "c"), (2, "b")]
+        assert sorted((r["k"], r["v"]) for r in ingest.read_dataset(spark, out).collect()) == [(1, "c"), (2, "b")]
 
 
 def test_stateful_drawdown_carries_the_high_over_batches(spark, fresh):
