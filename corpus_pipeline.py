@@ -26,17 +26,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the longest document, then the one with the smallest id; a row that repeats it goes too."""
-    kept = exact_dedup(docs).where("kept").select("row.*", "text_sha256")
-    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        return kept.drop("text_sha256")
-    return kept.dropDuplicates(["doc_id", "text_sha256"]).drop("text_sha256")
+    kept = exact_dedup(docs).where("kept")
+    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        kept = kept.withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "text_sha256"])
+    return kept.select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of 5-word shingle sets at 80 percent connect, the one with the smallest id."""
     found = jaccard_components(docs, width=5, percent=80)
     losers, n = measured(found.where("component <> id").select(F.col("id").alias("loser")).distinct())
-    return docs.join(broadcast_if_small(losers, n), F.col("doc_id") == F.col("loser"), "left_anti")
+    losers = broadcast_if_small(losers, n)
+    return docs.join(losers, docs.doc_id == losers.loser, "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
