@@ -621,6 +621,38 @@ def l01_classification(spark, sf):
     return lb.class_paths(lb.classify(funds)).select(T, *LEVELS, "PATH_2", "PATH_3")
 
 
+_MIX = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+_RATIOS = {
+    "EQUITY_RATIO_IN_NA": "ECONOMY + LARGE", "BOND_RATIO_IN_NA": "MEDIUM + PROMO + SMALL + STANDARD", "COVERTBOND_RATIO_IN_NA": "SMALL", "RISK_EXPOSURE": "ECONOMY + LARGE + 0.5 * SMALL",
+    "EQUITY_TO_COVERTBOND": "(ECONOMY + LARGE) / (SMALL + 0.0001)", "CREDIT_TO_INTEREST": "STANDARD / (MEDIUM + PROMO + 0.0001)", "F_PRT_HKSTOCKVALUETONAV": "PROMO",
+}
+CLASS_CHAIN = {
+    **CLASS_IN,
+    "fx_class_raw": CLASS_IN["fx_class_in"],
+    "fx_mix": "SELECT FUND_ID, REPORT_DATE, " + ", ".join(f"sum(CASE WHEN SECTOR = '{m}' THEN CAST(round(MARKET_VALUE * 100) AS BIGINT) ELSE 0 END)::DOUBLE / sum(CAST(round(MARKET_VALUE * 100) AS BIGINT))::DOUBLE * 100 AS {m}" for m in _MIX) + " FROM fx_holdings GROUP BY 1, 2",
+    "fx_mix4": "SELECT FUND_ID, " + ", ".join(f"avg({e}) AS {n}" for n, e in _RATIOS.items()) + " FROM fx_mix WHERE REPORT_DATE IN (SELECT DISTINCT REPORT_DATE FROM fx_holdings ORDER BY 1 DESC LIMIT 4) GROUP BY 1",
+    "fx_class_in": f"SELECT r.* EXCLUDE ({', '.join(_RATIOS)}), m.* EXCLUDE (FUND_ID) FROM fx_class_raw r JOIN fx_mix4 m ON m.FUND_ID = r.TICKER_SYMBOL",
+}
+
+
+@register("l01_classification_from_holdings", "SELECT TICKER_SYMBOL, LEVEL_1, LEVEL_2, LEVEL_3, round(RISK_EXPOSURE, 6) AS RISK_EXPOSURE FROM fx_class3", CLASS_CHAIN)
+def l01_classification_from_holdings(spark, sf):
+    """Holdings to shares of each report, exposure and bond ratios, their means over four reports, then the rule tree."""
+    mv = F.round(F.col("MARKET_VALUE") * 100).cast("bigint")
+    holdings = fx.view(spark, sf, "fx_holdings")
+    mix = holdings.groupBy("FUND_ID", "REPORT_DATE").agg(*[(F.sum(F.when(F.col("SECTOR") == m, mv).otherwise(0)).cast("double") / F.sum(mv).cast("double") * 100).alias(m) for m in _MIX])
+    mix = mix.withColumn("BOND", F.col("MEDIUM") + F.col("PROMO") + F.col("SMALL") + F.col("STANDARD"))
+    split = lb.bond_split(mix, ["MEDIUM", "PROMO"], "BOND", "SMALL")
+    equity, convertible = F.col("ECONOMY") + F.col("LARGE"), F.col("SMALL")
+    ratios = split.select(
+        "FUND_ID", "REPORT_DATE", equity.alias("EQUITY_RATIO_IN_NA"), F.col("BOND").alias("BOND_RATIO_IN_NA"), convertible.alias("COVERTBOND_RATIO_IN_NA"), (equity + 0.5 * convertible).alias("RISK_EXPOSURE"),
+        (equity / (convertible + lb.EPSILON)).alias("EQUITY_TO_COVERTBOND"), (F.col("CREDIT_BOND") / (F.col("INTEREST_BOND") + lb.EPSILON)).alias("CREDIT_TO_INTEREST"), F.col("PROMO").alias("F_PRT_HKSTOCKVALUETONAV"),
+    )
+    means = agg.last_periods_mean(ratios, ["FUND_ID"], "REPORT_DATE", 4, list(_RATIOS)).withColumnRenamed("FUND_ID", T)
+    funds = spark.sql(CLASS_IN["fx_class_in"], supplier=fx.table(spark, sf, "supplier")).drop(*_RATIOS)
+    return lb.classify(funds.join(means, T)).select(T, *LEVELS, F.round("RISK_EXPOSURE", 6).alias("RISK_EXPOSURE"))
+
+
 @register("a14_update_join_patch", "SELECT TICKER_SYMBOL, END_DATE, CASE WHEN TICKER_SYMBOL IN ('S1', 'S2') THEN ADJ_NAV * 2 ELSE ADJ_NAV END AS ADJ_NAV FROM fx_nav_long")
 def a14_update_join_patch(spark, sf):
     nav = fx.view(spark, sf, "fx_nav_long")

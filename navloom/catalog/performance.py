@@ -9,21 +9,20 @@ from navloom.operators.calendars import period_table, window_table
 from navloom.operators.joins import fan_out
 from navloom.operators.ranks import fits, peer_rank
 from navloom.plans import performance as perf
-from navloom.session import cut_lineage
 from navloom.sources import fixtures as fx
 
-# horizons that fit into the history of the test tables
-SPEC = {"WEEK": [1], "MONTH": [1, 2, 3, 6, 9], "YEAR": [1, 2, 3, 4, 5, 6]}
+TRAILING = 5  # fixed value: end dates that the daily run computes again
+SPEC = {"WEEK": [1], "MONTH": [1, 2, 3, 6, 9], "YEAR": list(range(1, 11))}
 
 STEPS_SQL = ", ".join(
     f"('近{n}{cn}', {months}, {days})"
     for n, cn, months, days in [(1, "周", 0, 7)]
     + [(n, "月", n, 0) for n in (1, 2, 3, 6, 9)]
-    + [(n, "年", 12 * n, 0) for n in range(1, 7)]
+    + [(n, "年", 12 * n, 0) for n in range(1, 11)]
 )
 
 WINDOW_VIEWS = {
-    "fx_ends": "SELECT TRADE_DT AS END_DATE FROM fx_trading ORDER BY TRADE_DT DESC LIMIT 2",
+    "fx_ends": f"SELECT TRADE_DT AS END_DATE FROM fx_trading ORDER BY TRADE_DT DESC LIMIT {TRAILING}",
     "fx_snap": "SELECT TRADE_DT AS DAY, CASE WHEN IF_TRADING_DAY = 1 THEN TRADE_DT ELSE PREV_TRADE_DATE END AS SNAP FROM fx_cal",
     "fx_steps": f"SELECT * FROM (VALUES {STEPS_SQL}) AS v(DATE_NAME, M, D)",
     "fx_windows": """
@@ -88,7 +87,7 @@ WINDOW w AS (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE)""",
 
 def fund_windows(spark, sf):
     cal = fx.calendar(spark, sf)
-    ends = cal.where("IF_TRADING_DAY = 1").select(F.col("TRADE_DT").alias("END_DATE")).orderBy(F.desc("END_DATE")).limit(2)
+    ends = cal.where("IF_TRADING_DAY = 1").select(F.col("TRADE_DT").alias("END_DATE")).orderBy(F.desc("END_DATE")).limit(TRAILING)
     return window_table(cal, ends, spec=SPEC)
 
 
@@ -120,7 +119,7 @@ def performance_peer_rank(spark, sf):
     group = ["END_DATE", "DATE_NAME", "LEVEL_1"]
     # a fund has one row per window, so the largest class bounds the groups; only the class table is measured
     small = fits(classes, ["LEVEL_1"])
-    ranked = peer_rank(named if small else cut_lineage(named), "CUM_RETURN", group, pct="RANK_PCT", text="RANK_TEXT", bounded=small)
+    ranked = peer_rank(named, "CUM_RETURN", group, pct="RANK_PCT", text="RANK_TEXT", bounded=small)
     return ranked.select("TICKER_SYMBOL", "LEVEL_1", "DATE_NAME", "START_DATE", "END_DATE", *STAT_COLS, "MAXDD_RECOVER", "MAXDD_DATE", F.round("RANK_PCT", 6).alias("RANK_PCT"), "RANK_TEXT")
 
 

@@ -341,7 +341,7 @@ SHEET = {
     **PEER,
     "fx_spans": "SELECT DISTINCT START_DATE AS WIN_START, END_DATE AS WIN_END FROM (SELECT START_DATE, END_DATE FROM fx_windows UNION ALL SELECT LISTED_DATE, END_DATE FROM fx_pinfo, fx_ends) u",
     "fx_lab": "SELECT 'ALL' AS O, DATE_NAME, START_DATE, END_DATE FROM fx_windows UNION ALL SELECT PORTFOLIO_NAME, '成立日', LISTED_DATE, END_DATE FROM fx_pinfo, fx_ends",
-    "fx_shown": "SELECT i.*, CASE WHEN INCLUDE_QDII = 1 THEN (SELECT min(END_DATE) FROM fx_ends) ELSE (SELECT max(END_DATE) FROM fx_ends) END AS E FROM fx_pinfo i",
+    "fx_shown": "SELECT i.*, CASE WHEN INCLUDE_QDII = 1 THEN (SELECT END_DATE FROM fx_ends ORDER BY END_DATE DESC LIMIT 1 OFFSET 1) ELSE (SELECT max(END_DATE) FROM fx_ends) END AS E FROM fx_pinfo i",
     "fx_sheet": "SELECT s.PORTFOLIO_NAME, s.E AS END_DATE, s.LISTED_DATE, " + ", ".join(f'max(q.CUM_RETURN) FILTER (WHERE l.DATE_NAME = \'{c}\') AS "{c}"' for c in _CYCLES) + ", max(q.MAXDD) FILTER (WHERE l.DATE_NAME = '成立日') AS \"最大回撤\" FROM fx_shown s JOIN fx_q_stats q ON q.TICKER_SYMBOL = s.PORTFOLIO_NAME AND q.END_DATE = s.E AND q.START_DATE = q.WIN_START AND q.WIN_END = q.END_DATE JOIN fx_lab l ON l.START_DATE = q.START_DATE AND l.END_DATE = q.END_DATE AND l.O IN ('ALL', s.PORTFOLIO_NAME) GROUP BY 1, 2, 3",
 }
 

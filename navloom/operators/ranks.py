@@ -1,8 +1,8 @@
 """Ranks, quantiles and equal-frequency groups that stay exact when one group holds a large share of all rows.
 
 A plain window by group sends a whole group through one task.  Each operator therefore first asks for the size of the
-largest group (one small aggregate).  Up to ``BLOCK_ROWS`` the plain window is used: one shuffle, one sort.  Beyond it equal
-values are pre-aggregated, a large group is cut into value blocks, the running count is taken inside each block and the block
+largest group.  The input is computed once, into a checkpoint that the question and the result both read.  Up to
+``BLOCK_ROWS`` the plain window is used: one shuffle, one sort.  Beyond it equal values are pre-aggregated, a large group is cut into value blocks, the running count is taken inside each block and the block
 offsets are added afterwards.  The cut points are the values whose hash falls into a fixed residue class, so they are a pure
 function of the data: a task that is run again after an executor loss makes the same cuts.
 """
@@ -32,20 +32,27 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def fits(df: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS) -> bool:
-    """One size check that several ranks over the same groups can share (pass it on as ``bounded``)."""
+    """Size check of a stored table, which several ranks over its groups can share (pass it on as ``bounded``)."""
     return largest_group(df, keys) <= block_rows
 
 
+def sized(df: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, bool]:
+    """The rows of a plan, computed once, and whether their groups fit."""
+    rows = cut_lineage(df)
+    return rows, fits(rows, keys, block_rows)
+
+
 def position_counts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per distinct order value of each group: ``_ORD, N_BEFORE, N_EQUAL, N_TOTAL``.
 
     ``order`` is ascending; negate a number to rank it downwards.  The distinct values are checkpointed because the blocked
     path reads them several times.
     """
-    keys = list(keys)
-    distinct = cut_lineage(
-        df.select(*keys, F.struct(*order).alias("_ORD")).groupBy(*keys, "_ORD").agg(F.count(F.lit(1)).alias("N_EQUAL"))
-    )
+    return _position_counts(df.select(*keys, F.struct(*order).alias("_ORD")), list(keys), block_rows)
+
+
+def _position_counts(placed: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+    distinct = cut_lineage(placed.groupBy(*keys, "_ORD").agg(F.count(F.lit(1)).alias("N_EQUAL")))
     if largest_group(distinct, keys) <= block_rows:
         w = Window.partitionBy(*keys).orderBy("_ORD")
         before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -121,7 +128,9 @@ def with_positions(
     """
     keys = list(keys)
     rows = df.withColumn("_ORD", F.struct(*order) if where is None else F.when(where, F.struct(*order)))
-    if bounded or largest_group(df, keys) <= block_rows:
+    if not bounded:
+        rows, bounded = sized(rows, keys, block_rows)
+    if bounded:
         w = Window.partitionBy(*keys).orderBy(F.col("_ORD").asc_nulls_last())
         ranked = F.col("_ORD").isNotNull()
         peers, whole = w.rangeBetween(Window.currentRow, Window.currentRow), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -131,7 +140,7 @@ def with_positions(
             F.when(ranked, F.count("_ORD").over(peers)).alias("N_EQUAL"),
             F.when(ranked, F.count("_ORD").over(whole)).alias("N_TOTAL"),
         )
-    counted = position_counts(df if where is None else df.where(where), keys, order, block_rows)
+    counted = _position_counts(rows.where(F.col("_ORD").isNotNull()).select(*keys, "_ORD"), keys, block_rows)
     return (
         rows.alias("r")
         .join(counted.alias("c"), _same("r", "c", keys) & (F.col("r._ORD") == F.col("c._ORD")), "left")
@@ -224,7 +233,9 @@ def quantiles(
     """
     keys = list(keys)
     present = df.where(F.col(value).isNotNull())
-    if bounded or fits(present, keys, block_rows):
+    if not bounded:
+        present, bounded = sized(present, keys, block_rows)
+    if bounded:
         return present.groupBy(*keys).agg(*[F.percentile(value, q).alias(name) for name, q in qs.items()], *extra)
     counts = position_counts(present, keys, [F.col(value).alias("V")], block_rows)
     aggs, outs = [], []

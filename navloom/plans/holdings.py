@@ -99,7 +99,7 @@ def quality_score(stocks: DataFrame, weights: DataFrame, measures: Sequence[str]
 
     The mean takes the trailing measures only, not the estimate; pass others in ``measures`` to change that.
     """
-    small = ranks.fits(stocks, [REPORT])
+    stocks, small = ranks.sized(stocks, [REPORT])
     scored = stocks
     for m in measures:
         scored = ranks.rank_fraction(scored, m, [REPORT], f"_{m}", bounded=small)

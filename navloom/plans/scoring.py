@@ -102,7 +102,7 @@ def alpha_total_score(
         F.sum(F.col("SCORE") * F.col("_PW") * F.col("_NW")).alias("TOTAL_SCORE"),
     )
     scored = scored.select(D, T, *levels, *[F.round(c, 8).alias(c) for c in (*names, "TOTAL_SCORE")])
-    small = ranks.fits(scored, [D, *levels])
+    scored, small = ranks.sized(scored, [D, *levels])
     for c in (*names, "TOTAL_SCORE"):
         scored = ranks.quantile_group(scored, groups, [D, *levels], [F.col(c), F.col(T)], f"{c}_GROUP", bounded=small)
     return scored
@@ -118,7 +118,7 @@ def inner_alpha_model(percentiles: DataFrame, levels: Sequence[str], changed: Da
     total = reduce(lambda a, b: a + b, [F.col(f"{n}_SCORE") * w for n, w in MODEL_WEIGHTS.items()])
     scored = scored.withColumn("TOTAL_SCORE", F.round(total, 6))
     flagged = scored.join(changed.select(T, F.lit(1).alias("IF_MANAGER_CHANGE_6M")).distinct(), T, "left").fillna({"IF_MANAGER_CHANGE_6M": 0})
-    small = ranks.fits(flagged, [D, *levels])
+    flagged, small = ranks.sized(flagged, [D, *levels])
     for name, column in (("IR_GROUP", "IR_SCORE"), ("MAXDD_GROUP", "MAXDD_SCORE"), ("ALPHA_GROUP", "ALPHA_SCORE"), ("TOTAL_SCORE_GROUP", "TOTAL_SCORE")):
         flagged = ranks.ntile(flagged, 10, [D, *levels], [-F.col(column), F.col(T)], name, bounded=small)
     return flagged
@@ -129,7 +129,7 @@ def screen(long: DataFrame, indicator: str, period: str, types: DataFrame, level
     values = long.where((F.col("INDICATOR") == indicator) & (F.col("PERIOD") == period) & F.col("VALUE").isNotNull())
     alive = info.where((F.col("ESTABLISH_DATE") <= as_of) & (F.coalesce("EXPIRE_DATE", F.to_date(F.lit("2099-12-31"))) >= as_of) & (F.col("NET_ASSET") >= min_asset))
     rows = values.join(types.select(T, *levels), T).join(alive.select(T, "IS_MAIN"), T).select(T, D, *levels, "IS_MAIN", "VALUE")
-    small = ranks.fits(rows, [D, *levels])
+    rows, small = ranks.sized(rows, [D, *levels])
     scored = ranks.percent_rank(rows, "VALUE", [D, *levels], "_PR", bounded=small)
     order = [-F.col("VALUE") if best_high else F.col("VALUE"), F.col(T)]
     out = ranks.ntile(scored.withColumn("SCORE", F.col("_PR") * 100).drop("_PR"), groups, [D, *levels], order, "GROUP_NO", bounded=small)
