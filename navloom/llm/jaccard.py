@@ -160,10 +160,11 @@ def jaccard_components(rows: DataFrame, width: int = 3, percent: int = 90, id_co
     sets = cut_lineage(_prefixes(docs, sketch, width, percent))
     full = sets.where("size > 0 AND id IS NOT NULL")
     members = full.groupBy("set_hash").agg(F.min("id").alias("class"))
-    heads = full.join(members, "set_hash").where("id = class")
-    heads = cut_lineage(heads.join(heads.groupBy("id").agg(F.min("set_hash").alias("set_hash")), ["id", "set_hash"]).select("id", "set_hash", "size", "parts", "prefix", "salts").dropDuplicates(["id"]))
+    heads = full.join(members, "set_hash").where("id = class").groupBy("id").agg(F.min("set_hash").alias("set_hash"))
+    chosen = full.join(heads, ["id", "set_hash"]).dropDuplicates(["id", "set_hash"])
+    heads = cut_lineage(chosen.select("id", "set_hash", "size", "parts"))
 
-    posted = heads.select("id", "size", "salts", F.posexplode("prefix").alias("place", "gram"))
+    posted = chosen.select("id", "size", "salts", F.posexplode("prefix").alias("place", "gram"))
     salts = F.get("salts", F.col("place"))
     posted = posted.select("id", "size", "place", "gram", F.when(salts > 1, F.pmod(F.xxhash64("id"), salts)).alias("salt"))
     by_list = Window.partitionBy("gram", "salt")
@@ -181,9 +182,8 @@ def jaccard_components(rows: DataFrame, width: int = 3, percent: int = 90, id_co
 
     parts = components(links)
     entries = listed.select("id", "size", "place", "gram").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    entries = cut_lineage(entries)
     mixed = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-    entries = entries.join(mixed, "gram", "left_semi")
+    entries = cut_lineage(entries.join(mixed, "gram", "left_semi"))
     step = float(np.log(100 / percent))
     band = F.floor(F.log("size") / step + 1e-9).cast("int")
     left = entries.select("gram", band.alias("band"), F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("component").alias("part_a"))

@@ -40,7 +40,7 @@ def test_held_out_accuracy(spark, sf_dir):
 
 
 def test_odd_rows(spark, documents):
-    rows = [(k, "fine words here all day " * 4 + ("awfulword" if k % 4 == 0 else ""), None) for k in range(200)]
+    rows = [(k, f"fine words here all day {k} " * 4 + ("awfulword" if k % 4 == 0 else ""), None) for k in range(200)]
     docs = documents(*rows, (900, None), (901, ""), (902, "fine " * 50_000 + "awfulword awfulword"), (None, "awfulword"), (903, "awfulword"), (903, "awfulword"), extra=", score long, found long, id long, toxic long")
     labels = spark.createDataFrame([(k, int(k % 4 == 0), 3) for k in range(200)] + [(0, None, 1), (None, 1, 1), (0, 1, 1), (5, None, 2)], "doc_id long, toxic int, quality int")
     model = toxicity.learn(docs, labels)
