@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from navloom.catalog.base import half_up, register, rounded
 from navloom.catalog.aggregates import COV_VIEWS, index_returns
 from navloom.catalog.performance import WINDOW_VIEWS, clip, fund_windows, points_views
 from navloom.functions.series import by, daily_return
-from navloom.operators.aggregates import annualised_covariance
+from navloom.operators.aggregates import annualised_covariance, union_all
 from navloom.operators.calendars import period_ends
 from navloom.plans import alpha as al
 from navloom.plans import ledger as lg
@@ -136,6 +137,38 @@ def m05_backtest(spark, sf):
     return rounded(out.select("TEST_CODE", P, DAY, "NAV", "BENCH_NAV"))
 
 
+PROVIDERS = {
+    **BACK,
+    **MIX,
+    "fx_six": """SELECT 'fund' AS PROVIDER, TICKER_SYMBOL, END_DATE, NAV FROM fx_fund_nav
+UNION ALL SELECT 'portfolio', PORTFOLIO_NAME, TRADE_DT, 1 + ACC / 100 FROM fx_acc
+UNION ALL SELECT 'derived portfolio', PORTFOLIO_NAME, TRADE_DT, exp(sum(ln(1 + RR / 100)) OVER (PARTITION BY PORTFOLIO_NAME ORDER BY TRADE_DT ROWS UNBOUNDED PRECEDING)) FROM fx_t2 WHERE TEST_CODE = 'T2'
+UNION ALL SELECT 'inner benchmark', PORTFOLIO_NAME, TRADE_DT, exp(sum(ln(1 + INNER_RET / 100)) OVER (PARTITION BY PORTFOLIO_NAME ORDER BY TRADE_DT ROWS UNBOUNDED PRECEDING)) FROM fx_bret
+UNION ALL SELECT 'outer benchmark', TICKER_SYMBOL, END_DATE, ADJ_NAV FROM fx_nav_long
+UNION ALL SELECT 'peer portfolio', t.LEVEL_1, n.END_DATE, avg(n.NAV) FROM fx_fund_nav n JOIN fx_fund_type t USING (TICKER_SYMBOL) GROUP BY 2, 3""",
+}
+
+
+def nav_providers(spark, sf):
+    """NAV rows of the six providers in one panel."""
+    fund = fx.view(spark, sf, "fx_fund_nav")
+    peer = fund.join(fx.view(spark, sf, "fx_fund_type"), T).groupBy(F.col("LEVEL_1").alias(T), D).agg(F.avg("NAV").alias("NAV"))
+    days, rates = fx.trading_days(fx.calendar(spark, sf)), index_rates(spark, sf)
+    t = targets(spark, sf)
+    sizes = t.groupBy(P, DAY).agg((100.0 / F.count(F.lit(1))).alias("WEIGHT"))
+    equal = t.drop("WEIGHT").join(sizes, [P, DAY]).select(F.lit("T2").alias("TEST_CODE"), P, DAY, T, "WEIGHT")
+    derived = pf.backtest(equal, rates, days, rates.where("TICKER_SYMBOL = 'S1'")).select(F.col(P).alias(T), F.col(DAY).alias(D), "NAV")
+    inner = blended(spark, sf).select(F.col(P).alias(T), F.col(DAY).alias(D), F.exp(F.sum(F.log1p(F.col("BENCHMARK_RET_INNER") / 100)).over(by([P], DAY).rowsBetween(Window.unboundedPreceding, 0))).alias("NAV"))
+    outer = fx.view(spark, sf, "fx_nav_long").select(T, D, F.col("ADJ_NAV").alias("NAV"))
+    named = {"fund": fund, "portfolio": portfolio_nav(spark, sf), "derived portfolio": derived, "inner benchmark": inner, "outer benchmark": outer, "peer portfolio": peer}
+    return union_all([perf.typed_panel(df).withColumn("PROVIDER", F.lit(n)) for n, df in named.items()])
+
+
+@register("k14_six_nav_providers", f"SELECT PROVIDER, TICKER_SYMBOL, END_DATE, {half_up('NAV', 6)} AS NAV FROM fx_six", PROVIDERS)
+def k14_six_nav_providers(spark, sf):
+    return rounded(nav_providers(spark, sf).select("PROVIDER", T, D, "NAV"))
+
+
 CONTRIB = {
     **DRIFT,
     "fx_a0": "SELECT TICKER_SYMBOL, TRADE_DT, ln(1 + RETURN_RATE / 100) * 100 - avg(ln(1 + RETURN_RATE / 100) * 100) OVER (PARTITION BY TRADE_DT) AS LA FROM fx_ret WHERE RETURN_RATE IS NOT NULL",
