@@ -43,8 +43,8 @@ def targets(spark, sf):
     """Target weights moved to the first trading day on or after their date."""
     weights = fx.view(spark, sf, "fx_weights")
     days = fx.trading_days(fx.calendar(spark, sf)).withColumnRenamed(DAY, "_T")
-    dates = weights.select(DAY).distinct()
-    moved = dates.join(F.broadcast(days), F.col("_T") >= F.col(DAY)).groupBy(DAY).agg(F.min("_T").alias("_T"))
+    since = F.coalesce(F.date_add(F.lag("_T").over(by([F.lit(0)], "_T")), 1), F.date_sub("_T", 366))  # one row per trading day
+    moved = days.withColumn("_SINCE", since).select("_T", F.explode(F.sequence("_SINCE", "_T", F.expr("INTERVAL 1 DAY"))).alias(DAY))
     return weights.join(moved, DAY).select(P, F.col("_T").alias(DAY), T, "WEIGHT")
 
 
