@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from navloom.llm.common import quoted, text_of, whole_row
 from navloom.llm.spans import listed, spans_of
+from navloom.session import cut_lineage
 
 # Every pattern takes time in proportion to the text: no group is repeated, and a run is entered at its start alone.
 LOCAL = r"A-Za-z0-9._%+\x{E000}-"
@@ -158,7 +159,7 @@ def _reliabilities(patterns: Column, steps: int = 60) -> Column:
 def train_classifier(candidates: DataFrame) -> DataFrame:
     """By kind: ``bias`` and ``weights`` of a linear classifier of votes and traits, trained on the labels of the
     expectation-maximisation.  Candidates enter as counts of their patterns, at most 3^5 * 2^4 a kind."""
-    patterns = candidates.groupBy("kind", "votes", "traits").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    patterns = cut_lineage(candidates.groupBy("kind", "votes", "traits").agg(F.count(F.lit(1)).cast("double").alias("n")))
     by_votes = patterns.groupBy("kind", "votes").agg(F.sum("n").alias("n")).groupBy("kind").agg(F.collect_list(F.struct("votes", "n")).alias("patterns"))
     labels = by_votes.select("kind", F.explode(F.arrays_zip("patterns", _reliabilities(F.col("patterns")).alias("w"))).alias("p"))
     labels = labels.select("kind", F.col("p.patterns.votes").alias("votes"), F.col("p.w").alias("w"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navloom.llm.common import quoted, text_of, whole_row
+from navloom.llm.jaccard import hash_of, shingles
 
 PUNCTUATION = string.punctuation.encode()
 #: Bytes of the stems that a word shares with its inflected forms.
@@ -120,7 +121,8 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, per_class: int, seed: int) -> DataFrame:
-    """Distinct labelled texts: about ``per_class`` ids of each class at most, chosen by a hash of the id.
+    """Labelled texts: about ``per_class`` ids of each class at most, chosen by a hash of the id, and one of the near copies
+    of a class, so that the words of a text that was copied often do not look like words of its class.
 
     The bound makes the label table small enough to be broadcast, so that no text is shuffled to find its label.
     """
@@ -131,8 +133,24 @@ def labelled(docs: DataFrame, labels: DataFrame, per_class: int, seed: int) -> D
     for toxic, n in sizes.items():
         share = F.when(F.col("toxic") == toxic, min(1.0, per_class / n)).otherwise(share)
     chosen = labels.where(place < share).select(F.col("doc_id").alias("id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
-    texts = docs.join(F.broadcast(chosen), docs.doc_id == chosen.id).select("text", "toxic")
-    return texts.groupBy(F.sha2("text", 256).alias("sha")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
+    texts = docs.join(F.broadcast(chosen), docs.doc_id == chosen.id).select("text", "toxic").mapInPandas(_sketched, "text string, toxic int, hash long, a long, b long")
+    for key in ("a", "b"):
+        texts = texts.groupBy("toxic", key).agg(F.min_by(F.struct("text", "hash", "a", "b"), "hash").alias("t")).select("t.text", "toxic", "t.hash", "t.a", "t.b")
+    return texts.select("text", "toxic")
+
+
+def _sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Two smallest hashes of a text's 5-word n-grams under different orders: near copies mostly share one of them."""
+    known: dict[bytes, int] = {}
+    for frame in frames:
+        if len(known) > 500_000:
+            known.clear()
+        grams = [shingles(t, 5, known) for t in frame["text"]]
+        first = [int(g.min()) if len(g) else 0 for g in grams]
+        second = [int((g * np.uint64(0xD6E8FEB86659FD93)).min()) if len(g) else 0 for g in grams]
+        whole = [int.from_bytes(hash_of(g)[:8], "big") for g in grams]
+        keys = {n: np.array(v, dtype=np.uint64).view(np.int64) for n, v in (("hash", whole), ("a", first), ("b", second))}
+        yield pd.DataFrame({"text": frame["text"], "toxic": frame["toxic"]} | keys)
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior_share: float = 0.01, least_ratio: float = 10.0, least_rows: int = 3, lexicon: int = 50_000, drift: float = 0.2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
