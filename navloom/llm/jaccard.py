@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from navloom.llm.common import broadcast_if_small, measured, quoted, text_of
+from navloom.llm.common import BROADCAST_ROWS, broadcast_if_small, measured, quoted, text_of
 from navloom.llm.components import components
 from navloom.session import cut_lineage
+from navloom.sources.ingest import staged
 
 #: Counters of the frequency sketch; its size does not depend on the corpus.
 SKETCH = 1 << 18
@@ -87,7 +88,8 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) ->
                 order = np.lexsort((s, freq))[: n - -(-percent * n // 100) + 1] if n else np.zeros(0, dtype=np.int64)
                 out["size"].append(n)
                 out["set_hash"].append(hash_of(s))
-                out["parts"].append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PARTS).astype(np.int32).tobytes())
+                parts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PARTS)
+                out["parts"].append(parts.astype(np.uint8 if parts.max() < 256 else np.int32).tobytes())
                 out["prefix"].append(s[order].view(np.int64))
                 salts = freq[order] // HOT_LIST + 1
                 out["salts"].append(salts.astype(np.int32) if (salts > 1).any() else None)
@@ -111,9 +113,8 @@ def _possible(percent: int) -> Column:
 @F.pandas_udf(IntegerType())
 def _part_overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     """Suffix filter: no more n-grams are common than in the smaller of the two halves of each part."""
-    left = np.frombuffer(b"".join(a), dtype=np.int32).reshape(-1, PARTS)
-    right = np.frombuffer(b"".join(b), dtype=np.int32).reshape(-1, PARTS)
-    return pd.Series(np.minimum(left, right).sum(axis=1))
+    counts = lambda parts: np.stack([np.frombuffer(p, dtype=np.uint8 if len(p) == PARTS else np.int32).astype(np.int32) for p in parts])
+    return pd.Series(np.minimum(counts(a), counts(b)).sum(axis=1) if len(a) else [], dtype="int32")
 
 
 @F.pandas_udf(IntegerType())
@@ -157,11 +158,30 @@ def jaccard_components(rows: DataFrame, width: int = 3, percent: int = 90, id_co
     """
     docs = rows.select(F.col(quoted(id_col)).cast("long").alias("id"), text_of(text_col).alias("text"))
     sketch = frequency_sketch(docs, width)
-    sets = cut_lineage(_prefixes(docs, sketch, width, percent))
-    full = sets.where("size > 0 AND id IS NOT NULL")
-    members = full.groupBy("set_hash").agg(F.min("id").alias("class"))
+    with staged(_prefixes(docs, sketch, width, percent)) as prefixed:
+        sets = cut_lineage(prefixed.select("id", "size", "set_hash"))
+        members, links = _linked(docs, prefixed, sets.where("size > 0 AND id IS NOT NULL"), width, percent)
+    parts = components(links).select(F.col("id").alias("class"), "component")
+    classes = members.join(parts, "class", "left").select("set_hash", F.coalesce("component", "class").alias("component"))
+    found = sets.join(classes, "set_hash", "left")
+    own = F.when(F.col("id").isNotNull(), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")))
+    return found.select("id", F.col("size").cast("long").alias("n_shingles"), own.alias("component"))
+
+
+def _heads(prefixed: DataFrame, full: DataFrame, members: DataFrame) -> DataFrame:
+    """The prefixes of one row of each class: all rows but those that a small table of the others names."""
     heads = full.join(members, "set_hash").where("id = class").groupBy("id").agg(F.min("set_hash").alias("set_hash"))
-    chosen = full.join(heads, ["id", "set_hash"]).dropDuplicates(["id", "set_hash"])
+    others, n = measured(full.distinct().join(heads, ["id", "set_hash"], "left_anti").select("id", "set_hash"))
+    chosen = prefixed.where("size > 0 AND id IS NOT NULL").join(F.broadcast(others) if n <= 5 * BROADCAST_ROWS else others, ["id", "set_hash"], "left_anti")
+    rows = full.agg(F.count(F.lit(1)).alias("all"), F.count_distinct("id", "set_hash").alias("different")).first()
+    return chosen if rows["all"] == rows.different else chosen.dropDuplicates(["id", "set_hash"])
+
+
+def _linked(docs: DataFrame, prefixed: DataFrame, full: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal sets (``set_hash``, ``class``), and enough links (a, b) between classes to connect what is linked."""
+    full = full.select("id", "set_hash")
+    members = full.groupBy("set_hash").agg(F.min("id").alias("class"))
+    chosen = _heads(prefixed, full, members)
     heads = cut_lineage(chosen.select("id", "set_hash", "size", "parts"))
 
     posted = chosen.select("id", "size", "salts", F.posexplode("prefix").alias("place", "gram"))
@@ -169,32 +189,30 @@ def jaccard_components(rows: DataFrame, width: int = 3, percent: int = 90, id_co
     posted = posted.select("id", "size", "place", "gram", F.when(salts > 1, F.pmod(F.xxhash64("id"), salts)).alias("salt"))
     by_list = Window.partitionBy("gram", "salt")
     first = F.first(F.struct("id", "size", "place")).over(by_list.orderBy("place", "id"))
-    listed = posted.select("*", first.alias("hub"), F.lead("id").over(by_list.orderBy("place", "id")).alias("next"))
-    listed = listed.where("salt IS NOT NULL OR next IS NOT NULL OR id <> hub.id").drop("next")
-    listed = cut_lineage(listed)
-
-    near = listed.where("id <> hub.id").select(
-        F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.size").alias("size_a"), F.col("size").alias("size_b"), F.col("hub.place").alias("place_a"), F.col("place").alias("place_b")
-    )
-    pairs = near.where(_possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = cut_lineage(pairs)
-    links = _verified(pairs, heads, docs, width, percent)
-
-    parts = components(links)
+    posted = posted.select("*", first.alias("hub"), F.lead("id").over(by_list.orderBy("place", "id")).alias("next"))
+    posted = posted.where("salt IS NOT NULL OR next IS NOT NULL OR id <> hub.id").select("id", "size", "place", "gram", "hub")
+    with staged(posted) as listed:
+        near = listed.where("id <> hub.id").select(
+            F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.size").alias("size_a"), F.col("size").alias("size_b"), F.col("hub.place").alias("place_a"), F.col("place").alias("place_b")
+        )
+        pairs = cut_lineage(near.where(_possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        links = _verified(pairs, heads, docs, width, percent)
+        rest = cut_lineage(_between(listed, components(links), percent).join(pairs, ["a", "b"], "left_anti"))
+    return members, links.union(_verified(rest, heads, docs, width, percent))
+
+
+def _between(listed: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one posting list that lie in different components and can still be linked.
+
+    Sizes meet in bands whose ends have the ratio of the threshold: the larger set of a linked pair lies in the band of the
+    smaller one or in the next.
+    """
     entries = listed.select("id", "size", "place", "gram").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-    entries = cut_lineage(entries.join(mixed, "gram", "left_semi"))
-    step = float(np.log(100 / percent))
-    band = F.floor(F.log("size") / step + 1e-9).cast("int")
+    entries = entries.join(mixed, "gram", "left_semi")
+    band = F.floor(F.log("size") / float(np.log(100 / percent)) + 1e-9).cast("int")
     left = entries.select("gram", band.alias("band"), F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("component").alias("part_a"))
-    right = entries.select("gram", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), F.col("component").alias("part_b"))
+    right = entries.select("gram", F.explode(F.array(band, band + 1)).alias("band"), F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), F.col("component").alias("part_b"))
     larger = (F.col("size_a") > F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
-    rest = left.join(right, ["gram", "band"]).where(larger & (F.col("part_a") != F.col("part_b")) & _possible(percent))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.union(_verified(cut_lineage(rest), heads, docs, width, percent))
-
-    parts = components(links).select(F.col("id").alias("class"), "component")
-    classes = members.join(parts, "class", "left").select("set_hash", F.coalesce("component", "class").alias("component"))
-    found = sets.select("id", "size", "set_hash").join(classes, "set_hash", "left")
-    own = F.when(F.col("id").isNotNull(), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")))
-    return found.select("id", F.col("size").cast("long").alias("n_shingles"), own.alias("component"))
+    met = left.join(right, ["gram", "band"]).where(larger & (F.col("part_a") != F.col("part_b")) & _possible(percent))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

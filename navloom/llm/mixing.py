@@ -67,7 +67,7 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     """Every copy of every document: ``row`` (the input row as a struct), ``copy_no`` from 1, ``shuffle_key``; dealt out at random.
 
     The number of copies depends on the seed, the id and the source's rate alone, so a task that runs again makes the
-    same copies.  The copies are ordered by a hash of (seed, id, copy) within range partitions of that hash: a global
+    same copies.  The copies are dealt to partitions by a hash of (seed, id, copy) and ordered by it inside: a global
     shuffle in which no source, however large, meets in one task.
 
     Null source: a source of its own.  Null text: size 0.  Null id: drawn as the id "null".  Repeated rows get the same

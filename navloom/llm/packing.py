@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from navloom.llm.common import BLANK, broadcast_if_small, measured, quoted, text_of, whole_row
 
 #: Rows that one window numbers; a bucket is cut into as many shards as it has this many rows.
-SHARD_ROWS = 50_000
+SHARD_ROWS = 10_000
 
 
 def word_count(text: Column) -> Column:

@@ -72,7 +72,7 @@ def test_bounds_are_optimal():
     assert best_bounds(np.array([]), np.array([]), 4) == []
 
 
-@pytest.mark.parametrize("shard_rows", [50_000, 7])
+@pytest.mark.parametrize("shard_rows", [10_000, 7])
 def test_batches(documents, monkeypatch, shard_rows):
     monkeypatch.setattr(packing, "SHARD_ROWS", shard_rows)
     rows = [(k, "w " * (k * k % 37)) for k in range(300)] + [(1, "w"), (1, "w"), (None, None), (900, "v " * 5000), (901, " \n")]
