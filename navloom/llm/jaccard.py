@@ -48,12 +48,18 @@ def hash_of(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
 
-def _sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+#: Rows whose sets a task holds at once, and words whose hashes it remembers.
+ROWS_AT_ONCE, WORDS_KNOWN = 512, 200_000
+
+
+def gram_sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
     known: dict[bytes, int] = {}
     for frame in frames:
-        if len(known) > 500_000:
-            known.clear()
-        yield frame, [shingles(t, width, known) for t in frame["text"]]
+        for cut in range(0, len(frame), ROWS_AT_ONCE):
+            if len(known) > WORDS_KNOWN:
+                known.clear()
+            part = frame.iloc[cut : cut + ROWS_AT_ONCE].reset_index(drop=True)
+            yield part, [shingles(t, width, known) for t in part["text"]]
 
 
 def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
@@ -61,7 +67,7 @@ def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SKETCH, dtype=np.int64)
-        for _, sets in _sets(frames, width):
+        for _, sets in gram_sets(frames, width):
             if sets:
                 total += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
         at = np.flatnonzero(total)
@@ -80,7 +86,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) ->
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
-        for frame, sets in _sets(frames, width):
+        for frame, sets in gram_sets(frames, width):
             out: dict[str, list] = {"size": [], "set_hash": [], "parts": [], "prefix": [], "salts": []}
             for s in sets:
                 n = len(s)
@@ -131,7 +137,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, pe
     ids, n = measured(kept.select(F.col("a").alias("id")).union(kept.select("b")).distinct())
 
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, found in _sets(frames, width):
+        for frame, found in gram_sets(frames, width):
             yield pd.DataFrame({"id": frame["id"], "set_hash": [hash_of(s) for s in found], "grams": [s.tobytes() for s in found]})
 
     texts = docs.join(broadcast_if_small(ids, n), "id", "left_semi")

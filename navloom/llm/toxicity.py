@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navloom.llm.common import quoted, text_of, whole_row
-from navloom.llm.jaccard import hash_of, shingles
+from navloom.llm.jaccard import gram_sets, hash_of
 
 PUNCTUATION = string.punctuation.encode()
 #: Bytes of the stems that a word shares with its inflected forms.
@@ -87,7 +87,7 @@ def passages(model: ToxicityModel, words: list[bytes], cache: dict[bytes, float]
         score = cache.get(word)
         if score is None:
             score = max(model.odds.get(f, 0.0) for f in (word, *stems_of(word)))
-            if len(cache) >= 500_000:
+            if len(cache) >= 200_000:
                 cache.clear()
             cache[word] = score
         if score:
@@ -115,7 +115,7 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             tokens[toxic][b""] += len(words)
             if toxic:
                 rows.update({b"", *features})
-            if len(tokens[0]) + len(tokens[1]) > 400_000:
+            if len(tokens[0]) + len(tokens[1]) > 200_000:
                 yield from summed()
     yield from summed()
 
@@ -141,16 +141,12 @@ def labelled(docs: DataFrame, labels: DataFrame, per_class: int, seed: int) -> D
 
 def _sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Two smallest hashes of a text's 5-word n-grams under different orders: near copies mostly share one of them."""
-    known: dict[bytes, int] = {}
-    for frame in frames:
-        if len(known) > 500_000:
-            known.clear()
-        grams = [shingles(t, 5, known) for t in frame["text"]]
+    for part, grams in gram_sets(frames, 5):
         first = [int(g.min()) if len(g) else 0 for g in grams]
         second = [int((g * np.uint64(0xD6E8FEB86659FD93)).min()) if len(g) else 0 for g in grams]
         whole = [int.from_bytes(hash_of(g)[:8], "big") for g in grams]
         keys = {n: np.array(v, dtype=np.uint64).view(np.int64) for n, v in (("hash", whole), ("a", first), ("b", second))}
-        yield pd.DataFrame({"text": frame["text"], "toxic": frame["toxic"]} | keys)
+        yield pd.DataFrame({"text": part["text"], "toxic": part["toxic"]} | keys)
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior_share: float = 0.01, least_ratio: float = 10.0, least_rows: int = 3, lexicon: int = 50_000, drift: float = 0.2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
