@@ -161,7 +161,7 @@ def window_rows(panel: DataFrame, windows: DataFrame | None, strict: bool, class
             own = np.array([[at[0], at[-1]]]) if block is None else block
             out = pd.DataFrame(_rows_of_windows(at, nav, own, strict, classic))
             for c in dates:
-                out[c] = [None if d is None or d != d else EPOCH + dt.timedelta(days=int(d)) for d in out[c]]
+                out[c] = pd.Series([None if d is None or d != d else EPOCH + dt.timedelta(days=int(d)) for d in out[c]], index=out.index, dtype=object)
             out.insert(0, KEY, tag[0])
             return out
 
