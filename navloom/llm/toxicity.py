@@ -120,23 +120,26 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from summed()
 
 
-def labelled(docs: DataFrame, labels: DataFrame, per_class: int, seed: int) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, per_class: int, seed: int) -> tuple[DataFrame, dict[int, float]]:
     """Labelled texts: about ``per_class`` ids of each class at most, chosen by a hash of the id, and one of the near copies
     of a class, so that the words of a text that was copied often do not look like words of its class.
 
-    The bound makes the label table small enough to be broadcast, so that no text is shuffled to find its label.
+    The bound makes the label table small enough to be broadcast, so that no text is shuffled to find its label.  With the
+    texts goes how many labelled ids of its class a chosen one stands for, so that both classes can keep their true sizes.
     """
-    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    labels = labels.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     sizes = {r.toxic: r.n for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(2**30)) / float(2**30)
-    share = F.lit(0.0)
-    for toxic, n in sizes.items():
-        share = F.when(F.col("toxic") == toxic, min(1.0, per_class / n)).otherwise(share)
-    chosen = labels.where(place < share).select(F.col("doc_id").alias("id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+    weights = {toxic: max(1.0, sizes.get(toxic, 0) / per_class) for toxic in (0, 1)}
+    chosen = labels.where(place * weight_of(weights) < 1).select(F.col("doc_id").alias("id"), "toxic")
     texts = docs.join(F.broadcast(chosen), docs.doc_id == chosen.id).select("text", "toxic").mapInPandas(_sketched, "text string, toxic int, hash long, a long, b long")
     for key in ("a", "b"):
         texts = texts.groupBy("toxic", key).agg(F.min_by(F.struct("text", "hash", "a", "b"), "hash").alias("t")).select("t.text", "toxic", "t.hash", "t.a", "t.b")
-    return texts.select("text", "toxic")
+    return texts.select("text", "toxic"), weights
+
+
+def weight_of(weights: dict[int, float]) -> Column:
+    return F.when(F.col("toxic") == 1, weights[1]).otherwise(weights[0])
 
 
 def _sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,7 +159,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior_sha
     it is ``least_ratio`` times as frequent in toxic texts even at the near ends of both counts' 95 % intervals; the
     ``lexicon`` strongest are kept.  Without toxic or without clean rows the model finds nothing.
     """
-    texts = labelled(docs.select(F.col(quoted(id_col)).alias("doc_id"), text_of(text_col).alias("text")), labels, per_class, seed)
+    texts, weights = labelled(docs.select(F.col(quoted(id_col)).alias("doc_id"), text_of(text_col).alias("text")), labels, per_class, seed)
     counts = texts.mapInPandas(_count, "feature binary, toxic long, clean long, toxic_rows long").groupBy("feature")
     counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("toxic_rows").alias("toxic_rows"))
     counts = counts.where(F.col("toxic_rows") >= least_rows)
@@ -165,9 +168,10 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior_sha
     if not totals or not totals[0].toxic or not totals[0].clean:
         return empty
     n1, n0 = float(totals[0].toxic), float(totals[0].clean)
-    prior = prior_share * (n1 + n0)
-    alpha = F.lit(prior_share) * (F.col("toxic") + F.col("clean"))
-    p1, p0 = (F.col("toxic") + alpha) / (n1 + prior), (F.col("clean") + alpha) / (n0 + prior)
+    w1, w0 = weights[1], weights[0]
+    prior = prior_share * (w1 * n1 + w0 * n0)
+    alpha = F.lit(prior_share) * (w1 * F.col("toxic") + w0 * F.col("clean"))
+    p1, p0 = (w1 * F.col("toxic") + alpha) / (w1 * n1 + prior), (w0 * F.col("clean") + alpha) / (w0 * n0 + prior)
     odds = F.log(p1 / (1 - p1)) - F.log(p0 / (1 - p0))
     least, most = F.col("toxic") - 1.645 * F.sqrt("toxic"), F.col("clean") + 1.0 + 1.645 * F.sqrt(F.col("clean") + 1.0)
     strong = counts.where(F.length("feature") > 0).select("feature", odds.alias("odds"), (least / n1 / (most / n0)).alias("ratio"), p0.alias("p0"))
@@ -177,7 +181,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior_sha
     table = {bytes(r.feature): float(r.odds) for r in strong}
     rate = _karlin_rate(np.array([r.p0 for r in strong]), np.array([r.odds for r in strong]), drift)
     model = ToxicityModel(table, drift, rate, 1.0 - math.exp(-rate * drift))
-    return _calibrated(model, texts)
+    return _calibrated(model, texts, weights)
 
 
 def _karlin_rate(chance: np.ndarray, odds: np.ndarray, drift: float) -> float:
@@ -193,12 +197,17 @@ def _karlin_rate(chance: np.ndarray, odds: np.ndarray, drift: float) -> float:
     return (low + high) / 2
 
 
-def _calibrated(model: ToxicityModel, texts: DataFrame, ridge: float = 0.01) -> ToxicityModel:
-    """Logistic curve of the evidence, fitted by Newton steps to a histogram with bins of a quarter."""
-    found = texts.withColumn("found", toxic_passages(model, F.col("text")))
-    histogram = found.groupBy(F.least(F.round(F.col("found.evidence") * 4), F.lit(800)).alias("x")).agg(F.sum("toxic").alias("ones"), F.count(F.lit(1)).alias("n")).collect()
+def _calibrated(model: ToxicityModel, texts: DataFrame, weights: dict[int, float], ridge: float = 0.01) -> ToxicityModel:
+    """Logistic curve of the evidence, fitted by Newton steps to a histogram with bins of a quarter.
+
+    Rows count by their weight, so that the curve has the classes' true shares, whatever the sample's; the weights are
+    scaled to the number of rows, so that the penalty means the same.
+    """
+    found = texts.select("toxic", weight_of(weights).alias("weight"), toxic_passages(model, F.col("text")).alias("found"))
+    histogram = found.groupBy(F.least(F.round(F.col("found.evidence") * 4), F.lit(800)).alias("x")).agg(F.sum(F.col("toxic") * F.col("weight")).alias("ones"), F.sum("weight").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    each = sum(r.rows for r in histogram) / sum(r.n for r in histogram)
     x = np.array([[1.0, r.x / 4] for r in histogram])
-    n, ones = np.array([float(r.n) for r in histogram]), np.array([float(r.ones) for r in histogram])
+    n, ones = np.array([r.n * each for r in histogram]), np.array([r.ones * each for r in histogram])
     beta, penalty = np.zeros(2), np.diag([ridge, ridge])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))

@@ -53,3 +53,18 @@ def test_odd_rows(spark, documents):
     nothing = toxicity.learn(docs, labels.where("doc_id < 0"))
     assert toxicity.score_toxicity(docs, nothing).where("predicted = 1").count() == 0
     assert toxicity.score_toxicity(documents(), model).count() == 0
+
+
+def test_a_sample_predicts_like_all_labels(spark, documents):
+    """Clean rows with a toxic word now and then: the curve has the classes' true shares however many rows are sampled."""
+    rng = random.Random(5)
+    line = lambda toxic: " ".join("awfulword" if toxic else f"w{rng.randrange(400)}" for toxic in [toxic, *[False] * 24])
+    toxic = {k: k % 20 == 0 for k in range(4000)}
+    docs = documents(*[(k, line(toxic[k] and rng.random() < 0.9 or rng.random() < 0.02)) for k in range(4000)])
+    labels = spark.createDataFrame([(k, int(t)) for k, t in toxic.items()], "doc_id long, toxic int")
+    rates = []
+    for per_class in (200, 10**9):
+        found = toxicity.score_toxicity(docs, toxicity.learn(docs, labels, per_class=per_class))
+        rates.append(found.agg(F.avg("score").alias("score")).first().score)
+    assert rates[1] == pytest.approx(0.05, abs=0.01)
+    assert rates[0] == pytest.approx(rates[1], abs=0.02)
