@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import pii, secret_scan
+from navloom.llm import conversations, pii, secret_scan, spelling, warc
 from navloom.llm.common import table
 from navloom.llm.exact_dedup import exact_dedup
 from navloom.llm.html_extract import extract_text
@@ -167,8 +167,144 @@ WITH RECURSIVE words AS (
 SELECT sets.doc_id, len(grams) AS n_shingles, min(other) AS component_id FROM sets JOIN reach USING (doc_id) GROUP BY sets.doc_id, grams
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_graph_neighbours, op3_personal_data, op4_exact_dedup, op5_length_buckets, op6_maxent_scores, op7_main_text, op8_toxicity, op9_poisson_mixing, op10_jaccard_join)}
-ORACLES: dict[str, str] = {"op1_secret_scan": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op9_poisson_mixing": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with planted faults: by the CRC of ``conv_id:turn`` modulo 20 a row goes, loses its text or its sentence ends,
+    stands twice, or gets the role user.  Nulls are one space; a null id or turn stays null."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.pmod(F.crc32(F.concat_ws(":", told("conv_id"), told("turn")).cast("binary")), F.lit(20))
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(told("text"), "[.!?]", "")).otherwise(told("text"))
+    role = F.when(fate == 4, "user").otherwise(told("role"))
+    rows = rows.where(fate != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    return rows.drop("col")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with its faults after damage, the cheapest edits that repair it and a hash of what they leave."""
+    rows = table(spark, sf_dir, "conversations")
+    found = conversations.reports(conversations.repair_conversations(damaged(rows)))
+    ids = rows.select("conv_id").distinct().withColumn("key", conversations.key_of(F.col("conv_id")))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    texts = [F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")]
+    return ids.join(found, "key", "left").select("conv_id", *counts, *texts)
+
+
+#: CRC-32 of a text's UTF-8: bit by bit for a table of 256 numbers (``crc``, whose column ``t`` has to be in scope), then byte by byte.
+CRC_TABLE = """bits AS (
+    SELECT b, list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(b)
+), crc AS (SELECT list(c ORDER BY b) AS t FROM bits)"""
+
+
+def _crc(text: str) -> str:
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda k: ('0x' || substr(hex(encode({text})), 2 * k::INT + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, o: xor(c >> 8, t[(xor(c, o) & 255)::INT + 1])), 4294967295)"
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _to(state: int, cost: str, edit: str, line: str | None = None, when: str = "true") -> str:
+    """What one edit makes of the best (cost, audit, text) of a state; null where there is none."""
+    text = f"s{state}.t || {line} || chr(10)" if line else f"s{state}.t"
+    return f"CASE WHEN {when} AND s{state} IS NOT NULL THEN {{'c': s{state}.c + {cost}, 'a': s{state}.a || '{edit}', 't': {text}}} END"
+
+
+def _inserted(rows: str) -> str:
+    user = _least("s2", *[_to(k, "2", "I", "'user:'") for k in (0, 1, 3)])
+    return f"SELECT conv_id, k, s0, s1, {user} AS s2, {_least('s3', _to(2, '2', 'I', repr('assistant:')))} AS s3 FROM ({rows})"
+
+
+_KEPT = "role || ':' || text"
+_USER = [_to(k, "cut", "K", _KEPT, "code = 'u'") for k in (0, 1, 3)] + [_to(k, "2 + cut", "R", "'user:' || text", "code <> 'x'") for k in (0, 1, 3)]
+_ASSISTANT = [_to(2, "cut", "K", _KEPT, "code = 'a'"), _to(2, "2 + cut", "R", "'assistant:' || text", "code <> 'x'")]
+_STEP = f"""SELECT best.conv_id, best.k + 1 AS k, {_to(0, '3', 'D')} AS s0, {_least(_to(1, '3', 'D'), _to(0, 'cut', 'K', _KEPT, "code = 's'"))} AS s1,
+        {_least(_to(2, '3', 'D'), *_USER)} AS s2, {_least(_to(3, '3', 'D'), *_ASSISTANT)} AS s3
+    FROM best JOIN coded ON coded.conv_id IS NOT DISTINCT FROM best.conv_id AND coded.k = best.k + 1"""
+_START = "SELECT conv_id, 0::BIGINT AS k, {'c': 0::BIGINT, 'a': '', 't': ''} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s1, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s3 FROM ids"
+
+#: A dynamic program over the rows with the best (cost, audit, repaired text) of each place a repaired conversation can stand at.
+OP11_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+fates AS (SELECT * EXCLUDE (t), {_crc("name")} % 20 AS fate FROM named, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM fates, unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS u(copy) WHERE fate <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM damaged
+), faulty AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+        WHEN regexp_matches(text, '[^.!?\\x20\\x09-\\x0D][\\x20\\x09-\\x0D]*$') THEN 'truncated' END AS fault,
+        lag(role[1]) OVER (PARTITION BY conv_id ORDER BY k) || role[1] AS two
+    FROM placed
+), coded AS (
+    SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS code, (coalesce(fault, '') = 'truncated')::BIGINT AS cut FROM faulty
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal, max(k) AS k
+    FROM coded GROUP BY conv_id
+), ids AS (SELECT DISTINCT conv_id FROM conversations),
+best AS (
+    {_inserted(_inserted(_START))}
+    UNION ALL
+    {_inserted(_inserted(_STEP))}
+), ends AS (SELECT conv_id, k, {_least("s0", "s3")} AS s FROM best)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    coalesce(s.c, 0) AS cost, coalesce(s.a, '') AS audit, sha256(coalesce(substr(s.t, 1, length(s.t) - 1), '')) AS repaired_sha256
+FROM ids LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM ids.conv_id AND ends.k = counts.k
+""".replace("SELECT conv_id, coalesce(gaps", "SELECT ids.conv_id, coalesce(gaps")
+
+
+def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the deduplicated archives hold it."""
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("original_page").alias("refers_to"))
+
+
+OP12_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+sized AS (SELECT *, octet_length(encode(payload)) AS size, max(page_id) OVER (PARTITION BY payload) AS original FROM payloads)
+SELECT page_id, size AS payload_bytes, sha1(payload) AS payload_digest,
+    CASE WHEN size >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN size >= 1000 AND page_id <> original THEN original END AS refers_to
+FROM sized
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents, with misspellings planted by a CRC, and the form that it varies."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), slip=199)
+    return spelling.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: Near words share what is left of them without one letter, at the same place, or one of them is what is left of the other.
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents
+), distinct_runs AS (SELECT id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (SELECT id, run, n, {_crc("(id || ':' || run)")} AS h FROM distinct_runs, crc),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+rests AS (SELECT word, n, k, substr(word, 1, k::INT) || substr(word, k::INT + 2) AS rest FROM words, unnest(range(length(word))) AS u(k)),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM rests a JOIN rests b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM rests a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM rests a JOIN words b ON a.rest = b.word
+), best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+forms AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * words.n THEN other END AS form, CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), paths(word, root, onward) AS (
+    SELECT word, word, form FROM forms UNION ALL SELECT paths.word, forms.word, forms.form FROM paths JOIN forms ON forms.word = paths.onward
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN paths USING (word) WHERE onward IS NULL
+"""
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_graph_neighbours, op3_personal_data, op4_exact_dedup, op5_length_buckets, op6_maxent_scores, op7_main_text, op8_toxicity, op9_poisson_mixing, op10_jaccard_join, op11_conversation_repair, op12_warc_revisits, op13_spelling_variants)}
+ORACLES: dict[str, str] = {"op1_secret_scan": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op9_poisson_mixing": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_warc_revisits": OP12_SQL, "op13_spelling_variants": OP13_SQL}
 
 
 def queries() -> dict[str, Query]:
