@@ -165,19 +165,111 @@ def o06_three_asset_weights(spark, sf):
 
 
 @register(
-    "o03_fit_diagnostics",
+    "o03_three_asset_diagnostics",
     "SELECT TICKER_SYMBOL, WIN_START, WIN_END, round(XY * XY / (FITTED * YY), 4) + 0.0 AS R_SQUARED, round(sqrt(greatest(YY - 2 * XY + FITTED, 0)) * sqrt(252) * 100, 3) + 0.0 AS RESIDUAL_VOL, round(MY - U * M1 - V * M2 - W * M3, 5) + 0.0 AS ALPHA FROM fx_fit",
     REG,
 )
-def o03_fit_diagnostics(spark, sf):
+def o03_three_asset_diagnostics(spark, sf):
     f = _three(spark, sf)
     return f.select(T, "WIN_START", "WIN_END", *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in (("R_SQUARED", 4), ("RESIDUAL_VOL", 3), ("ALPHA", 5))])
 
 
-@register("o04_dominant_style", "SELECT TICKER_SYMBOL, WIN_END, CASE WHEN round(V, 6) > round(U, 6) THEN 'small_value' ELSE 'large_growth' END AS STYLE FROM fx_fit", REG)
+# Funds whose returns are a known mix of factors.  A factor is a cosine or a sine of the trading day with a whole number of waves in 60
+# days, so any 60 days in a row have the same moments, the rest of a return (one more wave) is orthogonal to all factors, and the optimum
+# follows from the mix alone: the mix itself where it is allowed, else the nearest allowed point.
+
+def waves(n: int) -> list[tuple[str, int]]:
+    return [("cos" if k % 2 else "sin", 1 + k // 2) for k in range(n)]
+
+
+REST = ("cos", 29)
+_MIX = "SELECT concat('F', CAST(l_suppkey AS VARCHAR(10))) AS TICKER_SYMBOL, MIXED, CAST(l_suppkey % 11 AS DOUBLE) / 10000 AS A0, 0.3 + CAST(l_suppkey % 5 AS DOUBLE) / 10 AS REST FROM {lineitem} GROUP BY l_suppkey"
+#: Seven styles: eight times the share of the fund's value in one part of the parts, less one, so that some are negative.
+_SHARES = ", ".join(f"8 * CAST(sum(CASE WHEN l_partkey % 7 = {k} THEN CAST(round(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS DOUBLE) / CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) - 1 AS V{k}" for k in range(7))
+#: Twenty styles of both signs, 31 industries that are shares of ninety per cent of the fund's value (some are zero), one country.
+STYLES, INDUSTRIES = 20, 31
+WIDE = [f"STYLE_{k}" for k in range(STYLES)] + [f"INDUSTRY_{k}" for k in range(INDUSTRIES)] + ["COUNTRY"]
+_PARTS = ", ".join(
+    [f"(CAST(count(CASE WHEN CAST(l_quantity AS BIGINT) % 20 = {k} THEN 1 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) - 0.05) * 10 AS V{k}" for k in range(STYLES)]
+    + [f"0.9 * CAST(count(CASE WHEN l_orderkey % 31 = {k} AND l_orderkey % 7 <> 3 THEN 1 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS V{STYLES + k}" for k in range(INDUSTRIES)]
+    + [f"CAST(1 AS DOUBLE) AS V{STYLES + INDUSTRIES}"]
+)
+MIXES = {"fx_style_mix": _MIX.replace("MIXED", _SHARES), "fx_wide_mix": _MIX.replace("MIXED", _PARTS)}
+
+
+def _mixed(spark, sf, mix: str, columns: list[str]):
+    """Returns of every fund on the days it has a value, and the factor returns of every trading day."""
+    day = trading_index(fx.calendar(spark, sf))
+    wave = lambda kind, n: F.lit(0.01) * getattr(F, kind)(2 * F.pi() * n * F.col("IDX") / 60)
+    factors = day.select(F.col("TRADE_DT").alias(D), "IDX", wave(*REST).alias("_REST"), *[wave(k, n).alias(c) for c, (k, n) in zip(columns, waves(len(columns)))])
+    if len(columns) > 7:  # an industry moves with its country
+        factors = factors.withColumns({c: F.col(c) + F.col("COUNTRY") for c in columns if c.startswith("INDUSTRY")})
+    exposures = spark.sql(MIXES[mix], lineitem=fx.view(spark, sf, "lineitem"))
+    held = fx.view(spark, sf, "fx_fund_nav").select(T, D).join(exposures, T)
+    dot = sum((F.col(f"V{k}") * F.col(c) for k, c in enumerate(columns)), F.col("A0") + F.col("REST") * F.col("_REST"))
+    panel = held.join(F.broadcast(factors), D).select(T, D, dot.alias("RET"), *(columns if len(columns) <= 7 else ()))
+    return panel, factors, day
+
+
+_V = "[" + ", ".join(f"V{k}" for k in range(7)) + "]"
+STYLE = {
+    "fx_style_mix": MIXES["fx_style_mix"],
+    # nearest point with weights from the floors up that sum to one: what the largest ones exceed a common level by
+    "fx_style_up": f"SELECT *, list_transform({_V}, lambda v, k: v - CASE WHEN k = 7 THEN 0.05 ELSE 0 END) AS U FROM fx_style_mix",
+    "fx_style_cut": "SELECT *, list_max(list_transform(range(1, 8), lambda n: (list_sum(list_sort(U, 'DESC')[1:n]) - 0.95) / n)) AS LEVEL FROM fx_style_up",
+    "fx_style_w": f"SELECT *, list_transform(U, lambda u, k: greatest(u - LEVEL, 0) + CASE WHEN k = 7 THEN 0.05 ELSE 0 END) AS W, {_V} AS V FROM fx_style_cut",
+    "fx_style_days": "SELECT TICKER_SYMBOL, END_DATE, IDX - lag(IDX, 59) OVER w AS GAP, lag(END_DATE, 59) OVER w AS WIN_START FROM fx_fund_nav JOIN fx_trading ON TRADE_DT = END_DATE WINDOW w AS (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE)",
+    "fx_style_win": "SELECT d.TICKER_SYMBOL, WIN_START, END_DATE AS WIN_END, A0, REST, V, W, list_sum(list_transform(range(1, 8), lambda k: V[k] * W[k])) AS VW, list_sum(list_transform(W, lambda w: w * w)) AS WW, list_sum(list_transform(V, lambda v: v * v)) + REST * REST AS YY FROM fx_style_days d JOIN fx_style_w USING (TICKER_SYMBOL) WHERE GAP = 59",
+}
+
+
+def _style_fit(spark, sf):
+    panel, _, days = _mixed(spark, sf, "fx_style_mix", FACTORS)
+    return reg.constrained_fit(reg.rolling_moments(panel, days, FACTORS, "RET"), FACTORS, "RET", _problem(FACTORS))
+
+
+@register("o01_style_weights", "SELECT TICKER_SYMBOL, WIN_START, WIN_END, true AS OPTIMAL, " + ", ".join(f"round(W[{k + 1}], 6) + 0.0 AS {f}" for k, f in enumerate(FACTORS)) + " FROM fx_style_win", STYLE)
+def o01_style_weights(spark, sf):
+    return rounded(_style_fit(spark, sf).select(T, "WIN_START", "WIN_END", "OPTIMAL", *FACTORS))
+
+
+@register(
+    "o03_fit_diagnostics",
+    "SELECT TICKER_SYMBOL, WIN_START, WIN_END, round(VW * VW / (WW * YY), 6) + 0.0 AS R_SQUARED, round(0.01 * sqrt((YY - 2 * VW + WW) / 2) * sqrt(252) * 100, 5) + 0.0 AS RESIDUAL_VOL, round(A0, 7) + 0.0 AS ALPHA FROM fx_style_win",
+    STYLE,
+)
+def o03_fit_diagnostics(spark, sf):
+    f = _style_fit(spark, sf)
+    return f.select(T, "WIN_START", "WIN_END", *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in (("R_SQUARED", 6), ("RESIDUAL_VOL", 5), ("ALPHA", 7))])
+
+
+@register("o04_dominant_style", "SELECT TICKER_SYMBOL, WIN_END, lower(" + repr(FACTORS[:-1]) + "[list_position(R, list_max(R))]) AS STYLE FROM (SELECT *, list_transform(W[1:6], lambda w: round(w, 6)) AS R FROM fx_style_win) t", STYLE)
 def o04_dominant_style(spark, sf):
-    f = _three(spark, sf).withColumns({c: F.round(c, 6) for c in THREE})
-    return f.select(T, "WIN_END", F.lower(arg_max(THREE[:-1])).alias("STYLE"))
+    f = _style_fit(spark, sf).withColumns({c: F.round(c, 6) for c in FACTORS})
+    return f.select(T, "WIN_END", F.lower(arg_max(FACTORS[:-1])).alias("STYLE"))
+
+
+_WIDE_VAR = "(" + " + ".join([f"V{k} * V{k}" for k in range(STYLES + INDUSTRIES)] + ["COUNTRY * COUNTRY"]) + ")"
+WIDE_FX = {
+    "fx_wide_mix": MIXES["fx_wide_mix"],
+    "fx_wide_days": "SELECT f.TICKER_SYMBOL, f.END_DATE, c.IF_WEEK_END, t.IDX - lag(t.IDX, 59) OVER w AS GAP, lag(f.END_DATE, 59) OVER w AS WIN_START FROM fx_fund_nav f JOIN fx_trading t ON t.TRADE_DT = f.END_DATE JOIN fx_calendar c ON c.TRADE_DT = f.END_DATE WINDOW w AS (PARTITION BY f.TICKER_SYMBOL ORDER BY f.END_DATE)",
+    # industries and the country share the country's wave
+    "fx_wide_win": "SELECT d.TICKER_SYMBOL, WIN_START, END_DATE AS WIN_END, m.* EXCLUDE (TICKER_SYMBOL), 1 + " + " + ".join(f"V{STYLES + k}" for k in range(INDUSTRIES)) + " AS COUNTRY FROM fx_wide_days d JOIN fx_wide_mix m USING (TICKER_SYMBOL) WHERE GAP = 59 AND IF_WEEK_END = 1",
+}
+
+
+@register(
+    "o01_wide_factor_exposures",
+    "SELECT TICKER_SYMBOL, WIN_START, WIN_END, true AS OPTIMAL, " + ", ".join(f"round(V{k}, 6) + 0.0 AS {f}" for k, f in enumerate(WIDE)) + f", round({_WIDE_VAR} / ({_WIDE_VAR} + REST * REST), 6) AS R_SQUARED, round(0.01 * REST / sqrt(2) * sqrt(252) * 100, 5) AS RESIDUAL_VOL, round(A0, 7) + 0.0 AS ALPHA FROM fx_wide_win",
+    WIDE_FX,
+)
+def o01_wide_factor_exposures(spark, sf):
+    """20 free styles, 31 industries from nought to one that add up to one at most, the country at one; every week end."""
+    panel, factors, _ = _mixed(spark, sf, "fx_wide_mix", WIDE)
+    ends = fx.calendar(spark, sf).where("IF_WEEK_END = 1").select(F.col("TRADE_DT").alias(D))
+    f = reg.wide_fit(panel, factors, WIDE, "RET", reg.factor_problem(STYLES, INDUSTRIES), ends, slack=True)
+    digits = dict.fromkeys(WIDE, 6) | {"R_SQUARED": 6, "RESIDUAL_VOL": 5, "ALPHA": 7}
+    return f.select(T, "WIN_START", "WIN_END", "OPTIMAL", *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in digits.items()])
 
 
 @register(

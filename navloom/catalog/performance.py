@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from navloom.catalog.base import nav_panel, register, rounded
+from navloom.functions.exprs import clip_overflow
 from navloom.operators.calendars import period_table, window_table
 from navloom.operators.joins import fan_out
 from navloom.operators.ranks import fits, peer_rank
@@ -322,6 +323,58 @@ def k27_updown_timing(spark, sf):
     return rounded(perf.timing_models(bench_panel(spark, sf)).select("TICKER_SYMBOL", "UPDOWN_ALPHA", "UPDOWN_TIMING"), 4)
 
 
+# --- the same over every look-back window ---
+
+_BY_WINDOW = "PARTITION BY TICKER_SYMBOL, WIN_START, WIN_END"
+BENCH_WINDOWS = {
+    **WINDOW_VIEWS,
+    **{k: v.replace("PARTITION BY TICKER_SYMBOL", _BY_WINDOW).replace("pow(corr(CLR, T), 2)", "regr_r2(CLR, T)") for k, v in BENCH_VIEWS.items()},
+    "fx_fbw": "SELECT f.*, WIN_START, WIN_END FROM fx_fb f JOIN fx_spans s ON f.END_DATE BETWEEN s.WIN_START AND s.WIN_END",
+}
+
+
+def _bench_window(name, columns: dict[str, str], digits=5):
+    """Yearly figures of a few days overflow and are null, as in the stored tables."""
+    sql = ", ".join(f"CASE WHEN abs({expr}) <= 1e8 THEN round({expr}, {digits}) + 0.0 END AS {c}" for c, expr in columns.items())
+
+    @register(name, f"SELECT TICKER_SYMBOL, WIN_START, WIN_END, {sql} FROM fx_b WHERE D2 IS NOT NULL", BENCH_WINDOWS)
+    def bench(spark, sf):
+        stats = perf.benchmark_stats(bench_panel(spark, sf), fund_windows(spark, sf))
+        return rounded(stats.select("TICKER_SYMBOL", "WIN_START", "WIN_END", *[clip_overflow(F.col(c)).alias(c) for c in columns]), digits)
+
+
+_bench_window(
+    "k16_window_benchmark_stats",
+    {
+        "BENCH_CUM_RETURN": "BCUM",
+        "BENCH_ANNUAL_VOLATILITY": "BVOL * sqrt(252)",
+        "BENCH_MAXDD": "BMDD",
+        "ALPHA": "CUM - BCUM",
+        "ALPHA_WIN_RATE": "AWIN",
+        "ALPHA_MAXDD": "AMDD",
+    },
+)
+_bench_window("k19_window_capture", {"UP_CAPTURE": f"coalesce(CASE WHEN UN > 0 THEN {_UP} END, 0)", "DOWN_CAPTURE": f"coalesce(CASE WHEN DN > 0 THEN {_DOWN} END, 0)"}, 4)
+_bench_window("k20_window_stability", {"STABILITY": "coalesce(STAB, 0)", "ALPHA_STABILITY": "ASTAB"}, 4)
+
+
+def _ols_window(u: str, v: str) -> str:
+    inner = _ols(u, v).replace("SELECT TICKER_SYMBOL,", "SELECT TICKER_SYMBOL, WIN_START, WIN_END,").replace("GROUP BY 1)", "GROUP BY 1, 2, 3)")
+    return inner.replace("nullif(UU * VV - UV * UV, 0)", f"(CASE WHEN UU * VV - UV * UV > {perf.FLAT} * UU * VV THEN UU * VV - UV * UV END)")
+
+
+@register(
+    "k26_window_timing_models",
+    f"""SELECT q.TICKER_SYMBOL, q.WIN_START, q.WIN_END, round(pow(1 + q.A, 252) - 1, 3) + 0.0 AS QUAD_ALPHA, round(q.BV, 3) + 0.0 AS QUAD_TIMING, round(pow(1 + u.A, 252) - 1, 3) + 0.0 AS UPDOWN_ALPHA, round(u.BV - u.BU, 3) + 0.0 AS UPDOWN_TIMING
+FROM {_ols_window('X', 'X * X')} q JOIN {_ols_window('least(X, 0)', 'greatest(X, 0)')} u USING (TICKER_SYMBOL, WIN_START, WIN_END) WHERE q.WIN_END - q.WIN_START > 100""",
+    BENCH_WINDOWS,
+)
+def k26_window_timing_models(spark, sf):
+    """Windows of more than a hundred days: below that the regressors hardly differ."""
+    models = perf.timing_models(bench_panel(spark, sf), fund_windows(spark, sf).where(F.datediff("END_DATE", "START_DATE") > 100))
+    return rounded(models, 3)
+
+
 _HORIZON_SQL = " UNION ALL ".join(
     f"SELECT TICKER_SYMBOL, '{label}' AS HORIZON, NAV / lag(NAV, {n}) OVER (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE) - 1 AS R FROM fx_fund_nav" for n, label in perf.ROLLING_HORIZONS.items()
 )
@@ -370,7 +423,7 @@ _PCOLS = ["TICKER_SYMBOL", "WIN_START", "WIN_END", "CUM_RETURN", "MAXDD", "MAXDD
 @register("k31_performance_by_period", f"SELECT s.* EXCLUDE (WIN_START, WIN_END), p.DATE_NAME FROM ({classic_select('fx_p', _PCOLS)}) s JOIN fx_periods p ON s.WIN_START = p.START_DATE AND s.WIN_END = p.END_DATE", PERIOD_VIEWS)
 def k31_performance_by_period(spark, sf):
     periods = period_table(fx.calendar(spark, sf))
-    stats = perf.classic_stats(fx.view(spark, sf, "fx_fund_nav"), periods).select(*_PCOLS)
+    stats = perf.classic_stats(fx.view(spark, sf, "fx_fund_nav"), periods, at_risk=False).select(*_PCOLS)
     labels = periods.select("DATE_NAME", F.col("START_DATE").alias("WIN_START"), F.col("END_DATE").alias("WIN_END"))
     return rounded(stats.join(labels, ["WIN_START", "WIN_END"]).drop("WIN_START", "WIN_END"), 5)
 
@@ -428,7 +481,7 @@ def k35_one_window_stats(spark, sf):
     cal = fx.calendar(spark, sf)
     last = cal.where("IF_TRADING_DAY = 1").agg(F.max("TRADE_DT").alias("END_DATE"))
     ytd = cal.join(last, F.col("TRADE_DT") == F.col("END_DATE")).select(F.col("YEAR_END_DATE").alias("START_DATE"), "END_DATE")
-    stats = perf.classic_stats(fx.view(spark, sf, "fx_fund_nav"), ytd)
+    stats = perf.classic_stats(fx.view(spark, sf, "fx_fund_nav"), ytd, at_risk=False)
     return rounded(stats.select("TICKER_SYMBOL", "START_DATE", "END_DATE", "CUM_RETURN", "MAXDD", "CALMAR_RATIO"), 5)
 
 

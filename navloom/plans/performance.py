@@ -6,9 +6,7 @@ feeds the stored tables; ``classic`` (fractions, first drawdown date, recovery s
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,6 +15,8 @@ from pyspark.sql import functions as F
 
 from navloom.functions.exprs import clip_overflow, safe_div
 from navloom.operators.joins import fan_out
+from navloom.operators.segments import Fall, whole_segments, window_segments
+from navloom.session import pin_small
 
 KEY, DATE, NAV = "TICKER_SYMBOL", "END_DATE", "NAV"
 GROUP = [KEY, "WIN_START", "WIN_END"]
@@ -83,10 +83,6 @@ def _recovery(dd: str, prefix: str, classic: bool) -> Column:
     return F.min(F.when(later & (F.col(dd) == 0), F.col(DATE)))
 
 
-def _covered(strict: bool) -> Column:
-    return (F.col("START_DATE") == F.col("WIN_START")) & (F.col("LAST_DATE") == F.col("WIN_END")) if strict else F.lit(True)
-
-
 def _days() -> Column:
     return F.greatest(F.lit(0), F.datediff("LAST_DATE", "SECOND_DATE") + 1)
 
@@ -95,82 +91,139 @@ def _recover_days() -> Column:
     return F.coalesce(F.datediff("RECOVERY_DATE", "MDD_DATE"), F.lit(NEVER_RECOVERED))
 
 
-SPAN_BLOCK = 50_000  # windows that travel to the tasks together
-ROW_SCHEMA = (
-    f"{KEY} string, WIN_START date, WIN_END date, START_DATE date, LAST_DATE date, SECOND_DATE date, FIRST_NAV double, LAST_NAV double, VOL double, "
-    "MDD double, MDD_DATE date, RECOVERY_DATE date, WIN_RATE double, VALUE_AT_RISK double, N_RET bigint"
-)
+def _moves(panel: DataFrame) -> DataFrame:
+    """A panel with the return to the entity's previous day."""
+    typed = typed_panel(panel).withColumn(NAV, F.when(~F.isnan(NAV), F.col(NAV)))
+    return typed.withColumn("RET", safe_div(F.col(NAV), F.lag(NAV).over(Window.partitionBy(KEY).orderBy(DATE))) - 1)
 
 
-def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a / b, not a number where b is 0 or missing."""
-    return np.divide(a, b, out=np.full(len(a), np.nan), where=(b != 0) & ~np.isnan(b))
+def _count(condition: Column) -> Column:
+    return F.when(condition, F.lit(1.0))
 
 
-def _rows_of_windows(days: np.ndarray, nav: np.ndarray, spans: np.ndarray, strict: bool, classic: bool) -> dict[str, list]:
-    """Statistics of every window over one entity's sorted days; no day is copied into a window."""
-    out: dict[str, list] = {c.split()[0]: [] for c in ROW_SCHEMA.split(", ")[1:]}
-    ret = np.concatenate(([np.nan], _quotient(nav[1:], nav[:-1]) - 1))
-    first, last = np.searchsorted(days, spans[:, 0]), np.searchsorted(days, spans[:, 1], side="right") - 1
-    for (start, end), i, j in zip(spans.tolist(), first.tolist(), last.tolist()):
-        if i > j or (strict and (days[i] != start or days[j] != end)):
-            continue
-        part, r = nav[i : j + 1], ret[i + 1 : j + 1]
-        r = r[~np.isnan(r)]
-        fall = 1 - _quotient(part, np.fmax.accumulate(part))
-        known = ~np.isnan(fall)
-        mdd = float(fall[known].max()) if known.any() else None
-        hits = np.flatnonzero(fall == mdd) if mdd is not None and (classic or mdd != 0) else np.zeros(0, dtype=int)
-        deepest = None if not len(hits) else int(hits[0] if classic else hits[-1])
-        back = None
-        if deepest is not None:
-            from_here = deepest + 1 if classic else deepest
-            zero = np.flatnonzero(fall[from_here:] == 0)
-            back = from_here + int(zero[0]) if len(zero) else None
-        at = days[i : j + 1]
-        number = lambda x: None if np.isnan(x) else float(x)
-        values = (
-            start, end, at[0], at[-1], at[1] if j > i else None, number(part[0]), number(part[-1]), float(r.std(ddof=1)) if len(r) > 1 else None,
-            mdd, None if deepest is None else at[deepest], None if back is None else at[back],
-            float((r > 0).mean()) if len(r) else None, float(np.percentile(r, 5)) if classic and len(r) else None, len(r),
-        )
-        for name, value in zip(out, values):
-            out[name].append(value)
-    return out
-
-
-def window_rows(panel: DataFrame, windows: DataFrame | None, strict: bool, classic: bool) -> DataFrame:
-    """What the statistics of a (entity, window) are made of, one row each (``ROW_SCHEMA``).
-
-    One shuffle by entity, one pass over its sorted days in numpy; a window is a slice of that pass.  An entity has at most one
-    row a day, which bounds a task's memory by the calendar.  Windows come to the tasks in blocks.
+def deviation(n: str, total: str, squares: str) -> Column:
+    """Sample deviation from a count, a sum and a sum of squares."""
+    rest = F.col(squares) - safe_div(F.col(total) * F.col(total), F.col(n))
+    return F.when(F.col(n) > 1, F.sqrt(safe_div(F.greatest(rest, F.lit(0.0)), F.col(n) - 1)))
+
+
+def _return_sums() -> dict[str, Column]:
+    ret = F.col("RET")
+    return {"N_RET": _count(ret.isNotNull()), "S_RET": ret, "SS_RET": ret * ret, "N_UP": _count(ret > 0)}
+
+
+def window_rows(panel: DataFrame, windows: DataFrame | None, strict: bool, classic: bool, at_risk: bool = False) -> DataFrame:
+    """What the statistics of a (entity, window) are made of, one row each.
+
+    Whole histories are running windows and aggregates.  Look-back windows are read off suffix scans, one for each end (:func:`_scanned`): a
+    shuffle by entity, then numpy over its days.  More than ``SPANS`` windows are merged from segments of months instead
+    (:mod:`navloom.operators.segments`), the same rows without any list of windows.  ``at_risk`` adds the 5 per cent quantile of the
+    returns, which neither a scan nor a segment has: there the days are counted for every window.
     """
+    points = _moves(panel)
+    falls = {"FALL": Fall(NAV)}
+    if windows is None:
+        tail = [F.percentile("RET", 0.05).alias("VALUE_AT_RISK")] if at_risk else []
+        rows = whole_segments(points, _return_sums(), falls, [NAV], classic, [F.stddev_samp("RET").alias("VOL"), *tail])
+    else:
+        spans = windows.select("START_DATE", "END_DATE").where("START_DATE <= END_DATE").distinct()
+        pinned = pin_small(spans, SPANS)
+        rows = window_segments(points, spans, _return_sums(), falls, [NAV], strict, classic) if pinned is None else _scanned_rows(panel, pinned, strict, classic)
+        rows = rows.withColumn("VOL", deviation("N_RET", "S_RET", "SS_RET"))
+        if at_risk:
+            inside = fan_out(points, windows).join(rows.select(*GROUP, F.col("START_DATE").alias("_A")), GROUP).where(F.col(DATE) > F.col("_A"))
+            rows = rows.join(inside.groupBy(*GROUP).agg(F.percentile("RET", 0.05).alias("VALUE_AT_RISK")), GROUP, "left")
+    fell = F.lit(True) if classic else F.col("FALL_DD") != 0
+    own = {"N_RET": F.coalesce("N_RET", F.lit(0.0)), "MDD": F.col("FALL_DD"), "MDD_DATE": F.when(fell, F.col("FALL_DAY")), "RECOVERY_DATE": F.when(fell, F.col("FALL_BACK")), "WIN_RATE": safe_div(F.coalesce("N_UP", F.lit(0.0)), F.col("N_RET"))}
+    return rows.withColumns(own).drop("FALL_DD", "FALL_DAY", "FALL_PEAK", "FALL_BACK")
+
+
+SPANS = 200_000  # windows whose list goes to the tasks (3 MB); more are merged from segments
+_DAYS = ["WIN_START", "WIN_END", "START_DATE", "LAST_DATE", "SECOND_DATE", "FALL_DAY", "FALL_BACK"]
+_NUMBERS = ["FIRST_NAV", "LAST_NAV", "N_RET", "S_RET", "SS_RET", "N_UP", "FALL_DD"]
+
+
+def _scanned_rows(panel: DataFrame, spans: DataFrame, strict: bool, classic: bool) -> DataFrame:
+    """The windows of every entity by suffix scans; an entity has at most one row a day, which bounds a task's memory by the calendar."""
     epoch = F.lit("1970-01-01").cast("date")
     days = panel.select(F.col(KEY).cast("string").alias(KEY), F.datediff(DATE, epoch).alias("DAY"), F.col(NAV).cast("double").alias("NAV")).where("DAY IS NOT NULL")
-    spans = None
-    if windows is not None:
-        rows = windows.select(F.datediff("START_DATE", epoch).alias("A"), F.datediff("END_DATE", epoch).alias("B")).where("A IS NOT NULL AND B IS NOT NULL").distinct().orderBy("B", "A").collect()
-        spans = np.array([(r.A, r.B) for r in rows], dtype=np.int64).reshape(-1, 2)
-    blocks = [None] if spans is None else [spans[k : k + SPAN_BLOCK] for k in range(0, max(len(spans), 1), SPAN_BLOCK)]
-    dates = [c.split()[0] for c in ROW_SCHEMA.split(", ") if c.endswith(" date")]
+    table = spans.select(F.datediff("END_DATE", epoch).alias("B"), F.datediff("START_DATE", epoch).alias("A")).orderBy("B", "A").toPandas()
+    wanted = table[["A", "B"]].to_numpy(dtype=np.int64)
+    schema = f"{KEY} string, " + ", ".join([f"{c} int" for c in _DAYS] + [f"{c} double" for c in _NUMBERS])
+
+    def entity(tag: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("DAY")
+        out = _scanned(frame["DAY"].to_numpy(dtype=np.int64), frame["NAV"].to_numpy(dtype=np.float64), wanted, strict, classic)
+        for c in _DAYS:
+            out[c] = out[c].astype("Int32").mask(out[c] == NO_DAY)
+        out.insert(0, KEY, tag[0])
+        return out
+
+    rows = days.groupBy(KEY).applyInPandas(entity, schema)
+    dates = [F.date_add(epoch, c).alias(c) for c in _DAYS]
+    return rows.select(KEY, *dates, *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in _NUMBERS])
+
+
+NO_DAY = np.iinfo(np.int32).max
+
+
+def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a / b, not a number where b is 0 or missing."""
+    return np.divide(a, b, out=np.full(len(a), np.nan), where=(b != 0) & ~np.isnan(b))
+
 
-    def of(block: np.ndarray | None) -> DataFrame:
-        def entity(tag: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values("DAY")
-            at, nav = frame["DAY"].to_numpy(dtype=np.int64), frame["NAV"].to_numpy(dtype=np.float64)
-            own = np.array([[at[0], at[-1]]]) if block is None else block
-            out = pd.DataFrame(_rows_of_windows(at, nav, own, strict, classic))
-            for c in dates:
-                out[c] = pd.Series([None if d is None or d != d else EPOCH + dt.timedelta(days=int(d)) for d in out[c]], index=out.index, dtype=object)
-            out.insert(0, KEY, tag[0])
-            return out
+def _from_here(a: np.ndarray, of: np.ufunc) -> np.ndarray:
+    return of.accumulate(a[::-1])[::-1]
 
-        return days.groupBy(KEY).applyInPandas(entity, ROW_SCHEMA)
 
-    return reduce(DataFrame.unionByName, [of(b) for b in blocks])
+def _latest(mark: np.ndarray) -> np.ndarray:
+    """For each place the nearest marked place from there on."""
+    return _from_here(np.where(mark, np.arange(len(mark)), len(mark)), np.minimum)
 
 
-EPOCH = dt.date(1970, 1, 1)
+def _scanned(days: np.ndarray, nav: np.ndarray, spans: np.ndarray, strict: bool, classic: bool) -> pd.DataFrame:
+    """All windows over one entity's sorted days, a scan backwards from each end.
+
+    From an end back, the sums, the lowest value to come and the deepest fall from each day are running figures, so all windows with
+    that end are read off at their first days; their number and length do not matter.
+    """
+    first, last = np.searchsorted(days, spans[:, 0]), np.searchsorted(days, spans[:, 1], side="right") - 1
+    there = first <= last
+    if strict:
+        there &= (days[np.minimum(first, len(days) - 1)] == spans[:, 0]) & (days[np.maximum(last, 0)] == spans[:, 1])
+    spans, first, last = spans[there], first[there], last[there]
+    ret = np.concatenate(([np.nan], _quotient(nav[1:], nav[:-1]) - 1))
+    known = ~np.isnan(ret)
+    plain = np.where(known, ret, 0.0)
+    out = {c: np.full(len(spans), np.nan) for c in _NUMBERS} | {c: np.full(len(spans), NO_DAY, dtype=np.int64) for c in _DAYS}
+    out |= {"WIN_START": spans[:, 0], "WIN_END": spans[:, 1], "START_DATE": days[first], "LAST_DATE": days[last], "FIRST_NAV": nav[first], "LAST_NAV": nav[last]}
+    more = last > first
+    out["SECOND_DATE"] = np.where(more, days[np.minimum(first + 1, len(days) - 1)], NO_DAY)
+    for j in np.unique(last):
+        rows = np.flatnonzero(last == j)
+        low = int(first[rows].min())
+        at = first[rows] - low
+        part, r = nav[low : j + 1], plain[low : j + 1]
+        sums = {"N_RET": known[low : j + 1].astype(float), "S_RET": r, "SS_RET": r * r, "N_UP": (r > 0).astype(float)}
+        for name, x in sums.items():
+            out[name][rows] = _from_here(np.append(x[1:], 0.0), np.add)[at]
+        lowest = _from_here(part, np.fmin)
+        beyond = np.append(lowest[1:], np.inf)
+        fresh = part <= beyond if classic else part < beyond
+        trough = _latest(fresh & ~np.isnan(part) | (np.isnan(beyond) & ~np.isnan(part)))
+        fall = 1 - _quotient(lowest, part)
+        deepest = _from_here(fall, np.fmax)
+        after = np.append(deepest[1:], np.nan)
+        peak = _latest(~np.isnan(fall) & (np.isnan(after) | (fall >= after if classic else fall > after)))[at]
+        out["FALL_DD"][rows] = deepest[at]
+        for p in np.unique(peak[peak < len(part)]):
+            mine = rows[peak == p]
+            u = int(trough[p])
+            out["FALL_DAY"][mine] = days[low + u]
+            back = np.flatnonzero(part[u + 1 :] >= part[p])
+            if len(back):
+                out["FALL_BACK"][mine] = days[low + u + 1 + int(back[0])]
+    return pd.DataFrame({c: out[c] for c in (*_DAYS, *_NUMBERS)})
 
 
 def window_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = True) -> DataFrame:
@@ -226,9 +279,9 @@ def _nz(x: Column) -> Column:
     return F.coalesce(x, F.lit(0.0))
 
 
-def classic_stats(panel: DataFrame, windows: DataFrame | None = None, risk_free: float = 0.0, strict: bool = False) -> DataFrame:
-    """Classic statistics without a benchmark; fractions, missing ratios count as 0."""
-    rows = window_rows(panel, windows, strict, classic=True)
+def classic_stats(panel: DataFrame, windows: DataFrame | None = None, risk_free: float = 0.0, strict: bool = False, at_risk: bool = True) -> DataFrame:
+    """Classic statistics without a benchmark; fractions, missing ratios count as 0.  ``at_risk``: with ``VALUE_AT_RISK``."""
+    rows = window_rows(panel, windows, strict, classic=True, at_risk=at_risk)
     cum = _nz(safe_div(F.col("LAST_NAV"), F.col("FIRST_NAV")) - 1)
     return (
         rows.where(F.col("N_RET") > 0)
@@ -244,7 +297,7 @@ def classic_stats(panel: DataFrame, windows: DataFrame | None = None, risk_free:
             F.col("MDD_DATE").alias("MAXDD_DATE"),
             _recover_days().alias("MAXDD_RECOVER"),
             "WIN_RATE",
-            "VALUE_AT_RISK",
+            *(["VALUE_AT_RISK"] if at_risk else []),
         )
         .withColumns(
             {
@@ -255,9 +308,9 @@ def classic_stats(panel: DataFrame, windows: DataFrame | None = None, risk_free:
     )
 
 
-def pair_points(panel: DataFrame, windows: DataFrame | None = None) -> DataFrame:
-    """Points of entity and benchmark side by side; ``panel`` also has ``BENCH_NAV``."""
-    fanned = whole_span(panel) if windows is None else fan_out(panel, windows)
+def pair_points(panel: DataFrame) -> DataFrame:
+    """Points of entity and benchmark side by side over whole histories; ``panel`` also has ``BENCH_NAV``."""
+    fanned = whole_span(panel)
     w = _ordered()
     prev_b = F.lag("BENCH_NAV").over(w)
     points = daily_points(fanned).withColumns(
@@ -291,10 +344,10 @@ def _capture_ratio(n: str) -> Column:
     return F.when(F.col(f"{n}_N") > 0, safe_div(yearly("LR"), yearly("LB")))
 
 
-def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None) -> DataFrame:
-    """Everything that needs a benchmark, one row per (entity, window)."""
-    points = with_drawdown_dates(pair_points(panel, windows), "ADD", classic=True, prefix="A")
-    rows = points.groupBy(*GROUP).agg(
+def _benchmark_rows(panel: DataFrame) -> DataFrame:
+    """Whole histories: what the benchmark statistics are made of."""
+    points = with_drawdown_dates(pair_points(panel), "ADD", classic=True, prefix="A")
+    return points.groupBy(*GROUP).agg(
         F.max(DATE).alias("LAST_DATE"),
         F.min(F.when(F.col("PREV_DATE").isNotNull(), F.col(DATE))).alias("SECOND_DATE"),
         F.min_by(NAV, DATE).alias("F0"),
@@ -316,6 +369,61 @@ def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None) -> DataF
         F.first("AMDD_DATE").alias("AMDD_DATE"),
         _recovery("ADD", "A", True).alias("ARECOVERY"),
     )
+
+
+def _pair_moves(panel: DataFrame) -> DataFrame:
+    """Returns of entity and benchmark, their running logs ``C`` (entity) and ``A`` (excess), the excess value ``P`` and the row number ``T``.
+
+    Inside a window the running figures are these less, or divided by, their values at its first day."""
+    w = Window.partitionBy(KEY).orderBy(DATE)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ret = lambda c: safe_div(F.col(c), F.lag(c).over(w)) - 1
+    points = panel.withColumns({"RET": ret(NAV), "BRET": ret("BENCH_NAV"), "T": (F.row_number().over(w) - 1).cast("double")})
+    points = points.withColumns({"LR": F.log1p("RET"), "LB": F.log1p("BRET"), "ALPHA": F.col("RET") - F.col("BRET")}).withColumn("LA", F.col("LR") - F.col("LB"))
+    alpha = F.product(1 + F.coalesce(F.col("ALPHA"), F.lit(0.0))).over(run)
+    total = lambda c: F.coalesce(F.sum(c).over(run), F.lit(0.0))
+    return points.withColumns({"C": total("LR"), "A": total("LA"), "P": F.when(F.col("ALPHA").isNotNull(), alpha)})
+
+
+def _benchmark_window_rows(panel: DataFrame, windows: DataFrame, strict: bool) -> DataFrame:
+    """The same for look-back windows, merged from segments; sums of products about a window's first day follow from those about zero."""
+    col = F.col
+    sums = {"N": F.lit(1.0), "N_B": _count(col("BRET").isNotNull()), "S_B": col("BRET"), "SS_B": col("BRET") * col("BRET"), "N_AL": _count(col("ALPHA").isNotNull()), "S_AL": col("ALPHA"), "SS_AL": col("ALPHA") * col("ALPHA")}
+    sums |= {"SUM_LA": col("LA"), "N_LA": _count(col("LA").isNotNull()), "N_LA_UP": _count(col("LA") > 0)}
+    for n, side in (("UP", col("BRET") > 0), ("DOWN", col("BRET") < 0)):
+        sums |= {f"{n}_LR": F.when(side, col("LR")), f"{n}_LB": F.when(side, col("LB")), f"{n}_N": _count(side)}
+    sums |= {"ST": col("T"), "STT": col("T") * col("T")}
+    for x in "CA":
+        sums |= {f"S{x}": col(x), f"S{x}{x}": col(x) * col(x), f"ST{x}": col("T") * col(x)}
+    falls = {"BENCH": Fall("BENCH_NAV", back=False), "EXCESS": Fall("P", open=True)}
+    rows = window_segments(_pair_moves(panel), windows, sums, falls, [NAV, "BENCH_NAV", "T", "A"], strict, first=True)
+    n, t0, a0 = col("N"), col("FIRST_T"), col("FIRST_A")
+    tt, cc, tc = (col(f"S{a}{b}") - safe_div(col(f"S{a}") * col(f"S{b}"), n) for a, b in ("TT", "CC", "TC"))
+    level = cc <= 1e-13 * col("SCC")  # a flat line: what is left is rounding
+    return rows.withColumns(
+        {
+            "F0": col(f"FIRST_{NAV}"),
+            "F1": col(f"LAST_{NAV}"),
+            "B0": col("FIRST_BENCH_NAV"),
+            "B1": col("LAST_BENCH_NAV"),
+            "BVOL": deviation("N_B", "S_B", "SS_B"),
+            "AVOL": deviation("N_AL", "S_AL", "SS_AL"),
+            "BENCH_MAXDD": col("BENCH_DD"),
+            "STABILITY": F.when(n > 1, F.when(level, F.lit(1.0)).otherwise(safe_div(tc * tc, tt * cc))),
+            "TY": col("STA") - t0 * col("SA") - a0 * col("ST") + n * t0 * a0,
+            "TT": col("STT") - 2 * t0 * col("ST") + n * t0 * t0,
+            "YY": col("SAA") - 2 * a0 * col("SA") + n * a0 * a0,
+            "ALPHA_WIN_RATE": safe_div(F.coalesce("N_LA_UP", F.lit(0.0)), col("N_LA")),
+            "ALPHA_MAXDD": col("EXCESS_DD"),
+            "AMDD_DATE": col("EXCESS_DAY"),
+            "ARECOVERY": col("EXCESS_BACK"),
+        }
+    )
+
+
+def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """Everything that needs a benchmark, one row per (entity, window) with at least two days."""
+    rows = _benchmark_rows(panel) if windows is None else _benchmark_window_rows(panel, windows, strict)
     days = F.greatest(F.lit(0), F.datediff("LAST_DATE", "SECOND_DATE") + 1)
     cum, bcum = safe_div(F.col("F1"), F.col("F0")) - 1, safe_div(F.col("B1"), F.col("B0")) - 1
     up, down = _capture_ratio("UP"), _capture_ratio("DOWN")
@@ -339,28 +447,27 @@ def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None) -> DataF
     )
 
 
-def timing_models(panel: DataFrame, windows: DataFrame | None = None, risk_free: float = 0.03) -> DataFrame:
+def timing_models(panel: DataFrame, windows: DataFrame | None = None, risk_free: float = 0.03, strict: bool = False) -> DataFrame:
     """Two timing regressions of excess return on benchmark excess: quadratic, and up/down beta.
 
     Both have two regressors, so their coefficients follow from the second moments Spark aggregates natively.
     """
     rf = risk_free / TRADING_DAYS
-    x = F.col("BRET") - rf
-    points = pair_points(panel, windows).where(F.col("RET").isNotNull()).withColumns({"Y": F.col("RET") - rf, "X": x})
+    points = (pair_points(panel) if windows is None else _pair_moves(panel)).withColumns({"Y": F.col("RET") - rf, "X": F.col("BRET") - rf})
     points = points.withColumns({"X2": F.col("X") * F.col("X"), "XN": F.least(F.col("X"), F.lit(0.0)), "XP": F.greatest(F.col("X"), F.lit(0.0))})
-
-    def moments(u: str, v: str, tag: str) -> list[Column]:
-        return [
-            F.var_samp(u).alias(f"{tag}UU"), F.var_samp(v).alias(f"{tag}VV"), F.covar_samp(u, v).alias(f"{tag}UV"),
-            F.covar_samp(u, "Y").alias(f"{tag}UY"), F.covar_samp(v, "Y").alias(f"{tag}VY"),
-            F.avg(u).alias(f"{tag}MU"), F.avg(v).alias(f"{tag}MV"),
-        ]
-
-    rows = points.groupBy(*GROUP).agg(F.avg("Y").alias("MY"), *moments("X", "X2", "Q"), *moments("XN", "XP", "P"))
+    pairs = {"Q": ("X", "X2"), "P": ("XN", "XP")}
+    if windows is None:
+        known = points.where(F.col("RET").isNotNull())
+        moments = [m for tag, (u, v) in pairs.items() for m in _two_regressors(u, v, tag)]
+        rows = known.groupBy(*GROUP).agg(F.avg("Y").alias("MY"), *moments)
+    else:
+        rows = _timing_window_rows(points, windows, pairs, strict)
 
     def solve(tag: str) -> tuple[Column, Column, Column]:
         uu, vv, uv, uy, vy, mu, mv = (F.col(f"{tag}{s}") for s in ("UU", "VV", "UV", "UY", "VY", "MU", "MV"))
         det = uu * vv - uv * uv
+        if windows is not None:  # two or three days, or days on one line: no plane through them
+            det = F.when(det > FLAT * uu * vv, det)
         bu, bv = safe_div(vv * uy - uv * vy, det), safe_div(uu * vy - uv * uy, det)
         return F.col("MY") - bu * mu - bv * mv, bu, bv
 
@@ -375,6 +482,31 @@ def timing_models(panel: DataFrame, windows: DataFrame | None = None, risk_free:
     )
 
 
+FLAT = 1e-9  # share of a determinant below which two regressors count as one
+
+
+def _two_regressors(u: str, v: str, tag: str) -> list[Column]:
+    return [
+        F.var_samp(u).alias(f"{tag}UU"), F.var_samp(v).alias(f"{tag}VV"), F.covar_samp(u, v).alias(f"{tag}UV"),
+        F.covar_samp(u, "Y").alias(f"{tag}UY"), F.covar_samp(v, "Y").alias(f"{tag}VY"),
+        F.avg(u).alias(f"{tag}MU"), F.avg(v).alias(f"{tag}MV"),
+    ]
+
+
+def _timing_window_rows(points: DataFrame, windows: DataFrame, pairs: Mapping[str, tuple[str, str]], strict: bool) -> DataFrame:
+    known = F.col("RET").isNotNull() & F.col("BRET").isNotNull()
+    names = ["Y", *[x for pair in pairs.values() for x in pair]]
+    products = {(a, b) for u, v in pairs.values() for a, b in ((u, u), (v, v), (u, v), (u, "Y"), (v, "Y"))}
+    sums = {"N": _count(known)} | {f"S_{n}": F.when(known, F.col(n)) for n in names} | {f"S_{a}_{b}": F.when(known, F.col(a) * F.col(b)) for a, b in sorted(products)}
+    rows = window_segments(points, windows, sums, {}, [], strict)
+    mean = lambda x: safe_div(F.col(f"S_{x}"), F.col("N"))
+    cov = lambda a, b: safe_div(F.col(f"S_{a}_{b}") - F.col(f"S_{a}") * mean(b), F.col("N") - 1)
+    out = {"MY": mean("Y")}
+    for tag, (u, v) in pairs.items():
+        out |= {f"{tag}UU": cov(u, u), f"{tag}VV": cov(v, v), f"{tag}UV": cov(u, v), f"{tag}UY": cov(u, "Y"), f"{tag}VY": cov(v, "Y"), f"{tag}MU": mean(u), f"{tag}MV": mean(v)}
+    return rows.where(F.col("N") > 1).withColumns(out)
+
+
 # fixed values: rolling horizons in rows and their labels
 ROLLING_HORIZONS = {
     7: "7天", 20: "1个月", 40: "2个月", 60: "3个月", 120: "6个月", 180: "9个月",
@@ -411,19 +543,17 @@ def per_window(panel: DataFrame, windows: DataFrame, func: Callable, schema: str
     return fan_out(panel, windows).groupBy(*GROUP).applyInPandas(func, schema)
 
 
-# registry: metric name -> (Column over the points of one window, multiplier)
+# registry: metric name -> (Column over the segments of one window, multiplier)
 METRICS: dict[str, tuple[Callable[[], Column], float]] = {
-    "CUM_RETURN": (lambda: safe_div(F.max_by(NAV, DATE), F.min_by(NAV, DATE)) - 1, 100.0),
-    "VOLATILITY": (lambda: F.stddev_samp("RET"), 100.0),
-    "ANNUAL_VOLATILITY": (lambda: F.stddev_samp("RET") * F.sqrt(F.lit(TRADING_DAYS)), 100.0),
-    "MAXDD": (lambda: F.max("DD"), 100.0),
-    "WIN_RATE": (lambda: F.avg(F.when(F.col("RET") > 0, 1.0).when(F.col("RET").isNotNull(), 0.0)), 1.0),
+    "CUM_RETURN": (lambda: safe_div(F.col("LAST_NAV"), F.col("FIRST_NAV")) - 1, 100.0),
+    "VOLATILITY": (lambda: F.col("VOL"), 100.0),
+    "ANNUAL_VOLATILITY": (lambda: F.col("VOL") * F.sqrt(F.lit(TRADING_DAYS)), 100.0),
+    "MAXDD": (lambda: F.col("MDD"), 100.0),
+    "WIN_RATE": (lambda: F.col("WIN_RATE"), 1.0),
 }
 
 
 def chosen_metrics(panel: DataFrame, windows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Only the named metrics of the registry, per (entity, window), strict coverage."""
-    points = daily_points(fan_out(panel, windows))
-    aggs = [(METRICS[n][0]() * METRICS[n][1]).alias(n) for n in names]
-    rows = points.groupBy(*GROUP).agg(F.min(DATE).alias("START_DATE"), F.max(DATE).alias("LAST_DATE"), *aggs)
-    return rows.where(_covered(True)).select(*GROUP, *names)
+    rows = window_rows(panel, windows, strict=True, classic=False)
+    return rows.select(*GROUP, *[(METRICS[n][0]() * METRICS[n][1]).alias(n) for n in names])

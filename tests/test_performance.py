@@ -52,3 +52,48 @@ def test_timing_model_recovers_its_coefficients(spark):
     pdf = pd.DataFrame({"TICKER_SYMBOL": "f", "END_DATE": days, "NAV": np.concatenate([[1.0], np.cumprod(1 + y)]), "BENCH_NAV": np.concatenate([[1.0], np.cumprod(1 + x)])})
     r = perf.timing_models(spark.createDataFrame(pdf)).first()
     assert r["QUAD_TIMING"] == pytest.approx(3.0, rel=1e-6) and r["QUAD_ALPHA"] == pytest.approx(1.0002**252 - 1, rel=1e-6)
+
+
+@pytest.mark.parametrize("strict", [True, False])
+@pytest.mark.parametrize("classic", [True, False])
+def test_scans_and_segments_agree(spark, monkeypatch, strict, classic):
+    """Sparse days, missing and repeated values, windows inside a month, across months and beyond the panel; against slices too."""
+    import random
+
+    rng = random.Random(5)
+    first = dt.date(2023, 11, 20)
+    rows = []
+    for k, chance in (("a", 0.9), ("b", 0.3), ("c", 0.05), ("d", 0.6)):
+        rows += [(k, first + dt.timedelta(days=d), rng.choice([None, 8.0, 9.0, 10.0, 11.0, 12.0, 10.5])) for d in range(200) if rng.random() < chance]
+    df = spark.createDataFrame(rows, "TICKER_SYMBOL string, END_DATE date, NAV double")
+    ends = [(first + dt.timedelta(days=a), first + dt.timedelta(days=b)) for a, b in (sorted(rng.sample(range(-30, 230), 2)) for _ in range(80))]
+    own = [r[1] for r in rows if r[0] == "a"]
+    windows = spark.createDataFrame(ends + [(own[a], own[b]) for a, b in (sorted(rng.sample(range(len(own)), 2)) for _ in range(60))], "START_DATE date, END_DATE date")
+    scanned = _by_window(perf.window_rows(df, windows, strict, classic))
+    monkeypatch.setattr(perf, "SPANS", 0)
+    merged = _by_window(perf.window_rows(df, windows, strict, classic))
+    assert len(scanned) > 50 and scanned.keys() == merged.keys()
+    for key, row in scanned.items():
+        assert row == pytest.approx(merged[key], abs=1e-9), (key, row, merged[key])
+        assert row[:2] + row[5:8] == _by_slices(rows, key, classic), key
+
+
+def _by_window(rows):
+    numbers = ["START_DATE", "LAST_DATE", "VOL", "FIRST_NAV", "LAST_NAV", "MDD", "MDD_DATE", "RECOVERY_DATE", "N_RET"]
+    days = lambda v: v.toordinal() if isinstance(v, dt.date) else -1.0 if v is None else v
+    return {(r.TICKER_SYMBOL, r.WIN_START, r.WIN_END): tuple(days(r[c]) for c in numbers) for r in rows.collect()}
+
+
+def _by_slices(rows, key, classic):
+    part = sorted((d, v) for k, d, v in rows if k == key[0] and key[1] <= d <= key[2])
+    high, falls = None, []
+    for d, v in part:
+        if v is not None:
+            high = v if high is None else max(high, v)
+            falls.append((1 - v / high, d))
+    deepest = max((f for f, _ in falls), default=None)
+    hits = [d for f, d in falls if f == deepest] if deepest is not None and (classic or deepest != 0) else []
+    day = (hits[0] if classic else hits[-1]) if hits else None
+    back = next((d for f, d in falls if day and d > day and f == 0), None)
+    number = lambda d: d.toordinal() if d else -1.0
+    return (number(part[0][0]), number(part[-1][0]), -1.0 if deepest is None else deepest, number(day), number(back))
