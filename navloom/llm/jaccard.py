@@ -22,6 +22,8 @@ SKETCH = 1 << 18
 PARTS = 64
 #: Length of a posting list beyond which it is dealt out to several hubs.
 HOT_LIST = 50_000
+#: Length of a posting list from which on its pairs meet only if they have no rarer n-gram in common.
+LONG_LIST = 16
 
 
 def shingles(text: str, width: int, known: dict[bytes, int]) -> np.ndarray:
@@ -44,8 +46,9 @@ def shingles(text: str, width: int, known: dict[bytes, int]) -> np.ndarray:
     return np.unique(mixed ^ (mixed >> np.uint64(32)))
 
 
-def hash_of(grams: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(grams.tobytes())
+def key_of(grams: np.ndarray) -> int:
+    """A set's 64-bit name; sets of one name are one class."""
+    return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
 
 
 #: Rows whose sets a task holds at once, and words whose hashes it remembers.
@@ -81,27 +84,27 @@ def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
-    """By document: size, 128-bit hash of the set, suffix parts, and the prefix in the order of the sketch, rare first."""
+    """By document: size and name of the set, suffix parts, and the prefix in the order of the sketch, rare first."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
         for frame, sets in gram_sets(frames, width):
-            out: dict[str, list] = {"size": [], "set_hash": [], "parts": [], "prefix": [], "salts": []}
+            out: dict[str, list] = {"size": [], "key": [], "parts": [], "prefix": [], "salts": []}
             for s in sets:
                 n = len(s)
                 freq = counts[(s % np.uint64(SKETCH)).astype(np.int64)]
                 order = np.lexsort((s, freq))[: n - -(-percent * n // 100) + 1] if n else np.zeros(0, dtype=np.int64)
                 out["size"].append(n)
-                out["set_hash"].append(hash_of(s))
+                out["key"].append(key_of(s))
                 parts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PARTS)
                 out["parts"].append(parts.astype(np.uint8 if parts.max() < 256 else np.int32).tobytes())
                 out["prefix"].append(s[order].view(np.int64))
                 salts = freq[order] // HOT_LIST + 1
                 out["salts"].append(salts.astype(np.int32) if (salts > 1).any() else None)
-            yield pd.DataFrame({"id": frame["id"]} | out)
+            yield pd.DataFrame({"id": frame["id"], "mark": frame["mark"]} | out)
 
-    return docs.mapInPandas(cut, "id long, size int, set_hash binary, parts binary, prefix array<long>, salts array<int>")
+    return docs.mapInPandas(cut, "id long, mark long, size int, key long, parts binary, prefix array<long>, salts array<int>")
 
 
 def _needed(size_a: str, size_b: str, percent: int) -> Column:
@@ -128,97 +131,115 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([len(np.intersect1d(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), assume_unique=True)) for x, y in zip(a, b)], dtype="int32")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are as similar as asked; only pairs that pass the suffix filter fetch their sets."""
-    side = lambda x: sets.select(F.col("id").alias(x), F.col("set_hash").alias(f"hash_{x}"), F.col("size").alias(f"size_{x}"), F.col("parts").alias(f"parts_{x}"))
+def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sets are as similar as asked; only pairs that pass the suffix filter fetch their sets.
+
+    ``heads``: name, size, parts and id of one document of each class."""
+    side = lambda x: heads.select(F.col("key").alias(x), F.col("id").alias(f"id_{x}"), F.col("size").alias(f"size_{x}"), F.col("parts").alias(f"parts_{x}"))
     kept = pairs.join(side("a"), "a").join(side("b"), "b")
-    kept = kept.select("a", "b", "hash_a", "hash_b", "size_a", "size_b", _part_overlap("parts_a", "parts_b").alias("bound"))
+    kept = kept.select("a", "b", "id_a", "id_b", "size_a", "size_b", _part_overlap("parts_a", "parts_b").alias("bound"))
     kept = cut_lineage(kept.where(F.col("bound") >= _needed("size_a", "size_b", percent)).drop("bound"))
-    ids, n = measured(kept.select(F.col("a").alias("id")).union(kept.select("b")).distinct())
+    asked, n = measured(kept.select(F.col("a").alias("key"), F.col("id_a").alias("id")).union(kept.select("b", "id_b")).distinct())
 
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, found in gram_sets(frames, width):
-            yield pd.DataFrame({"id": frame["id"], "set_hash": [hash_of(s) for s in found], "grams": [s.tobytes() for s in found]})
+            yield pd.DataFrame({"id": frame["id"], "key": [key_of(s) for s in found], "grams": [s.tobytes() for s in found]})
 
-    texts = docs.join(broadcast_if_small(ids, n), "id", "left_semi")
-    grams = texts.mapInPandas(whole, "id long, set_hash binary, grams binary")
-    pairs = kept.join(grams.toDF("a", "hash_a", "grams_a"), ["a", "hash_a"])
-    pairs = pairs.join(grams.toDF("b", "hash_b", "grams_b"), ["b", "hash_b"])
+    texts = docs.select("id", "text").join(broadcast_if_small(asked.select("id").distinct(), n), "id", "left_semi")
+    grams = texts.mapInPandas(whole, "id long, key long, grams binary").join(asked, ["id", "key"], "left_semi").select("key", "grams")
+    if docs.select("id").distinct().count() < docs.count():
+        grams = grams.dropDuplicates(["key"])  # the document of a class stands more than once
+    pairs = kept.join(grams.toDF("a", "grams_a"), "a").join(grams.toDF("b", "grams_b"), "b")
     pairs = pairs.select("a", "b", "size_a", "size_b", _common("grams_a", "grams_b").alias("common"))
     return cut_lineage(pairs.where(F.col("common") >= _needed("size_a", "size_b", percent)).select("a", "b"))
 
 
+def mark_of(text: str = "text") -> Column:
+    """What tells the rows of one id apart."""
+    return F.xxhash64(text_of(text))
+
+
 def jaccard_components(rows: DataFrame, width: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``n_shingles``, ``component`` of every row: the smallest id that links reach.  Ids are integers.
+    """``id``, ``mark`` (:func:`mark_of` the text), ``n_shingles``, ``component``, ``kept`` of every row.  Ids are integers.
 
-    Two documents link when 100 * common >= percent * union over their sets of word n-grams.  Equal sets are one
-    class, whose smallest id stands for it.  Every set posts the prefix that a linked set must meet, in the order of an
-    approximate document frequency (any order gives right results; rare first keeps the lists short).  Each posting list first
-    compares its members with one hub, the member with the fewest rarer n-grams; what these links connect needs no further
-    comparison, so a list of near copies costs its length and not its square.  The pairs that are left, between different
-    components of a list, are then compared each once.  Links are the same as those of all pairs, up to 64-bit hashes.
+    Two documents link when 100 * common >= percent * union over their sets of word n-grams; a component is named by the smallest
+    id that links reach, and one of its rows is ``kept``: a row with that id (of several texts, the set with the smallest name).
+    Equal sets are one class.  Every class posts the prefix that a linked set must meet, in the order of an approximate
+    document frequency (any order gives right results; rare first keeps the lists short).  Each posting list first compares its
+    members with one hub, the member with the fewest rarer n-grams; what these links connect needs no further comparison, so a
+    list of near copies costs its length and not its square.  The pairs that are left, between different components of a
+    list, are then compared each once: in a long list they meet only if they share no rarer n-gram.  Links are the same as those of all pairs, up
+    to 64-bit hashes.
 
     Null or empty text: an empty set, linked with nothing.  Null id: the row is returned with a null component and is
-    linked with nothing.  Repeated rows get the same answer; where one id has several texts, the one with the
-    smallest hash is compared with others.  Empty table: no rows.  Other columns are not read.
+    linked with nothing.  Repeated rows get the same answer; several texts of one id are linked each.  Empty table: no rows.
+    Other columns are not read.
     """
-    docs = rows.select(F.col(quoted(id_col)).cast("long").alias("id"), text_of(text_col).alias("text"))
+    docs = rows.select(F.col(quoted(id_col)).cast("long").alias("id"), text_of(text_col).alias("text"), mark_of(text_col).alias("mark"))
     sketch = frequency_sketch(docs, width)
     with staged(_prefixes(docs, sketch, width, percent)) as prefixed:
-        sets = cut_lineage(prefixed.select("id", "size", "set_hash"))
+        sets = cut_lineage(prefixed.select("id", "mark", "size", "key"))
         members, links = _linked(docs, prefixed, sets.where("size > 0 AND id IS NOT NULL"), width, percent)
-    parts = components(links).select(F.col("id").alias("class"), "component")
-    classes = members.join(parts, "class", "left").select("set_hash", F.coalesce("component", "class").alias("component"))
-    found = sets.join(classes, "set_hash", "left")
-    own = F.when(F.col("id").isNotNull(), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")))
-    return found.select("id", F.col("size").cast("long").alias("n_shingles"), own.alias("component"))
+    parts = members.join(components(links).toDF("key", "part"), "key")
+    named = parts.groupBy("part").agg(F.min(F.struct("class", "key")).alias("least"))
+    parts = parts.join(named, "part").select("key", F.col("least.class").alias("component"), F.col("least.key").alias("head"))
+    classes = members.join(parts, "key", "left").select("key", F.coalesce("component", "class").alias("component"), F.coalesce("head", "key").alias("head"))
+    found = sets.join(classes, "key", "left")
+    known = F.col("id").isNotNull()
+    own = F.when(known, F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")))
+    kept = ~known | (F.col("size") == 0) | ((F.col("id") == F.col("component")) & (F.col("key") == F.col("head")))
+    return found.select("id", "mark", F.col("size").cast("long").alias("n_shingles"), own.alias("component"), kept.alias("kept"))
 
 
 def _heads(prefixed: DataFrame, full: DataFrame, members: DataFrame) -> DataFrame:
-    """The prefixes of one row of each class: all rows but those that a small table of the others names."""
-    heads = full.join(members, "set_hash").where("id = class").groupBy("id").agg(F.min("set_hash").alias("set_hash"))
-    others, n = measured(full.distinct().join(heads, ["id", "set_hash"], "left_anti").select("id", "set_hash"))
-    chosen = prefixed.where("size > 0 AND id IS NOT NULL").join(F.broadcast(others) if n <= 5 * BROADCAST_ROWS else others, ["id", "set_hash"], "left_anti")
-    rows = full.agg(F.count(F.lit(1)).alias("all"), F.count_distinct("id", "set_hash").alias("different")).first()
-    return chosen if rows["all"] == rows.different else chosen.dropDuplicates(["id", "set_hash"])
+    """The prefixes of one row of each class, its smallest id: all rows but those that a small table of the others names."""
+    others, n = measured(full.join(members, "key").where("id <> class").select("id", "key").distinct())
+    chosen = prefixed.where("size > 0 AND id IS NOT NULL").join(F.broadcast(others) if n <= 5 * BROADCAST_ROWS else others, ["id", "key"], "left_anti")
+    rows = full.agg(F.count(F.lit(1)).alias("all"), F.count_distinct("id", "key").alias("different")).first()
+    return chosen if rows["all"] == rows.different else chosen.dropDuplicates(["key"])
 
 
 def _linked(docs: DataFrame, prefixed: DataFrame, full: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal sets (``set_hash``, ``class``), and enough links (a, b) between classes to connect what is linked."""
-    full = full.select("id", "set_hash")
-    members = full.groupBy("set_hash").agg(F.min("id").alias("class"))
+    """Classes of equal sets (``key``, ``class``), and enough links (a, b) between their names to connect what is linked."""
+    full = full.select("id", "key")
+    members = full.groupBy("key").agg(F.min("id").alias("class"))
     chosen = _heads(prefixed, full, members)
-    heads = cut_lineage(chosen.select("id", "set_hash", "size", "parts"))
+    heads = cut_lineage(chosen.select("key", "id", "size", "parts"))
 
-    posted = chosen.select("id", "size", "salts", F.posexplode("prefix").alias("place", "gram"))
+    posted = chosen.select("key", "size", "salts", F.posexplode("prefix").alias("place", "gram"))
     salts = F.get("salts", F.col("place"))
-    posted = posted.select("id", "size", "place", "gram", F.when(salts > 1, F.pmod(F.xxhash64("id"), salts)).alias("salt"))
+    posted = posted.select("key", "size", "place", "gram", F.when(salts > 1, F.pmod(F.xxhash64("key"), salts)).alias("salt"))
     by_list = Window.partitionBy("gram", "salt")
-    first = F.first(F.struct("id", "size", "place")).over(by_list.orderBy("place", "id"))
-    posted = posted.select("*", first.alias("hub"), F.lead("id").over(by_list.orderBy("place", "id")).alias("next"))
-    posted = posted.where("salt IS NOT NULL OR next IS NOT NULL OR id <> hub.id").select("id", "size", "place", "gram", "hub")
+    first = F.first(F.struct("key", "size", "place")).over(by_list.orderBy("place", "key"))
+    posted = posted.select("*", first.alias("hub"), F.lead("key").over(by_list.orderBy("place", "key")).alias("next"))
+    posted = posted.where("salt IS NOT NULL OR next IS NOT NULL OR key <> hub.key").select("key", "size", "place", "gram", "hub")
     with staged(posted) as listed:
-        near = listed.where("id <> hub.id").select(
-            F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.size").alias("size_a"), F.col("size").alias("size_b"), F.col("hub.place").alias("place_a"), F.col("place").alias("place_b")
+        near = listed.where("key <> hub.key").select(
+            F.col("hub.key").alias("a"), F.col("key").alias("b"), F.col("hub.size").alias("size_a"), F.col("size").alias("size_b"), F.col("hub.place").alias("place_a"), F.col("place").alias("place_b")
         )
         pairs = cut_lineage(near.where(_possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = _verified(pairs, heads, docs, width, percent)
-        rest = cut_lineage(_between(listed, components(links), percent).join(pairs, ["a", "b"], "left_anti"))
+        rest = cut_lineage(_between(listed, components(links), chosen.select("key", "prefix"), percent).join(pairs, ["a", "b"], "left_anti"))
     return members, links.union(_verified(rest, heads, docs, width, percent))
 
 
-def _between(listed: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _between(listed: DataFrame, parts: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs of one posting list that lie in different components and can still be linked.
 
     Sizes meet in bands whose ends have the ratio of the threshold: the larger set of a linked pair lies in the band of the
-    smaller one or in the next.
+    smaller one or in the next.  Documents that share a passage meet in the list of each of its n-grams; all prefixes are in one
+    order, so the entries of a long list carry what stands before them, and a pair meets in the first of its lists alone.
     """
-    entries = listed.select("id", "size", "place", "gram").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-    entries = entries.join(mixed, "gram", "left_semi")
+    entries = listed.select("key", "size", "place", "gram").join(parts.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    mixed = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("gram", "n")
+    entries = cut_lineage(entries.join(mixed, "gram"))
+    long = entries.where(F.col("n") > LONG_LIST)
+    before = long.join(prefixes, "key").select("key", "size", "place", "gram", "component", F.slice("prefix", F.lit(1), F.col("place")).alias("rarer"))
+    entries = entries.where(F.col("n") <= LONG_LIST).select("key", "size", "place", "gram", "component", F.lit(None).cast("array<long>").alias("rarer")).union(before)
     band = F.floor(F.log("size") / float(np.log(100 / percent)) + 1e-9).cast("int")
-    left = entries.select("gram", band.alias("band"), F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("component").alias("part_a"))
-    right = entries.select("gram", F.explode(F.array(band, band + 1)).alias("band"), F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), F.col("component").alias("part_b"))
+    side = lambda x: [F.col(c).alias(f"{n}{x}") for c, n in (("key", ""), ("size", "size_"), ("place", "place_"), ("component", "part_"), ("rarer", "rarer_"))]
+    left, right = entries.select("gram", band.alias("band"), *side("a")), entries.select("gram", F.explode(F.array(band, band + 1)).alias("band"), *side("b"))
     larger = (F.col("size_a") > F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
-    met = left.join(right, ["gram", "band"]).where(larger & (F.col("part_a") != F.col("part_b")) & _possible(percent))
+    once = F.col("rarer_a").isNull() | F.col("rarer_b").isNull() | ~F.arrays_overlap("rarer_a", "rarer_b")
+    met = left.join(right, ["gram", "band"]).where(larger & (F.col("part_a") != F.col("part_b")) & _possible(percent) & once)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

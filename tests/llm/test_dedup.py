@@ -87,6 +87,28 @@ def test_jaccard_with_missing_and_repeated_ids(documents):
     assert jaccard.jaccard_components(documents()).count() == 0
 
 
+def test_jaccard_links_every_text_of_an_id(documents):
+    """Ids 2 and 1 share 38 of 39 shingles by the second text of 1; 3 links with the first; one row of the component is kept."""
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, a + " more"), (5, "c c"), (5, "d d"), (5, "d d")]
+    found = jaccard.jaccard_components(documents(*rows))
+    got = sorted((r.id, r.component, r.kept) for r in found.collect())
+    assert [(i, c) for i, c, _ in got] == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (5, 5), (5, 5)]
+    assert [i for i, _, k in got if k] == [1, 1, 5, 5, 5]  # two components share the name 1
+
+
+def test_long_lists_meet_their_pairs_once(documents, monkeypatch):
+    """A passage that fifty documents share in part: no pair is lost where long lists compare what stands before."""
+    monkeypatch.setattr(jaccard, "LONG_LIST", 2)
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(60)]
+    texts = [" ".join(passage[: rng.randrange(40, 61)] + [f"o{n}_{k}" for k in range(rng.randrange(0, 25))]) for n in range(50)]
+    texts += [t for seed in (7, 8) for t in near_copies(seed, 30, 60)]
+    rows = list(zip(rng.sample(range(500), len(texts)), texts))
+    found = jaccard.jaccard_components(documents(*rows), 5, 80).collect()
+    assert {r.id: (r.n_shingles, r.component) for r in found} == components_by_brute_force(rows, 5, 80)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(200, 200), (None, 3), (149, 300), (300, 299)]
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
