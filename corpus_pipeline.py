@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from navloom.llm.common import broadcast_if_small, measured, table
 from navloom.llm.exact_dedup import exact_dedup
-from navloom.llm.jaccard import jaccard_components
+from navloom.llm.jaccard import jaccard_components, mark_of
 from navloom.llm.mixing import mix_sources
 from navloom.llm.packing import pack
 from navloom.llm.toxicity import learn, score_toxicity
@@ -33,11 +33,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of 5-word shingle sets at 80 percent connect, the one with the smallest id."""
+    """Of documents that links of 5-word shingle sets at 80 percent connect, the one with the smallest id; other texts of its id stay or go by their own links."""
     found = jaccard_components(docs, width=5, percent=80)
-    losers, n = measured(found.where("component <> id").select(F.col("id").alias("loser")).distinct())
+    losers, n = measured(found.where("NOT kept").select(F.col("id").alias("loser"), "mark").distinct())
     losers = broadcast_if_small(losers, n)
-    return docs.join(losers, docs.doc_id == losers.loser, "left_anti")
+    return docs.join(losers, (docs.doc_id == losers.loser) & (mark_of("text") == losers.mark), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
