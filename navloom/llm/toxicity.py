@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navloom.llm.common import quoted, text_of, whole_row
-from navloom.llm.jaccard import gram_sets, hash_of
+from navloom.llm.jaccard import gram_sets, key_of
 
 PUNCTUATION = string.punctuation.encode()
 #: Bytes of the stems that a word shares with its inflected forms.
@@ -45,9 +45,10 @@ def stems_of(word: bytes) -> list[bytes]:
 def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last token, score), left to right, in linear time.
 
-    ``scores`` holds the tokens with a positive score by position; every other token costs ``drift``.
+    ``scores`` holds the tokens with a positive score by position; every other token costs ``drift``.  A segment keeps the
+    place of the last one before it with a smaller sum before, so those in between are passed over in one step.
     """
-    found: list[list[float]] = []  # first, last, sum before, sum after
+    found: list[list[float]] = []  # first, last, sum before, sum after, place of the last segment with a smaller sum before
     total, before = 0.0, -1
     for at, score in scores:
         left = total - drift * (at - before - 1)
@@ -56,13 +57,13 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, i
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
+                found.append([*new, j])
                 break
             new = [found[j][0], new[1], found[j][2], new[3]]
             del found[j:]
-    return [(int(a), int(b), r - l) for a, b, l, r in found]
+    return [(int(a), int(b), r - l) for a, b, l, r, _ in found]
 
 
 def evidence(model: ToxicityModel, scored: list[float], tokens: int) -> float:
@@ -147,9 +148,8 @@ def _sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part, grams in gram_sets(frames, 5):
         first = [int(g.min()) if len(g) else 0 for g in grams]
         second = [int((g * np.uint64(0xD6E8FEB86659FD93)).min()) if len(g) else 0 for g in grams]
-        whole = [int.from_bytes(hash_of(g)[:8], "big") for g in grams]
-        keys = {n: np.array(v, dtype=np.uint64).view(np.int64) for n, v in (("hash", whole), ("a", first), ("b", second))}
-        yield pd.DataFrame({"text": part["text"], "toxic": part["toxic"]} | keys)
+        keys = {n: np.array(v, dtype=np.uint64).view(np.int64) for n, v in (("a", first), ("b", second))}
+        yield pd.DataFrame({"text": part["text"], "toxic": part["toxic"], "hash": np.array([key_of(g) for g in grams], dtype=np.int64)} | keys)
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, prior_share: float = 0.01, least_ratio: float = 10.0, least_rows: int = 3, lexicon: int = 50_000, drift: float = 0.2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:

@@ -1,6 +1,7 @@
 """Segments against all cuts, the score against held-out labels."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,22 @@ def test_segments_are_the_best_ones():
         assert all(k in covered for k, s in enumerate(scores) if s)
 
 
+@pytest.mark.parametrize("gap", [30, 3, 1])
+def test_segments_take_time_in_proportion(gap):
+    """Separated, merging and adjoining toxic words: twice as many take about twice as long."""
+    spent = []
+    for n in (20_000, 40_000, 80_000):
+        scores = [(gap * k, 1.0) for k in range(n)]
+        spent.append(min(_seconds(scores) for _ in range(3)))
+    assert spent[2] < 8 * spent[0] + 0.05 and spent[2] < 2
+
+
+def _seconds(scores):
+    started = time.perf_counter()
+    toxicity.segments(scores, 0.2)
+    return time.perf_counter() - started
+
+
 def test_held_out_accuracy(spark, sf_dir):
     folder = sf_dir.replace("sf0.001", "sf0.1")
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
