@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from navloom.catalog.base import register, rounded
 from navloom.session import shared_dir
 from navloom.sources import fixtures as fx
-from navloom.sources import ingest, readers
+from navloom.sources import ingest, readers, versions
 
 T, D = "TICKER_SYMBOL", "END_DATE"
 
@@ -58,9 +58,9 @@ SEQUENCE = "SELECT TICKER_SYMBOL, END_DATE, ADJ_NAV, 0 AS SEQ FROM fx_nav WHERE
 def a06_upsert_by_key(spark, sf):
     first, second = _batches(spark, sf)
     path = _fresh(spark, "a06")
-    ingest.write_dataset(ingest.bucketed(first, [T, D]), path, [ingest.BUCKET], "overwrite")
-    ingest.write_dataset(ingest.bucketed(_twice(second), [T, D]), path, [ingest.BUCKET], "update", keys=[T, D], excluded=["SEQ"], order=["SEQ"])
-    return rounded(ingest.read_dataset(spark, path))
+    versions.replace(first, path, [T, D])
+    versions.upsert(_twice(second), path, [T, D], ["SEQ"], excluded=["SEQ"])
+    return rounded(versions.read(spark, path))
 
 
 @register("a07_insert_ignore", f"SELECT TICKER_SYMBOL, END_DATE, round(arg_min(ADJ_NAV, SEQ), 6) AS ADJ_NAV FROM ({SEQUENCE}) t GROUP BY 1, 2")
@@ -95,6 +95,20 @@ def a10_watermark_row_id(spark, sf):
     return ingest.merge_rows(target, ingest.after_watermark(source, "event_id", target), ["event_id"], ["event_id"])
 
 
+@register("a10_stored_incremental_load", "SELECT event_id, CAST(user_id AS BIGINT) AS USER_ID, CASE WHEN event_id % 10 = 0 AND event_id > M // 2 THEN value + 1 ELSE value END AS VALUE FROM events, (SELECT max(event_id) AS M FROM events) m")
+def a10_stored_incremental_load(spark, sf):
+    """A first load of half the rows, a second one from the watermark of the stored table on; some rows come again with other values."""
+    source = fx.table(spark, sf, "events").select("event_id", F.col("user_id").cast("bigint").alias("User"), F.col("value").alias("Value"), F.lit(0).alias("ID"))
+    top = source.agg(F.max("event_id")).first()[0]
+    job = ingest.Mirror(rename={"User": "USER_ID", "Value": "VALUE"}, keys=["event_id"], watermark="event_id", drop=["ID"])
+    path = _fresh(spark, "a10")
+    ingest.load_incremental(source.where(F.col("event_id") <= top // 2), path, job)
+    newer = F.when((F.col("event_id") % 10 == 0) & (F.col("event_id") > top // 2), F.col("Value") + 1).otherwise(F.col("Value"))
+    ingest.load_incremental(source.withColumn("Value", newer), path, job)
+    ingest.load_incremental(source.where("event_id < 0"), path, job)
+    return ingest.read_dataset(spark, path)
+
+
 @register("a11_watermark_time", "SELECT event_id, ts, value FROM events")
 def a11_watermark_time(spark, sf):
     source = fx.table(spark, sf, "events").select("event_id", "ts", "value")
@@ -138,9 +152,9 @@ def a18_coverage_statistics(spark, sf):
 @register("a19_table_copy", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def a19_table_copy(spark, sf):
     path = _fresh(spark, "a19")
-    ingest.copy_table(fx.table(spark, sf, "supplier"), path, ["s_suppkey"], ["s_suppkey"])
-    ingest.copy_table(fx.table(spark, sf, "supplier"), path, ["s_suppkey"], ["s_suppkey"])
-    return ingest.read_dataset(spark, path)
+    versions.upsert(fx.table(spark, sf, "supplier"), path, ["s_suppkey"], ["s_suppkey"])
+    versions.upsert(fx.table(spark, sf, "supplier"), path, ["s_suppkey"], ["s_suppkey"])
+    return versions.read(spark, path)
 
 
 @register("a20_delimited_ledgers", "SELECT date, type, ticker, quantity, price, CAST(0.0 AS DOUBLE) AS fees FROM fx_ledger WHERE type = 'Buy' UNION ALL SELECT date, type, ticker, quantity, price, CAST(1.5 AS DOUBLE) FROM fx_ledger WHERE type = 'Sell'")
@@ -175,6 +189,23 @@ def a22_config_driven_mirror(spark, sf):
     return ingest.mirror(source, target, job, codes).select(T, "REPORT_DATE", "JSID", "HOLD_VOLUME")
 
 
+@register(
+    "a22_stored_mirror",
+    "SELECT concat('F', l_suppkey) AS TICKER_SYMBOL, CAST(l_shipdate AS DATE) AS REPORT_DATE, max(l_orderkey * 10 + l_linenumber) AS JSID, arg_max(l_quantity, l_orderkey * 10 + l_linenumber) AS HOLD_VOLUME FROM lineitem GROUP BY 1, 2",
+)
+def a22_stored_mirror(spark, sf):
+    """Every vendor row of two loads, the newest of a fund and day; the second load begins at the first one's watermark."""
+    line = fx.table(spark, sf, "lineitem")
+    source = line.select(F.col("l_suppkey").alias("InnerCode"), F.to_date("l_shipdate").alias("EndDate"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("JSID"), F.col("l_quantity").alias("Volume"), F.lit(1).alias("ID"))
+    codes = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("InnerCode"), F.concat(F.lit("F"), F.col("s_suppkey").cast("string")).alias(T))
+    job = ingest.Mirror(rename={"EndDate": "REPORT_DATE", "Volume": "HOLD_VOLUME"}, keys=[T, "REPORT_DATE"], watermark="JSID", drop=["ID"], codes=("InnerCode", T))
+    half = source.agg(F.expr("max(JSID) div 2")).first()[0]
+    path = _fresh(spark, "a22")
+    ingest.load_incremental(source.where(F.col("JSID") <= half), path, job, codes)
+    ingest.load_incremental(source, path, job, codes)
+    return ingest.read_dataset(spark, path).select(T, "REPORT_DATE", "JSID", "HOLD_VOLUME")
+
+
 @register("h07_partitioned_outputs", "SELECT l_returnflag, l_linestatus, count(*) AS N FROM lineitem GROUP BY 1, 2")
 def h07_partitioned_outputs(spark, sf):
     path = _fresh(spark, "h07")

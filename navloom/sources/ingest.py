@@ -3,7 +3,8 @@
 A table is a parquet dataset.  Parquet has no row-level merge, so a change rewrites the touched partitions: the merged rows are
 first written to the shared folder, a note beside the table names them, and then they replace the partitions.  A job that dies
 while it replaces leaves the note; the next change of the table first finishes what the note says.  The change is not atomic
-across partitions for readers; running it again with the same batch gives the same table.
+across partitions for readers; running it again with the same batch gives the same table.  Tables that readers must see whole, or whose batches
+touch few keys, are kept with versions (:mod:`navloom.sources.versions`).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from navloom.operators.aggregates import keep_last, relaxed_union
 from navloom.session import shared_dir
+from navloom.sources import versions
 
 BATCH_ROWS = 10_000  # fixed value: rows per statement of a database write
 
@@ -153,6 +155,9 @@ def bucketed(df: DataFrame, keys: Sequence[str], buckets: int = 8) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a stored table, with versions or without."""
+    if versions.exists(spark, path):
+        return versions.read(spark, path)
     finish_pending(spark, path)
     return spark.read.parquet(path).drop(BUCKET)
 
@@ -229,13 +234,15 @@ def export_snapshot(df: DataFrame, path: str, date: str, day: str) -> None:
     write_dataset(df.where(F.col(date) == F.to_date(F.lit(day))), path, [date], "overwrite")
 
 
-def load_incremental(source: DataFrame, path: str, job: Mirror, codes: DataFrame | None = None) -> None:
-    """Mirror job against a stored dataset, which is kept in buckets of the key; a load rewrites the buckets that it touches."""
+def load_incremental(source: DataFrame, path: str, job: Mirror, codes: DataFrame | None = None) -> int:
+    """Mirror job against a stored table (:mod:`navloom.sources.versions`); the new version's number.
+
+    The watermark comes from the table's manifest, so the stored rows are not read for it, and a load rewrites the files that hold its keys.
+    """
     spark = source.sparkSession
-    renamed = harmonise(source, job.rename, job.drop)
-    finish_pending(spark, path)
-    target = spark.read.parquet(path) if _exists(spark, path) else renamed.limit(0)
-    write_dataset(bucketed(mirror(source, target, job, codes), job.keys), path, [BUCKET], "update", job.keys, order=[job.watermark])
+    of_type = dict(harmonise(source, job.rename, job.drop).dtypes)[job.watermark]
+    target = spark.range(1).select(versions.highest_mark(spark, path, of_type).alias(job.watermark))
+    return versions.upsert(mirror(source, target, job, codes), path, job.keys, [job.watermark], mark=job.watermark)
 
 
 def copy_table(source: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> None:

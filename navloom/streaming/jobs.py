@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from navloom.sources.ingest import BUCKET, bucketed, staged, write_dataset
+from navloom.sources import versions
+from navloom.sources.ingest import staged, write_dataset
 
 WATERMARK = "5 days"  # fixed value: how late a correction may be (trailing days of the daily re-run)
 
@@ -48,7 +49,7 @@ def upsert_latest(path: str, keys: Sequence[str], order: Sequence[str]) -> Calla
     """Keep the newest row per key over all batches; running a batch twice changes nothing."""
 
     def each(batch: DataFrame, _: int) -> None:
-        write_dataset(bucketed(batch, keys), path, [BUCKET], "update", keys, order=order, newest=True)
+        versions.upsert(batch, path, keys, order, newest=True)
 
     return each
 
@@ -58,7 +59,7 @@ def upsert_rows(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], No
     key is unique in a batch and any order will do."""
 
     def each(batch: DataFrame, _: int) -> None:
-        write_dataset(bucketed(batch, keys), path, [BUCKET], "update", keys, order=list(keys))
+        versions.upsert(batch, path, keys, list(keys))
 
     return each
 
