@@ -333,6 +333,18 @@ def s04_stateful_drawdown(spark, sf):
     return rounded(spark.read.parquet(path))
 
 
+@register("s04_unordered_batches", "SELECT user_id, event_id, max(value) OVER w AS HIGH, round(1 - value / max(value) OVER w, 6) + 0.0 AS DRAWDOWN FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+def s04_unordered_batches(spark, sf):
+    """The events come in four batches that are in no order of time; rows behind a late one are corrected."""
+    source, path, checkpoint = f"{shared_dir(spark)}/s04-{uuid.uuid4().hex}", *_fresh(spark, "s04u")
+    events = fx.table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    for part in range(4):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(source)
+    stream = jobs.corrected_drawdown(jobs.file_stream(spark, source, 1), "user_id", "ts", "event_id", "value", delay="400 days")
+    jobs.run(stream, checkpoint, jobs.upsert_rows(path, ["user_id", "event_id"]))
+    return rounded(read_dataset(spark, path))
+
+
 @register("s05_stream_static_join", "SELECT event_id, CAST(user_id AS VARCHAR) AS TICKER_SYMBOL, LEVEL_1, LEVEL_2 FROM events JOIN fx_type ON TICKER_SYMBOL = CAST(user_id AS VARCHAR)")
 def s05_stream_static_join(spark, sf):
     path, checkpoint = _fresh(spark, "s05")

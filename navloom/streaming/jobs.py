@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +101,53 @@ def running_drawdown(df: DataFrame, key: str, time: str, seq: str, value: str) -
     )
 
 
+def corrected_drawdown(df: DataFrame, key: str, time: str, seq: str, value: str, delay: str = WATERMARK, expiry_days: int = 400) -> DataFrame:
+    """Running high and drawdown per entity in event-time order, whatever order the rows come in: ``key, seq, HIGH, DRAWDOWN``.
+
+    The state of an entity is its high up to the watermark and the rows since then.  A row that comes late, but not later than
+    ``delay``, is put in its place, and rows behind it whose high it changes are given out again: write them with
+    :func:`upsert_rows` by (key, seq), and the stored rows are those of one sorted pass.  What falls behind the watermark is folded into the
+    high, so the state is bounded by the rows of ``delay``; rows older than the watermark are dropped, as everywhere.  An entity without
+    rows for ``expiry_days`` behind its last one loses its state and begins anew.  Rows without a time or a value are left out.
+    """
+    types = dict(df.dtypes)
+    shape = f"HIGH double, TIMES array<bigint>, SEQS array<{types[seq]}>, VALS array<double>, HIGHS array<double>"
+
+    def step(tag: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        high, *held = state.get if state.exists else (float("-inf"), [], [], [], [])
+        times, seqs, values, highs = (list(x) for x in held)
+        fresh = pd.concat(list(frames))
+        times += (fresh[time].astype("int64") // _unit(fresh[time])).tolist()
+        seqs += fresh[seq].tolist()
+        values += fresh[value].tolist()
+        highs += [float("nan")] * len(fresh)
+        order = sorted(range(len(times)), key=lambda k: (times[k], seqs[k]))
+        times, seqs, values, before = ([x[k] for k in order] for x in (times, seqs, values, highs))
+        run = np.maximum.accumulate(np.array([high, *values]))[1:]
+        changed = run != np.array(before)  # rows that were not given out yet have no high before
+        mark = state.getCurrentWatermarkMs()
+        settled = int(np.searchsorted(np.array(times), mark))
+        high = float(run[settled - 1]) if settled else high
+        state.update((high, times[settled:], seqs[settled:], values[settled:], run[settled:].tolist()))
+        state.setTimeoutTimestamp(max(times[-1], mark) + expiry_days * 86_400_000)
+        out = pd.DataFrame({seq: seqs, "HIGH": run, "V": values})[changed]
+        out.insert(0, key, tag[0])
+        yield out.assign(DRAWDOWN=1 - out["V"] / out["HIGH"]).drop(columns="V")
+
+    rows = with_event_time(df.select(key, time, seq, F.col(value).cast("double").alias(value)), time).dropna(subset=[time, value])
+    return rows.withWatermark(time, delay).groupBy(key).applyInPandasWithState(
+        step, f"{key} {types[key]}, {seq} {types[seq]}, HIGH double, DRAWDOWN double", shape, "update", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def _unit(times: pd.Series) -> int:
+    """Ticks of a column of times in a millisecond."""
+    return {"ns": 1_000_000, "us": 1_000, "ms": 1}[getattr(times.dt, "unit", "ns")]
+
+
 def enrich(stream: DataFrame, static: DataFrame, key: str) -> DataFrame:
     """Stream of events joined to a static table of holdings."""
     return stream.join(static, key)

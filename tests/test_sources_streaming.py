@@ -119,6 +119,42 @@ def test_stateful_drawdown_carries_the_high_over_batches(spark, fresh):
     assert got == {1: (10.0, 0.0), 2: (10.0, 0.2), 3: (10.0, 0.1), 4: (12.0, 0.0)}
 
 
+def test_rows_in_any_order_give_the_rows_of_one_sorted_pass(spark, fresh):
+    """Shuffled batches inside the delay; then rows beyond it are dropped, and an entity that was silent too long begins anew."""
+    import random
+
+    src, out, cp = fresh(), fresh(), fresh()
+    rng = random.Random(3)
+    start = pd.Timestamp("2024-01-01")
+    rows = [(rng.choice("ab"), start + pd.Timedelta(hours=h), n, float(rng.randrange(50, 100))) for n, h in enumerate(rng.sample(range(96), 60))]
+    columns = ["k", "t", "s", "v"]
+
+    def load(part):
+        frame = pd.DataFrame(part, columns=columns)
+        _parts(spark, src, [frame.assign(t=frame["t"].dt.tz_localize("UTC"))])
+        stream = jobs.corrected_drawdown(jobs.file_stream(spark, src, 1), "k", "t", "s", "v", delay="5 days", expiry_days=30)
+        jobs.run(stream, cp, jobs.upsert_rows(out, ["k", "s"]))
+
+    for cut in range(0, 60, 15):
+        load(rows[cut : cut + 15])
+    want = {}
+    for k in "ab":
+        high = 0.0
+        for _, _, n, v in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):
+            high = max(high, v)
+            want[n] = (high, round(1 - v / high, 9))
+    got = lambda: {r.s: (r.HIGH, round(r.DRAWDOWN, 9)) for r in ingest.read_dataset(spark, out).collect()}
+    assert got() == want
+    load([("a", start + pd.Timedelta(days=20), 100, 60.0)])
+    load([("a", start + pd.Timedelta(days=21), 101, 40.0), ("b", start, 102, 500.0)])  # the last one is weeks late
+    high = max(v for k, _, _, v in rows if k == "a")
+    assert got()[100] == (high, round(1 - 60 / high, 9)) and got()[101][0] == high and 102 not in got()
+    load([("a", start + pd.Timedelta(days=90), 103, 30.0)])  # the watermark passes the expiry of b
+    load([("a", start + pd.Timedelta(days=91), 104, 30.0)])
+    load([("b", start + pd.Timedelta(days=92), 105, 10.0)])
+    assert got()[105] == (10.0, 0.0) and got()[104][0] == high
+
+
 def test_late_correction_recomputes_the_touched_date(spark, fresh):
     src, base, cp = fresh(), fresh(), fresh()
     each = jobs.late_corrections(f"{base}/raw", f"{base}/daily", "d", ["id"], [], [F.sum("v").alias("s")])
