@@ -93,3 +93,22 @@ def test_queries_hold_for_every_match():
 def test_empty_table(spark, documents):
     assert secret_scan.scan_secrets(documents()).count() == 0
     assert pii.find_personal_data(documents()).count() == 0
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    """64,000 hexadecimal runs in one text, and positions behind many chunks."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from navloom.llm.spans import CHUNK, spans_of
+
+    spent = {}
+    for n in (1, CHUNK - 1, CHUNK, CHUNK + 1, 2 * CHUNK, 16_000, 64_000):
+        text = "é-" + "0123456789abcdef " * n + "\U0001f600"
+        df = spark.createDataFrame([(text,), ("none",), ("",)], "text string").coalesce(1)
+        started = time.perf_counter()
+        found = [[(s.start, s.end, s.hit) for s in r.s] for r in df.select(spans_of(F.col("text"), "[0-9a-f]{16}+").alias("s")).collect()]
+        spent[n] = time.perf_counter() - started
+        assert found == [[(2 + 17 * k, 18 + 17 * k, "0123456789abcdef") for k in range(n)], [], []]
+    assert spent[64_000] < 8 * spent[16_000] + 3 and spent[64_000] < 15
