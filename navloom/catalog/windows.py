@@ -164,8 +164,8 @@ FROM fx_r a JOIN fx_r b ON a.TICKER_SYMBOL = b.TICKER_SYMBOL AND b.RN BETWEEN a.
     {"fx_r": "SELECT TICKER_SYMBOL, END_DATE, ADJ_NAV AS X, row_number() OVER (PARTITION BY TICKER_SYMBOL ORDER BY END_DATE) AS RN FROM fx_nav_long"},
 )
 def e17_rolling_percentile_rank(spark, sf):
-    df = fx.view(spark, sf, "fx_nav_long")
-    return rounded(df.select(T, D, s.rolling_rank(F.col("ADJ_NAV"), s.by([T], D), 850).alias("ROLLING_RANK")))
+    df = fx.view(spark, sf, "fx_nav_long").select(T, D, "ADJ_NAV")
+    return rounded(ranks.rolling_ranks(df, {"ADJ_NAV": "ROLLING_RANK"}, [T], D, 850).select(T, D, "ROLLING_RANK"))
 
 
 # --- sorts and limits ---

@@ -49,14 +49,6 @@ def moving_mean(x: Column, w: WindowSpec, rows: int, min_rows: int = 1) -> Colum
     return mean if min_rows <= 1 else F.when(F.count(x).over(frame) >= min_rows, mean)
 
 
-def rolling_rank(x: Column, w: WindowSpec, rows: int, descending: bool = True) -> Column:
-    """Mean-tie fractional rank of the current value among the last ``rows`` values; null before there are that many."""
-    seen = F.collect_list(x).over(w.rowsBetween(-(rows - 1), 0))
-    ahead = F.size(F.filter(seen, (lambda v: v > x) if descending else (lambda v: v < x)))
-    ties = F.size(F.filter(seen, lambda v: v == x))
-    return F.when(F.size(seen) == rows, (ahead + (ties + 1) / F.lit(2)) / F.lit(float(rows)))
-
-
 def forward_fill(x: Column, w: WindowSpec) -> Column:
     return F.last(x, ignorenulls=True).over(upto(w))
 

@@ -9,10 +9,14 @@ function of the data: a task that is run again after an executor loss makes the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left, bisect_right, insort
+from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navloom.session import cut_lineage
 
@@ -253,3 +257,35 @@ def quantiles(
     others = present.groupBy(*keys).agg(*extra)
     named = [c for c in others.columns if c not in keys]
     return out.alias("q").join(others.alias("e"), _same("q", "e", keys)).select("q.*", *[F.col(f"e.{c}") for c in named])
+
+
+def rolling_ranks(df: DataFrame, ranked: Mapping[str, str], keys: Sequence[str], order: str, rows: int, descending: bool = True) -> DataFrame:
+    """Adds mean-tie fractional ranks of columns (``column: rank``) among the last ``rows`` values of an entity; null before there are that many.
+
+    The last values are kept sorted: a value comes in and the oldest goes by binary search, so a row costs the logarithm of
+    ``rows``, and no list is made for it.  A null among the last rows makes the rank null.  An entity holds at most one row per day.
+    """
+    schema = T.StructType([*df.schema.fields, *[T.StructField(out, T.DoubleType()) for out in ranked.values()]])
+
+    def rank(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(order, ignore_index=True)
+        for column, out in ranked.items():
+            frame[out] = rolling_rank(frame[column].to_numpy(dtype=float, na_value=np.nan), rows, descending)
+        return frame
+
+    return df.groupBy(*keys).applyInPandas(rank, schema)
+
+
+def rolling_rank(values: np.ndarray, rows: int, descending: bool) -> np.ndarray:
+    out, last = np.full(len(values), np.nan), []
+    listed = [None if v != v else -v if descending else v for v in values.tolist()]
+    for at, value in enumerate(listed):
+        if at >= rows and listed[at - rows] is not None:
+            del last[bisect_left(last, listed[at - rows])]
+        if value is None:
+            continue
+        insort(last, value)
+        if len(last) == rows:
+            ahead = bisect_left(last, value)
+            out[at] = (ahead + (bisect_right(last, value, ahead) - ahead + 1) / 2) / rows
+    return out

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navloom.functions.exprs import safe_div
-from navloom.functions.series import by, rolling_rank
 from navloom.operators import ranks
 
 
@@ -47,8 +46,9 @@ def bond_temperature(yields: DataFrame, government: str, rows: int = 850) -> Dat
     """Credit spread over the government curve and the mean of two rolling ranks, per curve (and term)."""
     base = yields.where(F.col("CURVE") == government).select("END_DATE", "TERM", F.col("YIELD").alias("GOVERNMENT_BOND_YIELD"))
     joined = yields.join(base, ["END_DATE", "TERM"]).withColumn("CREDIT_SPREAD", F.round(F.col("YIELD") - F.col("GOVERNMENT_BOND_YIELD"), 6))
-    w = by(["CURVE", "TERM"], "END_DATE")
-    ranked = joined.withColumns({"YIELD_RANK_PCT": rolling_rank(F.col("YIELD"), w, rows) * 100, "CREDIT_SPREAD_RANK_PCT": rolling_rank(F.col("CREDIT_SPREAD"), w, rows) * 100})
+    names = {"YIELD": "YIELD_RANK_PCT", "CREDIT_SPREAD": "CREDIT_SPREAD_RANK_PCT"}
+    ranked = ranks.rolling_ranks(joined, names, ["CURVE", "TERM"], "END_DATE", rows)
+    ranked = ranked.withColumns({c: F.col(c) * 100 for c in names.values()})
     return ranked.withColumn("TEMPERATURE", (F.col("YIELD_RANK_PCT") + F.col("CREDIT_SPREAD_RANK_PCT")) / 2)
 
 

@@ -92,3 +92,29 @@ def test_quantiles_keep_null_groups_and_weigh_alike(spark, block_rows):
     got = ranks.quantiles(df, ["g"], "v", {"q1": 0.25, "q2": 0.37, "q3": 0.9}, [F.count("v").alias("n")], block_rows=block_rows).collect()
     want = df.where("v IS NOT NULL").groupBy("g").agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.37).alias("q2"), F.percentile("v", 0.9).alias("q3"), F.count("v").alias("n")).collect()
     assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 2
+
+
+def test_rolling_ranks_equal_slices_and_take_little_time(spark):
+    import random
+    import time
+
+    import numpy as np
+
+    rng = random.Random(4)
+    values = [rng.choice([None, *range(30)]) if k % 7 else rng.random() * 30 for k in range(600)]
+    rows = [("a", k, v) for k, v in enumerate(values)] + [("b", k, float(k % 5)) for k in range(40)]
+    df = spark.createDataFrame([(t, k, None if v is None else float(v)) for t, k, v in rows], "t string, d int, v double").repartition(3)
+    for down in (True, False):
+        got = {(r.t, r.d): r.R for r in ranks.rolling_ranks(df, {"v": "R"}, ["t"], "d", 25, down).collect()}
+        assert len(got) == len(rows)
+        for t, k, v in rows:
+            part = [x for name, j, x in rows if name == t and k - 25 < j <= k]
+            if len(part) < 25 or None in part:
+                assert got[t, k] is None
+            else:
+                ahead, ties = sum(x > v if down else x < v for x in part), part.count(v)
+                assert got[t, k] == (ahead + (ties + 1) / 2) / 25
+    days = np.random.default_rng(1).normal(size=20_000)
+    started = time.perf_counter()
+    out = ranks.rolling_rank(days, 850, True)
+    assert time.perf_counter() - started < 2 and np.isnan(out[:849]).all() and out[-1] == ((days[-850:] > days[-1]).sum() + 1) / 850
