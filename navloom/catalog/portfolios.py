@@ -9,7 +9,7 @@ from navloom.catalog.base import half_up, register, rounded
 from navloom.catalog.aggregates import COV_VIEWS, index_returns
 from navloom.catalog.performance import WINDOW_VIEWS, clip, fund_windows, points_views
 from navloom.functions.series import by, daily_return
-from navloom.operators.aggregates import annualised_covariance, union_all
+from navloom.operators.aggregates import union_all
 from navloom.operators.calendars import period_ends
 from navloom.plans import alpha as al
 from navloom.plans import ledger as lg
@@ -300,9 +300,8 @@ def m11_check_proposed(spark, sf):
     {**COV_VIEWS, "fx_wt": "SELECT PORTFOLIO_NAME, TICKER_SYMBOL, WEIGHT FROM fx_weights WHERE TRADE_DT = DATE '1999-01-01'", "fx_mw": "SELECT w.PORTFOLIO_NAME, c.A AS TICKER_SYMBOL, sum(c.COV * w.WEIGHT / 100) AS M FROM fx_wt w JOIN fx_cov c ON c.B = w.TICKER_SYMBOL GROUP BY 1, 2"},
 )
 def m12_risk_decomposition(spark, sf):
-    cov = annualised_covariance(index_returns(spark, sf), T, D, "R")
     w = fx.view(spark, sf, "fx_weights").where("TRADE_DT = DATE '1999-01-01'").select(P, T, (F.col("WEIGHT") / 100).alias("WEIGHT"))
-    return rounded(rk.decomposition(w, cov).select(P, T, "PORTFOLIO_STD", "MARGINAL", "CONTRIBUTION"), 4)
+    return rounded(rk.decomposition(w, index_returns(spark, sf), D, "R").select(P, T, "PORTFOLIO_STD", "MARGINAL", "CONTRIBUTION"), 4)
 
 
 # --- reports ---

@@ -33,7 +33,7 @@ def running_total(rows: DataFrame, keys: Sequence[str], value: str, out: str) ->
     return joined.select("l.*", "s._START").withColumn(out, F.col(out) + F.col("_START")).drop("_START")
 
 
-STEPS = 2_048  # steps that one array holds
+STEPS = 256  # steps that one array holds; a fold copies the array that it grows at every step
 
 
 def _solved(steps: DataFrame, keys: Sequence[str], steps_a_block: int, levels: int) -> DataFrame:
@@ -66,7 +66,7 @@ def linear_recurrence(rows: DataFrame, keys: Sequence[str], a: Column, b: Column
     """x_t = a_t * x_(t-1) + b_t from x = 0 in the order of ``RN`` (rows from ``numbered``): columns ``out`` and ``{out}_before``."""
     names = [f"_K{k}" for k in range(len(keys))]
     size = min(block, STEPS)
-    levels = 3 if size == STEPS else 8
+    levels = 4 if size == STEPS else 8
     steps = rows.select(
         *[F.col(k).alias(n) for k, n in zip(keys, names)], (F.col("RN") - 1).cast("long").alias("POS"), a.cast("double").alias("A"), b.cast("double").alias("B"), F.struct(*rows.columns).alias("ROW")
     )

@@ -22,13 +22,19 @@ POOL_CAPS = {"优选池": 10.0, "核心池": 20.0}
 COMPANY_WARNING, RELATED_LIMIT, TURNOVER_LIMIT, ASSET_SLACK = 20.0, 40.0, 200.0, 0.01
 
 
-def decomposition(weights: DataFrame, covariance: DataFrame) -> DataFrame:
-    """Portfolio deviation, marginal and absolute contribution of every holding.
+def decomposition(weights: DataFrame, returns: DataFrame, date: str, value: str, scale: int = 252) -> DataFrame:
+    """Portfolio deviation, marginal and absolute contribution of every holding, yearly, over the dates on which every entity has a return.
 
-    ``weights``: ``PORTFOLIO_NAME, TICKER_SYMBOL, WEIGHT`` (fractions); ``covariance``: ``A, B, COV``.
+    ``weights``: ``PORTFOLIO_NAME, TICKER_SYMBOL, WEIGHT`` (fractions); ``returns``: ``TICKER_SYMBOL``, the date and the return.  What a holding's
+    row of the covariance matrix gives with the weights is its covariance with the portfolio's own return, so there is no matrix: the
+    rows are the returns of the holdings, and two sums by date and by holding.
     """
-    w = weights.select(P, F.col(T).alias("B"), F.col("WEIGHT").alias("_WB"))
-    marginal = w.join(covariance, "B").groupBy(P, F.col("A").alias(T)).agg(F.sum(F.col("COV") * F.col("_WB")).alias("_CW"))
+    known = returns.where(F.col(value).isNotNull() & F.col(T).isNotNull()).select(T, F.col(date).alias("_D"), F.col(value).cast("double").alias("_R"))
+    entities = known.agg(F.count_distinct(T)).first()[0]
+    complete = known.groupBy("_D").agg(F.count(F.lit(1)).alias("N")).where(F.col("N") == entities).select("_D")
+    held = known.join(complete, "_D", "left_semi").join(weights.select(P, T, "WEIGHT"), T)
+    own = held.groupBy(P, "_D").agg(F.sum(F.col("WEIGHT") * F.col("_R")).alias("_PR"))
+    marginal = held.join(own, [P, "_D"]).groupBy(P, T).agg((F.covar_samp("_R", "_PR") * scale).alias("_CW"))
     rows = weights.join(marginal, [P, T])
     std = rows.groupBy(P).agg(F.sqrt(F.sum(F.col("WEIGHT") * F.col("_CW"))).alias("PORTFOLIO_STD"))
     out = rows.join(std, P).withColumn("MARGINAL", safe_div(F.col("_CW"), F.col("PORTFOLIO_STD")))

@@ -72,3 +72,17 @@ def test_sale_before_purchase_costs_nothing(spark):
     rows = positions(df.withColumn("date", F.to_date("date"))).orderBy("seq").collect()
     assert [r["cml_units"] for r in rows] == [0.0, 10.0, 5.0]
     assert rows[0]["cost_transact"] == 0.0 and rows[2]["cost_transact"] == 20.0 and rows[2]["gain_loss"] == 10.0
+
+
+def test_a_long_recurrence_takes_time_in_proportion(spark):
+    """One ticker of 2,000 to 200,000 rows."""
+    import time
+
+    spent = {}
+    for n in (2_000, 20_000, 200_000):
+        rows = spark.range(n).select(F.lit("t").alias("k"), F.col("id").alias("t"), (F.col("id") + 1).alias("RN"))
+        started = time.perf_counter()
+        last = linear_recurrence(rows, ["k"], F.lit(1.0), F.lit(1.0), "x").agg(F.max("x"), F.sum("x"), F.count("x")).first()
+        spent[n] = time.perf_counter() - started
+        assert tuple(last) == (n, n * (n + 1) / 2, n)
+    assert spent[200_000] < 12 * spent[20_000] + 2
