@@ -194,7 +194,9 @@ def repair_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
     marked = cut_lineage(numbered.join(first, ["key", "said"]).withColumn("fault", fault).drop("first"))
     letter = F.when(F.col("initial").isin(*KEPT), F.col("initial")).otherwise(OTHER)
     letter = F.when(F.col("fault").isin("blank", "duplicate"), GONE).when(F.col("fault") == "truncated", F.upper(letter)).otherwise(letter)
-    codes = marked.select("key", "at", letter.alias("code")).repartition("key").sortWithinPartitions("key", "at")
+    # a letter a row is so few bytes that adaptive execution would search all conversations in one task; an explicit count is left alone
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    codes = marked.select("key", "at", letter.alias("code")).repartition(parts, "key").sortWithinPartitions("key", "at")
     plans = codes.select("key", "code").mapInPandas(_plans, "key string, at long, edits string, roles array<string>")
     planned = marked.drop("initial").join(plans, ["key", "at"])
     texts = told.groupBy(*one).agg(*[F.first(c).alias(c) for c in ("conv", "role", "text")])
