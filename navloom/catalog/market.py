@@ -369,3 +369,18 @@ def s07_late_corrections(spark, sf):
     each = jobs.late_corrections(f"{path}/raw", f"{path}/daily", "DAY", ["event_id"], ["event_type"], [F.count(F.lit(1)).alias("N"), F.round(F.sum("value"), 2).alias("TOTAL")])
     jobs.run(stream, checkpoint, each, "append")
     return spark.read.schema("event_type string, N bigint, TOTAL double, DAY date").parquet(f"{path}/daily")
+
+
+@register("s07_retracted_corrections", "SELECT CAST(ts AS DATE) AS DAY, event_type, count(*) AS N, round(sum(value), 2) + 0.0 AS TOTAL FROM events GROUP BY 1, 2")
+def s07_retracted_corrections(spark, sf):
+    """A first batch with wrong values and days here and there, a second one with the right rows of these keys."""
+    source, path, checkpoint = f"{shared_dir(spark)}/s07-{uuid.uuid4().hex}", *_fresh(spark, "s07r")
+    events = fx.table(spark, sf, "events").select("event_id", "event_type", "value", F.to_date("ts").alias("DAY"))
+    wrong, other = F.col("event_id") % 10 == 0, F.col("event_id") % 7 == 0
+    first = events.withColumns({"value": F.when(wrong, F.col("value") + 1).otherwise(F.col("value")), "DAY": F.when(other, F.date_sub("DAY", 1)).otherwise(F.col("DAY"))})
+    for part in (first, events.where(wrong | other)):
+        part.coalesce(1).write.mode("append").parquet(source)
+    each = jobs.late_deltas(f"{path}/raw", f"{path}/daily", ["event_id"], ["DAY", "event_type"], {"TOTAL": F.col("value")})
+    jobs.run(jobs.file_stream(spark, source, 1), checkpoint, each, "append")
+    found = read_dataset(spark, f"{path}/daily").where("N > 0")
+    return found.select("DAY", "event_type", "N", (F.round("TOTAL", 2) + F.lit(0.0)).alias("TOTAL"))

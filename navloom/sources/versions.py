@@ -92,7 +92,13 @@ def highest_mark(spark: SparkSession, path: str, as_type: str) -> Column:
     return F.lit(found).cast(as_type)
 
 
-def _publish(spark: SparkSession, path: str, version: int, files: DataFrame, schema: T.StructType) -> bool:
+def note(spark: SparkSession, path: str) -> str | None:
+    """What the writer of the newest version left with it."""
+    found = versions(spark, path)
+    return _described(spark, path, found[-1]).get("note") if found else None
+
+
+def _publish(spark: SparkSession, path: str, version: int, files: DataFrame, schema: T.StructType, left: str | None) -> bool:
     """Whether this writer was the one that made the version."""
     name = f"_manifests/{version:012d}-{uuid.uuid4().hex}"
     files.coalesce(1).write.parquet(f"{path}/{name}")
@@ -103,7 +109,7 @@ def _publish(spark: SparkSession, path: str, version: int, files: DataFrame, sch
         if fs.exists(target):
             return False
         raise exc
-    out.write(bytearray(json.dumps({"manifest": name, "schema": schema.jsonValue()}).encode()))
+    out.write(bytearray(json.dumps({"manifest": name, "schema": schema.jsonValue(), "note": left}).encode()))
     out.close()
     return True
 
@@ -132,49 +138,62 @@ def _split(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return split.withColumn(_CELL, F.when(F.col("_TO").isNull(), F.col(_CELL)).otherwise(_cell(depth, keys))).withColumn(_DEPTH, depth).drop("_TO")
 
 
-def _changed(spark: SparkSession, path: str, change: Callable[[int, DataFrame], tuple[DataFrame, T.StructType]]) -> int:
+def _changed(spark: SparkSession, path: str, change: Callable[[int, DataFrame], tuple[DataFrame, T.StructType]], left: str | None) -> int:
     for _ in range(ATTEMPTS):
         before = versions(spark, path)
         number = before[-1] + 1 if before else 1
         while _path(spark, f"{path}/_versions/{number:012d}.json")[0].exists(_path(spark, f"{path}/_versions/{number:012d}.json")[1]):
             number += 1  # left empty by a writer that died
         files, schema = change(number, manifest(spark, path))
-        if _publish(spark, path, number, files, schema):
+        if _publish(spark, path, number, files, schema, left):
             return number
     raise Conflict(f"{path}: {ATTEMPTS} versions were published by others meanwhile")
 
 
-def replace(rows: DataFrame, path: str, keys: Sequence[str], mark: str | None = None) -> int:
+def replace(rows: DataFrame, path: str, keys: Sequence[str], mark: str | None = None, left: str | None = None) -> int:
     """The table's next version has these rows and no others; its number is returned."""
     spark = rows.sparkSession
     placed = rows.withColumns({_DEPTH: F.lit(0), _CELL: F.lit(0).cast("long")})
-    return _changed(spark, path, lambda number, _: (_written(_split(placed, keys), path, mark), rows.schema))
+    return _changed(spark, path, lambda number, _: (_written(_split(placed, keys), path, mark), rows.schema), left)
+
+
+def _homes(rows: DataFrame, files: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[int]]:
+    """The file whose cell holds a row's key (``keys, depth, cell, file``; none for a key whose cell is empty), and the depths there are."""
+    depths = sorted(r.depth for r in files.select("depth").distinct().collect())  # thirty at most
+    asked = rows.select(*keys, F.explode(F.array(*[F.lit(d) for d in depths or [0]])).alias("depth"))
+    asked = asked.withColumn("cell", _cell(F.col("depth"), keys))
+    return asked.join(files.select("depth", "cell", "file"), ["depth", "cell"]), depths
+
+
+def lookup(asked: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """The stored rows of some keys; only the files whose cells hold them are read."""
+    spark = asked.sparkSession
+    schema = T.StructType.fromJson(_described(spark, path, versions(spark, path)[-1])["schema"])
+    hit, _ = _homes(asked.select(*keys).distinct(), manifest(spark, path), keys)
+    return _files(spark, path, [r.file for r in hit.select("file").distinct().collect()], schema).join(asked.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def upsert(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], newest: bool = False, mark: str | None = None, excluded: Sequence[str] = ()) -> int:
+def upsert(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], newest: bool = False, mark: str | None = None, excluded: Sequence[str] = (), left: str | None = None) -> int:
     """Rows of the batch replace stored rows with the same key, the last of a key by ``order`` first; a new version, whose number is returned.
 
     ``newest``: stored rows take part in the order, so that a late batch does not undo a newer one.  ``mark``: the column whose highest
     value the manifest keeps for each file.  ``excluded`` columns serve the order and are not stored.  Null keys equal nothing and are
-    left out.  An empty batch makes a version with the same files.
+    left out.  An empty batch makes a version with the same files.  ``left``: a note that is published with the version.
     """
     if not keys or not order:
         raise ValueError("an upsert needs the unique key, and the order that makes one row of a key the last")
     spark = batch.sparkSession
     latest = keep_last(batch.dropna(subset=list(keys)), list(keys), order).drop(*excluded)
     if not exists(spark, path):
-        return replace(latest, path, keys, mark)
+        return replace(latest, path, keys, mark, left)
     from navloom.sources.ingest import staged
 
     with staged(latest) as rows:
 
         def change(number: int, files: DataFrame) -> tuple[DataFrame, T.StructType]:
             schema = T.StructType.fromJson(_described(spark, path, versions(spark, path)[-1])["schema"])
-            depths = sorted(r.depth for r in files.select("depth").distinct().collect())  # thirty at most
+            hit, depths = _homes(rows, files, keys)
             deepest = depths[-1] if depths else 0
-            asked = rows.select(*keys, F.explode(F.array(*[F.lit(d) for d in depths or [0]])).alias("depth"))
-            asked = asked.withColumn("cell", _cell(F.col("depth"), keys))
-            hit = asked.join(files.select("depth", "cell", "file"), ["depth", "cell"])
             touched = [r.file for r in hit.select("file").distinct().collect()]  # names of files, as many as the change rewrites
             homes = rows.join(hit.select(*keys, F.col("depth").alias(_DEPTH), F.col("cell").alias(_CELL)), list(keys), "left")
             homes = homes.withColumn(_CELL, F.coalesce(_CELL, _cell(F.lit(deepest), keys))).withColumn(_DEPTH, F.coalesce(_DEPTH, F.lit(deepest)))
@@ -191,7 +210,7 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str
             kept = files.join(spark.createDataFrame([(t,) for t in touched], "file string"), "file", "left_anti") if touched else files
             return kept.select("file", "depth", "cell", "n", "mark").union(made.select("file", "depth", "cell", "n", "mark")), merged.drop(_DEPTH, _CELL).schema
 
-        return _changed(spark, path, change)
+        return _changed(spark, path, change, left)
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:

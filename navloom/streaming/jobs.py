@@ -6,7 +6,7 @@ Every job reads a file stream and keeps a parquet dataset; results never pass th
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from navloom.operators.aggregates import keep_last
 from navloom.sources import versions
 from navloom.sources.ingest import staged, write_dataset
 
@@ -175,3 +176,29 @@ def late_corrections(
 
     return each
 
+
+def late_deltas(raw: str, daily: str, key: Sequence[str], group: Sequence[str], sums: Mapping[str, Column], order: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """Keep sums by group under corrections: what a stored row of the same key gave is taken back, what the new one gives is added.
+
+    ``raw`` and ``daily`` are stored tables with versions, by ``key`` and by ``group``; ``sums`` are terms over a row, and ``N`` counts the rows of a
+    group (0: all of them went elsewhere).  A batch reads and rewrites only the files that hold its keys and its groups.  The sums
+    are published first, with the batch's number, and the rows after them: a batch that runs again finds its number and
+    changes nothing twice.
+    """
+    terms = {"N": F.lit(1)} | dict(sums)
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        with staged(keep_last(batch, list(key), list(order) or list(key))) as kept:
+            if int(versions.note(spark, daily) or -1) < number:
+                both = kept.withColumn("_SIGN", F.lit(1))
+                if versions.exists(spark, raw):
+                    both = both.unionByName(versions.lookup(kept, raw, key).withColumn("_SIGN", F.lit(-1)))
+                change = both.groupBy(*group).agg(*[F.sum(F.col("_SIGN") * F.coalesce(c, F.lit(0))).alias(n) for n, c in terms.items()])
+                with staged(change) as delta:
+                    old = versions.lookup(delta, daily, group) if versions.exists(spark, daily) else delta.limit(0)
+                    total = delta.unionByName(old).groupBy(*group).agg(*[F.sum(n).alias(n) for n in terms])
+                    versions.upsert(total, daily, group, list(group), left=str(number))
+            versions.upsert(kept, raw, key, list(key))
+
+    return each

@@ -131,3 +131,36 @@ def test_an_incremental_load_begins_at_the_stored_mark(spark, path):
     again = spark.createDataFrame([(1, 5, "not read: below the mark"), (2, 20, "b2"), (3, 30, "c"), (3, 31, "c2")], "Id int, JSID long, v string")
     assert ingest.load_incremental(again, path, job) == 2
     assert rows_of(ingest.read_dataset(spark, path).select("ID", "JSID", "v")) == [(1, 10, "a"), (2, 20, "b2"), (3, 31, "c2")]
+
+
+def test_corrections_are_taken_back_and_added(spark, path, monkeypatch):
+    """A corrected row changes the groups it left and came to; a batch that runs again changes nothing."""
+    from navloom.streaming import jobs
+
+    raw, daily = f"{path}/raw", f"{path}/daily"
+    schema = "id int, d string, v double"
+    each = lambda: jobs.late_deltas(raw, daily, ["id"], ["d"], {"S": F.col("v")})
+    state = lambda: {r.d: (r.N, r.S) for r in versions.read(spark, daily).collect()}
+    each()(spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, "b", 3.0)], schema), 0)
+    assert state() == {"a": (2, 3.0), "b": (1, 3.0)}
+    second = spark.createDataFrame([(2, "b", 5.0), (4, "c", 4.0), (1, "a", None)], schema)
+    real = versions.upsert
+
+    def dies(batch, where, *args, **named):
+        if where == raw:
+            raise RuntimeError("lost between the two tables")
+        return real(batch, where, *args, **named)
+
+    monkeypatch.setattr(versions, "upsert", dies)
+    with pytest.raises(RuntimeError):
+        each()(second, 1)
+    monkeypatch.setattr(versions, "upsert", real)
+    want = {"a": (1, 0.0), "b": (2, 8.0), "c": (1, 4.0)}
+    assert state() == want
+    each()(second, 1)
+    each()(second, 1)
+    assert state() == want and versions.read(spark, raw).count() == 4
+    each()(spark.createDataFrame([(1, "b", 1.5)], schema), 2)
+    assert state() == {"a": (0, 0.0), "b": (3, 9.5), "c": (1, 4.0)}
+    asked = spark.createDataFrame([(3,), (9,)], "id int")
+    assert rows_of(versions.lookup(asked, raw, ["id"])) == [(3, "b", 3.0)]
