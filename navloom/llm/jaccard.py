@@ -219,23 +219,23 @@ def _linked(docs: DataFrame, prefixed: DataFrame, full: DataFrame, width: int, p
         )
         pairs = cut_lineage(near.where(_possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = _verified(pairs, heads, docs, width, percent)
-        rest = cut_lineage(_between(listed, components(links), chosen.select("key", "prefix"), percent).join(pairs, ["a", "b"], "left_anti"))
+        rest = cut_lineage(_between(listed, components(links), percent).join(pairs, ["a", "b"], "left_anti"))
     return members, links.union(_verified(rest, heads, docs, width, percent))
 
 
-def _between(listed: DataFrame, parts: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+def _between(listed: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Pairs of one posting list that lie in different components and can still be linked.
 
     Sizes meet in bands whose ends have the ratio of the threshold: the larger set of a linked pair lies in the band of the
     smaller one or in the next.  Documents that share a passage meet in the list of each of its n-grams; all prefixes are in one
-    order, so the entries of a long list carry what stands before them, and a pair meets in the first of its lists alone.
+    order, so the entries of a long list carry the rarer n-grams of their prefix, and a pair meets in the first of its lists alone.  Only
+    lists with several components can hold such a pair, so no other n-grams need be carried.
     """
     entries = listed.select("key", "size", "place", "gram").join(parts.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("gram", "n")
-    entries = cut_lineage(entries.join(mixed, "gram"))
-    long = entries.where(F.col("n") > LONG_LIST)
-    before = long.join(prefixes, "key").select("key", "size", "place", "gram", "component", F.slice("prefix", F.lit(1), F.col("place")).alias("rarer"))
-    entries = entries.where(F.col("n") <= LONG_LIST).select("key", "size", "place", "gram", "component", F.lit(None).cast("array<long>").alias("rarer")).union(before)
+    before = Window.partitionBy("key").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    rarer = F.when(F.col("n") > LONG_LIST, F.collect_list("gram").over(before))
+    entries = cut_lineage(entries.join(mixed, "gram").select("key", "size", "place", "gram", "component", rarer.alias("rarer")))
     band = F.floor(F.log("size") / float(np.log(100 / percent)) + 1e-9).cast("int")
     side = lambda x: [F.col(c).alias(f"{n}{x}") for c, n in (("key", ""), ("size", "size_"), ("place", "place_"), ("component", "part_"), ("rarer", "rarer_"))]
     left, right = entries.select("gram", band.alias("band"), *side("a")), entries.select("gram", F.explode(F.array(band, band + 1)).alias("band"), *side("b"))
