@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from navloom.functions.exprs import safe_div
 from navloom.functions.series import by, moving_mean
 from navloom.operators import ranks
-from navloom.operators.aggregates import grouping_sets, level_grouping_sets, share_of
+from navloom.operators.aggregates import ALL, grouping_sets, level_grouping_sets, share_of, union_all
 from navloom.operators.joins import align_to_trading_day, interval_join
 from navloom.session import cut_lineage
 
@@ -42,22 +42,53 @@ def sector_exposure(industries: DataFrame, sectors: DataFrame, values: Sequence[
     return industries.join(sectors, "INDUSTRY_NAME").groupBy(REPORT, FUND, "SECTOR").agg(*[F.sum(v).alias(v) for v in values])
 
 
-def popularity(holdings: DataFrame, classes: DataFrame, block_rows: int = ranks.BLOCK_ROWS) -> DataFrame:
-    """How many funds hold a stock and for how much, over all class, company and industry groupings, with percentile scores.
+COLUMNS = ["LEVEL_1", "LEVEL_2", "LEVEL_3", "COMPANY", "INDUSTRY_NAME"]
+POPULARITY_SETS = level_grouping_sets(COLUMNS[:3], COLUMNS[3:])
+TASK_ROWS = 1_000_000  # rows of all groupings that one task adds up or ranks
 
-    ``classes``: ``FUND_ID, LEVEL_1, LEVEL_2, LEVEL_3, COMPANY``; holdings carry ``INDUSTRY_NAME``.  Counts are aggregated to the
-    finest grouping first, so the sixteen grouping sets expand the small table.
+
+def popularity(holdings: DataFrame, classes: DataFrame, sets: Sequence[Sequence[str]] = POPULARITY_SETS, block_rows: int = ranks.BLOCK_ROWS) -> DataFrame:
+    """How many funds hold a stock and for how much, over class, company and industry groupings, with percentile scores.
+
+    ``classes``: ``FUND_ID, LEVEL_1, LEVEL_2, LEVEL_3, COMPANY``; holdings carry ``INDUSTRY_NAME``; ``sets``: the groupings asked
+    for, by default all sixteen.  The holdings of a stock are brought together once and multiplied by the groupings there, so the many rows
+    of the result travel once, to their group, and are never stored.  Groupings with a group that may be larger than ``block_rows`` are ranked in blocks.
     """
-    joined = holdings.join(classes, FUND)
-    columns = ["LEVEL_1", "LEVEL_2", "LEVEL_3", "COMPANY", "INDUSTRY_NAME"]
-    fine = joined.groupBy(REPORT, HELD, *columns).agg(F.count(HELD).alias("_N"), F.sum(MV).alias("_MV"))
-    sets = level_grouping_sets(["LEVEL_1", "LEVEL_2", "LEVEL_3"], ["COMPANY", "INDUSTRY_NAME"])
-    grouped = grouping_sets(fine, sets, columns, [F.sum("_N").alias("NUMBER"), F.sum("_MV").alias(MV)], keys=[REPORT, HELD])
-    grouped = cut_lineage(grouped.withColumn(MV, F.round(MV, 2)))
-    key = [REPORT, *columns, "GROUP_SET"]
-    small = ranks.fits(grouped, key, block_rows)
-    scored = ranks.rank_fraction(grouped, "NUMBER", key, "_N", block_rows=block_rows, bounded=small)
-    scored = ranks.rank_fraction(scored, MV, key, "_V", block_rows=block_rows, bounded=small)
+    joined = holdings.join(classes, FUND).select(REPORT, HELD, *COLUMNS, MV)
+    held = joined.groupBy(REPORT, *COLUMNS).agg(F.count(F.lit(1)).alias("_N"))
+    bounds = [F.max(F.when(F.col("GROUP_SET") == _set_name(s), F.col("_N"))).alias(str(k)) for k, s in enumerate(sets)]
+    most = grouping_sets(held, sets, COLUMNS, [F.sum("_N").alias("_N")], keys=[REPORT]).agg(*bounds, F.sum("_N").alias("ALL")).first()
+    tasks = max(2 * int(holdings.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(most["ALL"] or 0) // TASK_ROWS))
+    kept = joined.repartition(tasks, REPORT, HELD)
+    small = [s for k, s in enumerate(sets) if (most[str(k)] or 0) <= block_rows]
+    large = [s for s in sets if s not in small]
+    parts = []
+    if small:
+        parts.append(_scores(_grouped(kept, small).repartition(tasks, *_GROUP), block_rows, True))
+    if large:
+        grouped = cut_lineage(_grouped(kept, large))
+        parts.append(_scores(grouped, block_rows, ranks.fits(grouped, _GROUP, block_rows)))
+    return union_all(parts)
+
+
+_GROUP = [REPORT, *COLUMNS, "GROUP_SET"]
+
+
+def _set_name(columns: Sequence[str]) -> str:
+    return "+".join(c for c in COLUMNS if c in columns)
+
+
+def _grouped(kept: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Holders and value of every stock in every grouping; ``kept`` lies by report and stock, and no row leaves its task."""
+    each = [F.struct(*[(F.col(c) if c in s else F.lit(ALL)).alias(c) for c in COLUMNS], F.lit(_set_name(s)).alias("GROUP_SET")) for s in sets]
+    fine = kept.groupBy(REPORT, HELD, *COLUMNS).agg(F.count(HELD).alias("_N"), F.sum(MV).alias("_MV"))
+    long = fine.select(REPORT, HELD, "_N", "_MV", F.explode(F.array(*each)).alias("_SET")).select(REPORT, HELD, "_SET.*", "_N", "_MV")
+    return long.groupBy(REPORT, HELD, *COLUMNS, "GROUP_SET").agg(F.sum("_N").alias("NUMBER"), F.round(F.sum("_MV"), 2).alias(MV))
+
+
+def _scores(grouped: DataFrame, block_rows: int, bounded: bool) -> DataFrame:
+    scored = ranks.rank_fraction(grouped, "NUMBER", _GROUP, "_N", block_rows=block_rows, bounded=bounded)
+    scored = ranks.rank_fraction(scored, MV, _GROUP, "_V", block_rows=block_rows, bounded=bounded)
     return scored.withColumns({"NUMBER_SCORE": F.round(F.col("_N") * 100, 4), "MARKET_VALUE_SCORE": F.round(F.col("_V") * 100, 4)}).drop("_N", "_V")
 
 
