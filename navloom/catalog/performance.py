@@ -231,7 +231,7 @@ FROM fx_bp GROUP BY ALL""",
 
 def bench_panel(spark, sf):
     nav = fx.view(spark, sf, "fx_fund_nav")
-    return nav.join(nav.groupBy("END_DATE").agg(F.avg("NAV").alias("BENCH_NAV")), "END_DATE")
+    return nav.join(F.broadcast(nav.groupBy("END_DATE").agg(F.avg("NAV").alias("BENCH_NAV"))), "END_DATE")  # a row for each calendar day
 
 
 def _bench(name, columns: dict[str, str], digits=5):
@@ -339,7 +339,7 @@ def _bench_window(name, columns: dict[str, str], digits=5):
 
     @register(name, f"SELECT TICKER_SYMBOL, WIN_START, WIN_END, {sql} FROM fx_b WHERE D2 IS NOT NULL", BENCH_WINDOWS)
     def bench(spark, sf):
-        stats = perf.benchmark_stats(bench_panel(spark, sf), fund_windows(spark, sf))
+        stats = perf.benchmark_stats(bench_panel(spark, sf), fund_windows(spark, sf), columns=list(columns))
         return rounded(stats.select("TICKER_SYMBOL", "WIN_START", "WIN_END", *[clip_overflow(F.col(c)).alias(c) for c in columns]), digits)
 
 

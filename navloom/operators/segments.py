@@ -63,7 +63,7 @@ def _greatest(*falls: Column) -> Column:
     return F.greatest(*falls) if len(falls) > 1 else falls[0]
 
 
-def window_segments(points: DataFrame, windows: DataFrame, sums: Mapping[str, Column], falls: Mapping[str, Fall], edges: Sequence[str], strict: bool = True, first: bool = False) -> DataFrame:
+def window_segments(points: DataFrame, windows: DataFrame, sums: Mapping[str, Column], falls: Mapping[str, Fall], edges: Sequence[str], strict: bool = True, first: bool = False, laid_out: bool = False) -> DataFrame:
     """One row per (entity, window) that holds a day of the entity.
 
     ``points``: ``TICKER_SYMBOL, END_DATE`` (one row per entity and day) and what the columns need; ``windows``: ``START_DATE, END_DATE``.
@@ -71,7 +71,8 @@ def window_segments(points: DataFrame, windows: DataFrame, sums: Mapping[str, Co
     every sum over the days behind the first one (null terms left out), and for every fall ``n_DD, n_DAY, n_PEAK, n_BACK``:
     the deepest fall, its last day (``first``: its first), the value it falls from and the first later day at or above that.
     Values are positive.
-    ``strict``: only windows whose two ends are days of the entity.
+    ``strict``: only windows whose two ends are days of the entity.  ``laid_out``: the points come out of windows by entity, so they lie
+    by entity already and their many columns need not travel.
     """
     f = _Falls(first)
     spans = windows.select(F.col("START_DATE").alias("WIN_START"), F.col("END_DATE").alias("WIN_END")).where("WIN_START <= WIN_END").distinct()
@@ -83,7 +84,7 @@ def window_segments(points: DataFrame, windows: DataFrame, sums: Mapping[str, Co
     clean = {v: F.when(~F.isnan(F.col(v).cast("double")), F.col(v).cast("double")) for v in kept}
     plain = points.where(F.col(DATE).isNotNull()).select(KEY, DATE, *[c.alias(v) for v, c in clean.items()], *[c.alias(f"X_{n}") for n, c in terms.items()])
     month = F.year(DATE) * 12 + F.month(DATE)
-    days = spread(plain, KEY)
+    days = plain if laid_out else spread(plain, KEY)
     along = Window.partitionBy(KEY).orderBy(DATE)
     days = days.withColumns({"MONTH": month, "PREV": F.lag(DATE).over(along), "NEXT": F.lead(DATE).over(along)}).withColumns({f"LOW_{v}": f.low(v) for v in values})
 

@@ -385,8 +385,21 @@ def _pair_moves(panel: DataFrame) -> DataFrame:
     return points.withColumns({"C": total("LR"), "A": total("LA"), "P": F.when(F.col("ALPHA").isNotNull(), alpha)})
 
 
-def _benchmark_window_rows(panel: DataFrame, windows: DataFrame, strict: bool) -> DataFrame:
-    """The same for look-back windows, merged from segments; sums of products about a window's first day follow from those about zero."""
+#: Sums and falls that a column of ``benchmark_stats`` over windows is made of.
+_EXCESS, _CAPTURED = ["N_AL", "S_AL", "SS_AL", "SUM_LA"], [f"{n}_{x}" for n in ("UP", "DOWN") for x in ("LR", "LB", "N")]
+_MADE_OF = {
+    "BENCH_CUM_RETURN": [], "BENCH_ANNUAL_RETURN": [], "ALPHA": [], "ANNUAL_ALPHA": [],
+    "BENCH_ANNUAL_VOLATILITY": ["N_B", "S_B", "SS_B"], "BENCH_MAXDD": ["BENCH"], "IR": _EXCESS,
+    "UP_CAPTURE": _CAPTURED, "DOWN_CAPTURE": _CAPTURED, "UP_DOWN_CAPTURE": _CAPTURED,
+    "STABILITY": ["N", "ST", "STT", "SC", "SCC", "STC"], "ALPHA_STABILITY": ["N", "ST", "STT", "SA", "SAA", "STA"],
+    "ALPHA_WIN_RATE": ["N_LA", "N_LA_UP"], "ALPHA_MAXDD": ["EXCESS"], "ALPHA_MAXDD_RECOVER": ["EXCESS"],
+}
+
+
+def _benchmark_window_rows(panel: DataFrame, windows: DataFrame, strict: bool, columns: Sequence[str]) -> DataFrame:
+    """The same for look-back windows, merged from segments; sums of products about a window's first day follow from those about zero.
+
+    Only what ``columns`` are made of is summed up; the rest is null."""
     col = F.col
     sums = {"N": F.lit(1.0), "N_B": _count(col("BRET").isNotNull()), "S_B": col("BRET"), "SS_B": col("BRET") * col("BRET"), "N_AL": _count(col("ALPHA").isNotNull()), "S_AL": col("ALPHA"), "SS_AL": col("ALPHA") * col("ALPHA")}
     sums |= {"SUM_LA": col("LA"), "N_LA": _count(col("LA").isNotNull()), "N_LA_UP": _count(col("LA") > 0)}
@@ -395,8 +408,11 @@ def _benchmark_window_rows(panel: DataFrame, windows: DataFrame, strict: bool) -
     sums |= {"ST": col("T"), "STT": col("T") * col("T")}
     for x in "CA":
         sums |= {f"S{x}": col(x), f"S{x}{x}": col(x) * col(x), f"ST{x}": col("T") * col(x)}
-    falls = {"BENCH": Fall("BENCH_NAV", back=False), "EXCESS": Fall("P", open=True)}
-    rows = window_segments(_pair_moves(panel), windows, sums, falls, [NAV, "BENCH_NAV", "T", "A"], strict, first=True)
+    falls = {"BENCH": Fall("BENCH_NAV", back=False), "EXCESS": Fall("P", open=True, back="ALPHA_MAXDD_RECOVER" in columns)}
+    used = {x for c in columns for x in _MADE_OF[c]}
+    rows = window_segments(_pair_moves(panel), windows, {n: c for n, c in sums.items() if n in used}, {n: x for n, x in falls.items() if n in used}, [NAV, "BENCH_NAV", "T", "A"], strict, first=True, laid_out=True)
+    empty = dict.fromkeys(sums, "double") | {"BENCH_DD": "double", "EXCESS_DD": "double", "EXCESS_DAY": "date", "EXCESS_BACK": "date"}
+    rows = rows.withColumns({n: F.lit(None).cast(t) for n, t in empty.items() if n not in rows.columns})
     n, t0, a0 = col("N"), col("FIRST_T"), col("FIRST_A")
     tt, cc, tc = (col(f"S{a}{b}") - safe_div(col(f"S{a}") * col(f"S{b}"), n) for a, b in ("TT", "CC", "TC"))
     level = cc <= 1e-13 * col("SCC")  # a flat line: what is left is rounding
@@ -421,13 +437,13 @@ def _benchmark_window_rows(panel: DataFrame, windows: DataFrame, strict: bool) -
     )
 
 
-def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = False) -> DataFrame:
-    """Everything that needs a benchmark, one row per (entity, window) with at least two days."""
-    rows = _benchmark_rows(panel) if windows is None else _benchmark_window_rows(panel, windows, strict)
+def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = False, columns: Sequence[str] = tuple(_MADE_OF)) -> DataFrame:
+    """Everything that needs a benchmark, or the named ``columns`` of it, one row per (entity, window) with at least two days."""
+    rows = _benchmark_rows(panel) if windows is None else _benchmark_window_rows(panel, windows, strict, columns)
     days = F.greatest(F.lit(0), F.datediff("LAST_DATE", "SECOND_DATE") + 1)
     cum, bcum = safe_div(F.col("F1"), F.col("F0")) - 1, safe_div(F.col("B1"), F.col("B0")) - 1
     up, down = _capture_ratio("UP"), _capture_ratio("DOWN")
-    return rows.where(F.col("SECOND_DATE").isNotNull()).select(
+    found = rows.where(F.col("SECOND_DATE").isNotNull()).select(
         *GROUP,
         bcum.alias("BENCH_CUM_RETURN"),
         annualise(bcum, days).alias("BENCH_ANNUAL_RETURN"),
@@ -445,6 +461,7 @@ def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None, strict:
         "ALPHA_MAXDD",
         F.coalesce(F.datediff("ARECOVERY", "AMDD_DATE"), F.lit(NEVER_RECOVERED)).alias("ALPHA_MAXDD_RECOVER"),
     )
+    return found.select(*GROUP, *columns)
 
 
 def timing_models(panel: DataFrame, windows: DataFrame | None = None, risk_free: float = 0.03, strict: bool = False) -> DataFrame:
@@ -498,7 +515,7 @@ def _timing_window_rows(points: DataFrame, windows: DataFrame, pairs: Mapping[st
     names = ["Y", *[x for pair in pairs.values() for x in pair]]
     products = {(a, b) for u, v in pairs.values() for a, b in ((u, u), (v, v), (u, v), (u, "Y"), (v, "Y"))}
     sums = {"N": _count(known)} | {f"S_{n}": F.when(known, F.col(n)) for n in names} | {f"S_{a}_{b}": F.when(known, F.col(a) * F.col(b)) for a, b in sorted(products)}
-    rows = window_segments(points, windows, sums, {}, [], strict)
+    rows = window_segments(points, windows, sums, {}, [], strict, laid_out=True)
     mean = lambda x: safe_div(F.col(f"S_{x}"), F.col("N"))
     cov = lambda a, b: safe_div(F.col(f"S_{a}_{b}") - F.col(f"S_{a}") * mean(b), F.col("N") - 1)
     out = {"MY": mean("Y")}

@@ -97,3 +97,19 @@ def _by_slices(rows, key, classic):
     back = next((d for f, d in falls if day and d > day and f == 0), None)
     number = lambda d: d.toordinal() if d else -1.0
     return (number(part[0][0]), number(part[-1][0]), -1.0 if deepest is None else deepest, number(day), number(back))
+
+
+def test_named_benchmark_columns_travel_alone(spark, monkeypatch):
+    from navloom.operators import segments
+
+    df = panel(spark, a=[10, 8, 10, 8, 9, 11], b=[5, 6, 7, 6, 8, 9])
+    df = df.join(df.groupBy("END_DATE").agg({"NAV": "avg"}).withColumnRenamed("avg(NAV)", "BENCH_NAV"), "END_DATE")
+    windows = spark.createDataFrame([(DAYS[0], DAYS[-1]), (DAYS[1], DAYS[3])], "START_DATE date, END_DATE date")
+    whole = perf.benchmark_stats(df, windows)
+    key = ["TICKER_SYMBOL", "WIN_START", "WIN_END"]
+    monkeypatch.setattr(segments, "spread", lambda *a: pytest.fail("the points were shuffled with all their sums"))
+    for columns in (["UP_CAPTURE", "DOWN_CAPTURE"], ["STABILITY", "ALPHA_STABILITY"], ["ALPHA_MAXDD", "ALPHA_WIN_RATE", "BENCH_MAXDD", "IR"]):
+        part = perf.benchmark_stats(df, windows, columns=columns)
+        assert part.columns == key + columns
+        assert sorted(map(str, part.collect())) == sorted(map(str, whole.select(part.columns).collect()))
+    assert perf.benchmark_stats(df, windows).count() == 4
