@@ -454,12 +454,10 @@ def u01_metric_registry(spark, sf):
     return rounded(perf.chosen_metrics(fx.view(spark, sf, "fx_fund_nav"), fund_windows(spark, sf), ["MAXDD", "WIN_RATE", "CUM_RETURN"]), 4)
 
 
-def _mean_abs_move(pdf):
-    import pandas as pd
-
-    pdf = pdf.sort_values("END_DATE")
-    move = pdf["NAV"].diff().abs().mean()
-    return pd.DataFrame({"TICKER_SYMBOL": [pdf["TICKER_SYMBOL"].iloc[0]], "WIN_START": [pdf["WIN_START"].iloc[0]], "WIN_END": [pdf["WIN_END"].iloc[0]], "MEAN_ABS_MOVE": [move]})
+def _mean_abs_move(days, nav):
+    moves = abs(nav[1:] - nav[:-1])
+    known = moves[moves == moves]  # not those beside a missing value
+    return known.mean() if len(known) else float("nan")
 
 
 @register(
@@ -468,7 +466,7 @@ def _mean_abs_move(pdf):
     FUND,
 )
 def k33_user_metric_per_window(spark, sf):
-    out = perf.per_window(fx.view(spark, sf, "fx_fund_nav"), fund_windows(spark, sf), _mean_abs_move, "TICKER_SYMBOL string, WIN_START date, WIN_END date, MEAN_ABS_MOVE double")
+    out = perf.metric_per_window(fx.view(spark, sf, "fx_fund_nav"), fund_windows(spark, sf), _mean_abs_move, "MEAN_ABS_MOVE")
     return rounded(out, 5)
 
 

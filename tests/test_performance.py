@@ -114,3 +114,24 @@ def test_named_benchmark_columns_travel_alone(spark, monkeypatch):
         got, want = (df.orderBy(key).toPandas() for df in (part, whole.select(part.columns)))
         pd.testing.assert_frame_equal(got, want, rtol=1e-9)
     assert perf.benchmark_stats(df, windows).count() == 4
+
+
+@pytest.mark.parametrize("spans", [perf.SPANS, 0])
+def test_user_metric_slices_windows(spark, monkeypatch, spans):
+    """Days out of order or missing, windows that overlap, hold no day or end before they start; no row is multiplied."""
+    monkeypatch.setattr(perf, "SPANS", spans)
+    df = panel(spark, a=[1, 2, 4, 8, 16, 32], b=[3, 5, 3, 5, 3, 5]).orderBy("NAV", ascending=False)
+    df = df.unionByName(spark.createDataFrame([("a", None, 99.0), (None, DAYS[1], None), ("b", DAYS[5] + dt.timedelta(1), None)], df.schema))
+    first, second, late = (DAYS[0], DAYS[2]), (DAYS[1], DAYS[4]), (DAYS[4], dt.date(2024, 1, 31))
+    windows = spark.createDataFrame([first, second, first, late, (DAYS[5], DAYS[0]), (dt.date(2024, 2, 1), dt.date(2024, 2, 9))], "START_DATE date, END_DATE date")
+
+    def spread_days(days, values):
+        known = values[values == values]
+        return (days[-1] - days[0]) * 1000 + known[-1] - known[0] if len(known) else float("nan")
+
+    found = perf.metric_per_window(df, windows, spread_days, "SPREAD")
+    want = {("a", *first): 2003.0, ("a", *second): 5014.0, ("a", *late): 1016.0, ("b", *first): 2000.0, ("b", *second): 4998.0 + 0.0, ("b", *late): 2002.0, (None, *first): None, (None, *second): None}
+    assert {(r[0], r[1], r[2]): r[3] for r in found.collect()} == want
+    if spans:
+        assert "Join" not in found._jdf.queryExecution().toString()
+        assert perf.metric_per_window(df, windows.limit(0), spread_days, "SPREAD").count() == 0
