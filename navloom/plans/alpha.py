@@ -12,6 +12,7 @@ from navloom.functions.series import by, running_product, running_sum, upto
 from navloom.operators.aggregates import class_averages, union_all
 from navloom.operators.joins import interval_join, previous_period
 from navloom.operators.ranks import fits
+from navloom.session import cut_lineage
 
 T, D = "TICKER_SYMBOL", "END_DATE"
 
@@ -36,13 +37,18 @@ def log_alpha(ret: DataFrame, types: DataFrame, levels: Sequence[str], average:
 
     ``ret`` has ``TICKER_SYMBOL, END_DATE, RETURN_RATE`` in percent.  A missing class return counts as 0.
     """
-    classes = class_returns(ret, types, levels).select(D, "LEVEL", "CLASS", F.col(average).alias("CLASS_RET"))
-    long = ret.join(types.select(T, *levels), T).unpivot([T, D, "RETURN_RATE"], list(levels), "LEVEL", "CLASS")
-    joined = long.join(classes, [D, "LEVEL", "CLASS"], "left")
-    alpha = (F.log1p(F.col("RETURN_RATE") / 100) - F.log1p(F.coalesce(F.col("CLASS_RET"), F.lit(0.0)) / 100)) * 100
-    w = by([T, "LEVEL"], D)
-    out = joined.withColumn("LOG_ALPHA", alpha)
-    return out.withColumn("CUM_ALPHA", running_sum(F.col("LOG_ALPHA"), w)).select(T, D, "LEVEL", "LOG_ALPHA", "CUM_ALPHA", F.exp(F.col("CUM_ALPHA") / 100).alias("ALPHA_NAV"))
+    classes = cut_lineage(class_returns(ret, types, levels).select(D, "LEVEL", "CLASS", F.col(average).alias("CLASS_RET")))  # a row for each class and day
+    out = ret.select(T, D, "RETURN_RATE").join(types.select(T, *levels), T)
+    for level in levels:
+        own = classes.where(F.col("LEVEL") == level).select(D, F.col("CLASS").alias(level), F.col("CLASS_RET").alias(f"_{level}"))
+        out = out.join(own, [D, level], "left")
+    log = F.log1p(F.col("RETURN_RATE") / 100)
+    alphas = {level: (log - F.log1p(F.coalesce(F.col(f"_{level}"), F.lit(0.0)) / 100)) * 100 for level in levels}
+    w = by([T], D)
+    out = out.select(T, D, *[a.alias(f"_A_{level}") for level, a in alphas.items()])
+    out = out.withColumns({f"_C_{level}": running_sum(F.col(f"_A_{level}"), w) for level in levels})
+    each = F.explode(F.array(*[F.struct(F.lit(level).alias("LEVEL"), F.col(f"_A_{level}").alias("LOG_ALPHA"), F.col(f"_C_{level}").alias("CUM_ALPHA")) for level in levels]))
+    return out.select(T, D, each.alias("_E")).select(T, D, "_E.LEVEL", "_E.LOG_ALPHA", "_E.CUM_ALPHA", F.exp(F.col("_E.CUM_ALPHA") / 100).alias("ALPHA_NAV"))
 
 
 def tracked_alpha(ret: DataFrame, tracking: DataFrame, index_ret: DataFrame) -> DataFrame:

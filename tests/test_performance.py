@@ -135,3 +135,19 @@ def test_user_metric_slices_windows(spark, monkeypatch, spans):
     if spans:
         assert "Join" not in found._jdf.queryExecution().toString()
         assert perf.metric_per_window(df, windows.limit(0), spread_days, "SPREAD").count() == 0
+
+
+def test_log_alpha_repeats_no_rows_before_its_sums(spark):
+    from navloom.plans.alpha import log_alpha
+
+    rows = [(f, d, r) for f, rs in {"a": (1.0, 2.0), "b": (3.0, 4.0), "c": (5.0, 9.0)}.items() for d, r in zip(DAYS, rs)]
+    ret = spark.createDataFrame(rows, "TICKER_SYMBOL string, END_DATE date, RETURN_RATE double")
+    types = spark.createDataFrame([("a", "x", "p"), ("b", "x", None), ("c", "y", "p")], "TICKER_SYMBOL string, L1 string, L2 string")
+    found = log_alpha(ret, types, ["L1", "L2"])
+    got = {(r.TICKER_SYMBOL, r.END_DATE, r.LEVEL): (r.LOG_ALPHA, r.CUM_ALPHA) for r in found.collect()}
+    import math
+
+    log = lambda x: 100 * math.log1p(x / 100)
+    assert len(got) == 12 and got["a", DAYS[1], "L1"] == pytest.approx((log(2) - log(3), log(1) - log(2) + log(2) - log(3)))
+    assert got["b", DAYS[1], "L2"] == pytest.approx((log(4), log(3) + log(4))) and got["c", DAYS[0], "L2"][0] == pytest.approx(log(5) - log(3))
+    assert "Expand" not in found._jdf.queryExecution().toString()
