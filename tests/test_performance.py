@@ -151,3 +151,12 @@ def test_log_alpha_repeats_no_rows_before_its_sums(spark):
     assert len(got) == 12 and got["a", DAYS[1], "L1"] == pytest.approx((log(2) - log(3), log(1) - log(2) + log(2) - log(3)))
     assert got["b", DAYS[1], "L2"] == pytest.approx((log(4), log(3) + log(4))) and got["c", DAYS[0], "L2"][0] == pytest.approx(log(5) - log(3))
     assert "Expand" not in found._jdf.queryExecution().toString()
+
+
+def test_rolling_horizons_repeat_no_rows(spark):
+    df = panel(spark, a=[1, 2, 1, 4, 2, 8], b=[5, 5, 5, 5, 5, 5]).orderBy("NAV").union(panel(spark, c=[3]))
+    found = perf.rolling_horizons(df, {2: "two", 5: "five"})
+    rows = {(r[0], r[1]): tuple(r)[2:] for r in found.collect()}
+    assert rows["a", "two"] == pytest.approx((0.75, 1.0, 1.0, 0.75)) and rows["a", "five"] == pytest.approx((7.0, 7.0, 7.0, 1.0))
+    assert rows["b", "two"] == (0.0, 0.0, 0.0, 0.0) and rows["c", "two"] == rows["c", "five"] == (None,) * 4
+    assert "Expand" not in found._jdf.queryExecution().toString() and "percentile" not in found._jdf.queryExecution().toString()
