@@ -152,15 +152,12 @@ def _scanned_rows(panel: DataFrame, spans: DataFrame, strict: bool, classic: boo
     schema = f"{KEY} string, " + ", ".join([f"{c} int" for c in _DAYS] + [f"{c} double" for c in _NUMBERS])
 
     def entity(tag: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("DAY")
-        out = _scanned(frame["DAY"].to_numpy(dtype=np.int64), frame["NAV"].to_numpy(dtype=np.float64), wanted, strict, classic)
-        for c in _DAYS:
-            out[c] = out[c].astype("Int32").mask(out[c] == NO_DAY)
-        out.insert(0, KEY, tag[0])
-        return out
+        order = np.argsort(frame["DAY"].to_numpy(), kind="stable")
+        out = _scanned(frame["DAY"].to_numpy(dtype=np.int64)[order], frame["NAV"].to_numpy(dtype=np.float64)[order], wanted, strict, classic)
+        return pd.DataFrame({KEY: pd.Series([tag[0]] * len(out["WIN_END"]), dtype=object)} | out)
 
     rows = days.groupBy(KEY).applyInPandas(entity, schema)
-    dates = [F.date_add(epoch, c).alias(c) for c in _DAYS]
+    dates = [F.when(F.col(c) != int(NO_DAY), F.date_add(epoch, c)).alias(c) for c in _DAYS]
     return rows.select(KEY, *dates, *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in _NUMBERS])
 
 
@@ -181,7 +178,7 @@ def _latest(mark: np.ndarray) -> np.ndarray:
     return _from_here(np.where(mark, np.arange(len(mark)), len(mark)), np.minimum)
 
 
-def _scanned(days: np.ndarray, nav: np.ndarray, spans: np.ndarray, strict: bool, classic: bool) -> pd.DataFrame:
+def _scanned(days: np.ndarray, nav: np.ndarray, spans: np.ndarray, strict: bool, classic: bool) -> dict[str, np.ndarray]:
     """All windows over one entity's sorted days, a scan backwards from each end.
 
     From an end back, the sums, the lowest value to come and the deepest fall from each day are running figures, so all windows with
@@ -223,7 +220,7 @@ def _scanned(days: np.ndarray, nav: np.ndarray, spans: np.ndarray, strict: bool,
             back = np.flatnonzero(part[u + 1 :] >= part[p])
             if len(back):
                 out["FALL_BACK"][mine] = days[low + u + 1 + int(back[0])]
-    return pd.DataFrame({c: out[c] for c in (*_DAYS, *_NUMBERS)})
+    return {c: out[c] for c in (*_DAYS, *_NUMBERS)}
 
 
 def window_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = True) -> DataFrame:

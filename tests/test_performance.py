@@ -160,3 +160,13 @@ def test_rolling_horizons_repeat_no_rows(spark):
     assert rows["a", "two"] == pytest.approx((0.75, 1.0, 1.0, 0.75)) and rows["a", "five"] == pytest.approx((7.0, 7.0, 7.0, 1.0))
     assert rows["b", "two"] == (0.0, 0.0, 0.0, 0.0) and rows["c", "two"] == rows["c", "five"] == (None,) * 4
     assert "Expand" not in found._jdf.queryExecution().toString() and "percentile" not in found._jdf.queryExecution().toString()
+
+
+def test_scans_make_plain_arrays(spark):
+    """A fund's windows are numpy columns; missing days become nulls in Spark, not in a frame for each fund."""
+    import numpy as np
+
+    days, nav = np.arange(4, dtype=np.int64), np.array([1.0, 2.0, 1.5, np.nan])
+    out = perf._scanned(days, nav, np.array([[0, 2], [0, 0]], dtype=np.int64), True, False)
+    assert isinstance(out, dict) and {a.dtype.kind for a in out.values()} <= {"i", "f"}
+    assert out["FALL_DAY"].tolist()[0] == 2 and out["FALL_BACK"].tolist()[0] == perf.NO_DAY and out["SECOND_DATE"].tolist() == [1, perf.NO_DAY]
