@@ -593,11 +593,10 @@ PSHEET = {
 def m25_product_sheet(spark, sf):
     from navloom.plans.scoring import performance_ranks
 
-    windows = fund_windows(spark, sf)
-    nav = fx.view(spark, sf, "fx_fund_nav")
-    stats = rounded(perf.named_stats(perf.window_stats(nav, windows), windows), 4)
     last = fx.calendar(spark, sf).where("IF_TRADING_DAY = 1").agg(F.max(DAY).alias(D))
-    stats = stats.join(F.broadcast(last), D, "left_semi")
+    windows = fund_windows(spark, sf).join(F.broadcast(last), D, "left_semi")  # those that end on the sheet's date
+    nav = fx.view(spark, sf, "fx_fund_nav")
+    stats = cut_lineage(rounded(perf.named_stats(perf.window_stats(nav, windows), windows), 4).select(T, D, "DATE_NAME", "CUM_RETURN"))
     types = fx.view(spark, sf, "fx_fund_type")
     long = stats.select(T, D, F.lit("CUM").alias("INDICATOR"), F.col("DATE_NAME").alias("PERIOD"), F.col("CUM_RETURN").alias("VALUE"))
     ranked = performance_ranks(long, types, ["LEVEL_1", "LEVEL_2"], [], as_text=True).withColumnRenamed("PERIOD", "DATE_NAME")

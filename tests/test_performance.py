@@ -170,3 +170,12 @@ def test_scans_make_plain_arrays(spark):
     out = perf._scanned(days, nav, np.array([[0, 2], [0, 0]], dtype=np.int64), True, False)
     assert isinstance(out, dict) and {a.dtype.kind for a in out.values()} <= {"i", "f"}
     assert out["FALL_DAY"].tolist()[0] == 2 and out["FALL_BACK"].tolist()[0] == perf.NO_DAY and out["SECOND_DATE"].tolist() == [1, perf.NO_DAY]
+
+
+def test_product_sheet_scans_only_the_windows_of_its_date(spark, sf_dir, monkeypatch):
+    from navloom import catalog
+
+    ends, real = [], perf.window_stats
+    monkeypatch.setattr(perf, "window_stats", lambda nav, windows: ends.append(windows.select("END_DATE").distinct().count()) or real(nav, windows))
+    catalog.queries()["m25_product_sheet"](spark, sf_dir)
+    assert ends == [1]
