@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from navloom.functions.exprs import clip_overflow, safe_div
@@ -44,9 +44,9 @@ def _ordered() -> Window:
     return Window.partitionBy(*GROUP).orderBy(DATE)
 
 
-def daily_points(fanned: DataFrame) -> DataFrame:
+def daily_points(fanned: DataFrame, w: WindowSpec | None = None) -> DataFrame:
     """Adds ``RET`` and ``DD`` (fractions) and the previous date inside the window."""
-    w = _ordered()
+    w = w or _ordered()
     high = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return fanned.withColumns(
         {
@@ -306,11 +306,13 @@ def classic_stats(panel: DataFrame, windows: DataFrame | None = None, risk_free:
 
 
 def pair_points(panel: DataFrame) -> DataFrame:
-    """Points of entity and benchmark side by side over whole histories; ``panel`` also has ``BENCH_NAV``."""
-    fanned = whole_span(panel)
-    w = _ordered()
+    """Points of entity and benchmark side by side over whole histories; ``panel`` also has ``BENCH_NAV``.
+
+    An entity is its only window, so its days are sorted once, and the window's ends are added to the sorted rows.
+    """
+    w = Window.partitionBy(KEY).orderBy(DATE)
     prev_b = F.lag("BENCH_NAV").over(w)
-    points = daily_points(fanned).withColumns(
+    points = daily_points(panel, w).withColumns(
         {
             "BRET": safe_div(F.col("BENCH_NAV"), prev_b) - 1,
             "BDD": 1 - safe_div(F.col("BENCH_NAV"), F.max("BENCH_NAV").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))),
@@ -323,7 +325,7 @@ def pair_points(panel: DataFrame) -> DataFrame:
     points = points.withColumns(
         {"CUM_LR": F.sum("LR").over(run), "CUM_LA": F.sum("LA").over(run), "ALPHA_NAV": F.when(F.col("ALPHA").isNotNull(), F.product(1 + F.coalesce(F.col("ALPHA"), F.lit(0.0))).over(run))}
     )
-    return points.withColumn("ADD", 1 - safe_div(F.col("ALPHA_NAV"), F.max("ALPHA_NAV").over(run)))
+    return whole_span(points.withColumn("ADD", 1 - safe_div(F.col("ALPHA_NAV"), F.max("ALPHA_NAV").over(run))))
 
 
 def _capture(side: Column, n: str) -> tuple[Column, Column, Column]:

@@ -179,3 +179,8 @@ def test_product_sheet_scans_only_the_windows_of_its_date(spark, sf_dir, monkeyp
     monkeypatch.setattr(perf, "window_stats", lambda nav, windows: ends.append(windows.select("END_DATE").distinct().count()) or real(nav, windows))
     catalog.queries()["m25_product_sheet"](spark, sf_dir)
     assert ends == [1]
+
+
+def test_benchmark_points_are_sorted_once(spark):
+    plan = perf.pair_points(panel(spark, a=[1, 2]).withColumn("BENCH_NAV", perf.F.lit(1.0)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
