@@ -15,12 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navloom.llm.common import broadcast_if_small, measured, quoted, text_of, whole_row
+from navloom.session import cut_lineage
 
 #: A template token stands on at least this share of a host's pages, and on as many pages as LEAST_PAGES.
 SHARE = 0.5
 LEAST_PAGES = 3
 #: Tokens that a class needs to count as a part of the template.
 LEAST_CLASS = 2
+#: Times the classes of all hosts are held against the pages; what is not settled by then is no part of a template.
+ROUNDS = 8
 
 # Names of HTML elements and usual names of page parts.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -45,6 +48,9 @@ ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 WORD = re.compile(r"[a-z0-9]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
+#: What an event of a page is, if no text.
+OPENS, CLOSES = 0, -1
+
 
 @dataclass(slots=True)
 class Element:
@@ -59,11 +65,12 @@ class Element:
 
 @dataclass
 class Page:
-    """Elements in the order they open, text nodes (place of the element, text, number of the block), closed elements by key."""
+    """Elements in the order they open, text nodes (place of the element, text, number of the block), and what follows what:
+    the place of an element with OPENS or CLOSES, or with the number of its text, from 1."""
 
     elements: list[Element] = field(default_factory=list)
     texts: list[tuple[int, str, int]] = field(default_factory=list)
-    closed: Counter = field(default_factory=Counter)
+    events: list[tuple[int, int]] = field(default_factory=list)
 
 
 def _is_side(name: str) -> bool:
@@ -125,11 +132,13 @@ def read_page(source: str) -> Page:
         at = m.end()
         if m.lastgroup in ("text", "mark"):
             page.texts.append((stack[-1], m[0], block))
+            page.events.append((stack[-1], len(page.texts)))
             continue
         name = m["name"]
         if not name:
             if m[0].startswith("<![CDATA["):
                 page.texts.append((stack[-1], m[0][9:].removesuffix("]]>").replace("&", "&amp;"), block))
+                page.events.append((stack[-1], len(page.texts)))
             continue
         tag = name.lower()
         if tag not in INLINE:
@@ -139,7 +148,7 @@ def read_page(source: str) -> Page:
                 depth = len(stack) - 1
                 while page.elements[stack[depth]].tag != tag:
                     depth -= 1
-                page.closed[page.elements[stack[depth]].key] += 1
+                page.events.append((stack[depth], CLOSES))
                 shut(depth)
             continue
         close_one(ENDS.get(tag, set()))
@@ -147,6 +156,7 @@ def read_page(source: str) -> Page:
             close_one({"p"})
         raw = m["attrs"] if m["attrs"] is not None else m["loose"] or ""
         page.elements.append(_element(page.elements[stack[-1]], stack[-1], tag, raw))
+        page.events.append((len(page.elements) - 1, OPENS))
         if tag in VOID or (raw.endswith("/") and tag in {"svg", "path"}):
             continue
         if tag in RAW:
@@ -165,65 +175,218 @@ def _signed(key: int) -> int:
     return key - (1 << 63)
 
 
-#: What stands for the text in the token of an element that opens or closes.
-OPENS, CLOSES = 0, -1
+#: The last two bits of a token's name: an element that opens, one that closes, a text.
+OPEN, CLOSE, TEXT = 0, 1, 2
+
+
+def _opened(element: Element) -> int:
+    """The name of the token that opens an element."""
+    return _signed(element.key & ~3)
+
+
+def _text_token(element: Element, text: str) -> int:
+    """The name of a text at its place."""
+    return _signed(xxhash.xxh3_64_intdigest(text, seed=element.key) & ~3) | TEXT
 
 
 def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tokens of every page with their number there; texts are tokens too.  An element has the length of all text below it."""
-    columns = ["host", "key", "path", "text", "n", "depth", "chars", "links"]
+    """Tokens of every page in their order; texts are tokens too.  An element has the length of all text below it."""
     for frame in frames:
         rows = []
         for host, key, source in zip(frame["host"], frame["key"], frame["html"]):
             page = read_page(source)
-            chars, links, texts = [0] * len(page.elements), [0] * len(page.elements), Counter()
-            for at, text, _ in page.texts:
+            chars, links, names = [0] * len(page.elements), [0] * len(page.elements), {}
+            for number, (at, text, _) in enumerate(page.texts, 1):
                 element = page.elements[at]
                 if not element.side and not text.isspace():
                     text = _plain(text)
-                    texts[element.key, xxhash.xxh3_64_intdigest(text) >> 1] += 1
+                    names[number] = _text_token(element, text)
                     chars[at] += len(text)
                     links[at] += len(text) * element.link
-            opened: dict[int, list[int]] = {}
             for at in range(len(page.elements) - 1, 0, -1):
+                chars[page.elements[at].parent] += chars[at]
+                links[page.elements[at].parent] += links[at]
+            tokens, lengths, linked = [], [], []
+            for at, what in page.events:
                 element = page.elements[at]
-                chars[element.parent] += chars[at]
-                links[element.parent] += links[at]
-                if not element.side:
-                    seen = opened.setdefault(element.key, [0, element.depth, 0, 0])
-                    seen[0], seen[2], seen[3] = seen[0] + 1, seen[2] + chars[at], seen[3] + links[at]
-            rows += [(host, key, _signed(path), OPENS, *seen) for path, seen in opened.items()]
-            rows += [(host, key, _signed(path), CLOSES, n, 0, 0, 0) for path, n in page.closed.items() if path in opened]
-            rows += [(host, key, _signed(path), text, n, 0, 0, 0) for (path, text), n in texts.items()]
-            if len(rows) > 50_000:
-                yield pd.DataFrame(rows, columns=columns)
-                rows = []
-        yield pd.DataFrame(rows, columns=columns)
+                if element.side or (what > 0 and what not in names):
+                    continue
+                tokens.append(names[what] if what > 0 else _opened(element) | (CLOSE if what == CLOSES else OPEN))
+                lengths.append(chars[at] if what == OPENS else 0)
+                linked.append(links[at] if what == OPENS else 0)
+            rows.append((host, key, tokens, tokens, lengths, linked))
+        yield pd.DataFrame(rows, columns=["host", "key", "base", "role", "chars", "links"])
+
+
+PAGE_TOKENS = "host string, key long, base array<long>, role array<long>, chars array<long>, links array<long>"
+
+
+def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How often a token has a role on a page, and which of the page's tokens of this name is the first that has it."""
+    for frame in frames:
+        rows = []
+        for host, key, bases, roles, chars, links in zip(*(frame[c] for c in ("host", "key", "base", "role", "chars", "links"))):
+            seen: dict[int, list[int]] = {}
+            before: Counter = Counter()
+            for base, role, length, linked in zip(bases.tolist(), roles.tolist(), chars.tolist(), links.tolist()):
+                own = seen.setdefault(role, [base, 0, 0, 0, before[base]])
+                own[1], own[2], own[3] = own[1] + 1, own[2] + length, own[3] + linked
+                before[base] += 1
+            rows += [(host, key, role, *own) for role, own in seen.items()]
+        yield pd.DataFrame(rows, columns=["host", "key", "role", "base", "n", "chars", "links", "nth"])
+
+
+def _around(roles: list[int], classes: dict[int, tuple[int, int]]) -> tuple[list[int], dict[int, list[int]], set[int]]:
+    """The slot of each token on a page, the lowest and highest rank of each role in its class, and the classes that are not nested.
+
+    ``classes``: class and its size by role.  A class is in order if its tokens come in turns, each once before one comes again.  The slot
+    of a token is named by the token of the innermost class around it that came last (0: none).  Of two classes that cross, the
+    smaller one is not nested.
+    """
+    slots, ranks, bad = [], {}, set()
+    open_now: dict[int, list] = {}  # class: [size, role that came last, slot around it, roles so far]
+    stack: list[int] = []
+    for role in roles:
+        name, size = classes.get(role, (None, 0))
+        if name is None:
+            slots.append(open_now[stack[-1]][1] if stack else 0)
+            continue
+        if name not in open_now:
+            open_now[name] = [size, 0, open_now[stack[-1]][1] if stack else 0, set()]
+            stack.append(name)
+        own = open_now[name]
+        if role in own[3]:
+            bad.add(name)
+        for other in stack[stack.index(name) + 1 :] if stack[-1] != name else ():
+            bad.add(min((open_now[other][0], other), (size, name))[1])
+        rank = ranks.setdefault(role, [len(own[3]), len(own[3])])
+        rank[0], rank[1] = min(rank[0], len(own[3])), max(rank[1], len(own[3]))
+        own[1] = role
+        own[3].add(role)
+        slots.append(own[2])
+        if len(own[3]) == size:
+            del open_now[name]
+            stack.remove(name)
+    return slots, ranks, bad | set(open_now)
+
+
+def _settled(roles: list[int], classes: dict[int, tuple[int, int]]) -> tuple[list[int], dict[int, list[int]], set[int]]:
+    """:func:`_around`, with the slots of the classes that are nested on the page."""
+    slots, ranks, bad = _around(roles, classes)
+    if bad:
+        slots = _around(roles, {r: c for r, c in classes.items() if c[0] not in bad})[0]
+    return slots, ranks, bad
+
+
+def _classes_of(frame: pd.DataFrame) -> Iterator[dict[int, tuple[int, int]]]:
+    """Class and its size by role, for each page."""
+    for roles, names, sizes in zip(frame["in_class"], frame["class"], frame["size"]):
+        yield dict(zip(roles.tolist(), zip(names.tolist(), sizes.tolist())))
+
+
+def _placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What a page says about the roles on it."""
+    for frame in frames:
+        rows = []
+        for host, roles, classes in zip(frame["host"], frame["role"], _classes_of(frame)):
+            roles = roles.tolist()
+            slots, ranks, bad = _settled(roles, classes)
+            seen: dict[int, list[int]] = {}
+            for role, slot in zip(roles, slots):
+                own = seen.setdefault(role, [slot, slot])
+                own[0], own[1] = min(own[0], slot), max(own[1], slot)
+            for role, own in seen.items():
+                name = classes.get(role, (0, 0))[0]
+                rows.append((host, role, name, *own, *ranks.get(role, (0, 0)), name in bad))
+        yield pd.DataFrame(rows, columns=["host", "role", "class", "slot", "other_slot", "low", "high", "bad"])
+
+
+def _split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The tokens of pages with roles told apart by the slot they stand in, where the host has them in several slots."""
+    for frame in frames:
+        changed = []
+        for roles, classes, several in zip(frame["role"], _classes_of(frame), frame["several"]):
+            roles, several = roles.tolist(), set(several.tolist()) if several is not None else set()
+            slots = _settled(roles, classes)[0] if several else roles
+            changed.append([_signed(xxhash.xxh3_64_intdigest(f"{r}:{s}") & ~3) | (r & 3) if r in several else r for r, s in zip(roles, slots)])
+        yield frame[["host", "key", "base", "chars", "links"]].assign(role=pd.Series(changed, dtype="object", index=frame.index))[["host", "key", "base", "role", "chars", "links"]]
+
+
+def _vectors(tokens: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The roles that stand on enough pages of their host, with their occurrence vectors."""
+    counted = tokens.mapInPandas(_counted, "host string, key long, role long, base long, n long, chars long, links long, nth long")
+    on_page = F.xxhash64("key", "n")
+    found = counted.groupBy("host", "role").agg(
+        F.min("base").alias("base"), F.count(F.lit(1)).alias("pages"), F.max("n").alias("most"), F.sum("n").alias("total"), F.bit_xor(on_page).alias("vector"), F.sum(F.shiftright(on_page, 32)).alias("weight"),
+        F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.min("nth").alias("nth"), F.max("nth").alias("last_nth"),
+    )
+    return measured(found.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(F.col("pages") >= SHARE * F.col("all")).drop("all"))[0]
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """By host: ``slots`` (elements that stand once on most pages, with the share of links below them) and ``fixed`` (repeated texts).
+    """By host: ``slots`` (elements that stand once on most pages, and whether links fill them) and ``fixed`` (repeated texts).
 
     Two tokens have equal occurrence vectors when the hashes of (page, count) of all pages where they stand have the same
-    exclusive or; such tokens form a class.  A class counts if it is large and stands on enough pages of its host, and an
-    element is nested in the class of the element around it.
+    exclusive or, and the same sum; such tokens, if they stand on enough pages of their host, form a class.  Each page then says whether the classes are
+    valid: the tokens of one come in the same order, in turns, on every page, and two classes lie beside each other, or one in a slot between
+    two tokens of the other.  Tokens that change their rank leave their class, classes that are not in turns or cross larger ones are given up, to be formed
+    again of the tokens that share a slot.  A token that stands in several slots gets a role in each, with a vector of its own.  This is
+    repeated until no page objects and no role is new.  ``nth`` tells apart the tokens of one name (-1: all of them).
     """
-    schema = "host string, key long, path long, text long, n int, depth int, chars long, links long"
-    tokens = pages.select("host", "key", "html").mapInPandas(_tokens, schema)
-    vectors = tokens.groupBy("host", "path", "text").agg(
-        F.count(F.lit(1)).alias("pages"), F.max("n").alias("most"), F.bit_xor(F.xxhash64("key", "n")).alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
-    )
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
-    vectors = vectors.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(F.col("pages") >= SHARE * F.col("all"))
-    vectors, _ = measured(vectors)
-    classes = vectors.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LEAST_CLASS)
-    valid = vectors.join(classes, ["host", "vector"], "left_semi")
-    slot = (F.col("text") == OPENS) & (F.col("most") == 1) & (F.col("chars") > 0)
-    own = F.struct("path", (F.col("links") / F.col("chars") >= 0.5).alias("linked"))
-    return valid.groupBy("host").agg(F.collect_set(F.when(slot, own)).alias("slots"), F.collect_set(F.when(F.col("text") > 0, F.col("text"))).alias("fixed"))
-
-
-def main_text(source: str, slots: dict[int, bool], fixed: frozenset[int] | set[int]) -> str:
+    tokens = cut_lineage(pages.select("host", "key", "html").mapInPandas(_tokens, PAGE_TOKENS))
+    spark = pages.sparkSession
+    vectors = names = _vectors(tokens, sizes)
+    wanted = names.groupBy("host").agg(F.collect_set("role").alias("wanted"))
+    tokens, slots, banned = _supported(tokens, wanted), spark.createDataFrame([], "host string, role long, slot long"), spark.createDataFrame([], "of string, name long")
+    for _ in range(ROUNDS):
+        known = vectors.join(slots, ["host", "role"], "left").withColumn("class", F.xxhash64("vector", "weight", F.coalesce("slot", F.lit(0))))
+        known = known.join(banned, (F.col("host") == F.col("of")) & ((F.col("role") == F.col("name")) | (F.col("class") == F.col("name"))), "left_anti")
+        classes = known.groupBy("host", "class").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LEAST_CLASS)
+        members = known.join(classes, ["host", "class"]).groupBy("host").agg(F.collect_list(F.struct("role", "class", "size")).alias("members"))
+        members, n = measured(members.select("host", F.col("members.role").alias("in_class"), F.col("members.class").alias("class"), F.col("members.size").alias("size")))
+        on_pages = tokens.join(broadcast_if_small(members, n), "host")
+        said = on_pages.mapInPandas(_placed, "host string, role long, class long, slot long, other_slot long, low long, high long, bad boolean")
+        said = said.groupBy("host", "role").agg(F.max("class").alias("class"), F.min("slot").alias("slot"), F.max("other_slot").alias("other_slot"), (F.max("high") - F.min("low")).alias("moves"), F.max("bad").alias("bad"))
+        said = cut_lineage(said)
+        faults = said.where("class <> 0").groupBy("host", "class").agg(F.max("bad").alias("bad"), F.max("moves").alias("most_moves"))
+        restless = said.drop("bad").join(faults, ["host", "class"]).where("NOT bad AND moves > 0 AND 2 * moves >= most_moves")
+        fresh = faults.where("bad").select("host", F.col("class").alias("name")).union(restless.select("host", "role"))
+        several, split = measured(said.where("slot <> other_slot").join(faults.where("bad OR most_moves > 0").select("host").distinct(), "host", "left_anti").groupBy("host").agg(F.collect_list("role").alias("several")))
+        slots = said.where("slot = other_slot").select("host", "role", "slot")
+        fresh, objections = measured(fresh)
+        if not objections and not split:
+            break
+        banned = cut_lineage(banned.union(fresh))
+        if split:
+            tokens = cut_lineage(on_pages.join(broadcast_if_small(several, split), "host", "left").mapInPandas(_split, PAGE_TOKENS).union(tokens.join(broadcast_if_small(members, n), "host", "left_anti")))
+            vectors = _vectors(tokens, sizes)
+    good = said.where("class <> 0").join(faults.where("NOT bad AND most_moves = 0"), ["host", "class"], "left_semi").where("slot = other_slot").select("host", "role")
+    valid = vectors.join(good, ["host", "role"], "left_semi")
+    only = F.when(F.col("role") == F.col("base"), -1).when((F.col("nth") == F.col("last_nth")) & (F.col("most") == 1), F.col("nth")).cast("long")
+    kind = F.col("base").bitwiseAND(F.lit(3))
+    slot = (kind == OPEN) & (F.col("most") == 1) & (F.col("chars") > 0) & only.isNotNull()
+    own = F.struct("base", only.alias("nth"), (F.col("links") / F.col("chars") >= 0.5).alias("linked"))
+    opened = valid.groupBy("host").agg(F.collect_set(F.when(slot, own)).alias("slots"))
+    parts = valid.where(kind == TEXT).groupBy("host", "base").agg(F.sum("total").alias("total"), F.collect_set(only).alias("nth"))
+    parts = parts.join(names.select("host", "base", F.col("total").alias("in_all")), ["host", "base"])
+    parts = parts.withColumn("nth", F.explode(F.when(F.col("total") == F.col("in_all"), F.array(F.lit(-1).cast("long"))).otherwise(F.col("nth"))))
+    return opened.join(parts.groupBy("host").agg(F.collect_set(F.struct("base", "nth")).alias("fixed")), "host", "left")
+
+
+def _supported(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The pages of hosts that have tokens on enough pages, with these tokens only."""
+    wanted, n = measured(wanted)
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            keep = [[role in kept for role in roles] for roles, kept in zip(frame["role"], map(set, frame["wanted"]))]
+            yield pd.DataFrame({"host": frame["host"], "key": frame["key"]} | {c: [[x for x, k in zip(xs, ks) if k] for xs, ks in zip(frame[c], keep)] for c in ("base", "role", "chars", "links")})
+
+    return cut_lineage(tokens.join(broadcast_if_small(wanted, n), "host").mapInPandas(cut, PAGE_TOKENS))
+
+
+def main_text(source: str, slots: dict[tuple[int, int], bool], fixed: frozenset[tuple[int, int]] | set[tuple[int, int]]) -> str:
     """Text of a page's open slots: all that is neither frame, nor repeated by the host's template, nor in a slot of links.
 
     Where the page marks its article, the marks settle which of the open slots are the article's: an ``article``, or what is
@@ -245,9 +408,8 @@ def main_text(source: str, slots: dict[int, bool], fixed: frozenset[int] | set[i
     if level:
         texts = [t for t in texts if elements[t[0]].main >= level]
     else:
-        texts = [t for t in texts if elements[t[0]].main < 3 or articles <= 1]
-        linked = _linked(elements, slots)
-        texts = [t for t in texts if not linked[t[0]] and (t[1].isspace() or xxhash.xxh3_64_intdigest(_plain(t[1])) >> 1 not in fixed)]
+        linked, repeated = _linked(elements, slots), _repeated(elements, texts, fixed)
+        texts = [t for t, again in zip(texts, repeated) if not again and not linked[t[0]] and (elements[t[0]].main < 3 or articles <= 1)]
     parts, last = [], -1
     for _, text, block in texts:
         if block != last:
@@ -257,11 +419,26 @@ def main_text(source: str, slots: dict[int, bool], fixed: frozenset[int] | set[i
     return " ".join("".join(parts).split())
 
 
-def _linked(elements: list[Element], slots: dict[int, bool]) -> list[bool]:
+def _linked(elements: list[Element], slots: dict[tuple[int, int], bool]) -> list[bool]:
     """Whether the innermost slot around an element is one of links."""
-    out = [False] * len(elements)
+    out, seen = [False] * len(elements), Counter()
     for at, element in enumerate(elements):
-        out[at] = slots.get(_signed(element.key), out[element.parent] if at else False)
+        out[at] = out[element.parent] if at else False
+        if slots and at and not element.side:
+            name = _opened(element)
+            out[at] = slots.get((name, -1), slots.get((name, seen[name]), out[at]))
+            seen[name] += 1
+    return out
+
+
+def _repeated(elements: list[Element], texts: list[tuple[int, str, int]], fixed: frozenset[tuple[int, int]] | set[tuple[int, int]]) -> list[bool]:
+    """Whether a text is one of the template's."""
+    out, seen = [False] * len(texts), Counter()
+    for number, (at, text, _) in enumerate(texts if fixed else ()):
+        if not text.isspace():
+            name = _text_token(elements[at], _plain(text))
+            out[number] = (name, -1) in fixed or (name, seen[name]) in fixed
+            seen[name] += 1
     return out
 
 
@@ -271,8 +448,8 @@ def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     Templates are small, one row per host, and join the pages by broadcast up to a measured size.
 
     Null html or url: no page, no host (one group of their own).  A page that is alone on its host, or unlike its
-    host's template, is read by its own marks alone.  Repeated rows get the same text; in the occurrence vectors they cancel
-    in pairs, alike for all tokens.  Empty table: no rows.  Other columns travel in ``row``.
+    host's template, is read by its own marks alone.  Repeated rows get the same text; in the occurrence vectors they count
+    alike for all tokens.  Empty table: no rows.  Other columns travel in ``row``.
     """
     host = F.lower(F.regexp_extract(text_of(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(whole_row(pages), host.alias("host"), text_of(html_col).alias("html"))
@@ -281,6 +458,6 @@ def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 
     @F.pandas_udf("string")
     def extract(sources: pd.Series, slots: pd.Series, fixed: pd.Series) -> pd.Series:
-        return pd.Series([main_text(h, {x["path"]: x["linked"] for x in s} if s is not None else {}, set(f) if f is not None else set()) for h, s, f in zip(sources, slots, fixed)], dtype="object")
+        return pd.Series([main_text(h, {(x["base"], x["nth"]): x["linked"] for x in s} if s is not None else {}, {(x["base"], x["nth"]) for x in f} if f is not None else set()) for h, s, f in zip(sources, slots, fixed)], dtype="object")
 
     return rows.select("row", extract("html", "slots", "fixed").alias("text"))

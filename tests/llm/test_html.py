@@ -85,6 +85,37 @@ def test_headline_and_lead_beside_the_body(spark):
     assert extracted(spark, rows) == want
 
 
+def test_texts_that_change_their_order_are_no_template(spark):
+    """Tokens with equal occurrence vectors are a class only if they come in the same order on every page; one that moves is left out, the others stay."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for k in range(30):
+        body, labels = words(rng, 40), ["economy and trade", "weather of the week"]
+        rng.shuffle(labels)
+        rows.append((k, f"http://order.example/{k}", f"<body><div><b>Made by us</b></div><div class=text><p>{body}</p><p>{labels[0]}</p><p>{labels[1]}</p></div><div><i>all rights kept</i></div></body>"))
+        want[k] = " ".join((body, *labels))
+    assert extracted(spark, rows) == want
+
+
+def test_tokens_get_roles_by_their_slot(spark):
+    """Two elements of one name, one of links and one of text, are told apart by what the template has around them."""
+    rng = random.Random(12)
+    rows, want = [], {}
+    for k in range(30):
+        links, body = "".join(f"<a href=/{j}>{words(rng, 3)}</a> " for j in range(rng.randrange(2, 9))), [words(rng, 30) for _ in range(rng.randrange(1, 4))]
+        rows.append((k, f"http://roles.example/{k}", f"<body><div>{links}</div><hr><div>{''.join(f'<p>{b}</p>' for b in body)}</div></body>"))
+        want[k] = " ".join(body)
+    assert extracted(spark, rows) == want
+
+
+def test_classes_that_cross_are_no_template():
+    """Of two classes that cross, the smaller one is given up; a class that is not in turns is, too."""
+    large, small = {r: (7, 4) for r in (10, 11, 12, 13)}, {20: (8, 2), 21: (8, 2)}
+    assert html_extract._settled([10, 11, 20, 12, 13, 21], large | small)[2] == {8}
+    assert html_extract._settled([10, 20, 21, 11, 20, 21, 12, 13], large | small) == ([0, 10, 10, 0, 11, 11, 0, 0], {10: [0, 0], 11: [1, 1], 12: [2, 2], 13: [3, 3], 20: [0, 0], 21: [1, 1]}, set())
+    assert html_extract._settled([10, 11, 12, 20, 20, 21, 13, 21], large | small)[2] == {8}
+
+
 def test_teasers_are_no_article(spark):
     rng = random.Random(10)
     cards = "".join(f"<article><h3>{words(rng, 3)}</h3></article>" for _ in range(4))
