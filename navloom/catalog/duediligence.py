@@ -127,10 +127,7 @@ def n05_evaluation_window(spark, sf):
     {**BENCH_VIEWS, **CLASSIC},
 )
 def n06_excess_ir_drawdown(spark, sf):
-    panel = bench_panel(spark, sf)
-    own = perf.classic_stats(panel.drop("BENCH_NAV")).select(T, "ANNUAL_RETURN", "MAXDD")
-    bench = perf.benchmark_stats(panel).select(T, "BENCH_ANNUAL_RETURN", "IR", "BENCH_MAXDD")
-    out = own.join(bench, T)
+    out = perf.benchmark_stats(bench_panel(spark, sf), own=True)
     return rounded(out.select(T, (F.col("ANNUAL_RETURN") - F.col("BENCH_ANNUAL_RETURN")).alias("EXCESS"), "IR", F.try_divide("MAXDD", "BENCH_MAXDD").alias("DRAWDOWN_RATIO")), 5)
 
 

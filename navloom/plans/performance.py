@@ -355,6 +355,7 @@ def _benchmark_rows(panel: DataFrame) -> DataFrame:
         F.max_by("BENCH_NAV", DATE).alias("B1"),
         F.stddev_samp("BRET").alias("BVOL"),
         F.max("BDD").alias("BENCH_MAXDD"),
+        F.max("DD").alias("OWN_MAXDD"),
         F.sum("LA").alias("SUM_LA"),
         F.stddev_samp("ALPHA").alias("AVOL"),
         *_capture(F.col("BRET") > 0, "UP"),
@@ -436,8 +437,12 @@ def _benchmark_window_rows(panel: DataFrame, windows: DataFrame, strict: bool, c
     )
 
 
-def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = False, columns: Sequence[str] = tuple(_MADE_OF)) -> DataFrame:
-    """Everything that needs a benchmark, or the named ``columns`` of it, one row per (entity, window) with at least two days."""
+def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None, strict: bool = False, columns: Sequence[str] = tuple(_MADE_OF), own: bool = False) -> DataFrame:
+    """Everything that needs a benchmark, or the named ``columns`` of it, one row per (entity, window) with at least two days.
+
+    ``own``: beside whole histories, the entity's ``ANNUAL_RETURN`` and ``MAXDD`` as in :func:`classic_stats`, from the same pass."""
+    if own and windows is not None:
+        raise ValueError("the entity's own statistics stand beside whole histories only")
     rows = _benchmark_rows(panel) if windows is None else _benchmark_window_rows(panel, windows, strict, columns)
     days = F.greatest(F.lit(0), F.datediff("LAST_DATE", "SECOND_DATE") + 1)
     cum, bcum = safe_div(F.col("F1"), F.col("F0")) - 1, safe_div(F.col("B1"), F.col("B0")) - 1
@@ -459,8 +464,9 @@ def benchmark_stats(panel: DataFrame, windows: DataFrame | None = None, strict:
         "ALPHA_WIN_RATE",
         "ALPHA_MAXDD",
         F.coalesce(F.datediff("ARECOVERY", "AMDD_DATE"), F.lit(NEVER_RECOVERED)).alias("ALPHA_MAXDD_RECOVER"),
+        *([annualise(_nz(cum), days).alias("ANNUAL_RETURN"), F.col("OWN_MAXDD").alias("MAXDD")] if own else []),
     )
-    return found.select(*GROUP, *columns)
+    return found.select(*GROUP, *columns, *(["ANNUAL_RETURN", "MAXDD"] if own else []))
 
 
 def timing_models(panel: DataFrame, windows: DataFrame | None = None, risk_free: float = 0.03, strict: bool = False) -> DataFrame:
