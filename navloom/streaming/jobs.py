@@ -19,6 +19,8 @@ from navloom.sources import versions
 from navloom.sources.ingest import staged, write_dataset
 
 WATERMARK = "5 days"  # fixed value: how late a correction may be (trailing days of the daily re-run)
+#: Groups of entities that share a state; a call costs some milliseconds, whatever it holds, so entities do not get one each.
+ENTITY_GROUPS = 1024
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -102,7 +104,7 @@ def running_drawdown(df: DataFrame, key: str, time: str, seq: str, value: str) -
     )
 
 
-def corrected_drawdown(df: DataFrame, key: str, time: str, seq: str, value: str, delay: str = WATERMARK, expiry_days: int = 400) -> DataFrame:
+def corrected_drawdown(df: DataFrame, key: str, time: str, seq: str, value: str, delay: str = WATERMARK, expiry_days: int = 400, groups: int = ENTITY_GROUPS) -> DataFrame:
     """Running high and drawdown per entity in event-time order, whatever order the rows come in: ``key, seq, HIGH, DRAWDOWN``.
 
     The state of an entity is its high up to the watermark and the rows since then.  A row that comes late, but not later than
@@ -110,36 +112,55 @@ def corrected_drawdown(df: DataFrame, key: str, time: str, seq: str, value: str,
     :func:`upsert_rows` by (key, seq), and the stored rows are those of one sorted pass.  What falls behind the watermark is folded into the
     high, so the state is bounded by the rows of ``delay``; rows older than the watermark are dropped, as everywhere.  An entity without
     rows for ``expiry_days`` behind its last one loses its state and begins anew.  Rows without a time or a value are left out.
+
+    Entities are dealt by their hash to ``groups`` (a checkpoint keeps their number), whose rows are sorted in one go; more rows inside ``delay`` ask for more groups.
     """
     types = dict(df.dtypes)
-    shape = f"HIGH double, TIMES array<bigint>, SEQS array<{types[seq]}>, VALS array<double>, HIGHS array<double>"
+    shape = f"NAMES array<{types[key]}>, TOPS array<double>, LASTS array<bigint>, CODES array<int>, TIMES array<bigint>, SEQS array<{types[seq]}>, VALS array<double>, HIGHS array<double>"
+    expiry = expiry_days * 86_400_000
 
     def step(tag: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        names, tops, lasts, *held = state.get if state.exists else ([], [], [], [], [], [], [], [])
+        codes, times, seqs, values, highs = (list(x) for x in held)
+        mark, of_fresh, before = state.getCurrentWatermarkMs(), [], len(codes)
+        if not state.hasTimedOut:
+            fresh = pd.concat(list(frames))
+            of_fresh = fresh[key].tolist() if tag[0] >= 0 else [None] * len(fresh)  # rows without a key are a group
+            times += (fresh[time].astype("int64") // _unit(fresh[time])).tolist()
+            seqs += fresh[seq].tolist()
+            values += fresh[value].tolist()
+            highs += [float("nan")] * len(fresh)
+        known = {n: k for k, n in enumerate(names)}
+        codes += [known.setdefault(n, len(known)) for n in of_fresh]
+        new = len(known) - len(names)
+        names, top, last = list(known), np.array([*tops, *[float("-inf")] * new]), np.array([*lasts, *[mark] * new], dtype=np.int64)
+        rows = pd.DataFrame({"CODE": np.array(codes, dtype=np.int64), "TIME": np.array(times, dtype=np.int64), "SEQ": seqs, "VALUE": np.array(values, dtype=float), "BEFORE": np.array(highs, dtype=float)})
+        seen = np.zeros(len(names), dtype=bool)
+        seen[rows["CODE"].to_numpy()[before:]] = True
+        rows = rows.sort_values(["CODE", "TIME", "SEQ"], ignore_index=True)
+        code, at = rows["CODE"].to_numpy(), rows["TIME"].to_numpy()
+        run = np.maximum(rows.groupby("CODE")["VALUE"].cummax().to_numpy(dtype=float), top[code])
+        changed = run != rows["BEFORE"].to_numpy()  # rows that were not given out yet have no high before
+        settled = at < mark
+        np.maximum.at(top, code[settled], run[settled])
+        last[seen] = np.maximum(last[seen], mark)
+        own = seen[code]
+        np.maximum.at(last, code[own], at[own])
+        alive = seen | (last + expiry >= mark)
+        if alive.any():
+            stay, place = ~settled & alive[code], np.cumsum(alive) - 1
+            kept = rows[stay]
+            state.update(([n for n, a in zip(names, alive) if a], top[alive].tolist(), last[alive].tolist(), place[code[stay]].tolist(), kept["TIME"].tolist(), kept["SEQ"].tolist(), kept["VALUE"].tolist(), run[stay].tolist()))
+            state.setTimeoutTimestamp(int(max(last[alive].min() + expiry, mark + 1)))
+        else:
             state.remove()
-            return
-        high, *held = state.get if state.exists else (float("-inf"), [], [], [], [])
-        times, seqs, values, highs = (list(x) for x in held)
-        fresh = pd.concat(list(frames))
-        times += (fresh[time].astype("int64") // _unit(fresh[time])).tolist()
-        seqs += fresh[seq].tolist()
-        values += fresh[value].tolist()
-        highs += [float("nan")] * len(fresh)
-        order = sorted(range(len(times)), key=lambda k: (times[k], seqs[k]))
-        times, seqs, values, before = ([x[k] for k in order] for x in (times, seqs, values, highs))
-        run = np.maximum.accumulate(np.array([high, *values]))[1:]
-        changed = run != np.array(before)  # rows that were not given out yet have no high before
-        mark = state.getCurrentWatermarkMs()
-        settled = int(np.searchsorted(np.array(times), mark))
-        high = float(run[settled - 1]) if settled else high
-        state.update((high, times[settled:], seqs[settled:], values[settled:], run[settled:].tolist()))
-        state.setTimeoutTimestamp(max(times[-1], mark) + expiry_days * 86_400_000)
-        out = pd.DataFrame({seq: seqs, "HIGH": run, "V": values})[changed]
-        out.insert(0, key, tag[0])
-        yield out.assign(DRAWDOWN=1 - out["V"] / out["HIGH"]).drop(columns="V")
+        if changed.any():
+            high, worth = run[changed], rows["VALUE"].to_numpy()[changed]
+            yield pd.DataFrame({key: pd.Series([names[k] for k in code[changed]], dtype=None if tag[0] >= 0 else object), seq: rows["SEQ"].to_numpy()[changed], "HIGH": high, "DRAWDOWN": 1 - worth / high})
 
     rows = with_event_time(df.select(key, time, seq, F.col(value).cast("double").alias(value)), time).dropna(subset=[time, value])
-    return rows.withWatermark(time, delay).groupBy(key).applyInPandasWithState(
+    group = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(groups))).cast("int")
+    return rows.withWatermark(time, delay).withColumn("_GROUP", group).groupBy("_GROUP").applyInPandasWithState(
         step, f"{key} {types[key]}, {seq} {types[seq]}, HIGH double, DRAWDOWN double", shape, "update", GroupStateTimeout.EventTimeTimeout
     )
 

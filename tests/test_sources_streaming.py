@@ -155,6 +155,28 @@ def test_rows_in_any_order_give_the_rows_of_one_sorted_pass(spark, fresh):
     assert got()[105] == (10.0, 0.0) and got()[104][0] == high
 
 
+@pytest.mark.parametrize("groups", [1, 3])
+def test_entities_that_share_a_state_keep_apart(spark, fresh, groups):
+    """Highs, corrections and expiry are those of each entity, also of one without a name, whatever the number of groups."""
+    src, out, cp = fresh(), fresh(), fresh()
+    day = lambda n: pd.Timestamp("2024-01-01", tz="UTC") + pd.Timedelta(days=n)
+    found = {}
+
+    def load(rows):
+        _parts(spark, src, [pd.DataFrame(rows, columns=["k", "t", "s", "v"])])
+        stream = jobs.corrected_drawdown(jobs.file_stream(spark, src, 1), "k", "t", "s", "v", delay="5 days", expiry_days=30, groups=groups)
+        jobs.run(stream, cp, lambda batch, _: found.update({r.s: (r.k, r.HIGH, round(r.DRAWDOWN, 9)) for r in batch.collect()}))
+
+    load([("a", day(1), 1, 80.0), ("b", day(1), 2, 10.0), (None, day(1), 3, 5.0), ("a", day(3), 4, 40.0)])
+    load([("b", day(0), 5, 20.0), ("a", day(2), 6, 100.0), (None, day(2), 7, 4.0)])
+    assert found == {1: ("a", 80.0, 0.0), 2: ("b", 20.0, 0.5), 3: (None, 5.0, 0.0), 4: ("a", 100.0, 0.6), 5: ("b", 20.0, 0.0), 6: ("a", 100.0, 0.0), 7: (None, 5.0, 0.2)}
+    load([("a", day(25), 8, 50.0)])
+    load([("a", day(50), 9, 50.0)])
+    load([("a", day(51), 10, 50.0)])
+    load([("b", day(52), 11, 1.0), ("a", day(52), 12, 50.0)])
+    assert found[11] == ("b", 1.0, 0.0) and found[12] == ("a", 100.0, 0.5)
+
+
 def test_late_correction_recomputes_the_touched_date(spark, fresh):
     src, base, cp = fresh(), fresh(), fresh()
     each = jobs.late_corrections(f"{base}/raw", f"{base}/daily", "d", ["id"], [], [F.sum("v").alias("s")])
