@@ -16,10 +16,8 @@ from navloom.llm.components import components
 from navloom.session import cut_lineage
 from navloom.sources.ingest import staged
 
-#: Counters of the frequency sketch; its size does not depend on the corpus.
-SKETCH = 1 << 18
-#: Parts of a set that the suffix filter compares.
-PARTS = 64
+#: N-grams that a task counts at once, and most n-grams whose frequency every task is told; neither depends on the corpus.
+COUNTED_AT_ONCE, FREQUENT = 1 << 22, 1 << 19
 #: Length of a posting list beyond which it is dealt out to several hubs.
 HOT_LIST = 50_000
 #: Length of a posting list from which on its pairs meet only if they have no rarer n-gram in common.
@@ -65,46 +63,75 @@ def gram_sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[tuple[pd.D
             yield part, [shingles(t, width, known) for t in part["text"]]
 
 
-def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """Documents by hashed n-gram: exact sums in a fixed number of counters, so frequent n-grams stand out at any size."""
+def repeated(sets: list[np.ndarray]) -> pd.DataFrame:
+    """The n-grams that several of these sets have, and how many do; equal sets count once."""
+    grams = np.concatenate(list({key_of(s): s for s in sets}.values()))
+    grams.sort()
+    same = np.concatenate(([0], grams[1:] == grams[:-1], [0])).astype(np.int8)
+    edges = np.flatnonzero(np.diff(same))
+    return pd.DataFrame({"gram": grams[edges[::2]].view(np.int64), "n": edges[1::2] - edges[::2] + 1})
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(SKETCH, dtype=np.int64)
-        for _, sets in gram_sets(frames, width):
-            if sets:
-                total += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at.astype(np.int32), "n": total[at]})
 
-    rows = docs.select("text").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    sketch = np.zeros(SKETCH, dtype=np.int64)
-    for r in rows:
-        sketch[r.bucket] = r.n
-    return sketch
+def frequent_grams(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams, sorted, and about how many documents have each; the last entry is a sentinel.
 
+    Every n-gram is counted in blocks, and what stands once in a block is left there, so an n-gram of more documents than there
+    are blocks is always found; rarer ones are found by chance."""
 
-def _prefixes(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
-    """By document: size and name of the set, suffix parts, and the prefix in the order of the sketch, rare first."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for _, sets in gram_sets(frames, width):
+            held += sets
+            n += sum(map(len, sets))
+            if n >= COUNTED_AT_ONCE:
+                yield repeated(held)
+                held, n = [], 0
+        if n:
+            yield repeated(held)
+
+    counted = cut_lineage(docs.select("text").mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    level = F.floor(F.lit(8) * F.log2("n")).cast("int")  # at most some hundred levels
+    least, room = 0, FREQUENT
+    for r in sorted(counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        room -= r.n
+        if room < 0:
+            least = r.level + 1
+            break
+    told = counted.where(level >= least).toArrow()
+    grams = np.append(told["gram"].to_numpy().view(np.uint64), np.uint64(2**64 - 1))
+    order = np.argsort(grams, kind="stable")
+    return grams[order], np.append(told["n"].to_numpy(), 0)[order]
+
+
+def parities(grams: np.ndarray) -> np.ndarray:
+    """A bit for each slot, set where an odd number of the n-grams fall, in 64-bit words; at least as many slots as n-grams, a power of two."""
+    slots = 1 << max(6, (len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
+    """By document: size, name and parity map of the set, and its prefix, n-grams that are not frequent first, then rare ones first."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = shared.value
+        known, counts = shared.value
         for frame, sets in gram_sets(frames, width):
-            out: dict[str, list] = {"size": [], "key": [], "parts": [], "prefix": [], "salts": []}
+            out: dict[str, list] = {"size": [], "key": [], "odd": [], "prefix": [], "salts": []}
             for s in sets:
                 n = len(s)
-                freq = counts[(s % np.uint64(SKETCH)).astype(np.int64)]
+                at = np.searchsorted(known, s)
+                freq = np.where(known[at] == s, counts[at], 0)
                 order = np.lexsort((s, freq))[: n - -(-percent * n // 100) + 1] if n else np.zeros(0, dtype=np.int64)
                 out["size"].append(n)
                 out["key"].append(key_of(s))
-                parts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                out["parts"].append(parts.astype(np.uint8 if parts.max() < 256 else np.int32).tobytes())
+                out["odd"].append(parities(s))
                 out["prefix"].append(s[order].view(np.int64))
                 salts = freq[order] // HOT_LIST + 1
                 out["salts"].append(salts.astype(np.int32) if (salts > 1).any() else None)
             yield pd.DataFrame({"id": frame["id"], "mark": frame["mark"]} | out)
 
-    return docs.mapInPandas(cut, "id long, mark long, size int, key long, parts binary, prefix array<long>, salts array<int>")
+    return docs.mapInPandas(cut, "id long, mark long, size int, key long, odd array<long>, prefix array<long>, salts array<int>")
 
 
 def _needed(size_a: str, size_b: str, percent: int) -> Column:
@@ -119,11 +146,12 @@ def _possible(percent: int) -> Column:
     return long_enough & (room >= _needed("size_a", "size_b", percent))
 
 
-@F.pandas_udf(IntegerType())
-def _part_overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Suffix filter: no more n-grams are common than in the smaller of the two halves of each part."""
-    counts = lambda parts: np.stack([np.frombuffer(p, dtype=np.uint8 if len(p) == PARTS else np.int32).astype(np.int32) for p in parts])
-    return pd.Series(np.minimum(counts(a), counts(b)).sum(axis=1) if len(a) else [], dtype="int32")
+def _differing(a: str, b: str) -> Column:
+    """Suffix filter: no fewer n-grams are in one set alone than slots whose parities differ.  The longer map is folded to the length of the shorter."""
+    n = F.least(F.size(a), F.size(b))
+    every = lambda x, k: F.aggregate(F.sequence(k, F.size(x) - 1, n), F.lit(0).cast("long"), lambda word, at: word.bitwiseXOR(F.get(x, at)))
+    folded = lambda x: F.when(F.size(x) == n, F.col(x)).otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda k: every(x, k)))
+    return F.aggregate(F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
 
 
 @F.pandas_udf(IntegerType())
@@ -132,24 +160,24 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are as similar as asked; only pairs that pass the suffix filter fetch their sets.
+    """Pairs (a, b) whose sets are as similar as asked; only pairs that pass the suffix filter fetch their sets, each set once a pair.
 
-    ``heads``: name, size, parts and id of one document of each class."""
-    side = lambda x: heads.select(F.col("key").alias(x), F.col("id").alias(f"id_{x}"), F.col("size").alias(f"size_{x}"), F.col("parts").alias(f"parts_{x}"))
-    kept = pairs.join(side("a"), "a").join(side("b"), "b")
-    kept = kept.select("a", "b", "id_a", "id_b", "size_a", "size_b", _part_overlap("parts_a", "parts_b").alias("bound"))
-    kept = cut_lineage(kept.where(F.col("bound") >= _needed("size_a", "size_b", percent)).drop("bound"))
-    asked, n = measured(kept.select(F.col("a").alias("key"), F.col("id_a").alias("id")).union(kept.select("b", "id_b")).distinct())
+    ``heads``: name, size, parity map and id of one document of each class."""
+    head = lambda x: heads.select(F.col("key").alias(x), F.col("id").alias(f"id_{x}"), F.col("size").alias(f"size_{x}"), F.col("odd").alias(f"odd_{x}"))
+    kept = pairs.join(head("a"), "a").join(head("b"), "b")
+    apart = F.col("size_a") + F.col("size_b") - 2 * _needed("size_a", "size_b", percent)
+    kept = cut_lineage(kept.where(_differing("odd_a", "odd_b") <= apart).select("a", "b", "id_a", "id_b", "size_a", "size_b"))
+    side = lambda x: kept.select(F.col(x).alias("key"), F.col(f"id_{x}").alias("id"), "a", "b", "size_a", "size_b")
+    asked, n = measured(side("a").union(side("b")))
 
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, found in gram_sets(frames, width):
             yield pd.DataFrame({"id": frame["id"], "key": [key_of(s) for s in found], "grams": [s.tobytes() for s in found]})
 
     texts = docs.select("id", "text").join(broadcast_if_small(asked.select("id").distinct(), n), "id", "left_semi")
-    grams = texts.mapInPandas(whole, "id long, key long, grams binary").join(asked, ["id", "key"], "left_semi").select("key", "grams")
-    if docs.select("id").distinct().count() < docs.count():
-        grams = grams.dropDuplicates(["key"])  # the document of a class stands more than once
-    pairs = kept.join(grams.toDF("a", "grams_a"), "a").join(grams.toDF("b", "grams_b"), "b")
+    grams = texts.mapInPandas(whole, "id long, key long, grams binary").join(broadcast_if_small(asked, n), ["id", "key"])
+    of = lambda x: F.min(F.when(F.col("key") == F.col(x), F.col("grams")))  # noqa: E731  rows that stand more than once have equal sets
+    pairs = grams.groupBy("a", "b", "size_a", "size_b").agg(of("a").alias("grams_a"), of("b").alias("grams_b"))
     pairs = pairs.select("a", "b", "size_a", "size_b", _common("grams_a", "grams_b").alias("common"))
     return cut_lineage(pairs.where(F.col("common") >= _needed("size_a", "size_b", percent)).select("a", "b"))
 
@@ -176,8 +204,8 @@ def jaccard_components(rows: DataFrame, width: int = 3, percent: int = 90, id_co
     Other columns are not read.
     """
     docs = rows.select(F.col(quoted(id_col)).cast("long").alias("id"), text_of(text_col).alias("text"), mark_of(text_col).alias("mark"))
-    sketch = frequency_sketch(docs, width)
-    with staged(_prefixes(docs, sketch, width, percent)) as prefixed:
+    frequent = frequent_grams(docs, width)
+    with staged(_prefixes(docs, frequent, width, percent)) as prefixed:
         sets = cut_lineage(prefixed.select("id", "mark", "size", "key"))
         members, links = _linked(docs, prefixed, sets.where("size > 0 AND id IS NOT NULL"), width, percent)
     parts = members.join(components(links).toDF("key", "part"), "key")
@@ -204,22 +232,23 @@ def _linked(docs: DataFrame, prefixed: DataFrame, full: DataFrame, width: int, p
     full = full.select("id", "key")
     members = full.groupBy("key").agg(F.min("id").alias("class"))
     chosen = _heads(prefixed, full, members)
-    heads = cut_lineage(chosen.select("key", "id", "size", "parts"))
+    heads = cut_lineage(chosen.select("key", "id", "size", "odd"))
 
     posted = chosen.select("key", "size", "salts", F.posexplode("prefix").alias("place", "gram"))
     salts = F.get("salts", F.col("place"))
     posted = posted.select("key", "size", "place", "gram", F.when(salts > 1, F.pmod(F.xxhash64("key"), salts)).alias("salt"))
-    by_list = Window.partitionBy("gram", "salt")
-    first = F.first(F.struct("key", "size", "place")).over(by_list.orderBy("place", "key"))
-    posted = posted.select("*", first.alias("hub"), F.lead("key").over(by_list.orderBy("place", "key")).alias("next"))
-    posted = posted.where("salt IS NOT NULL OR next IS NOT NULL OR key <> hub.key").select("key", "size", "place", "gram", "hub")
+    by_list = Window.partitionBy("gram", "salt").orderBy("place", "key")
+    first = F.first(F.struct("key", "size", "place")).over(by_list)
+    posted = posted.select("*", first.alias("hub"), F.row_number().over(by_list).alias("nth"), F.lead("key").over(by_list).alias("next"))
+    again = F.expr("salt IS NOT NULL OR nth > 2 OR (nth = 2 AND next IS NOT NULL)").alias("again")
+    posted = posted.where("salt IS NOT NULL OR next IS NOT NULL OR nth > 1").select("key", "size", "place", "gram", "hub", again)
     with staged(posted) as listed:
         near = listed.where("key <> hub.key").select(
             F.col("hub.key").alias("a"), F.col("key").alias("b"), F.col("hub.size").alias("size_a"), F.col("size").alias("size_b"), F.col("hub.place").alias("place_a"), F.col("place").alias("place_b")
         )
         pairs = cut_lineage(near.where(_possible(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = _verified(pairs, heads, docs, width, percent)
-        rest = cut_lineage(_between(listed, components(links), percent).join(pairs, ["a", "b"], "left_anti"))
+        rest = cut_lineage(_between(listed.where("again"), components(links), percent).join(pairs, ["a", "b"], "left_anti"))
     return members, links.union(_verified(rest, heads, docs, width, percent))
 
 
@@ -229,7 +258,8 @@ def _between(listed: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     Sizes meet in bands whose ends have the ratio of the threshold: the larger set of a linked pair lies in the band of the
     smaller one or in the next.  Documents that share a passage meet in the list of each of its n-grams; all prefixes are in one
     order, so the entries of a long list carry the rarer n-grams of their prefix, and a pair meets in the first of its lists alone.  Only
-    lists with several components can hold such a pair, so no other n-grams need be carried.
+    lists with several components can hold such a pair, so no other n-grams need be carried.  ``listed`` has no entry whose pairs
+    have all met: the hub of a list that is in one piece, and the other one of two.
     """
     entries = listed.select("key", "size", "place", "gram").join(parts.toDF("key", "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = entries.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("gram", "n")

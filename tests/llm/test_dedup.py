@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from navloom.llm import jaccard
 from navloom.llm.components import components
@@ -109,6 +110,59 @@ def test_long_lists_meet_their_pairs_once(documents, monkeypatch):
     assert {r.id: (r.n_shingles, r.component) for r in found} == components_by_brute_force(rows, 5, 80)
 
 
+def test_pairs_that_met_at_a_hub_do_not_meet_again(documents, monkeypatch):
+    """Lists of two and the hubs of longer lists are not compared a second time."""
+    seen, between = [], jaccard._between
+    monkeypatch.setattr(jaccard, "_between", lambda listed, *rest: seen.extend(listed.collect()) or between(listed, *rest))
+    copies = lambda c, n: [" ".join([f"{c}{k}" for k in range(60)] + [f"{c}x{j}" for j in range(more)]) for more in range(n)]
+    texts = [t for k in range(20) for t in copies(f"p{k}_", 2)] + copies("t", 3)
+    found = jaccard.jaccard_components(documents(*enumerate(texts))).collect()
+    assert {r.id: (r.n_shingles, r.component) for r in found} == components_by_brute_force(list(enumerate(texts)), 3, 90)
+    lists = {r.gram: 0 for r in seen}
+    for r in seen:
+        lists[r.gram] += 1
+    assert lists and set(lists.values()) == {2} and len({r.key for r in seen}) <= 3
+
+
+def test_frequent_ngrams_are_found_beside_any_number_of_rare_ones(documents, monkeypatch):
+    """Sixty documents share ten n-grams and have 2,000 of their own each, far more than are told."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 100)
+    monkeypatch.setattr(jaccard, "COUNTED_AT_ONCE", 20_000)
+    passage = " ".join(f"p{k}" for k in range(12))
+    texts = [passage + " " + " ".join(f"q{n}_{k}" for k in range(2000)) for n in range(60)] + [passage] * 30 + [""]
+    grams, counts = jaccard.frequent_grams(documents(*enumerate(texts)).select("text"), 3)
+    want = set(jaccard.shingles(passage, 3, {}).tolist())
+    assert set(grams[:-1].tolist()) == want and counts[-1] == 0
+    assert all(30 <= n <= 90 for n in counts[:-1])
+    none = jaccard.frequent_grams(documents().select("text"), 3)
+    assert len(none[0]) == 1 and none[1].tolist() == [0]
+
+
+def test_parities_differ_no_more_than_sets(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in (0, 1, 3, 63, 64, 65, 200, 1000, 5000):
+        for m, common in ((n, n), (n, n - n // 20), (n // 2, n // 3), (n + n // 9, n), (4 * n, n // 2), (n, 0)):
+            grams = np.unique(rng.integers(0, 2**64, n + m - common, dtype=np.uint64))
+            rng.shuffle(grams)
+            a, b = (jaccard.parities(x).tolist() for x in (grams[:n], grams[n - common :]))
+            rows.append((a, b, n + m - 2 * common, n, m))
+    found = spark.createDataFrame(rows, "odd_a array<long>, odd_b array<long>, apart long, n int, m int").withColumn("least", jaccard._differing("odd_a", "odd_b")).collect()
+    assert len(found) == len(rows) and all(0 <= r.least <= r.apart for r in found)
+    assert all(r.least > 0.3 * r.n for r in found if r.n == r.m > 100 and r.apart == 2 * r.n)
+
+
+def test_sets_are_fetched_only_for_pairs_that_are_almost_linked(documents, monkeypatch):
+    """Long documents share four fifths of their text: the parities tell that no two of them are linked."""
+    fetched, shingled = [], jaccard.measured
+    monkeypatch.setattr(jaccard, "measured", lambda df: fetched.append((df.columns, df.count())) or shingled(df))
+    shared = [f"p{k}" for k in range(4000)]
+    texts = [" ".join(shared + [f"q{n}_{k}" for k in range(1000)]) for n in range(6)] + [" ".join(shared[:900] * 2)] * 2
+    found = jaccard.jaccard_components(documents(*enumerate(texts)), 3, 90).collect()
+    assert {r.id: (r.n_shingles, r.component) for r in found} == components_by_brute_force(list(enumerate(texts)), 3, 90)
+    assert [n for columns, n in fetched if {"key", "id"} <= set(columns)][-2:] == [0, 0]
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(200, 200), (None, 3), (149, 300), (300, 299)]
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
