@@ -153,11 +153,12 @@ def test_parities_differ_no_more_than_sets(spark):
 
 
 def test_sets_are_fetched_only_for_pairs_that_are_almost_linked(documents, monkeypatch):
-    """Long documents share four fifths of their text: the parities tell that no two of them are linked."""
+    """Two long documents share a rare passage of 87 percent, what they do not share is frequent: the parities tell that they are not linked."""
     fetched, shingled = [], jaccard.measured
     monkeypatch.setattr(jaccard, "measured", lambda df: fetched.append((df.columns, df.count())) or shingled(df))
-    shared = [f"p{k}" for k in range(4000)]
-    texts = [" ".join(shared + [f"q{n}_{k}" for k in range(1000)]) for n in range(6)] + [" ".join(shared[:900] * 2)] * 2
+    words = lambda c, n: [f"{c}{k}" for k in range(n)]
+    texts = [" ".join(words("p", 4350) + words(q, 650)) for q in "ab"]
+    texts += [" ".join(words(q, 650) + words(f"{q}own{k}_", 650)) for q in "ab" for k in range(5)]
     found = jaccard.jaccard_components(documents(*enumerate(texts)), 3, 90).collect()
     assert {r.id: (r.n_shingles, r.component) for r in found} == components_by_brute_force(list(enumerate(texts)), 3, 90)
     assert [n for columns, n in fetched if {"key", "id"} <= set(columns)][-2:] == [0, 0]
