@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navloom.functions.exprs import safe_div
 from navloom.functions.series import by, moving_mean
 from navloom.operators import ranks
 from navloom.operators.aggregates import ALL, grouping_sets, level_grouping_sets, share_of, union_all
 from navloom.operators.joins import align_to_trading_day, interval_join
+from navloom.operators.packs import coded, half_up, mean_rank_fraction, numbered, pack, unpacked
 from navloom.session import cut_lineage
 
 REPORT, FUND, HELD, MV = "REPORT_DATE", "FUND_ID", "HOLDING_TICKER_SYMBOL", "MARKET_VALUE"
@@ -45,21 +49,97 @@ def sector_exposure(industries: DataFrame, sectors: DataFrame, values: Sequence[
 COLUMNS = ["LEVEL_1", "LEVEL_2", "LEVEL_3", "COMPANY", "INDUSTRY_NAME"]
 POPULARITY_SETS = level_grouping_sets(COLUMNS[:3], COLUMNS[3:])
 TASK_ROWS = 1_000_000  # rows of all groupings that one task adds up or ranks
+GROUP_ROWS = 4_000_000  # holdings that one task has as plain arrays; larger groups are ranked in blocks
+CLASS_ROWS = 500_000  # funds with their classes that travel to the holdings
 
 
-def popularity(holdings: DataFrame, classes: DataFrame, sets: Sequence[Sequence[str]] = POPULARITY_SETS, block_rows: int = ranks.BLOCK_ROWS) -> DataFrame:
+def popularity(holdings: DataFrame, classes: DataFrame, sets: Sequence[Sequence[str]] = POPULARITY_SETS, block_rows: int = GROUP_ROWS) -> DataFrame:
     """How many funds hold a stock and for how much, over class, company and industry groupings, with percentile scores.
 
-    ``classes``: ``FUND_ID, LEVEL_1, LEVEL_2, LEVEL_3, COMPANY``; holdings carry ``INDUSTRY_NAME``; ``sets``: the groupings asked
-    for, by default all sixteen.  The holdings of a stock are brought together once and multiplied by the groupings there, so the many rows
-    of the result travel once, to their group, and are never stored.  Groupings with a group that may be larger than ``block_rows`` are ranked in blocks.
+    ``classes``: ``FUND_ID, LEVEL_1, LEVEL_2, LEVEL_3, COMPANY``; holdings carry ``INDUSTRY_NAME`` and ``MARKET_VALUE`` (double); ``sets``: the
+    groupings asked for, by default all sixteen.  The holdings are packed once by report and first level and stored so, in a few bytes each.
+    The packs of a report and first level meet for the groupings with that level, those of a report for the others, so a holding travels
+    twice, not once for each grouping, and the rows of the result do not travel at all.  Groupings whose packs would hold more than ``block_rows``
+    holdings at once are ranked natively, in blocks if need be.
     """
-    joined = holdings.join(classes, FUND).select(REPORT, HELD, *COLUMNS, MV)
+    known = classes.limit(CLASS_ROWS + 1).count()
+    joined = holdings.join(F.broadcast(classes) if known <= CLASS_ROWS else classes, FUND).select(REPORT, HELD, *COLUMNS, F.col(MV).cast("double").alias(MV))
+    packs = pack(joined, [REPORT, COLUMNS[0]], HELD, MV)
+    sizes = packs.groupBy(REPORT, COLUMNS[0]).agg(F.sum("_ROWS").alias("N")).withColumn("_ALL", F.sum("N").over(Window.partitionBy(REPORT)))
+    most = sizes.agg(F.max("N").alias("LEVEL"), F.max("_ALL").alias("REPORT"), F.sum("N").alias("ROWS"), F.count(F.lit(1)).alias("GROUPS")).first()
+    fits = {True: (most["LEVEL"] or 0) <= block_rows, False: (most["REPORT"] or 0) <= block_rows}
+    here = [s for s in sets if fits[COLUMNS[0] in s]]
+    parts = []
+    if here:
+        tasks = max(2 * int(holdings.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-(most["ROWS"] or 0) * len(here) // TASK_ROWS), 2 * most["GROUPS"]))
+        parts.append(_packed_scores(packs, here, tasks))
+    if len(here) < len(sets):
+        parts.append(_native_scores(joined, [s for s in sets if s not in here], block_rows))
+    return union_all(parts)
+
+
+def _packed_scores(packs: DataFrame, sets: Sequence[Sequence[str]], tasks: int) -> DataFrame:
+    """The groupings with the first level out of the packs of a report and that level, the others out of the packs of a report."""
+    level = COLUMNS[0]
+    routes = [own for own in (True, False) if any((level in s) == own for s in sets)]
+    routed = packs.select(F.explode(F.array(*[F.lit(own) for own in routes])).alias("_OWN"), "*").withColumn("_AT", F.when(F.col("_OWN"), F.col(level)))
+    routed = routed.repartition(tasks, "_OWN", REPORT, "_AT").select("_OWN", "_AT", REPORT, level, "_PACK")
+    when, texts = packs.schema[REPORT], [T.StructField(c, T.StringType()) for c in (HELD, *COLUMNS, "GROUP_SET")]
+    schema = T.StructType([when, *texts, T.StructField("NUMBER", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in (MV, "NUMBER_SCORE", "MARKET_VALUE_SCORE")]])
+    asked = {own: [(list(s), _set_name(s)) for s in sets if (level in s) == own] for own in routes}
+    columns, out_rows = list(COLUMNS), 50_000
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple, list] = {}
+        for batch in batches:
+            kind, date = batch.schema.field(2).type, batch.column(2)
+            for own, at, report, first, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), date, batch.column(3).to_pylist(), batch.column(4)):
+                groups.setdefault((own, at, report.as_py()), []).append((first, blob))
+        while groups:
+            (own, _, report), blobs = groups.popitem()
+            tables = []
+            for first in {f for f, _ in blobs}:
+                t = unpacked([b.as_py() for f, b in blobs if f == first], MV)
+                tables.append(t.append_column(columns[0], pa.repeat(pa.scalar(first, pa.string()), t.num_rows)))
+            t = pa.concat_tables(tables)
+            stock, stocks = coded(t[HELD])
+            holders = (~t[HELD].is_null().to_numpy()).astype(np.int64)
+            codes = {c: coded(t[c]) for c in columns}
+            known = (~t[MV].is_null().to_numpy()).astype(np.int64)
+            value = t[MV].fill_null(0.0).to_numpy()
+            rows = t.num_rows
+            del t, tables, blobs
+            for names, title in asked[own]:
+                group = numbered([codes[c][0] for c in names], rows)
+                key = group * len(stocks) + stock
+                order = np.argsort(key, kind="stable")
+                key = key[order]
+                start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                group, held = key[start] // len(stocks), key[start] % len(stocks)
+                one = order[start]  # a holding of each row
+                number = np.add.reduceat(holders[order], start)
+                has = np.add.reduceat(known[order], start) > 0
+                amount = half_up(np.add.reduceat(value[order], start), 2)
+                scores = [half_up(mean_rank_fraction(number, group, np.ones(len(start), dtype=bool)) * 100, 4), half_up(mean_rank_fraction(amount, group, has) * 100, 4)]
+                for a in range(0, len(start), out_rows):
+                    part = slice(a, a + out_rows)
+                    n, lacks = len(start[part]), ~has[part]
+                    texts = [codes[c][1].take(pa.array(codes[c][0][one[part]])) if c in names else pa.repeat(pa.scalar(ALL), n) for c in columns]
+                    arrays = [pa.repeat(pa.scalar(report, kind), n), stocks.take(pa.array(held[part])), *texts, pa.repeat(pa.scalar(title), n), pa.array(number[part])]
+                    arrays += [pa.array(amount[part], mask=lacks), pa.array(scores[0][part]), pa.array(scores[1][part], mask=lacks)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return routed.mapInArrow(score, schema)
+
+
+def _native_scores(joined: DataFrame, sets: Sequence[Sequence[str]], block_rows: int) -> DataFrame:
+    """The same for groups of any size: the holdings of a stock are brought together once and multiplied by the groupings there."""
     held = joined.groupBy(REPORT, *COLUMNS).agg(F.count(F.lit(1)).alias("_N"))
     bounds = [F.max(F.when(F.col("GROUP_SET") == _set_name(s), F.col("_N"))).alias(str(k)) for k, s in enumerate(sets)]
     most = grouping_sets(held, sets, COLUMNS, [F.sum("_N").alias("_N")], keys=[REPORT]).agg(*bounds, F.sum("_N").alias("ALL")).first()
-    tasks = max(2 * int(holdings.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(most["ALL"] or 0) // TASK_ROWS))
+    tasks = max(2 * int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(most["ALL"] or 0) // TASK_ROWS))
     kept = joined.repartition(tasks, REPORT, HELD)
+    block_rows = min(block_rows, ranks.BLOCK_ROWS)
     small = [s for k, s in enumerate(sets) if (most[str(k)] or 0) <= block_rows]
     large = [s for s in sets if s not in small]
     parts = []

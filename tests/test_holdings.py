@@ -2,8 +2,11 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from navloom.operators.packs import half_up
 from navloom.plans import holdings as ho
 
 DAY = dt.date(2024, 3, 31)
@@ -38,3 +41,24 @@ def test_one_grouping_alone(book):
     assert _rows(ho.popularity(*book, sets=[["LEVEL_1"]])) == _rows(whole.where("GROUP_SET = 'LEVEL_1'"))
     held, classes = book
     assert _rows(ho.popularity(held, classes.where("LEVEL_1 = 'A'"), sets=[["LEVEL_1"]])) == _rows(whole.where("GROUP_SET = 'LEVEL_1' AND LEVEL_1 = 'A'"))
+
+
+def test_rows_of_the_groupings_do_not_travel(book):
+    plan = ho.popularity(*book)._jdf.queryExecution().executedPlan().toString()
+    assert "_PACK" in plan and "Window" not in plan and "GROUP_SET" not in plan.split("Exchange", 1)[1]
+
+
+def test_packed_and_native_scores_agree_on_odd_rows(spark, book):
+    nan = float("nan")
+    odd = [(DAY, "f1", "s1", None, 0.125), (DAY, "f1", None, "x", 2.675), (None, "f2", "s2", "x", 1e17), (DAY, "f3", "s3", "y", None), (DAY, "f4", "s4", "y", nan), (DAY, "f5", "s5", "y", nan), (DAY, "f5", "s5", "y", -1.005), (DAY, "f6", "s6", "x", -0.0), (DAY, "f0", "s6", "x", 0.0), (DAY, None, "s6", "x", 1.0), (DAY, "f2", "s8", "x", None)]
+    held = book[0].union(spark.createDataFrame([*odd, *odd[:4]], book[0].schema))
+    packed, native = (ho.popularity(held, book[1], block_rows=n) for n in (ho.GROUP_ROWS, 0))
+    assert packed.dtypes == native.select(packed.columns).dtypes
+    assert _rows(packed) == _rows(native.select(packed.columns))
+
+
+def test_half_up_is_sparks_round(spark):
+    x = [0.78125, 0.00105, 1.005, 2.675, -2.675, 1e15 + 0.3, 123456789.125, 0.285, 1.0 / 3, -0.0, 5e-5, 99.99995, float("inf")] + [k * 100 / 4480 for k in range(300)]
+    for digits in (2, 4):
+        want = [r[0] for r in spark.createDataFrame([(v,) for v in x], "v double").select(F.round("v", digits)).collect()]
+        assert half_up(np.array(x), digits).tolist() == want
