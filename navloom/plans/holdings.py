@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from navloom.functions.exprs import safe_div
 from navloom.functions.series import by, moving_mean
 from navloom.operators import ranks
 from navloom.operators.aggregates import ALL, grouping_sets, level_grouping_sets, share_of, union_all
-from navloom.operators.joins import align_to_trading_day, interval_join
+from navloom.operators.joins import align_to_trading_day, interval_join, spread
 from navloom.operators.packs import coded, half_up, mean_rank_fraction, numbered, pack, unpacked
 from navloom.session import cut_lineage
 
@@ -172,12 +172,17 @@ def _scores(grouped: DataFrame, block_rows: int, bounded: bool) -> DataFrame:
     return scored.withColumns({"NUMBER_SCORE": F.round(F.col("_N") * 100, 4), "MARKET_VALUE_SCORE": F.round(F.col("_V") * 100, 4)}).drop("_N", "_V")
 
 
-def crowding(weights: DataFrame, scores: DataFrame) -> DataFrame:
+def crowding(holdings: DataFrame, scores: DataFrame, weigh: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Holding-weighted mean of the popularity scores per fund and report.
 
-    ``weights``: ``REPORT_DATE, FUND_ID, HOLDING_TICKER_SYMBOL, RATIO_IN_NA``.
+    ``scores``: one row for each report and stock; ``weigh`` adds ``RATIO_IN_NA`` to holdings and leaves their other columns.  The scores come to the
+    holdings where these lie by stock (a stock's scores are one row, bounded by the reports, so that the stock alone places them), and a holding
+    travels once, with its score, to its fund.
     """
-    joined = weights.join(scores.select(REPORT, HELD, "NUMBER_SCORE", "MARKET_VALUE_SCORE"), [REPORT, HELD])
+    score = F.struct("NUMBER_SCORE", "MARKET_VALUE_SCORE")
+    of_stock = spread(scores.where(F.col(REPORT).isNotNull()), HELD).groupBy(HELD).agg(F.map_from_entries(F.collect_list(F.struct(REPORT, score))).alias("_SCORES"))
+    held = holdings.select(REPORT, FUND, HELD, MV).join(of_stock, HELD, "left").withColumn("_SCORE", F.try_element_at("_SCORES", F.col(REPORT))).drop("_SCORES")
+    joined = weigh(held).where(F.col("_SCORE").isNotNull()).select("*", "_SCORE.*")
     ratio = F.sum("RATIO_IN_NA")
     return joined.groupBy(REPORT, FUND).agg(
         safe_div(F.sum(F.col("MARKET_VALUE_SCORE") * F.col("RATIO_IN_NA")), ratio).alias("TOTAL_VALUE_SCORE"),

@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from navloom.operators.packs import half_up
@@ -62,3 +63,26 @@ def test_half_up_is_sparks_round(spark):
     for digits in (2, 4):
         want = [r[0] for r in spark.createDataFrame([(v,) for v in x], "v double").select(F.round("v", digits)).collect()]
         assert half_up(np.array(x), digits).tolist() == want
+
+
+def test_crowding_weighs_scores_and_moves_a_holding_once(spark, book, monkeypatch):
+    monkeypatch.setattr(ho, "spread", lambda df, *keys: df.repartition(3, *keys))
+    held = book[0].union(spark.createDataFrame([(None, "f1", "s1", "x", 1.0), (DAY, "f1", None, "x", 1.0), (DAY, "f2", "s99", "x", 2.0)], book[0].schema))
+    scores = spark.createDataFrame([(DAY, f"s{k}", 10.0 * k, None if k == 4 else float(k)) for k in range(6)] + [(None, "s1", 1.0, 1.0)], "REPORT_DATE date, HOLDING_TICKER_SYMBOL string, NUMBER_SCORE double, MARKET_VALUE_SCORE double")
+    weigh = lambda df: df.dropna(subset=["REPORT_DATE", "FUND_ID"]).withColumn("RATIO_IN_NA", F.col("MARKET_VALUE") / F.sum("MARKET_VALUE").over(Window.partitionBy("REPORT_DATE", "FUND_ID")))
+    known = {r["HOLDING_TICKER_SYMBOL"]: r for r in scores.collect() if r["REPORT_DATE"]}
+    want = {}
+    for fund in {r["FUND_ID"] for r in held.collect()}:
+        mine = [(known[r["HOLDING_TICKER_SYMBOL"]], r["MARKET_VALUE"]) for r in held.collect() if r["FUND_ID"] == fund and r["REPORT_DATE"] and r["HOLDING_TICKER_SYMBOL"] in known]
+        if mine:
+            total = sum(v for _, v in mine)
+            want[fund] = (sum((s["MARKET_VALUE_SCORE"] or 0) * v for s, v in mine) / total, sum(s["NUMBER_SCORE"] * v for s, v in mine) / total)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ho.crowding(held.repartition(3, "HOLDING_TICKER_SYMBOL"), scores, weigh)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r["FUND_ID"]: (r["TOTAL_VALUE_SCORE"], r["NUMBER_SCORE"]) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+    assert plan.count("Exchange") == 3 and plan.count("ENSURE_REQUIREMENTS") == 1  # by stock: holdings and scores; by fund: once
