@@ -135,6 +135,9 @@ def window_segments(points: DataFrame, windows: DataFrame, sums: Mapping[str, Co
     short = asked.where("S_MONTH = E_MONTH").select(KEY, *SPAN, F.col("START_DATE").alias("_A"), F.col("LAST_DATE").alias("_B"), F.col("S_MONTH").alias("MONTH"))
     some = spans.where(F.months_between(F.trunc("WIN_END", "month"), F.trunc("WIN_START", "month")) <= (0 if strict else 1200)).select((F.year("WIN_END") * 12 + F.month("WIN_END")).alias("MONTH")).distinct()
     raw = raw.join(some, "MONTH", "left_semi") if strict else raw
+    # the months that hold such windows come to the days, which lie by entity: only days of these months travel
+    few = spread(short.select(KEY, "MONTH"), KEY).groupBy(KEY).agg(F.collect_set("MONTH").alias("_MONTHS"))
+    raw = raw.join(few, KEY).where(F.array_contains("_MONTHS", F.col("MONTH"))).drop("_MONTHS")
     inside = raw.join(short, [KEY, "MONTH"]).where(F.col(DATE).between(F.col("_A"), F.col("_B")))
     run = _up(KEY, *SPAN)
     counts = lambda x: F.when(F.col(DATE) > F.col("_A"), F.col(x.value)) if x.open else F.col(x.value)

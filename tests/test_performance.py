@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -184,3 +185,23 @@ def test_product_sheet_scans_only_the_windows_of_its_date(spark, sf_dir, monkeyp
 def test_benchmark_points_are_sorted_once(spark):
     plan = perf.pair_points(panel(spark, a=[1, 2]).withColumn("BENCH_NAV", perf.F.lit(1.0)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") == 1
+
+
+def test_days_outside_short_windows_do_not_travel(spark):
+    """Windows inside one month: the days lie by entity, and only those of months with such a window meet them by month."""
+    days = pd.bdate_range("2024-01-01", "2024-04-30").date
+    panel = pd.concat([pd.DataFrame({"TICKER_SYMBOL": t, "END_DATE": days, "NAV": np.random.default_rng(k).uniform(1, 2, len(days))}) for k, t in enumerate("ab")])
+    panel["BENCH_NAV"] = panel["NAV"] * 0.5 + 1
+    spans = [("2024-02-05", "2024-02-20"), ("2024-01-10", "2024-04-02"), ("2024-03-01", "2024-03-29")]
+    windows = spark.createDataFrame([(pd.Timestamp(a).date(), pd.Timestamp(b).date()) for a, b in spans], "START_DATE date, END_DATE date")
+    columns = ["BENCH_MAXDD", "ALPHA_MAXDD", "STABILITY"]
+    ask = lambda: perf.benchmark_stats(spark.createDataFrame(panel).repartition(8, "TICKER_SYMBOL"), windows, columns=columns)
+    want = sorted(map(str, ask().collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ask()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, out.collect())) == want and len(want) == 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "array_contains(_MONTHS" in plan
